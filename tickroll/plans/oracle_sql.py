@@ -10,20 +10,24 @@ ticks AS (
          epoch_us(ts) AS ts_us, event_id AS tick_id, value AS price, value AS volume
   FROM events)"""
 
-C3 = TICKS + """,
-t3 AS (
-  SELECT *, (ts_us // 1000) - ((ts_us // 1000) % 180000) AS bucket_ts,
-         row_number() OVER (PARTITION BY symbol, exchange, (ts_us // 1000) - ((ts_us // 1000) % 180000)
-                            ORDER BY ts_us, tick_id) AS rn_asc,
-         row_number() OVER (PARTITION BY symbol, exchange, (ts_us // 1000) - ((ts_us // 1000) % 180000)
-                            ORDER BY ts_us DESC, tick_id DESC) AS rn_desc
-  FROM ticks),
-c3 AS (
+def c3_cte(name: str = "c3", where: str = "TRUE") -> str:
+    """CTEs ``{name}_t`` and ``{name}``: 3-minute candles of the filtered ticks."""
+    b = "((ts_us // 1000) - ((ts_us // 1000) % 180000))"
+    return f"""
+{name}_t AS (
+  SELECT *, {b} AS bucket_ts,
+         row_number() OVER (PARTITION BY symbol, exchange, {b} ORDER BY ts_us, tick_id) AS rn_asc,
+         row_number() OVER (PARTITION BY symbol, exchange, {b} ORDER BY ts_us DESC, tick_id DESC) AS rn_desc
+  FROM ticks WHERE {where}),
+{name} AS (
   SELECT symbol, exchange, bucket_ts AS timestamp,
          max(price) FILTER (WHERE rn_asc = 1) AS open, max(price) AS high, min(price) AS low,
          max(price) FILTER (WHERE rn_desc = 1) AS close,
          CAST(sum(CAST(volume AS DECIMAL(18,2))) AS DOUBLE) AS volume
-  FROM t3 GROUP BY symbol, exchange, bucket_ts)"""
+  FROM {name}_t GROUP BY symbol, exchange, bucket_ts)"""
+
+
+C3 = TICKS + "," + c3_cte()
 
 
 def rollup_cte(name: str, source: str, bucket_ms: int, where: str = "TRUE") -> str:

@@ -31,3 +31,88 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def candles_3m(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ticks_to_candles(ticks(spark, sf_dir), interval_ms("3m"))
+
+
+# ------------------------------------------------------------ merge inputs
+# target: orders before 1999; batch: orders from 1998 with a new price and
+# status (status 'P' becomes NULL), plus orders from 2000 a second time with
+# a later _seq. Mapped columns are key, status and price; customer, date
+# and priority are unmapped.
+ORDER_TARGET_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                     "o_orderdate", "o_orderpriority"]
+ORDER_MAPPED = ["o_orderkey", "o_orderstatus", "o_totalprice"]
+
+
+def orders_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = read_table(spark, sf_dir, "orders", ORDER_TARGET_COLS)
+    return (o.where(F.col("o_orderdate") < F.lit("1999-01-01"))
+             .withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd")))
+
+
+def orders_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate"])
+    first = (o.where(F.col("o_orderdate") >= F.lit("1998-01-01"))
+              .select((F.col("o_orderkey") * 2).alias("_seq"), "o_orderkey",
+                      F.when(F.col("o_orderstatus") == "P", F.lit(None).cast("string"))
+                       .otherwise(F.col("o_orderstatus")).alias("o_orderstatus"),
+                      (F.col("o_totalprice") + 1).alias("o_totalprice")))
+    again = (o.where(F.col("o_orderdate") >= F.lit("2000-01-01"))
+              .select((F.col("o_orderkey") * 2 + 1).alias("_seq"), "o_orderkey",
+                      F.lit("Z").alias("o_orderstatus"),
+                      (F.col("o_totalprice") + 2).alias("o_totalprice")))
+    return first.unionByName(again)
+
+
+# ------------------------------------------------------- incremental inputs
+def pair_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Symbol metadata with messy exchange lists, one row per variant and event type.
+
+    A: symbol = event_type, every exchange seen, joined with ' ,<tab>' and
+       padded with blanks and empty items;
+    B: symbol = Initcap(event_type) with its smallest exchange (duplicates A
+       after upper-casing);
+    C: symbol = event_type || 'usd' (NULL for 'error') with the largest
+       exchange, '' for 'view' and NULL for 'click'.
+    """
+    t = ticks(spark, sf_dir).select(F.lower("symbol").alias("et"), "exchange")
+    g = t.groupBy("et").agg(F.array_sort(F.collect_set("exchange")).alias("xs"),
+                            F.min("exchange").alias("xmin"), F.max("exchange").alias("xmax"))
+    a = g.select(F.col("et").alias("symbol"),
+                 F.concat(F.lit(" "), F.concat_ws(" ,\t", "xs"), F.lit(" , ,")).alias("available_exchange"))
+    b = g.select(F.initcap("et").alias("symbol"), F.col("xmin").alias("available_exchange"))
+    c = g.select(F.when(F.col("et") != "error", F.concat("et", F.lit("usd"))).alias("symbol"),
+                 F.when(F.col("et") == "view", F.lit(""))
+                  .when(F.col("et") == "click", F.lit(None).cast("string"))
+                  .otherwise(F.col("xmax")).alias("available_exchange"))
+    return a.unionByName(b).unionByName(c)
+
+
+CKPT_CUT_MS = 1705276800000      # 2024-01-15T00:00:00Z
+CKPT_UPDATED = "2024-01-15 00:00:00"
+SYNC_NOW_MS = 1705708800000      # 2024-01-20T00:00:00Z
+SYNC_SINCE_DAYS = 1
+
+
+def checkpoint_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """3m checkpoints: last candle before 2024-01-15 for pairs on x0/x1;
+    plus '1h' rows for every pair (another timeframe, to be ignored)."""
+    c3 = candles_3m(spark, sf_dir)
+    last = (c3.where((F.col("timestamp") < F.lit(CKPT_CUT_MS)) & (F.col("exchange") != "x2"))
+              .groupBy("symbol", "exchange").agg(F.max("timestamp").alias("last_ts_ms"))
+              .select("symbol", "exchange", F.lit("3m").alias("timeframe"), "last_ts_ms"))
+    other = (c3.select("symbol", "exchange").distinct()
+               .select("symbol", "exchange", F.lit("1h").alias("timeframe"), F.lit(0).cast("long").alias("last_ts_ms")))
+    return (last.unionByName(other)
+                .withColumn("updated_at", F.lit(CKPT_UPDATED)))
+
+
+def landed_candle_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """3m candles landed as JSON pages, one page per pair and UTC day.
+
+    A day holds at most 480 three-minute candles per pair, so every page
+    (one grouped row) is bounded no matter how large the table grows.
+    """
+    c3 = candles_3m(spark, sf_dir)
+    row = F.array(F.col("timestamp").cast("double"), "open", "high", "low", "close", "volume")
+    return (c3.groupBy("symbol", "exchange", F.expr("timestamp div 86400000").alias("page_seq"))
+              .agg(F.to_json(F.array_sort(F.collect_list(row))).alias("payload")))

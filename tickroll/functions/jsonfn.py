@@ -39,18 +39,36 @@ def json_path(path) -> str:
     return out
 
 
+# Casting to a struct succeeds for any object (missing fields are NULL) and
+# fails fast for every other kind, so it tests "is an object" without
+# walking the value (``schema_of_variant`` builds the full schema text).
+_OBJECT_PROBE = "struct<`__tickroll_object_probe`: boolean>"
+
+
 def kind(v) -> Column:
-    """'OBJECT', 'ARRAY', 'STRING', 'BIGINT', ..., 'VOID' (JSON null) or NULL."""
+    """'OBJECT', 'ARRAY', 'STRING', 'BIGINT', ..., 'VOID' (JSON null) or NULL.
+
+    Cost grows with the size of ``v``: use it on scalars (or not at all).
+    """
     s = F.schema_of_variant(_col(v))
     return F.when(_col(v).isNotNull(), F.regexp_extract(s, r"^([A-Z_]+)", 1))
 
 
 def is_object(v) -> Column:
-    return kind(v) == F.lit("OBJECT")
+    return F.try_variant_get(_col(v), "$", _OBJECT_PROBE).isNotNull()
+
+
+def as_array(v) -> Column:
+    """Variant array -> array<variant> (NULL when not an array)."""
+    return F.try_variant_get(_col(v), "$", "array<variant>")
 
 
 def is_array(v) -> Column:
-    return kind(v) == F.lit("ARRAY")
+    return as_array(v).isNotNull()
+
+
+def nonempty_object(v) -> Column:
+    return F.size(F.try_variant_get(_col(v), "$", "map<string,variant>")) > 0
 
 
 def get(v, path, dtype: str = "variant") -> Column:
@@ -60,23 +78,23 @@ def get(v, path, dtype: str = "variant") -> Column:
 
 def has_key(v, key: str) -> Column:
     """True when ``v`` is an object holding ``key`` (even with a null value)."""
-    return is_object(v) & get(v, key).isNotNull()
+    return get(v, key).isNotNull()
 
 
-def as_array(v) -> Column:
-    """Variant array -> array<variant> (NULL when not an array)."""
-    return F.try_variant_get(_col(v), "$", "array<variant>")
+def _scalar_truthy(v: Column) -> Column:
+    k = kind(v)
+    return (F.when(k == "BOOLEAN", F.try_variant_get(v, "$", "boolean"))
+             .when(k == "STRING", F.length(F.try_variant_get(v, "$", "string")) > 0)
+             .otherwise(F.coalesce(F.try_variant_get(v, "$", "double") != 0, F.lit(True))))
 
 
 def truthy(v) -> Column:
     """Python truthiness of a JSON value (None, false, 0, '', [], {} are false)."""
     v = _col(v)
-    k = kind(v)
-    return (F.when(v.isNull() | (k == "VOID"), F.lit(False))
-            .when(k == "BOOLEAN", F.try_variant_get(v, "$", "boolean"))
-            .when(k == "STRING", F.length(F.try_variant_get(v, "$", "string")) > 0)
-            .when(k.isin("ARRAY", "OBJECT"), ~F.to_json(v).isin("[]", "{}"))
-            .otherwise(F.coalesce(F.try_variant_get(v, "$", "double") != 0, F.lit(True))))
+    return (F.when(v.isNull() | F.is_variant_null(v), F.lit(False))
+             .when(is_object(v), nonempty_object(v))
+             .when(is_array(v), F.size(as_array(v)) > 0)
+             .otherwise(_scalar_truthy(v)))
 
 
 def safe_float(v) -> Column:

@@ -56,15 +56,55 @@ def specs_from_config(columns: Sequence, dtypes: Mapping[str, str] | None = None
     return out
 
 
-def extract(rec, spec: ColumnSpec) -> Column:
-    """The typed value of one spec from a VARIANT record."""
-    raw = J.get(rec, spec.path)
+def _leaf_type(spec: ColumnSpec) -> str:
+    return "variant" if (spec.value_type == "float" or spec.dtype == "json") else spec.dtype
+
+
+def _finish(value: Column, spec: ColumnSpec) -> Column:
+    """Post-process a leaf read with ``_leaf_type``."""
     if spec.value_type == "float":
-        v = J.safe_float(raw)
+        v = J.safe_float(value)
         return v if spec.dtype in ("double", "string") else v.cast(spec.dtype)
     if spec.dtype == "json":
-        return J.to_text(raw)
-    return J.get(rec, spec.path, spec.dtype)
+        return J.to_text(value)
+    return value
+
+
+def extract(rec, spec: ColumnSpec) -> Column:
+    """The typed value of one spec from a VARIANT record (single column use)."""
+    return _finish(J.get(rec, spec.path, _leaf_type(spec)), spec)
+
+
+def _quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def record_struct_type(specs: Sequence[ColumnSpec]) -> str | None:
+    """One nested struct type covering every spec path, or None on a clash.
+
+    Reading a record as this struct (one ``try_variant_get``) looks every
+    field up in a single pass; hundreds of separate path reads per row are
+    about 100x slower. Keys match case-sensitively; a field whose value
+    cannot be cast, or a path step that is not an object, gives NULL for
+    that field only.
+    """
+    tree: dict = {}
+    for s in specs:
+        node = tree
+        for key in s.path[:-1]:
+            nxt = node.setdefault(key, {})
+            if not isinstance(nxt, dict):
+                return None
+            node = nxt
+        leaf, t = s.path[-1], _leaf_type(s)
+        if leaf in node and node[leaf] != t:
+            return None
+        node[leaf] = t
+
+    def render(node: dict) -> str:
+        return "struct<" + ", ".join(
+            f"{_quote(k)}: {render(v) if isinstance(v, dict) else v}" for k, v in node.items()) + ">"
+    return render(tree) if tree else None
 
 
 def map_columns(records: DataFrame, specs: Sequence[ColumnSpec], rec_col: str = "rec",
@@ -72,15 +112,29 @@ def map_columns(records: DataFrame, specs: Sequence[ColumnSpec], rec_col: str =
     """Project records to the mapped columns (plus ``keep`` columns).
 
     ``overrides`` replaces the value of named output columns, e.g. a
-    dimension column that must win over a record field.
+    dimension column that must win over a record field. The record is
+    read once as a struct; each column is then a field access.
     """
     overrides = dict(overrides or {})
-    rec = F.col(rec_col)
+    todo = [s for s in specs if s.column not in overrides]
+    stype = record_struct_type(todo)
+    if stype is None:            # clashing paths: read each column on its own
+        rec = F.col(rec_col)
+        return records.select(*keep, *[
+            (overrides[s.column] if s.column in overrides else extract(rec, s)).alias(s.column)
+            for s in specs])
+    staged = records.select(*records.columns,
+                            F.try_variant_get(F.col(rec_col), "$", stype).alias("_rs"))
     cols = []
     for s in specs:
-        c = overrides[s.column] if s.column in overrides else extract(rec, s)
-        cols.append(c.alias(s.column))
-    return records.select(*keep, *cols)
+        if s.column in overrides:
+            cols.append(overrides[s.column].alias(s.column))
+            continue
+        field = F.col("_rs")
+        for key in s.path:
+            field = field.getField(key)
+        cols.append(_finish(field, s).alias(s.column))
+    return staged.select(*keep, *cols)
 
 
 def fill_falsy(rec, key: str, default, dtype: str = "string") -> Column:

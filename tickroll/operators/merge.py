@@ -9,13 +9,14 @@ Semantics kept from the row-by-row original:
 * A NULL in a conflict key never matches (UNIQUE-constraint semantics):
   such rows are always inserted and never de-duplicated.
 
-Physical shape: NULL-key rows are split off before any join (they would all
-hash to one partition). The target is never shuffled when the batch is
+Physical shape: the target is never shuffled when the batch is
 small: it is anti/semi-joined against the batch keys, which the planner
 broadcasts when their estimated size is under
 ``spark.sql.autoBroadcastJoinThreshold`` (and AQE re-checks at run time);
 larger batches fall back to a sort-merge join on the keys. Keys are unique
-after de-duplication, so these joins have no hot keys.
+after de-duplication, so these joins have no hot keys; NULL keys (which
+never match) all hash to one partition, and AQE's skew-join handling
+splits that partition if they are many.
 """
 
 from __future__ import annotations
@@ -48,7 +49,10 @@ def dedupe(batch: DataFrame, keys, order: str = "_seq", keep: str = "last") -> D
     ``max_by``/``min_by`` over the row struct aggregates partially on the
     map side, so a key holding a third of the batch is reduced to one row
     per task before the shuffle (a window over the key would instead put
-    all of its rows into one task).
+    all of its rows into one task). Rows with a NULL key are never merged:
+    they carry their own (unique) ``order`` value as an extra grouping
+    column, which is NULL for every other row. One pass, no union, so the
+    batch's upstream plan runs once.
     """
     keys = list(keys)
     if keep == "error":
@@ -58,15 +62,12 @@ def dedupe(batch: DataFrame, keys, order: str = "_seq", keep: str = "last") -> D
         raise ValueError(f"keep must be 'last', 'first' or 'error', not {keep!r}")
     cols = batch.columns
     others = [c for c in cols if c not in keys]
-    with_keys = batch.where(_no_null(keys))
-    if not others:
-        picked = with_keys.dropDuplicates(keys)
-    else:
-        pick = F.max_by if keep == "last" else F.min_by
-        picked = (with_keys.groupBy(*keys)
-                           .agg(pick(F.struct(*others), F.col(order)).alias("_row"))
-                           .select(*keys, "_row.*"))
-    return picked.select(*cols).unionByName(batch.where(_any_null(keys)))
+    bypass = F.when(_any_null(keys), F.col(order)).alias("_nullkey_row")
+    pick = F.max_by if keep == "last" else F.min_by
+    picked = (batch.groupBy(*keys, bypass)
+                   .agg(pick(F.struct(*others), F.col(order)).alias("_row"))
+                   .select(*keys, "_row.*"))
+    return picked.select(*cols)
 
 
 def assert_unique(batch: DataFrame, keys) -> None:
@@ -96,19 +97,18 @@ def upsert_update(target: DataFrame, batch: DataFrame, keys, order: str | None =
     if order and order in batch.columns:
         batch = dedupe(batch, keys, order, keep)
     b = batch.select(*mapped)
-    b_keyed, b_nullkey = b.where(_no_null(keys)), b.where(_any_null(keys))
-    t_keyed, t_nullkey = target.where(_no_null(keys)), target.where(_any_null(keys))
-    bkeys = b_keyed.select(*keys)
-    kept = t_keyed.join(bkeys, keys, "left_anti")
+    bkeys = b.select(*keys)
+    # An equi-join never matches a NULL key: NULL-key target rows survive
+    # the anti join and NULL-key batch rows find no old row, so no split
+    # (and no second evaluation of either side) is needed.
+    kept = target.join(bkeys, keys, "left_anti")
     unmapped = [c for c in tcols if c not in mapped]
     if unmapped:
-        old = t_keyed.join(bkeys, keys, "left_semi").select(*keys, *unmapped)
-        new = b_keyed.join(old, keys, "left")
+        old = target.join(bkeys, keys, "left_semi").select(*keys, *unmapped)
+        new = b.join(old, keys, "left")
     else:
-        new = b_keyed
-    parts = [kept, _align(new, tcols, target.schema),
-             _align(b_nullkey, tcols, target.schema), t_nullkey]
-    return reduce(DataFrame.unionByName, [p.select(*tcols) for p in parts])
+        new = b
+    return kept.unionByName(_align(new, tcols, target.schema).select(*tcols))
 
 
 def upsert_nothing(target: DataFrame, batch: DataFrame, keys, order: str | None = "_seq",
@@ -125,11 +125,9 @@ def upsert_nothing(target: DataFrame, batch: DataFrame, keys, order: str | None
     if order and order in batch.columns:
         batch = dedupe(batch, keys, order, keep)
     b = batch.select(*mapped)
-    b_keyed, b_nullkey = b.where(_no_null(keys)), b.where(_any_null(keys))
-    matched = target.where(_no_null(keys)).select(*keys).join(b_keyed.select(*keys), keys, "left_semi")
-    new = b_keyed.join(matched, keys, "left_anti")
-    parts = [target, _align(new, tcols, target.schema), _align(b_nullkey, tcols, target.schema)]
-    return reduce(DataFrame.unionByName, [p.select(*tcols) for p in parts])
+    matched = target.select(*keys).join(b.select(*keys), keys, "left_semi")
+    new = b.join(matched, keys, "left_anti")     # NULL-key batch rows are always new
+    return target.unionByName(_align(new, tcols, target.schema).select(*tcols))
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys, policy: str = "update", **kw) -> DataFrame:
@@ -148,8 +146,7 @@ def merge_counts(target: DataFrame, batch: DataFrame, keys, order: str | None =
     if order and order in batch.columns:
         batch = dedupe(batch, keys, order, keep)
     bk = batch.select(*keys)
-    matched = (target.where(_no_null(keys)).select(*keys)
-                     .join(bk.where(_no_null(keys)), keys, "left_semi")
+    matched = (target.select(*keys).join(bk, keys, "left_semi")
                      .withColumn("_m", F.lit(1)))
     flagged = bk.join(matched, keys, "left")
     return flagged.agg(F.sum(F.when(F.col("_m").isNull(), 1).otherwise(0)).cast("long").alias("inserted"),

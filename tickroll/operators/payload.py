@@ -67,55 +67,73 @@ def raise_on_errors(errors: DataFrame) -> None:
         raise RuntimeError(f"payload error ({first['error_kind']}): {first['message']}")
 
 
-def _data_or_doc(doc: Column) -> Column:
-    return F.when(J.has_key(doc, "data"), J.get(doc, "data")).otherwise(doc)
-
-
-def record_array(doc, mode: str = "records", path=("data", "quotes")) -> Column:
-    """array<variant> of candidate records for one document (NULL = none)."""
-    doc = _v(doc)
-    if mode == "records":
-        d = _data_or_doc(doc)
-        return (F.when(~J.truthy(d), F.lit(None))
-                 .when(J.is_object(d), F.array(d))
-                 .when(J.is_array(d), J.as_array(d)))
-    if mode == "array":
-        d = _data_or_doc(doc)
-        return F.when(~message_code_error(doc) & J.is_array(d), J.as_array(d))
-    if mode == "first":
-        d = J.get(doc, "data")
-        first_of_data = (F.when(J.is_array(d), F.slice(J.as_array(d), 1, 1))
-                          .when(J.is_object(d), F.array(d)))
-        rec = (F.when(J.is_object(doc) & J.has_key(doc, "data"), first_of_data)
-                .when(J.is_object(doc), F.array(doc))
-                .when(J.is_array(doc), F.slice(J.as_array(doc), 1, 1)))
-        return rec
-    if mode == "list":
-        return F.when(J.is_object(doc), J.as_array(J.get(doc, "data")))
-    if mode == "path":
-        return J.as_array(J.get(doc, path))
-    raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
-
-
 def unwrap(docs: DataFrame, mode: str = "records", doc_col: str = "doc", keep=None,
-           path=("data", "quotes")) -> DataFrame:
+           path=("data", "quotes"), skip_errors: str | None = None) -> DataFrame:
     """One row per record object: ``keep`` columns, ``_pos`` and ``rec``.
 
-    Elements that are not objects (numbers, strings, nulls, empty objects)
-    are dropped.
+    Array elements that are not objects (numbers, strings, nulls) are
+    dropped. Intermediate values are computed in stacked projections so
+    each is evaluated once per payload (Catalyst does not collapse a
+    projection whose non-trivial expressions are used more than once).
+
+    ``skip_errors`` ('message_code', 'status' or 'any') yields no records for
+    error payloads. It masks the record array inside the projection rather
+    than filtering on the document: a filter would be pushed below the
+    projections and re-evaluate the JSON parse once per reference.
     """
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     keep = [c for c in (keep if keep is not None else docs.columns) if c != doc_col]
-    arr = record_array(doc_col, mode, path)
-    rows = docs.select(*keep, F.posexplode(arr).alias("_pos", "rec"))
-    return rows.where(J.is_object("rec") & J.truthy("rec"))
+    out_keep = list(keep)
+    if skip_errors:
+        test = {"message_code": message_code_error, "status": status_error,
+                "any": lambda d: error_kind(d).isNotNull()}[skip_errors]
+        docs = docs.select(*keep, doc_col, test(doc_col).alias("_skip"))
+        keep = [*keep, "_skip"]
+    doc = F.col(doc_col)
+    if mode in ("records", "array"):
+        # ``data`` if the document is an object holding it (even as null), else the document
+        s1 = docs.select(*keep, doc.alias("_doc"), J.get(doc, "data").alias("_data"))
+        extra = [message_code_error("_doc").alias("_err")] if mode == "array" else []
+        s2 = s1.select(*keep, F.coalesce("_data", "_doc").alias("_d"), *extra)
+        s3 = s2.select(*keep, "_d", J.as_array("_d").alias("_arr"), *(["_err"] if extra else []))
+        if mode == "records":
+            cand = F.coalesce(F.col("_arr"),
+                              F.when(J.is_object("_d") & J.nonempty_object("_d"), F.array("_d")))
+        else:
+            cand = F.when(~F.col("_err"), F.col("_arr"))
+    elif mode == "first":
+        s1 = docs.select(*keep, doc.alias("_doc"), J.get(doc, "data").alias("_data"),
+                         J.is_object(doc).alias("_obj"))
+        first_of_data = F.coalesce(F.slice(J.as_array("_data"), 1, 1),
+                                   F.when(J.is_object("_data"), F.array("_data")))
+        cand0 = (F.when(F.col("_obj") & F.col("_data").isNotNull(), first_of_data)
+                  .when(F.col("_obj"), F.array("_doc"))
+                  .otherwise(F.slice(J.as_array("_doc"), 1, 1)))
+        s3 = s1.select(*keep, cand0.alias("_cand"))
+        cand = F.col("_cand")
+    elif mode == "list":
+        s3 = docs.select(*keep, doc.alias("_doc"))
+        cand = F.when(J.is_object("_doc"), J.as_array(J.get("_doc", "data")))
+    else:  # path
+        s3 = docs.select(*keep, doc.alias("_doc"))
+        cand = J.as_array(J.get("_doc", path))
+    if skip_errors:
+        cand = F.when(~F.col("_skip"), cand)
+    rows = s3.select(*out_keep, F.posexplode(cand).alias("_pos", "rec"))
+    ok = J.is_object("rec")
+    if mode == "first":
+        ok = ok & J.nonempty_object("rec")
+    return rows.where(ok)
 
 
 def object_counts(docs: DataFrame, mode: str = "array", doc_col: str = "doc", keep=None) -> DataFrame:
     """Per array payload: elements seen and object elements kept."""
     keep = [c for c in (keep if keep is not None else docs.columns) if c != doc_col]
-    arr = F.when(message_code_error(doc_col), F.lit(None)).otherwise(
-        J.as_array(_data_or_doc(F.col(doc_col))))
-    with_arr = docs.select(*keep, arr.alias("_arr")).where(F.col("_arr").isNotNull())
+    s1 = docs.select(*keep, F.col(doc_col).alias("_doc"), J.get(doc_col, "data").alias("_data"),
+                     message_code_error(doc_col).alias("_err"))
+    with_arr = (s1.select(*keep, F.when(~F.col("_err"), J.as_array(F.coalesce("_data", "_doc"))).alias("_arr"))
+                  .where(F.col("_arr").isNotNull()))
     objects = F.size(F.filter("_arr", lambda e: J.is_object(e)))
     return with_arr.select(*keep, F.size("_arr").alias("elements"),
                            objects.alias("objects"),

@@ -183,10 +183,10 @@ def load_global_eod(landed: DataFrame, companies: DataFrame, target: DataFrame |
 def global_metrics_records(landed: DataFrame, on_error: str = "skip") -> DataFrame:
     """Quotes under data.quotes, mapped, timestamps floored to UTC midnight;
     quotes without a usable timestamp (NULL or epoch 0) are dropped."""
-    docs, errors = P.split_errors(parse_payloads(landed))
+    docs = parse_payloads(landed)
     if on_error == "fail":
-        P.raise_on_errors(errors)
-    recs = P.unwrap(docs, "path", keep=["seq"], path=("data", "quotes"))
+        P.raise_on_errors(P.split_errors(docs)[1])
+    recs = P.unwrap(docs, "path", keep=["seq"], path=("data", "quotes"), skip_errors="status")
     mapped = map_columns(recs, GLOBAL_METRICS_SPECS, keep=[record_order().alias("_seq")],
                          overrides={})
     out = (mapped.withColumn("timestamp", normalize_ts_day("timestamp"))

@@ -37,7 +37,8 @@ SELECT c_name AS request_key, c_custkey AS seq,
        CASE c_custkey % 6 WHEN 1 THEN 'ARRAY' WHEN 4 THEN NULL ELSE 'OBJECT' END AS doc_kind
 FROM customer""")
 def q_payload_parse(spark, sf_dir):
-    return _customer_docs(spark, sf_dir).select("request_key", "seq", "doc_kind")
+    from tickroll.sources.landed import payload_kinds
+    return payload_kinds(_customer_docs(spark, sf_dir)).select("request_key", "seq", "doc_kind")
 
 
 @query("payload_errors", """

@@ -23,9 +23,16 @@ def read_landed(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
 
 
 def parse_payloads(landed: DataFrame, payload_col: str = "payload") -> DataFrame:
-    """Adds ``doc`` (VARIANT, NULL for bad JSON) and its ``doc_kind``."""
-    return (landed.withColumn("doc", J.parse(payload_col))
-                  .withColumn("doc_kind", J.kind("doc")))
+    """Adds ``doc``: the payload as VARIANT (NULL for text that is not JSON)."""
+    return landed.withColumn("doc", J.parse(payload_col))
+
+
+def payload_kinds(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
+    """Adds ``doc_kind``: 'OBJECT', 'ARRAY', a scalar kind, or NULL for bad JSON."""
+    kind = (F.when(J.is_object(doc_col), F.lit("OBJECT"))
+             .when(J.is_array(doc_col), F.lit("ARRAY"))
+             .otherwise(J.kind(doc_col)))
+    return docs.withColumn("doc_kind", kind)
 
 
 def candle_pages(pages: DataFrame, payload_col: str = "payload",

@@ -14,9 +14,34 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> DataFrame:
+# Row key of each driver table, used to spread a scan over all cores.
+TABLE_KEYS = {"events": "event_id", "lineitem": "l_orderkey", "orders": "o_orderkey",
+              "customer": "c_custkey", "part": "p_partkey", "supplier": "s_suppkey"}
+
+
+def spread(df: DataFrame, *keys) -> DataFrame:
+    """Hash-repartition a scan that yields fewer partitions than there are cores.
+
+    A file written as one Parquet row group is read by one task, so every
+    per-row step after it (JSON building, parsing, mapping) would run on a
+    single core. Large tables arrive in many splits and are left as they
+    are: no shuffle is added where the scan is already parallel.
+    """
+    n = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= n:
+        return df
+    return df.repartition(n, *keys) if keys else df.repartition(n)
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, columns=None,
+               spread_scan: bool = True) -> DataFrame:
     df = spark.read.parquet(table_path(sf_dir, name))
-    return df.select(*columns) if columns else df
+    if columns:
+        df = df.select(*columns)
+    key = TABLE_KEYS.get(name)
+    if spread_scan and key and key in df.columns:
+        df = spread(df, key)
+    return df
 
 
 def scan_codes(table: DataFrame, code_column: str = "code") -> DataFrame:

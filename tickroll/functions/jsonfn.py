@@ -98,13 +98,15 @@ def truthy(v) -> Column:
 
 
 def safe_float(v) -> Column:
-    """Tolerant JSON value -> double (numbers, booleans, numeric text)."""
+    """Tolerant JSON value -> double (numbers, booleans, numeric text).
+
+    Strings go through the text guard; every other kind is cast directly
+    (objects, arrays and nulls give NULL).
+    """
     v = _col(v)
-    k = kind(v)
-    return (F.when(k == "STRING", safe_float_text(F.try_variant_get(v, "$", "string")))
-            .when(k.isin("BOOLEAN", "BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT")
-                  | k.startswith("DECIMAL"),
-                  F.try_variant_get(v, "$", "double")))
+    return F.when(F.schema_of_variant(v) == F.lit("STRING"),
+                  safe_float_text(F.try_variant_get(v, "$", "string"))) \
+            .otherwise(F.try_variant_get(v, "$", "double"))
 
 
 def to_text(v) -> Column:

@@ -6,14 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Whitespace removed by strip(): Unicode white space plus the ASCII
-# separators 0x1C-0x1F (Spark's trim only removes the space character).
-_WS = r"[\s\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-_STRIP = rf"^{_WS}+|{_WS}+$"
+# separators 0x1C-0x1F (Spark's one-argument trim only removes spaces).
+_WS_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+             + "".join(chr(c) for c in range(0x2000, 0x200B))
+             + "\u2028\u2029\u202f\u205f\u3000")
 
-# Decimal / scientific number text accepted by the tolerant cast.
-_NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
-# Special values float() accepts (compared lower-case).
-_SPECIAL = ["nan", "+nan", "-nan", "inf", "+inf", "-inf", "infinity", "+infinity", "-infinity"]
+# Text float() accepts: decimal / scientific numbers and the special
+# values nan, inf, infinity (any case, optional sign).
+_NUMBER = (r"^[+-]?(([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?"
+           r"|(?i:nan|inf|infinity))$")
 
 
 def _col(c) -> Column:
@@ -21,7 +22,8 @@ def _col(c) -> Column:
 
 
 def strip_ws(c) -> Column:
-    return F.regexp_replace(_col(c), _STRIP, "")
+    """Remove leading and trailing white space (a character set, no regex)."""
+    return F.trim(_col(c), F.lit(_WS_CHARS))
 
 
 def safe_float_text(c) -> Column:
@@ -32,8 +34,7 @@ def safe_float_text(c) -> Column:
     deviation).
     """
     t = strip_ws(_col(c).cast("string"))
-    ok = t.rlike(_NUMBER) | F.lower(t).isin(_SPECIAL)
-    return F.when(ok, t.try_cast("double"))
+    return F.when(t.rlike(_NUMBER), t.try_cast("double"))
 
 
 def split_list(c, sep: str = ",") -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickroll.functions import jsonfn as J
+from tickroll.functions.textfn import safe_float_text
 
 
 @dataclass(frozen=True)
@@ -125,16 +126,27 @@ def map_columns(records: DataFrame, specs: Sequence[ColumnSpec], rec_col: str =
             for s in specs])
     staged = records.select(*records.columns,
                             F.try_variant_get(F.col(rec_col), "$", stype).alias("_rs"))
-    cols = []
-    for s in specs:
+    # Leaves needing the tolerant float cast are split into kind, text and
+    # number columns first and combined in the next projection: one CASE
+    # over freshly computed VARIANT reads is several times slower.
+    parts, finals = [], []
+    for i, s in enumerate(specs):
         if s.column in overrides:
-            cols.append(overrides[s.column].alias(s.column))
+            finals.append(overrides[s.column].alias(s.column))
             continue
         field = F.col("_rs")
         for key in s.path:
             field = field.getField(key)
-        cols.append(_finish(field, s).alias(s.column))
-    return staged.select(*keep, *cols)
+        if s.value_type == "float":
+            parts += [F.schema_of_variant(field).alias(f"_k{i}"),
+                      F.try_variant_get(field, "$", "string").alias(f"_s{i}"),
+                      F.try_variant_get(field, "$", "double").alias(f"_d{i}")]
+            v = F.when(F.col(f"_k{i}") == "STRING", safe_float_text(f"_s{i}")).otherwise(F.col(f"_d{i}"))
+            finals.append((v if s.dtype in ("double", "string") else v.cast(s.dtype)).alias(s.column))
+        else:
+            parts.append(_finish(field, s).alias(f"_v{i}"))
+            finals.append(F.col(f"_v{i}").alias(s.column))
+    return staged.select(*records.columns, *parts).select(*keep, *finals)
 
 
 def fill_falsy(rec, key: str, default, dtype: str = "string") -> Column:

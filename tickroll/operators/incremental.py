@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tickroll.functions.textfn import split_list
 from tickroll.functions.timefn import DAY_MS
+from tickroll.operators.joins import broadcast_if_small
 from tickroll.operators.merge import upsert_update
 
 PAIR_KEYS = ("symbol", "exchange")
@@ -55,8 +56,7 @@ def since_per_pair(pairs: DataFrame, checkpoint: DataFrame, timeframe: str = "3m
 
     NULL means "everything". ``refetch_last`` resumes at last_ts itself
     (harmless, the keyed merge absorbs the repeated candle). The checkpoint
-    side holds one row per pair, and the planner broadcasts it when its
-    estimated size is under the broadcast threshold.
+    side holds one row per pair and is broadcast after a size check.
     """
     ck = (checkpoint.where(F.col("timeframe") == F.lit(timeframe))
                     .select(*PAIR_KEYS, "last_ts_ms"))
@@ -64,13 +64,18 @@ def since_per_pair(pairs: DataFrame, checkpoint: DataFrame, timeframe: str = "3m
               if (now_ms is not None and since_days and since_days > 0)
               else F.lit(None).cast("long"))
     step = 0 if refetch_last else 1
-    return (pairs.join(ck, list(PAIR_KEYS), "left")
+    return (pairs.join(broadcast_if_small(ck), list(PAIR_KEYS), "left")
                  .select(*PAIR_KEYS, F.coalesce(F.col("last_ts_ms") + F.lit(step), cutoff).alias("since_ms")))
 
 
 def incremental_new_rows(rows: DataFrame, since: DataFrame, ts_col: str = "timestamp") -> DataFrame:
-    """Rows of known pairs at or after their pair's resume point."""
-    return (rows.join(since, list(PAIR_KEYS), "inner")
+    """Rows of known pairs at or after their pair's resume point.
+
+    The resume points (one row per pair) are broadcast after a size check,
+    so the candle rows are never shuffled by pair (a hot pair would
+    otherwise land in one task).
+    """
+    return (rows.join(broadcast_if_small(since), list(PAIR_KEYS), "inner")
                 .where(F.col("since_ms").isNull() | (F.col(ts_col) >= F.col("since_ms")))
                 .drop("since_ms"))
 

@@ -1,0 +1,22 @@
+"""Joins against small sides: broadcast only behind a checked size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Row bound for a broadcast side. Sides here are narrow key tables (pairs,
+# resume points, dimension ids and tickers): a few tens of bytes per row,
+# so the bound keeps a broadcast well under a hundred megabytes.
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df``.
+
+    The count stops after ``max_rows + 1`` rows. Above the bound the join is
+    left to the planner: a sort-merge join on the keys, with AQE splitting
+    skewed partitions (a hot pair or ticker) at run time.
+    """
+    small = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if small else df

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tickroll.functions.timefn import normalize_ts_day
 from tickroll.operators import merge as M
+from tickroll.operators.joins import broadcast_if_small
 from tickroll.operators import payload as P
 from tickroll.operators.mapping import ColumnSpec, fill_falsy, map_columns, specs_from_config
 from tickroll.sources.landed import parse_payloads
@@ -136,7 +137,7 @@ def load_basic_info(landed: DataFrame, target: DataFrame | None = None) -> DataF
 
 def vn_eod_records(landed: DataFrame, codes: DataFrame) -> DataFrame:
     """Payloads of listed codes only (semi-join on the code list)."""
-    listed = landed.join(codes.select("code"), "code", "left_semi")
+    listed = landed.join(broadcast_if_small(codes.select("code")), "code", "left_semi")
     recs = P.unwrap(parse_payloads(listed), "array", keep=["code", "seq"])
     return map_columns(recs, VN_EOD_SPECS, keep=[record_order().alias("_seq")])
 
@@ -168,7 +169,7 @@ def active_companies(companies: DataFrame, only_active: bool = True) -> DataFram
 def global_eod_records(landed: DataFrame, companies: DataFrame) -> DataFrame:
     """Array payloads per ticker joined to their company; the company's id
     and ticker override the record's fields."""
-    dim = active_companies(companies)
+    dim = broadcast_if_small(active_companies(companies))
     joined = landed.join(dim, "ticker", "inner")
     recs = P.unwrap(parse_payloads(joined), "array", keep=["ticker", "company_id", "seq"])
     return map_columns(recs, GLOBAL_EOD_SPECS, keep=[record_order().alias("_seq")],

@@ -16,7 +16,7 @@ from tickroll.plans.oracle_sql import C3, CANDLE_COLS, rollup_cte, with_
 from tickroll.plans.registry import query
 from tickroll.session import shared_dir
 from tickroll.sources import testdata as T
-from tickroll.sources.keyed_table import KeyedTable
+from tickroll.sources.keyed_table import DayPartitionedTable
 from tickroll.streaming import ingest as SI
 from tickroll.streaming import rollup as SR
 
@@ -49,7 +49,7 @@ def q_stream_ohlcv_1h(spark, sf_dir):
     c3 = T.candles_3m(spark, sf_dir)
     week = F.expr(f"timestamp div {7 * DAY_MS}")
     span = c3.agg(F.min(week).alias("lo"), F.max(week).alias("hi")).first()
-    table = KeyedTable(spark, f"{base}/ohlcv_1h", CANDLE_KEYS)
+    table = DayPartitionedTable(spark, f"{base}/ohlcv_1h", CANDLE_KEYS)
     if span["lo"] is None:
         return spark.createDataFrame([], SR.CANDLE_SCHEMA)
     for w in range(span["lo"], span["hi"] + 1):
@@ -76,7 +76,7 @@ def q_stream_late_data(spark, sf_dir):
     late = (F.col("exchange") == "x2") & ((ts < F.lit(LATE_FAR_END))
                                           | ((ts >= F.lit(LATE_NEAR[0])) & (ts < F.lit(LATE_NEAR[1]))))
     runs = [c3.where(~late & (ts < F.lit(LATE_SPLIT))), c3.where(~late & (ts >= F.lit(LATE_SPLIT))), c3.where(late)]
-    table = KeyedTable(spark, f"{base}/ohlcv_15m", CANDLE_KEYS)
+    table = DayPartitionedTable(spark, f"{base}/ohlcv_15m", CANDLE_KEYS)
     for part in runs:
         part.write.mode("append").parquet(f"{base}/source")
         SR.run_rollup(spark, f"{base}/source", "15m", table, f"{base}/_stream")

@@ -79,3 +79,55 @@ class KeyedTable:
             new = M.upsert(base, batch, self.keys, policy, order=order,
                            keep=keep or ("last" if policy == "update" else "first"), mapped=mapped)
         return self.commit(new, version)
+
+
+class DayPartitionedTable:
+    """A keyed Parquet table partitioned by UTC day; merges touch only their days.
+
+    ``merge`` reads just the days present in the batch (a semi-join on the
+    partition column, so dynamic partition pruning skips every other
+    file), merges, stages the merged days under ``<path>/_staging`` and
+    then overwrites exactly those day partitions of the table with
+    ``partitionOverwriteMode=dynamic``. The table path is never read and
+    overwritten by the same plan, and the work of a merge grows with the
+    days it touches, not with the table.
+
+    A merge that fails part-way is repaired by running it again: the
+    upsert is idempotent (applying a batch twice equals applying it once).
+    """
+
+    def __init__(self, spark: SparkSession, path: str, keys, ts_col: str = "timestamp",
+                 day_col: str = "day"):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.keys = list(keys)
+        self.ts_col = ts_col
+        self.day_col = day_col
+
+    def _with_day(self, df: DataFrame) -> DataFrame:
+        return df.withColumn(self.day_col, F.expr(f"`{self.ts_col}` div 86400000").cast("int"))
+
+    def read(self) -> DataFrame | None:
+        try:
+            return self.spark.read.parquet(self.path)
+        except AnalysisException:
+            return None
+
+    def merge(self, batch: DataFrame, policy: str = "update", order: str | None = None,
+              keep: str | None = None) -> None:
+        from tickroll.operators.joins import broadcast_if_small
+        keep = keep or ("last" if policy == "update" else "first")
+        b = self._with_day(batch)
+        current = self.read()
+        if current is None:
+            new = M.dedupe(b, self.keys, order, keep).drop(order) if order else b
+            new.write.mode("overwrite").partitionBy(self.day_col).parquet(self.path)
+            return
+        days = broadcast_if_small(b.select(self.day_col).distinct())
+        touched = current.join(days, self.day_col, "left_semi")
+        merged = M.upsert(touched, b, self.keys, policy, order=order, keep=keep)
+        staging = f"{self.path}/_staging"
+        merged.write.mode("overwrite").partitionBy(self.day_col).parquet(staging)
+        (self.spark.read.parquet(staging).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic")
+             .partitionBy(self.day_col).parquet(self.path))

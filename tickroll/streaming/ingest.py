@@ -1,10 +1,12 @@
 """Incremental candle ingest as a Structured Streaming job.
 
 Landed candle pages arrive as files; each micro-batch is upserted into the
-candle table (data first) and then advances the per-pair checkpoint table
-(checkpoint second), both as versions keyed by the batch id. A batch that
-is replayed after a failure rewrites the same versions from the same
-prior state, so the result is exactly-once. The stream's own progress
+day-partitioned candle table (data first, only the days it touches are
+rewritten) and then advances the per-pair checkpoint table (checkpoint
+second, a small versioned table keyed by the batch id). A batch replayed
+after a failure re-applies an idempotent upsert and rewrites the same
+checkpoint version from the same prior state, so the result is
+exactly-once. The stream's own progress
 lives in ``checkpoint_location`` on shared storage.
 """
 
@@ -15,19 +17,19 @@ from pyspark.sql import functions as F
 
 from tickroll.operators.candles import CANDLE_COLUMNS, CANDLE_KEYS
 from tickroll.operators.incremental import CHECKPOINT_KEYS, checkpoint_next
-from tickroll.sources.keyed_table import KeyedTable
+from tickroll.sources.keyed_table import DayPartitionedTable, KeyedTable
 from tickroll.sources.landed import candle_pages
 
 PAGE_SCHEMA = "symbol string, exchange string, page_seq long, payload string"
 CHECKPOINT_SCHEMA = "symbol string, exchange string, timeframe string, last_ts_ms long, updated_at string"
 
 
-def ingest_batch(spark: SparkSession, rows: DataFrame, candles: KeyedTable, checkpoints: KeyedTable,
+def ingest_batch(spark: SparkSession, rows: DataFrame, candles: DayPartitionedTable, checkpoints: KeyedTable,
                  version: int, timeframe: str = "3m", updated_at: str | None = None) -> None:
     """Upsert one batch of candle rows, then advance the checkpoints."""
     rows = rows.select(*CANDLE_COLUMNS).persist()
     try:
-        candles.merge(rows, "update", version=version)
+        candles.merge(rows, "update")
         old = checkpoints.read()
         if old is None:
             old = spark.createDataFrame([], CHECKPOINT_SCHEMA)
@@ -38,7 +40,7 @@ def ingest_batch(spark: SparkSession, rows: DataFrame, candles: KeyedTable, chec
         rows.unpersist()
 
 
-def run_ingest(spark: SparkSession, landing_dir: str, candles: KeyedTable, checkpoints: KeyedTable,
+def run_ingest(spark: SparkSession, landing_dir: str, candles: DayPartitionedTable, checkpoints: KeyedTable,
                checkpoint_location: str, timeframe: str = "3m", updated_at: str | None = None,
                max_files_per_trigger: int | None = None) -> None:
     """Process every landed page file not yet seen, then stop (availableNow)."""
@@ -58,8 +60,8 @@ def run_ingest(spark: SparkSession, landing_dir: str, candles: KeyedTable, check
     q.awaitTermination()
 
 
-def candle_table(spark: SparkSession, path: str) -> KeyedTable:
-    return KeyedTable(spark, path, CANDLE_KEYS)
+def candle_table(spark: SparkSession, path: str) -> DayPartitionedTable:
+    return DayPartitionedTable(spark, path, CANDLE_KEYS)
 
 
 def checkpoint_table(spark: SparkSession, path: str) -> KeyedTable:

@@ -4,8 +4,10 @@
 look-back) bounds the state, and ``window(event_time, interval)`` gives
 epoch-aligned buckets (7-day windows start on Thursday, like the batch
 rollup). Update mode emits every changed candle with its full aggregate,
-and ``foreachBatch`` upserts it into the keyed candle table, so the table
-converges to the batch rollup of everything not dropped as late.
+and ``foreachBatch`` upserts it into the day-partitioned candle table
+(rewriting only the touched days), so the table converges to the batch
+rollup of everything not dropped as late. Replays are harmless: the
+upsert is idempotent.
 
 Late data: a candle whose window ended before the watermark (max event
 time seen minus the delay) is dropped, like the scheduled original that
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tickroll.functions.timefn import INTERVAL_MINUTES, LOOKBACK_DAYS
 from tickroll.operators.candles import CANDLE_COLUMNS, exact_sum
-from tickroll.sources.keyed_table import KeyedTable
+from tickroll.sources.keyed_table import DayPartitionedTable
 
 CANDLE_SCHEMA = ("symbol string, exchange string, timestamp long, open double, high double, "
                  "low double, close double, volume double")
@@ -41,7 +43,7 @@ def windowed_rollup(stream: DataFrame, interval: str, delay: str | None = None)
                       "open", "high", "low", "close", "volume")
 
 
-def run_rollup(spark: SparkSession, source_dir: str, interval: str, table: KeyedTable,
+def run_rollup(spark: SparkSession, source_dir: str, interval: str, table: DayPartitionedTable,
                checkpoint_location: str, delay: str | None = None) -> None:
     """Roll up all candle files not yet seen (one availableNow run)."""
     stream = spark.readStream.schema(CANDLE_SCHEMA).parquet(source_dir)
@@ -50,7 +52,7 @@ def run_rollup(spark: SparkSession, source_dir: str, interval: str, table: Keyed
     def on_batch(df: DataFrame, batch_id: int) -> None:
         if df.isEmpty():        # no-data batch (watermark advance only)
             return
-        table.merge(df.select(*CANDLE_COLUMNS), "update", version=batch_id + 1)
+        table.merge(df.select(*CANDLE_COLUMNS), "update")
 
     q = (out.writeStream.outputMode("update").foreachBatch(on_batch)
             .option("checkpointLocation", checkpoint_location)

@@ -321,3 +321,26 @@ def test_day_partitioned_merge_rewrites_only_touched_days(spark):
     assert rows(t.read().select("k", "timestamp", "v"), "timestamp", "k") == [
         ("a", 19000 * day + 5, 1.0), ("a", 19001 * day + 5, 9.0), ("b", 19002 * day, 3.0)]
     assert sorted(glob.glob(local_path(base) + "/day=19000/*.parquet")) == files_day0
+
+
+def test_day_partitioned_recovers_half_done_copy(spark):
+    from tickroll.session import shared_dir
+    from tickroll.sources.keyed_table import DayPartitionedTable
+    t = DayPartitionedTable(spark, shared_dir(spark, "dpt-recover"), ["k", "timestamp"])
+    day = 86_400_000
+    t.merge(spark.createDataFrame([("a", 5 * day, 1.0)], "k string, timestamp long, v double"))
+    # simulate a merge that staged its days but died before the copy
+    staged = spark.createDataFrame([("a", 5 * day, 7.0)], "k string, timestamp long, v double")
+    t._with_day(staged).write.mode("overwrite").partitionBy("day").parquet(f"{t.path}/_staging")
+    t._marker("staged")
+    t.merge(spark.createDataFrame([("b", 6 * day, 2.0)], "k string, timestamp long, v double"))
+    assert rows(t.read().select("k", "v"), "k") == [("a", 7.0), ("b", 2.0)]
+
+
+def test_run_range_from_conf():
+    b = interval_ms("1h")
+    rr = RunRange.from_conf(b, "2024-01-10T00:00:00Z", 7, {"since": "2024-01-01T00:00:00Z",
+                                                           "end": "2024-01-02T00:00:00Z"})
+    assert (rr.start_ms, rr.end_ms) == (ms("2024-01-01 00:00:00"), ms("2024-01-02 00:00:00"))
+    rr = RunRange.from_conf(b, "2024-01-10T00:00:00Z", 7, {})
+    assert (rr.start_ms, rr.end_ms) == (ms("2024-01-03 00:00:00"), ms("2024-01-10 00:00:00"))

@@ -123,6 +123,14 @@ class RunRange:
             end = start + bucket_ms
         return cls(start, end)
 
+    @classmethod
+    def from_conf(cls, bucket_ms: int, run_time: str | datetime, lookback_days: int,
+                  conf: dict | None = None) -> "RunRange":
+        """Range from run arguments: ``since`` and ``until`` (or ``end``)."""
+        conf = conf or {}
+        return cls.resolve(bucket_ms, run_time, lookback_days, since=conf.get("since") or None,
+                           until=conf.get("until") or conf.get("end") or None)
+
     def slices(self, batch_days: int, bucket_ms: int) -> list[tuple[int, int]]:
         """Report slices; width rounded up to whole buckets (no cut candles)."""
         width = max(batch_days, 1) * DAY_MS

@@ -94,6 +94,10 @@ class DayPartitionedTable:
 
     A merge that fails part-way is repaired by running it again: the
     upsert is idempotent (applying a batch twice equals applying it once).
+    The copy from staging into the table is guarded by a marker: it says
+    'staged' until the copy has committed and 'done' after, and a merge
+    that finds 'staged' first repeats the copy (the dynamic overwrite of a
+    partition deletes the old files before moving the new ones in).
     """
 
     def __init__(self, spark: SparkSession, path: str, keys, ts_col: str = "timestamp",
@@ -113,10 +117,30 @@ class DayPartitionedTable:
         except AnalysisException:
             return None
 
+    def _marker(self, state: str) -> None:
+        (self.spark.range(1).select(F.lit(state).alias("state"))
+             .write.mode("overwrite").parquet(f"{self.path}/_merge_state"))
+
+    def _copy_staged(self) -> None:
+        (self.spark.read.parquet(f"{self.path}/_staging").write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic")
+             .partitionBy(self.day_col).parquet(self.path))
+        self._marker("done")
+
+    def recover(self) -> None:
+        """Finish a copy that a failed merge left half done."""
+        try:
+            state = self.spark.read.parquet(f"{self.path}/_merge_state").first()
+        except AnalysisException:
+            return
+        if state is not None and state["state"] == "staged":
+            self._copy_staged()
+
     def merge(self, batch: DataFrame, policy: str = "update", order: str | None = None,
               keep: str | None = None) -> None:
         from tickroll.operators.joins import broadcast_if_small
         keep = keep or ("last" if policy == "update" else "first")
+        self.recover()
         b = self._with_day(batch)
         current = self.read()
         if current is None:
@@ -126,8 +150,6 @@ class DayPartitionedTable:
         days = broadcast_if_small(b.select(self.day_col).distinct())
         touched = current.join(days, self.day_col, "left_semi")
         merged = M.upsert(touched, b, self.keys, policy, order=order, keep=keep)
-        staging = f"{self.path}/_staging"
-        merged.write.mode("overwrite").partitionBy(self.day_col).parquet(staging)
-        (self.spark.read.parquet(staging).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic")
-             .partitionBy(self.day_col).parquet(self.path))
+        merged.write.mode("overwrite").partitionBy(self.day_col).parquet(f"{self.path}/_staging")
+        self._marker("staged")
+        self._copy_staged()

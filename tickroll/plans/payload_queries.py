@@ -122,6 +122,17 @@ def q_fin_indicators(spark, sf_dir):
     return LD.load_fin_indicators(T.fin_payloads(spark, sf_dir), T.FIN_RATIOS)
 
 
+@query("fin_indicators_nothing", f"""
+WITH r AS (SELECT *, row_number() OVER (PARTITION BY l_suppkey, year(l_shipdate), quarter(l_shipdate)
+                                        ORDER BY l_orderkey * 10 + l_linenumber) AS rn FROM lineitem)
+SELECT 'S' || l_suppkey AS mack, CAST(quarter(l_shipdate) AS INTEGER) AS quy,
+       CAST(year(l_shipdate) AS INTEGER) AS nam, {_fin_sql_values(T.FIN_RATIOS)}
+FROM r WHERE rn = 1""")
+def q_fin_indicators_nothing(spark, sf_dir):
+    """The same load under the insert-if-absent policy (first record wins)."""
+    return LD.load_fin_indicators(T.fin_payloads(spark, sf_dir), T.FIN_RATIOS, policy="nothing")
+
+
 @query("fill_falsy_key", "SELECT l_orderkey * 10 + l_linenumber AS seq, 'S' || l_suppkey AS mack FROM lineitem")
 def q_fill_falsy_key(spark, sf_dir):
     recs = P.unwrap(parse_payloads(T.fin_payloads(spark, sf_dir)), "records", keep=["code", "seq"])

@@ -23,8 +23,7 @@ from tickroll.streaming import rollup as SR
 INGEST_CUTS_MS = [1704931200000, 1705795200000]   # 2024-01-11, 2024-01-21 (UTC)
 
 
-@query("stream_ingest", with_(C3) + f"\nSELECT {CANDLE_COLS} FROM c3")
-def q_stream_ingest(spark, sf_dir):
+def _run_stream_ingest(spark, sf_dir):
     base = shared_dir(spark, "stream-ingest")
     pages = T.landed_candle_pages(spark, sf_dir)
     candles, ckpts = SI.candle_table(spark, f"{base}/candles"), SI.checkpoint_table(spark, f"{base}/checkpoints")
@@ -39,9 +38,26 @@ def q_stream_ingest(spark, sf_dir):
         pages.where(cond).write.mode("append").parquet(f"{base}/landing")
         SI.run_ingest(spark, f"{base}/landing", candles, ckpts, f"{base}/_stream", "3m",
                       updated_at="2024-01-31 00:00:00")
+    return candles, ckpts
+
+
+@query("stream_ingest", with_(C3) + f"\nSELECT {CANDLE_COLS} FROM c3")
+def q_stream_ingest(spark, sf_dir):
+    """Pages land in three runs; each run upserts candles, then checkpoints."""
+    candles, _ = _run_stream_ingest(spark, sf_dir)
     return candles.read().select(*CANDLE_COLUMNS)
 
 
+@query("stream_checkpoints", with_(C3) + """
+SELECT symbol, exchange, '3m' AS timeframe, max(timestamp) AS last_ts_ms,
+       '2024-01-31 00:00:00' AS updated_at
+FROM c3 GROUP BY symbol, exchange""")
+def q_stream_checkpoints(spark, sf_dir):
+    """The checkpoint table the ingest stream advanced after each batch."""
+    _, ckpts = _run_stream_ingest(spark, sf_dir)
+    return ckpts.read().select("symbol", "exchange", "timeframe", "last_ts_ms", "updated_at")
+
+
 @query("stream_ohlcv_1h", with_(C3, rollup_cte("r", "c3", interval_ms("1h"))) + f"\nSELECT {CANDLE_COLS} FROM r")
 def q_stream_ohlcv_1h(spark, sf_dir):
     """3m candles land week by week (epoch weeks); each run rolls them up."""

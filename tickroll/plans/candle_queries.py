@@ -40,7 +40,7 @@ def q_bucket_floor(spark, sf_dir):
     return c3.select("symbol", "exchange", "timestamp",
                      *[bucket_floor("timestamp", interval_ms(n)).alias(f"bucket_{n}") for n in ROLLUP_INTERVALS],
                      # 0 = Sunday .. 6 = Saturday; 7-day buckets start on Thursday (4)
-                     (F.dayofweek(F.timestamp_millis(w)) - 1).alias("week_start_dow"))
+                     (F.dayofweek(F.timestamp_millis(w)) - 1).cast("long").alias("week_start_dow"))
 
 
 @query("candle_rank", with_(C3) + f"""
@@ -50,7 +50,8 @@ SELECT symbol, exchange, timestamp, timestamp - (timestamp % 3600000) AS bucket_
 FROM c3""")
 def q_candle_rank(spark, sf_dir):
     r = C.candle_rank(T.candles_3m(spark, sf_dir), interval_ms("1h"))
-    return r.select("symbol", "exchange", "timestamp", "bucket_ts", "rn_asc", "rn_desc")
+    return r.select("symbol", "exchange", "timestamp", "bucket_ts",
+                    F.col("rn_asc").cast("long"), F.col("rn_desc").cast("long"))
 
 
 @query("filtered_agg", with_(C3, rollup_cte("r", "c3", interval_ms("1h"))) + f"\nSELECT {CANDLE_COLS} FROM r")

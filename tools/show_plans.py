@@ -9,10 +9,11 @@ run would do: pushed filters, pruned columns, exchanges and join choices.
 
 from __future__ import annotations
 
+import contextlib
+import io
 import os
 import re
 import sys
-import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -22,21 +23,22 @@ from tickroll.functions.timefn import RunRange, interval_ms  # noqa: E402
 from tickroll.operators import candles as C  # noqa: E402
 from tickroll.operators import merge as M  # noqa: E402
 from tickroll.plans import loads as LD  # noqa: E402
-from tickroll.session import build_session  # noqa: E402
+from tickroll.session import build_session, shared_dir  # noqa: E402
 from tickroll.sources import testdata as T  # noqa: E402
 
 
 def plan_text(df) -> str:
-    text = df._jdf.queryExecution().explainString(
-        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
-    return re.sub(r"#\d+", "", text)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode="formatted")
+    return re.sub(r"#\d+", "", buf.getvalue())
 
 
 def main(sf_dir: str) -> None:
     spark = build_session("local[8]", shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
     spark.conf.set("spark.sql.adaptive.enabled", "false")     # the static plan
-    base = tempfile.mkdtemp(prefix="tickroll-plans-")
+    base = shared_dir(spark, "plans")
     T.candles_3m(spark, sf_dir).write.parquet(f"{base}/ohlcv_3m")
     T.orders_target(spark, sf_dir).write.parquet(f"{base}/orders_target")
     T.orders_batch(spark, sf_dir).write.parquet(f"{base}/orders_batch")

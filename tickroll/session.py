@@ -6,7 +6,6 @@ milliseconds are the stored time unit and zone-less text is read as UTC.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -57,14 +56,24 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     versioned tables live there. Only when it is unset (local tests) do we
     create a local folder and register it as the checkpoint directory.
     """
-    sc = spark.sparkContext
-    base = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
+    try:
+        sc = spark.sparkContext
+    except Exception:        # remote session: only the SQL conf is visible
+        sc = None
+    base = None
+    if sc is not None:
+        base = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
+        base = base or sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
-        base = sc.getConf().get("spark.checkpoint.dir", None)
+        try:
+            base = spark.conf.get("spark.checkpoint.dir", None)
+        except Exception:
+            base = None
     if not base:
         base = tempfile.mkdtemp(prefix="tickroll-ckpt-")
-        sc.setCheckpointDir(base)
-        base = sc.getCheckpointDir() or base
+        if sc is not None:
+            sc.setCheckpointDir(base)
+            base = sc.getCheckpointDir() or base
     base = base.rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
@@ -72,9 +81,3 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for code that must touch local paths."""
     return path[5:] if path.startswith("file:") else path
-
-
-def ensure_dir(path: str) -> str:
-    if not path.startswith(("hdfs:", "s3", "gs:", "abfs", "dbfs:")):
-        os.makedirs(local_path(path), exist_ok=True)
-    return path

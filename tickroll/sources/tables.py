@@ -27,8 +27,11 @@ def spread(df: DataFrame, *keys) -> DataFrame:
     single core. Large tables arrive in many splits and are left as they
     are: no shuffle is added where the scan is already parallel.
     """
-    n = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= n:
+    try:
+        n = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= n:
+            return df
+    except Exception:        # no RDD view of the plan (e.g. a remote session): leave it
         return df
     return df.repartition(n, *keys) if keys else df.repartition(n)
 

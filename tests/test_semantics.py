@@ -344,3 +344,18 @@ def test_run_range_from_conf():
     assert (rr.start_ms, rr.end_ms) == (ms("2024-01-01 00:00:00"), ms("2024-01-02 00:00:00"))
     rr = RunRange.from_conf(b, "2024-01-10T00:00:00Z", 7, {})
     assert (rr.start_ms, rr.end_ms) == (ms("2024-01-03 00:00:00"), ms("2024-01-10 00:00:00"))
+
+
+def test_rollup_prunes_day_partitions(spark):
+    from tickroll.session import shared_dir
+    from tickroll.sources.keyed_table import DayPartitionedTable
+    from tickroll.sources import testdata as T
+    from tests.conftest import SF
+    t = DayPartitionedTable(spark, shared_dir(spark, "dpt-prune"), C.CANDLE_KEYS)
+    t.merge(T.candles_3m(spark, SF))
+    rr = RunRange(ms("2024-01-05 00:00:00"), ms("2024-01-12 00:00:00"))
+    q = C.rollup(t.read(), interval_ms("1h"), rr)
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "day#" in plan
+    direct = C.rollup(T.candles_3m(spark, SF), interval_ms("1h"), rr)
+    assert q.exceptAll(direct).count() == 0 and direct.exceptAll(q).count() == 0

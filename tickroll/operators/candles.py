@@ -69,12 +69,18 @@ def rollup(candles: DataFrame, bucket_ms: int, run_range: RunRange | None = None
 
     The range filter is applied to the stored ``timestamp`` column before
     anything is derived from it, so it reaches the Parquet scan as a
-    pushed filter (and prunes date partitions when the table has them).
+    pushed filter; on a day-partitioned table (a ``day`` column, as written
+    by ``DayPartitionedTable``) the day range prunes partitions as well.
     """
     df = candles
     if run_range is not None:
         df = df.where((F.col("timestamp") >= F.lit(run_range.start_ms))
                       & (F.col("timestamp") < F.lit(run_range.end_ms)))
+        if "day" in candles.columns:
+            # day-partitioned tables: the same range on the partition column
+            # lets Spark skip whole day folders (PartitionFilters)
+            df = df.where(F.col("day").between(run_range.start_ms // DAY_MS,
+                                               (run_range.end_ms - 1) // DAY_MS))
     df = df.where(F.col("timestamp").isNotNull())
     out = (df.groupBy(*keys, bucket_floor("timestamp", bucket_ms).alias("timestamp"))
              .agg(F.min_by("open", F.col("timestamp")).alias("open"),

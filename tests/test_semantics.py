@@ -359,3 +359,20 @@ def test_rollup_prunes_day_partitions(spark):
     assert "PartitionFilters: [isnotnull(day" in plan and "day#" in plan
     direct = C.rollup(T.candles_3m(spark, SF), interval_ms("1h"), rr)
     assert q.exceptAll(direct).count() == 0 and direct.exceptAll(q).count() == 0
+
+
+def test_run_time_guards(spark):
+    from tickroll.plans import loads as LD
+    meta = spark.createDataFrame([(None, "a"), ("x", "")], "symbol string, available_exchange string")
+    with pytest.raises(M.EmptyInputError):
+        I.explode_pairs(meta, on_empty="error")
+    bad = spark.createDataFrame([("k", 1, "not json")], "request_key string, seq long, payload string")
+    with pytest.raises(RuntimeError):
+        LD.global_metrics_records(bad, on_error="fail")
+    err = spark.createDataFrame([("k", 1, '{"status":{"error_message":"quota"}}')],
+                                "request_key string, seq long, payload string")
+    with pytest.raises(RuntimeError):
+        LD.global_metrics_records(err, on_error="fail")
+    assert LD.global_metrics_records(err, on_error="skip").count() == 0
+    with pytest.raises(M.EmptyInputError):
+        LD.load_stock_list(spark.createDataFrame([("HOSE", 1, "[]")], "listing string, seq long, payload string"))

@@ -13,25 +13,30 @@ from pyspark.sql import functions as F
 from tickroll.functions.textfn import split_list
 from tickroll.functions.timefn import DAY_MS
 from tickroll.operators.joins import broadcast_if_small
-from tickroll.operators.merge import upsert_update
+from tickroll.operators.merge import check_empty, upsert_update
 
 PAIR_KEYS = ("symbol", "exchange")
 CHECKPOINT_KEYS = ("symbol", "exchange", "timeframe")
 
 
 def explode_pairs(meta: DataFrame, symbol_col: str = "symbol",
-                  list_col: str = "available_exchange", sep: str = ",") -> DataFrame:
+                  list_col: str = "available_exchange", sep: str = ",",
+                  on_empty: str | None = None) -> DataFrame:
     """Metadata rows with a comma list of exchanges -> distinct (SYMBOL, exchange).
 
     Rows with a NULL or empty list are skipped; items are stripped of all
     white space and empty items dropped; the symbol is upper-cased, the
     exchange kept as is. NULL symbols are dropped (see ``pair_rejects``).
+    ``on_empty='error'`` raises when no pair results (nothing to sync).
     """
     rows = meta.where(F.col(list_col).isNotNull() & (F.col(list_col) != "")
                       & F.col(symbol_col).isNotNull())
-    return (rows.select(F.upper(symbol_col).alias("symbol"),
-                        F.explode(split_list(list_col, sep)).alias("exchange"))
-                .dropDuplicates(["symbol", "exchange"]))
+    pairs = (rows.select(F.upper(symbol_col).alias("symbol"),
+                         F.explode(split_list(list_col, sep)).alias("exchange"))
+                 .dropDuplicates(["symbol", "exchange"]))
+    if on_empty:
+        check_empty(pairs, on_empty)
+    return pairs
 
 
 def pair_rejects(meta: DataFrame, symbol_col: str = "symbol",

@@ -186,6 +186,9 @@ def global_metrics_records(landed: DataFrame, on_error: str = "skip") -> DataFra
     quotes without a usable timestamp (NULL or epoch 0) are dropped."""
     docs = parse_payloads(landed)
     if on_error == "fail":
+        # the original aborts on a missing / unparsable payload and on an API error
+        if not docs.where(F.col("doc").isNull()).limit(1).isEmpty():
+            raise RuntimeError("payload is missing or not JSON")
         P.raise_on_errors(P.split_errors(docs)[1])
     recs = P.unwrap(docs, "path", keep=["seq"], path=("data", "quotes"), skip_errors="status")
     mapped = map_columns(recs, GLOBAL_METRICS_SPECS, keep=[record_order().alias("_seq")],

@@ -134,21 +134,20 @@ def rollup_by_rank(candles: DataFrame, bucket_ms: int, keys=("symbol", "exchange
                   exact_sum("volume").alias("volume")))
 
 
-def rollup_counts(spark, candles: DataFrame, interval: str, run_range: RunRange,
-                  batch_days: int | None = None) -> DataFrame:
-    """Candles written per report slice of one run, zero slices included.
+def slice_counts(spark, rolled: DataFrame, interval: str, run_range: RunRange,
+                 batch_days: int | None = None) -> DataFrame:
+    """Candles per report slice of a run, zero slices included.
 
-    The rollup itself runs over the whole range at once (a 7d candle is
-    never cut at a slice edge); slices are only a reporting unit whose
-    width is rounded up to whole buckets.
+    ``rolled`` holds the run's candles (its ``timestamp`` column). Slices
+    are only a reporting unit; their width is rounded up to whole buckets.
     """
     bms = interval_ms(interval)
     bd = BATCH_DAYS.get(interval, 1) if batch_days is None else batch_days
     slices = run_range.slices(bd, bms)
     width = slices[0][1] - slices[0][0] if slices else bms
-    res = rollup(candles, bms, run_range).select("timestamp")
-    counted = (res.groupBy(F.expr(f"(timestamp - {run_range.start_ms}) div {width}").alias("slice"))
-                  .agg(F.count(F.lit(1)).alias("candles")))
+    counted = (rolled.groupBy(F.expr(f"(timestamp - {run_range.start_ms}) div {width}").alias("slice"))
+                     .agg(F.count(F.lit(1)).alias("candles")))
+    # one row per slice on both sides (a few rows): safe to broadcast
     grid = spark.range(len(slices)).select(F.col("id").alias("slice"))
     return (grid.join(F.broadcast(counted), "slice", "left")
                 .select(F.lit(interval).alias("interval"),
@@ -156,3 +155,14 @@ def rollup_counts(spark, candles: DataFrame, interval: str, run_range: RunRange,
                         F.least(F.lit(run_range.start_ms) + (F.col("slice") + 1) * F.lit(width),
                                 F.lit(run_range.end_ms)).alias("slice_end"),
                         F.coalesce("candles", F.lit(0)).cast("long").alias("candles")))
+
+
+def rollup_counts(spark, candles: DataFrame, interval: str, run_range: RunRange,
+                  batch_days: int | None = None) -> DataFrame:
+    """Candles written per report slice of one run, zero slices included.
+
+    The rollup itself runs over the whole range at once (a 7d candle is
+    never cut at a slice edge).
+    """
+    rolled = rollup(candles, interval_ms(interval), run_range).select("timestamp")
+    return slice_counts(spark, rolled, interval, run_range, batch_days)

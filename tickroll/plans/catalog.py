@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tickroll.plans import candle_queries, ingest_queries, merge_queries, payload_queries, stream_queries  # noqa: F401
+from tickroll.plans import candle_queries, ingest_queries, merge_queries, payload_queries, stream_queries, job_queries  # noqa: F401
 from tickroll.plans.registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]

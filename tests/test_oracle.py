@@ -10,10 +10,19 @@ QUERIES = entry_mod.queries()
 ORACLES = entry_mod.oracle_sql()
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "date": "DATE"}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, duck, name):
     from tests.conftest import SF
-    got = QUERIES[name](spark, SF).toPandas()
+    df = QUERIES[name](spark, SF)
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    duck_types = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {ORACLES[name]}").fetchall()}
+    assert spark_types == duck_types
+    got = df.toPandas()
     want = duck.execute(ORACLES[name]).df()
     compare(got, want)
 

@@ -78,10 +78,11 @@ def assert_unique(batch: DataFrame, keys) -> None:
 
 
 def _align(df: DataFrame, columns, schema) -> DataFrame:
-    """Select ``columns`` in order, adding missing ones as typed NULLs."""
-    have = set(df.columns)
+    """Select ``columns`` in order with the target's types; missing ones as NULLs."""
+    have = {f.name: f.dataType for f in df.schema.fields}
     types = {f.name: f.dataType for f in schema.fields}
-    return df.select(*[F.col(c) if c in have else F.lit(None).cast(types[c]).alias(c)
+    return df.select(*[(F.col(c) if have[c] == types[c] else F.col(c).cast(types[c])).alias(c)
+                       if c in have else F.lit(None).cast(types[c]).alias(c)
                        for c in columns])
 
 

@@ -15,6 +15,7 @@ are the same.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -141,15 +142,20 @@ class DayPartitionedTable:
         from tickroll.operators.joins import broadcast_if_small
         keep = keep or ("last" if policy == "update" else "first")
         self.recover()
-        b = self._with_day(batch)
-        current = self.read()
-        if current is None:
-            new = M.dedupe(b, self.keys, order, keep).drop(order) if order else b
-            new.write.mode("overwrite").partitionBy(self.day_col).parquet(self.path)
-            return
-        days = broadcast_if_small(b.select(self.day_col).distinct())
-        touched = current.join(days, self.day_col, "left_semi")
-        merged = M.upsert(touched, b, self.keys, policy, order=order, keep=keep)
-        merged.write.mode("overwrite").partitionBy(self.day_col).parquet(f"{self.path}/_staging")
-        self._marker("staged")
-        self._copy_staged()
+        # the batch feeds the day list, the joins and the write: keep it for
+        # the duration of this (eager) merge; lost blocks are recomputed
+        b = self._with_day(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            current = self.read()
+            if current is None:
+                new = M.dedupe(b, self.keys, order, keep).drop(order) if order else b
+                new.write.mode("overwrite").partitionBy(self.day_col).parquet(self.path)
+                return
+            days = broadcast_if_small(b.select(self.day_col).distinct())
+            touched = current.join(days, self.day_col, "left_semi")
+            merged = M.upsert(touched, b, self.keys, policy, order=order, keep=keep)
+            merged.write.mode("overwrite").partitionBy(self.day_col).parquet(f"{self.path}/_staging")
+            self._marker("staged")
+            self._copy_staged()
+        finally:
+            b.unpersist()

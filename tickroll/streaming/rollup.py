@@ -50,9 +50,12 @@ def run_rollup(spark: SparkSession, source_dir: str, interval: str, table: DayPa
     out = windowed_rollup(stream, interval, delay)
 
     def on_batch(df: DataFrame, batch_id: int) -> None:
-        if df.isEmpty():        # no-data batch (watermark advance only)
-            return
-        table.merge(df.select(*CANDLE_COLUMNS), "update")
+        df = df.persist()       # used by the emptiness test and the merge
+        try:
+            if not df.isEmpty():    # empty: a no-data batch (watermark advance only)
+                table.merge(df.select(*CANDLE_COLUMNS), "update")
+        finally:
+            df.unpersist()
 
     q = (out.writeStream.outputMode("update").foreachBatch(on_batch)
             .option("checkpointLocation", checkpoint_location)

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickroll.functions.timefn import (BATCH_DAYS, DAY_MS, INTERVAL_MINUTES, MINUTE_MS,
+from tickroll.functions.timefn import (BATCH_DAYS, DAY_MS,
                                        RunRange, bucket_floor, interval_ms, ms_to_timestamp)
 
 CANDLE_KEYS = ("symbol", "exchange", "timestamp")

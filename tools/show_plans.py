@@ -17,7 +17,6 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from tickroll.functions.timefn import RunRange, interval_ms  # noqa: E402
 from tickroll.operators import candles as C  # noqa: E402

@@ -29,18 +29,26 @@ class KeyedTable:
         self.keys = list(keys)
         self.partition_by = list(partition_by or [])
 
-    def versions(self) -> list[int]:
+    def _commits(self) -> DataFrame | None:
         try:
-            rows = (self.spark.read.schema("version long").option("recursiveFileLookup", "true")
-                        .parquet(f"{self.path}/commits")
-                        .select("version").collect())
+            return (self.spark.read.schema("version long").option("recursiveFileLookup", "true")
+                        .parquet(f"{self.path}/commits"))
         except AnalysisException:
-            return []
-        return sorted({r["version"] for r in rows})
+            return None
 
-    def current(self) -> int | None:
-        v = self.versions()
-        return v[-1] if v else None
+    def versions(self) -> list[int]:
+        """All committed versions (for inspection; readers use ``current``)."""
+        c = self._commits()
+        return [] if c is None else sorted({r["version"] for r in c.select("version").collect()})
+
+    def current(self, before: int | None = None) -> int | None:
+        """Highest committed version (below ``before`` when given): one row."""
+        c = self._commits()
+        if c is None:
+            return None
+        if before is not None:
+            c = c.where(F.col("version") < F.lit(before))
+        return c.agg(F.max("version").alias("v")).first()["v"]
 
     def version_path(self, version: int) -> str:
         return f"{self.path}/v={version:012d}"
@@ -68,8 +76,8 @@ class KeyedTable:
         """Merge ``batch`` into the current version and commit the result."""
         if version is not None:
             # a replayed version merges into the version before it
-            prior = [v for v in self.versions() if v < version]
-            base = self.read(prior[-1]) if prior else None
+            prior = self.current(before=version)
+            base = self.read(prior) if prior is not None else None
         else:
             base = self.read()
         if base is None:

@@ -4,9 +4,18 @@ The driver tables hold no candles or payloads, so every registered query
 derives its input here with DataFrame operators over whole tables; the
 DuckDB oracles derive the same rows in SQL.
 
-* ticks:     events -> symbol = upper(event_type), exchange = 'x' || user_id % 3,
-             ts_us, tick_id = event_id, price = volume = value
-* 3m candles: rollup of ticks into 3-minute buckets
+* ticks         events: symbol = upper(event_type), exchange = 'x' || user_id % 3,
+                ts_us, tick_id = event_id, price = volume = value
+* 3m candles    ticks rolled up into 3-minute buckets
+* candle pages  3m candles as JSON pages, one per pair and UTC day
+* pair metadata messy exchange lists per event type; checkpoints from 3m candles
+* merge inputs  orders: stored table before 1999, batch from 1998 (+ a second
+                copy of 2000 onwards with a later _seq)
+* payloads      one landed payload per row, its envelope chosen by the row key:
+                customer (generic shapes, errors, bad JSON), events (global
+                metrics quotes, dirty numbers and timestamps), orders (global
+                EOD prices), lineitem (VN EOD prices, financial indicators),
+                supplier (basic info), customer by market segment (listings)
 """
 
 from __future__ import annotations

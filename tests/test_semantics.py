@@ -376,3 +376,17 @@ def test_run_time_guards(spark):
     assert LD.global_metrics_records(err, on_error="skip").count() == 0
     with pytest.raises(M.EmptyInputError):
         LD.load_stock_list(spark.createDataFrame([("HOSE", 1, "[]")], "listing string, seq long, payload string"))
+
+
+def test_cli_rollup_run(spark, capsys):
+    import json
+    from tickroll.__main__ import main
+    from tickroll.session import shared_dir
+    from tickroll.sources import testdata as T
+    from tests.conftest import SF
+    base = shared_dir(spark, "cli")
+    T.candles_3m(spark, SF).write.parquet(f"{base}/ohlcv_3m")
+    assert main(["rollup", "--interval", "1d", "--source", f"{base}/ohlcv_3m", "--target", f"{base}/ohlcv_1d",
+                 "--run-time", "2024-01-31T00:00:00Z"]) == 0
+    lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
+    assert len(lines) == 3 and sum(x["candles"] for x in lines) == spark.read.parquet(f"{base}/ohlcv_1d").count()

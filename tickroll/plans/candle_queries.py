@@ -109,3 +109,14 @@ def q_rollup_counts(spark, sf_dir):
         rr = RunRange.resolve(interval_ms(n), COUNTS_RUN, LOOKBACK_DAYS[n])
         outs.append(C.rollup_counts(spark, c3, n, rr))
     return reduce(DataFrame.unionByName, outs)
+
+
+@query("ohlcv_7d_cascade", with_(C3, rollup_cte("r", "c3", interval_ms("7d"))) + f"\nSELECT {CANDLE_COLS} FROM r")
+def q_ohlcv_7d_cascade(spark, sf_dir):
+    """7d candles built level by level (3m -> 15m -> 1h -> 4h -> 8h -> 1d -> 7d).
+
+    Each level reads only the previous one (a few rows per bucket), which is
+    how a deployment keeps the larger intervals cheap; exact volume sums
+    make it equal to the direct rollup.
+    """
+    return C.cascade(T.candles_3m(spark, sf_dir))["7d"].select(*C.CANDLE_COLUMNS)

@@ -390,3 +390,23 @@ def test_cli_rollup_run(spark, capsys):
                  "--run-time", "2024-01-31T00:00:00Z"]) == 0
     lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
     assert len(lines) == 3 and sum(x["candles"] for x in lines) == spark.read.parquet(f"{base}/ohlcv_1d").count()
+
+
+def test_hot_key_reduced_before_shuffle(spark):
+    """A key holding a third of the batch is combined map-side (partial aggregate
+    below the exchange), for both de-duplication and the rollup."""
+    n = 3000
+    batch = spark.range(n).select((F.col("id") + 1).alias("_seq"),
+                                  F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.col("id").cast("string")).alias("k"),
+                                  F.col("id").cast("double").alias("v"))
+    d = M.dedupe(batch, ["k"], "_seq", "last")
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_max_by") > plan.index("Exchange hashpartitioning")   # partial is below
+    assert d.where(F.col("k") == "HOT").first()["v"] == float(n - 3)
+    candles = spark.range(n).select(F.lit("HOT").alias("symbol"), F.lit("x").alias("exchange"),
+                                    (F.col("id") * 180000).alias("timestamp"), *[F.lit(1.0).alias(c) for c in
+                                    ("open", "high", "low", "close", "volume")])
+    r = C.rollup(candles, interval_ms("1d"))
+    plan = r._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_min_by") > plan.index("Exchange hashpartitioning")
+    assert r.count() == -(-n * 180000 // 86_400_000)

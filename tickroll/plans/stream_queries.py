@@ -35,9 +35,12 @@ def _run_stream_ingest(spark, sf_dir):
             cond = cond & (day >= F.lit(lo))
         if hi is not None:
             cond = cond & (day < F.lit(hi))
-        pages.where(cond).write.mode("append").parquet(f"{base}/landing")
+        # land each run as four files (by pair), like several fetchers
+        pages.where(cond).repartition(4, "symbol", "exchange").write.mode("append").parquet(f"{base}/landing")
+        # two files per micro-batch: page files of one run arrive in no
+        # particular time order, so a later batch may carry older candles
         SI.run_ingest(spark, f"{base}/landing", candles, ckpts, f"{base}/_stream", "3m",
-                      updated_at="2024-01-31 00:00:00")
+                      updated_at="2024-01-31 00:00:00", max_files_per_trigger=2)
     return candles, ckpts
 
 

@@ -120,3 +120,14 @@ def q_ohlcv_7d_cascade(spark, sf_dir):
     make it equal to the direct rollup.
     """
     return C.cascade(T.candles_3m(spark, sf_dir))["7d"].select(*C.CANDLE_COLUMNS)
+
+
+@query("candle_datetime", with_(C3, rollup_cte("r", "c3", interval_ms("1h"))) + """
+SELECT symbol, exchange, timestamp, strftime(make_timestamp(timestamp * 1000), '%Y-%m-%d %H:%M:%S') AS datetime
+FROM r""")
+def q_candle_datetime(spark, sf_dir):
+    """The stored ``datetime`` of each candle (epoch ms -> timestamp, UTC),
+    rendered as text for a zone-independent comparison."""
+    h = C.rollup(T.candles_3m(spark, sf_dir), interval_ms("1h"), with_datetime=True)
+    return h.select("symbol", "exchange", "timestamp",
+                    F.date_format("datetime", "yyyy-MM-dd HH:mm:ss").alias("datetime"))

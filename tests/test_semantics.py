@@ -410,3 +410,25 @@ def test_hot_key_reduced_before_shuffle(spark):
     plan = r._jdf.queryExecution().executedPlan().toString()
     assert plan.index("partial_min_by") > plan.index("Exchange hashpartitioning")
     assert r.count() == -(-n * 180000 // 86_400_000)
+
+
+def test_json_lines_landing_batch_and_stream(spark):
+    from tickroll.session import shared_dir
+    from tickroll.sources.landed import candle_pages, read_landed
+    from tickroll.streaming import ingest as SI
+    base = shared_dir(spark, "jsonl")
+    landed = spark.createDataFrame([("k1", 1, '{"data":[{"a":1},{"a":2}]}'), ("k2", 2, "oops")],
+                                   "request_key string, seq long, payload string")
+    landed.write.json(f"{base}/payloads")
+    docs = parse_payloads(read_landed(spark, f"{base}/payloads", "json"))
+    got = sorted(r[0] for r in P.unwrap(docs, "records", keep=["seq"]).select(J.get("rec", "a", "long")).collect())
+    assert got == [1, 2]
+    t0 = ms("2024-01-01 00:00:00")
+    pages = spark.createDataFrame([("BTC", "x", 0, f"[[{t0},1,2,0.5,1.5,10],[{t0 + 180000},1.5,3,1,2,5]]")],
+                                  "symbol string, exchange string, page_seq long, payload string")
+    pages.write.json(f"{base}/landing")
+    candles, ckpts = SI.candle_table(spark, f"{base}/candles"), SI.checkpoint_table(spark, f"{base}/ckpt")
+    SI.run_ingest(spark, f"{base}/landing", candles, ckpts, f"{base}/_stream", updated_at="t", fmt="json")
+    assert rows(candles.read().select(*C.CANDLE_COLUMNS), "timestamp") == rows(
+        candle_pages(pages).select(*C.CANDLE_COLUMNS), "timestamp")
+    assert rows(ckpts.read().select("symbol", "last_ts_ms")) == [("BTC", t0 + 180000)]

@@ -42,12 +42,15 @@ def ingest_batch(spark: SparkSession, rows: DataFrame, candles: DayPartitionedTa
 
 def run_ingest(spark: SparkSession, landing_dir: str, candles: DayPartitionedTable, checkpoints: KeyedTable,
                checkpoint_location: str, timeframe: str = "3m", updated_at: str | None = None,
-               max_files_per_trigger: int | None = None) -> None:
-    """Process every landed page file not yet seen, then stop (availableNow)."""
-    reader = spark.readStream.schema(PAGE_SCHEMA)
+               max_files_per_trigger: int | None = None, fmt: str = "parquet") -> None:
+    """Process every landed page file not yet seen, then stop (availableNow).
+
+    ``fmt`` is the landing format: 'parquet' or 'json' (JSON lines).
+    """
+    reader = spark.readStream.schema(PAGE_SCHEMA).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    rows = candle_pages(reader.parquet(landing_dir))
+    rows = candle_pages(reader.load(landing_dir))
 
     def on_batch(df: DataFrame, batch_id: int) -> None:
         if df.isEmpty():

@@ -432,3 +432,17 @@ def test_json_lines_landing_batch_and_stream(spark):
     assert rows(candles.read().select(*C.CANDLE_COLUMNS), "timestamp") == rows(
         candle_pages(pages).select(*C.CANDLE_COLUMNS), "timestamp")
     assert rows(ckpts.read().select("symbol", "last_ts_ms")) == [("BTC", t0 + 180000)]
+
+
+def test_cascade_plan_stays_linear(spark):
+    """No filter of a later level is pushed below earlier aggregates, where
+    nested bucket expressions would grow exponentially with the depth."""
+    from tickroll.sources import testdata as T
+    from tests.conftest import SF
+    lengths = []
+    for depth in (2, 4, 6):
+        levels = ("15m", "1h", "4h", "8h", "1d", "7d")[:depth]
+        df = C.cascade(T.candles_3m(spark, SF), levels)[levels[-1]]
+        lengths.append(len(df._jdf.queryExecution().optimizedPlan().toString()))
+    # each level adds a bounded amount of plan text
+    assert lengths[2] - lengths[1] < 2 * (lengths[1] - lengths[0]) + 2000

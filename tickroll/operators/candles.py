@@ -51,6 +51,7 @@ def ticks_to_candles(ticks: DataFrame, bucket_ms: int, *, ts_us: str = "ts_us",
                      tie: str | None = "tick_id", price: str = "price",
                      volume: str = "volume", keys=("symbol", "exchange")) -> DataFrame:
     """Raw ticks -> candles. Ties in time are broken by ``tie`` (ascending)."""
+    ticks = ticks.where(F.col(ts_us).isNotNull())
     order = tie_order(ts_us, tie) if tie else F.col(ts_us)
     bucket = F.expr(f"(`{ts_us}` - pmod(`{ts_us}`, {bucket_ms * 1000})) div 1000")
     t = ticks.select(*keys, bucket.alias("timestamp"),
@@ -64,13 +65,20 @@ def ticks_to_candles(ticks: DataFrame, bucket_ms: int, *, ts_us: str = "ts_us",
 
 
 def rollup(candles: DataFrame, bucket_ms: int, run_range: RunRange | None = None,
-           keys=("symbol", "exchange"), with_datetime: bool = False) -> DataFrame:
+           keys=("symbol", "exchange"), with_datetime: bool = False,
+           drop_null_ts: bool = True) -> DataFrame:
     """Roll candles up to ``bucket_ms`` buckets over ``[start, end)``.
 
     The range filter is applied to the stored ``timestamp`` column before
     anything is derived from it, so it reaches the Parquet scan as a
     pushed filter; on a day-partitioned table (a ``day`` column, as written
     by ``DayPartitionedTable``) the day range prunes partitions as well.
+
+    ``drop_null_ts=False`` is for inputs that are themselves rollup outputs
+    in the same plan: a filter on their ``timestamp`` would be pushed below
+    the previous aggregate as that level's bucket expression, and nested
+    over several levels it grows exponentially (``x - pmod(x, b)`` uses
+    ``x`` twice per level).
     """
     df = candles
     if run_range is not None:
@@ -81,7 +89,8 @@ def rollup(candles: DataFrame, bucket_ms: int, run_range: RunRange | None = None
             # lets Spark skip whole day folders (PartitionFilters)
             df = df.where(F.col("day").between(run_range.start_ms // DAY_MS,
                                                (run_range.end_ms - 1) // DAY_MS))
-    df = df.where(F.col("timestamp").isNotNull())
+    if drop_null_ts:
+        df = df.where(F.col("timestamp").isNotNull())
     out = (df.groupBy(*keys, bucket_floor("timestamp", bucket_ms).alias("timestamp"))
              .agg(F.min_by("open", F.col("timestamp")).alias("open"),
                   F.max("high").alias("high"),
@@ -105,8 +114,9 @@ def cascade(candles_3m: DataFrame, intervals=("15m", "1h", "4h", "8h", "1d", "7d
     sums are exact, so each result equals the direct rollup from 3m.
     """
     out, prev = {}, candles_3m
-    for name in intervals:
-        prev = rollup_interval(prev, name)
+    for i, name in enumerate(intervals):
+        # only the first level can meet NULL timestamps (see ``rollup``)
+        prev = rollup_interval(prev, name, drop_null_ts=(i == 0))
         out[name] = prev
     return out
 

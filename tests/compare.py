@@ -1,7 +1,5 @@
 """Order-insensitive comparison of a Spark result with a DuckDB result."""
 
-import math
-
 import pandas as pd
 
 
@@ -13,14 +11,10 @@ def _norm(v):
             return None
     except (TypeError, ValueError):
         pass
-    if isinstance(v, float):
-        if math.isinf(v):
-            return v
-        return round(v, 9)
     if hasattr(v, "item"):
         v = v.item()
-        if isinstance(v, float):
-            return round(v, 9)
+    if isinstance(v, float):
+        return v + 0.0          # exact; -0.0 and 0.0 compare equal
     if isinstance(v, bool):
         return int(v)
     return v

@@ -127,8 +127,9 @@ def unwrap(docs: DataFrame, mode: str = "records", doc_col: str = "doc", keep=No
     return rows.where(ok)
 
 
-def object_counts(docs: DataFrame, mode: str = "array", doc_col: str = "doc", keep=None) -> DataFrame:
-    """Per array payload: elements seen and object elements kept."""
+def object_counts(docs: DataFrame, doc_col: str = "doc", keep=None) -> DataFrame:
+    """Per array payload (``data`` array or array document, errors skipped):
+    elements seen, object elements kept and elements dropped."""
     keep = [c for c in (keep if keep is not None else docs.columns) if c != doc_col]
     s1 = docs.select(*keep, F.col(doc_col).alias("_doc"), J.get(doc_col, "data").alias("_data"),
                      message_code_error(doc_col).alias("_err"))

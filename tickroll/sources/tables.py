@@ -50,10 +50,3 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns=None,
 def scan_codes(table: DataFrame, code_column: str = "code") -> DataFrame:
     """All codes of a table (one column, no de-duplication)."""
     return table.select(F.col(code_column).alias("code"))
-
-
-def scan_active_dim(table: DataFrame, id_col: str = "id", ticker_col: str = "ticker",
-                    active_col: str = "is_active", only_active: bool = True) -> DataFrame:
-    """Dimension rows (company_id, ticker), active ones only when asked."""
-    df = table.where(F.col(active_col)) if only_active else table
-    return df.select(F.col(id_col).alias("company_id"), F.col(ticker_col).alias("ticker"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tickroll.llm import bpe, decontamination, minhash, token_files
+from tickroll.llm import bpe, chat, decontamination, minhash, quality, secrets, spans, token_files, toxicity, url_filter
 from tickroll.llm.common import table
 
 QUERIES: dict[str, Callable] = {}
@@ -19,6 +19,13 @@ def _query(fn):
     return fn
 
 
+@_query
+def op1_secrets(spark, sf_dir):
+    """Secrets of the documents, judged by how many sources own each value."""
+    scanned = secrets.scan(table(spark, sf_dir, "documents"))
+    return secrets.report(scanned, secrets.judged_spans(scanned))
+
+
 @_query
 def op2_decontamination(spark, sf_dir):
     """Benchmark windows found in the documents through the positional index."""
@@ -34,6 +41,12 @@ def op3_minhash(spark, sf_dir):
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+@_query
+def op4_toxicity(spark, sf_dir):
+    """Toxicity of every document by the classifier chain fitted on the labels."""
+    return toxicity.detect_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), toxicity.label_categories())
+
+
 @_query
 def op5_token_files(spark, sf_dir):
     """Token ids written with the shared dictionary and read back."""
@@ -50,3 +63,32 @@ def op6_bpe(spark, sf_dir):
         "doc_id", F.when(F.col("ids_text") == "", F.lit(0)).otherwise(
             F.length("ids_text") - F.length(F.replace("ids_text", F.lit(","))) + 1).cast("long").alias("n_tokens"),
         F.sha2("ids_text", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@_query
+def op7_quality(spark, sf_dir):
+    """Quality measures and verdict of every document."""
+    return quality.judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        F.concat_ws(",", "failed_rules").alias("failed_rules"))
+
+
+@_query
+def op8_spans(spark, sf_dir):
+    """The documents without sentences that repeat an earlier span of sentences."""
+    return spans.dedup_spans(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op9_chat(spark, sf_dir):
+    """The conversations, and one that tries to say control strings, packed as a prefix tree and read back."""
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.read_back(*chat.pack(turns))
+
+
+@_query
+def op10_url_filter(spark, sf_dir):
+    """Verdict of every page url: list rules, else rules mined from the labels."""
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))

@@ -147,3 +147,22 @@ def url_rule(url):
         return host, path, None, None
     h, p, v = max(fits, key=lambda r: len(r[0] + r[1]))
     return host, path, h + p, v
+
+
+def quality_kept(text, rules, stop_words):
+    """The verdict of the threshold table on one text."""
+    text = text or ""
+    n, chars, symbols, dup_lines, _, failed = quality(text)
+    if failed:
+        return False
+    w = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    stop = {x for words in stop_words.values() for x in words}
+    values = {
+        "n_words": n, "mean_word_chars": chars / n, "symbol_ratio": symbols / n, "dup_line_ratio": dup_lines / len(lines),
+        "stop_ratio": sum(x.lower() in stop for x in w) / n,
+        "shout_ratio": sum(len(x) > 1 and x == x.upper() and x != x.lower() for x in w) / n,
+        "ellipsis_line_ratio": sum(x.rstrip(" ").endswith(("...", "…")) for x in lines) / len(lines),
+        "bullet_line_ratio": sum(x.lstrip(" ").startswith(("- ", "* ", "• ")) for x in lines) / len(lines)}
+    return not any(n >= r.from_words and ((r.least is not None and values[r.measure] < r.least)
+                                          or (r.most is not None and values[r.measure] > r.most)) for r in rules)

@@ -27,8 +27,10 @@ token strings are ordinary text.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -53,6 +55,11 @@ class PrefixBpe:
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks), default=1)
         self._valid: dict[tuple[int, int], bool] = {}
+        # finds all tokens that end at a byte, the longest first
+        self._ends = ahocorasick.Automaton()
+        for token, rank in ranks.items():
+            self._ends.add_word(token.decode("latin-1"), (len(token), rank))
+        self._ends.make_automaton()
 
     def merged(self, piece: bytes) -> list[int]:
         """The encoding by definition: merge the lowest-ranked pair until none is left."""
@@ -84,15 +91,22 @@ class PrefixBpe:
         ``last[n]`` is the token that ends the encoding of ``data[:n]``;
         ``last[0]`` is -1. Appending costs only the new bytes.
         """
-        ranks, pair = self.ranks, self._pair
-        for end in range(len(last), (len(data) if stop is None else stop) + 1):
-            for start in range(max(0, end - self.longest), end):
-                token = ranks.get(data[start:end])
-                if token is not None and pair(last[start], token):
-                    last.append(token)
-                    break
-            else:
+        stop = len(data) if stop is None else stop
+        done, valid = len(last), self._valid
+        low = max(0, done - self.longest)
+        for at, (size, token) in self._ends.iter(data[low:stop].decode("latin-1")):
+            end = low + at + 1
+            if end < done:
+                continue
+            if end > done:
                 raise ValueError("the vocabulary lacks a byte")
+            left = last[end - size]
+            fits = valid.get((left, token))
+            if self._pair(left, token) if fits is None else fits:
+                last.append(token)
+                done += 1
+        if done <= stop:
+            raise ValueError("the vocabulary lacks a byte")
         return last
 
     def walk(self, last: list[int]) -> list[int]:
@@ -111,11 +125,11 @@ class PrefixBpe:
         agree with the old ones, all later ones do, and are taken over.
         """
         data, shift = old[:start] + new + old[stop:], len(new) - (stop - start)
-        now, agree = last[:start + 1], 0
-        for end in range(start + 1, len(data) + 1):
-            self.extend(data, now, end)
-            agree = agree + 1 if end > start + len(new) and now[end] == last[end - shift] else 0
-            if agree >= self.longest:
+        now, behind = last[:start + 1], start + len(new)
+        while len(now) <= len(data):
+            self.extend(data, now, min(len(data), len(now) + self.longest))
+            end = len(now) - 1
+            if end - self.longest >= behind and now[-self.longest:] == last[end - shift + 1 - self.longest:end - shift + 1]:
                 return data, now + last[end - shift + 1:]
         return data, now
 
@@ -204,6 +218,20 @@ class OpenText:
         self.text, self.pieces, self._last = text, pieces + self.pieces[rest:], lasts + self._last[rest:]
 
 
+_WORKER: dict[tuple, ChunkCache] = {}
+
+
+def _task_cache(ranks: dict[bytes, int], pattern: str) -> ChunkCache:
+    """The worker's chunk cache for a vocabulary; a worker process keeps it from task to task."""
+    key = (len(ranks), hash(frozenset(ranks.items())), pattern)
+    if key not in _WORKER:
+        encoder = TextBpe(ranks, pattern)
+        _WORKER.clear()
+        _WORKER[key] = ChunkCache(lambda parts, spaced: [
+            array("i", encoder.encode(" " + part if spaced else part)).tobytes() for part in parts])
+    return _WORKER[key]
+
+
 def encode_texts(docs: DataFrame, ranks: dict[bytes, int], pattern: str, doc_id: str = "doc_id",
                  text: str = "text") -> DataFrame:
     """``(doc_id, ids)`` for every row: the ids of its whole text."""
@@ -211,23 +239,9 @@ def encode_texts(docs: DataFrame, ranks: dict[bytes, int], pattern: str, doc_id:
     shared = docs.sparkSession.sparkContext.broadcast(ranks)  # a vocabulary: its size is fixed
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TextBpe(shared.value, pattern)
-        pieces: dict[str, bytes] = {}
-
-        def chunk(part: str) -> bytes:
-            out = []
-            for piece in encoder.pattern.findall(part):
-                known = pieces.get(piece)
-                if known is None:
-                    if len(pieces) > 400_000:
-                        pieces.clear()
-                    known = pieces[piece] = np.array(encoder.bpe.encode(piece.encode("utf-8")), np.int32).tobytes()
-                out.append(known)
-            return b"".join(out)
-
-        cache = ChunkCache(chunk)
+        cache = _task_cache(shared.value, pattern)
         for batch in text_batches(batches, "t"):
-            found = [b"".join(cache.encoded(t)) for t in batch.column("t").to_pylist()]
+            found = cache.encoded(batch.column("t").to_pylist())
             ends = np.cumsum([0, *[len(f) // 4 for f in found]], dtype=np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(found), np.int32)))
             yield pa.RecordBatch.from_arrays([batch.column("d"), ids], names=["doc_id", "ids"])

@@ -1,18 +1,22 @@
 """Cut texts into chunks that byte-level BPE tokenizers encode independently.
 
 The pre-tokenizer pattern of the GPT-2 family never joins what stands on the
-two sides of a single space between two non-space characters; the space
-belongs to the piece after it. So a text may be cut in front of every such
-space, and the ids of the chunks laid end to end are the ids of the text.
-Words repeat, so each task encodes a chunk once and looks it up afterwards.
+two sides of a single white-space character between two other characters: a
+space belongs to the piece after it, a line break is a piece of its own. Nor
+does it join a letter and a full stop or comma after it. Texts may be cut
+there, and the ids of the chunks laid end to end are the ids of the text.
+Words repeat, so a task encodes a chunk once and looks it up afterwards.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 # A space between two characters that no definition calls white space.
 CUT = re.compile(r"(?<=\S) (?=\S)")
+# Marks that the pattern separates from a letter before them.
+MARKS = frozenset(".,;:!?")
 
 
 def odd(part: str) -> bool:
@@ -20,30 +24,82 @@ def odd(part: str) -> bool:
     return not part or part[0].isspace() or part[-1].isspace()
 
 
-class ChunkCache(dict):
-    """Encoded chunks, keyed by the text after the chunk's space; None where a cut is not allowed.
+def chunks(part: str) -> list[str]:
+    """The chunks of a part that follows no space and has no white space at its ends."""
+    if "\n" in part:
+        lines = part.split("\n")
+        if any(map(odd, lines)):
+            return [part]
+        out = []
+        for line in lines:
+            out += ["\n", *chunks(line)] if out else chunks(line)
+        return out
+    if len(part) > 1 and part[-1] in MARKS and part[-2].isalpha():
+        return [part[:-1], part[-1]]
+    return [part]
 
-    ``encode(chunk)`` makes a chunk's value. Beyond ``limit`` entries the
-    cache starts anew, so its size is bounded.
+
+class ChunkCache:
+    """Encodes texts by their chunks.
+
+    ``encode(chunks, spaced)`` gets many new chunks at a time (``spaced``: each
+    has a space before it) and returns their values (bytes). Beyond ``limit``
+    entries a cache starts anew, so its size is bounded.
     """
 
-    def __init__(self, encode, limit: int = 400_000):
-        super().__init__()
+    def __init__(self, encode: Callable[[list[str], bool], list[bytes]], limit: int = 800_000):
         self._encode, self._limit = encode, limit
+        self._spaced: dict[str, bytes | None] = {}   # by what follows a space; None where a cut is not allowed
+        self._bare: dict[str, bytes] = {}
+
+    def _learn(self, parts: set[str], heads: set[str]) -> list[str]:
+        """Add new parts (after a space) and heads of texts; returns those hardly ever met again."""
+        spaced, bare = self._spaced, self._bare
+        simple, after, compound, once = set(), set(), {}, []
+        for part in parts:
+            if part.isalnum():
+                simple.add(part)
+            elif odd(part):
+                spaced[part] = None
+            else:
+                head, *rest = compound[part] = chunks(part)
+                simple.add(head)
+                after.update(rest)
+                if len(rest) > 1:       # several lines
+                    once.append(part)
+        for head in heads:
+            after.update([head] if odd(head) else chunks(head))
+        new = [part for part in simple if part not in spaced]
+        spaced.update(zip(new, self._encode(new, True)))
+        new = [part for part in after if part not in bare]
+        bare.update(zip(new, self._encode(new, False)))
+        for part, (head, *rest) in compound.items():
+            if rest:
+                spaced[part] = b"".join([spaced[head], *[bare[c] for c in rest]])
+        return once
 
-    def __missing__(self, part: str):
-        value = self[part] = None if odd(part) else self._encode(" " + part)
-        return value
-
-    def encoded(self, text: str) -> list:
-        """The values of the text's chunks in order."""
-        if not text:
-            return []
-        if len(self) > self._limit:
-            self.clear()
-        head, *rest = text.split(" ")
-        values = list(map(self.__getitem__, rest))
-        if (rest and odd(head)) or None in values:
-            head, *rest = CUT.split(text)
-            return [self._encode(head), *[self._encode(" " + part) for part in rest]]
-        return [self._encode(head), *values]
+    def encoded(self, texts: list[str]) -> list[bytes]:
+        """The value of each text."""
+        spaced, bare = self._spaced, self._bare
+        for known in (spaced, bare):
+            if len(known) > self._limit:
+                known.clear()
+        rows = [text.split(" ") for text in texts]
+        heads = {row[0] for row in rows}
+        for row in rows:
+            del row[0]
+        once = self._learn(set().union(*rows).difference(spaced), {h for h in heads if h})
+        out = []
+        for text, row in zip(texts, rows):
+            head = text.partition(" ")[0]
+            try:
+                if row and odd(head):
+                    raise TypeError
+                first = b"".join([bare[c] for c in ([head] if odd(head) else chunks(head))]) if head else b""
+                out.append(first + b"".join(map(spaced.__getitem__, row)))
+            except TypeError:           # a None: cut only where it is allowed
+                first, *rest = CUT.split(text)
+                out.append(b"".join(self._encode([first], False) + self._encode(rest, True)))
+        for part in once:
+            del spaced[part]
+        return out

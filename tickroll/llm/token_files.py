@@ -38,7 +38,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickroll.llm.chunks import CUT, odd
+from tickroll.llm.chunks import ChunkCache
 from tickroll.llm.common import small_batches, text_batches, whole_text
 from tickroll.session import shared_dir
 
@@ -46,7 +46,6 @@ SAMPLE_DOCS = 2_000
 SAMPLE_BYTES = 8 << 20
 DICTIONARY_BYTES = 64 << 10
 BLOCK_BYTES = 1 << 20
-CACHE_CHUNKS = 400_000
 LEVEL = 3
 
 BLOCKS = ("shard int, block int, before long, first_doc long, last_doc long, doc_ids array<long>, ends array<long>, "
@@ -56,35 +55,45 @@ BLOCKS = ("shard int, block int, before long, first_doc long, last_doc long, doc
 class CachedTokenizer:
     """A ``tokenizers`` tokenizer that encodes each distinct chunk of the texts once."""
 
-    def __init__(self, definition: str, width: int, end_id: int | None):
+    def __init__(self, definition: str, width: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_str(definition)
         self._type = np.dtype(f"<u{width}")
-        self._end = b"" if end_id is None else np.array([end_id], self._type).tobytes()
-        self._known: dict[str, bytes | None] = {}
-
-    def _encode(self, parts: list[str]) -> list[bytes]:
-        encoded = self._tokenizer.encode_batch(parts, add_special_tokens=False)
-        return [np.array(e.ids, self._type).tobytes() for e in encoded]
+        self._cache = ChunkCache(self._chunks)
+
+    def _chunks(self, parts: list[str], spaced: bool) -> list[bytes]:
+        """Ids of chunks. Those after a space are encoded as one text, and told apart by their places in it."""
+        if not spaced:
+            return [np.array(e.ids, self._type).tobytes() for e in self._tokenizer.encode_batch(parts, add_special_tokens=False)]
+        out: list[bytes] = []
+        for first in range(0, len(parts), 2000):
+            some = parts[first:first + 2000]
+            encoded = self._tokenizer.encode(" " + " ".join(some), add_special_tokens=False)
+            begins = np.cumsum([1 + len(p) for p in some])
+            # a token's place may leave out its space, but never leaves its chunk
+            starts = np.fromiter((a for a, _ in encoded.offsets), np.int64, len(encoded.ids))
+            cuts = (np.searchsorted(starts, begins, "left") * self._type.itemsize).tolist()
+            ids = np.array(encoded.ids, self._type).tobytes()
+            out += [ids[a:b] for a, b in zip([0, *cuts], cuts)]
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Serialized ids of each text, the end id last."""
-        known = self._known
-        if len(known) > CACHE_CHUNKS:
-            known.clear()
-        split = []
-        for text in texts:
-            head, *rest = text.split(" ")
-            if (rest and odd(head)) or any(map(odd, rest)):
-                head, *rest = CUT.split(text)
-            split.append((head, rest))
-        new = {part for _, rest in split for part in rest if part not in known}
-        for part, ids in zip(new, self._encode([" " + part for part in new])):
-            known[part] = ids
-        heads = self._encode([head for head, _ in split])
-        return [b"".join([h, *map(known.__getitem__, rest), self._end]) for h, (_, rest) in zip(heads, split)]
+        """Serialized ids of each text."""
+        return self._cache.encoded(texts)
+
+
+_WORKER: dict[tuple, CachedTokenizer] = {}
+
+
+def _task_tokenizer(definition: str, width: int) -> CachedTokenizer:
+    """The worker's tokenizer; a worker process keeps it, and its cache, from task to task."""
+    key = (hash(definition), width)
+    if key not in _WORKER:
+        _WORKER.clear()
+        _WORKER[key] = CachedTokenizer(definition, width)
+    return _WORKER[key]
 
 
 def _train(samples: list[bytes]) -> zstandard.ZstdCompressionDict | None:
@@ -118,7 +127,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, end_id: int, width: int =
     rows = docs.select(F.col(doc_id).cast("long").alias("d"), whole_text(text).alias("t"))
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = CachedTokenizer(definition.value, width, end_id)
+        tokenizer = _task_tokenizer(definition.value, width)
         for batch in text_batches(batches, "t"):
             yield pa.RecordBatch.from_arrays([pa.array(tokenizer.encode(batch.column("t").to_pylist()), pa.binary())], names=["ids"])
 
@@ -144,11 +153,11 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, end_id: int, width: int =
     bounds = np.array(cuts or [], np.int64)[:shards - 1]
 
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = CachedTokenizer(definition.value, width, end_id)
+        tokenizer, end = _task_tokenizer(definition.value, width), np.array([end_id], f"<u{width}").tobytes()
         shared = {"dict_data": zstandard.ZstdCompressionDict(raw, dict_type=kind)} if raw else {}
         packer = zstandard.ZstdCompressor(level=LEVEL, **shared)
         for batch in text_batches(batches, "t"):
-            ids = tokenizer.encode(batch.column("t").to_pylist())
+            ids = [x + end for x in tokenizer.encode(batch.column("t").to_pylist())]
             keys = batch.column("d").fill_null(-2**63).to_numpy()
             ties = batch.column("k").to_numpy()
             # an id that fills several ranges is spread over them by its rows' text hashes

@@ -80,7 +80,7 @@ def test_sentences_cover_the_text():
         text = "".join(rnd.choice(["a", "bc", " ", "  ", ".", "! ", "?\"", "\n", "。", "é ", ") "]) for _ in range(rnd.randrange(80)))
         parts = spans.sentences(text)
         assert "".join(text[a:b] for a, b, _ in parts) == text
-        assert [w for *_, ws in parts for w in ws] == text.lower().split()
+        assert "".join(w for *_, ws in parts for w in ws) == "".join(text.lower().split())
         assert all(len(ws) <= spans.MAX_WORDS for *_, ws in parts)
 
 

@@ -1,26 +1,29 @@
 """Substring dedup (operator 8): sliding spans of sentences.
 
-Texts are cut into sentences (a very long sentence is cut further, so a
-passage without full stops is seen too). From every sentence on, the shortest
-run of at least ``MIN_SENTENCES`` sentences with at least ``MIN_WORDS`` words
-is one span, hashed over its words. Which spans a passage yields depends on
-its own words only, so a passage repeated elsewhere yields the same spans.
-All spans are joined globally by hash; the first occurrence (least document,
-then place) stays, and the sentences under every later one are removed.
+Texts are cut into sentences. A sentence of fewer than ``SHORT`` words joins
+the next one, and a very long one is cut further, so a passage without full
+stops is seen too. From every sentence on, the shortest run of at least
+``MIN_SENTENCES`` sentences with at least ``MIN_WORDS`` words is one span,
+hashed over its words. Borders and spans depend on the words around them
+only, so a passage repeated elsewhere yields the same spans. All spans are
+joined globally by hash; the first occurrence (least document, then place)
+stays, and the sentences under every later one are removed.
 
 Texts travel twice only: once to be cut, where only hashes and places leave
 the task, and once to meet their own removal list.
 
 Defined cases: NULL text is read as empty and stays NULL; texts shorter than
 a span keep all sentences; within one text the later repetition is removed
-too; rows with equal id and text are one document and fare alike; a NULL id
-comes after all others; columns of the same names are ignored; an empty
-table gives no rows.
+too; rows with equal id and text are one document and fare alike; rows that
+share an id but not the text are ordered by a hash of it; a NULL id comes
+after all others; columns of the same names are ignored; an empty table gives
+no rows.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -33,19 +36,30 @@ from tickroll.llm.common import small_batches, stage, text_batches
 MIN_SENTENCES = 2
 MIN_WORDS = 20
 MAX_WORDS = 16    # words after which a sentence is cut
+SHORT = 4         # words below which a sentence joins the next
 
 # Sentences end after . ! ? (and their wide forms) in front of white space, or at a line's end.
 _END = re.compile(r"(?<=[.!?])(?:[\"')\]]*)\s+|\n\s*|(?<=[。！？])\s*")
 _WORD = re.compile(r"\S+")
 
 
+def _closes(words: list[str]) -> bool:
+    """Whether a short sentence ends a unit all the same: by its own words, so that runs of short ones have borders too."""
+    return bool(words) and zlib.crc32(" ".join(words).lower().encode()) % 4 == 0
+
+
 def sentences(text: str) -> list[tuple[int, int, list[str]]]:
     """(start, end, lower-cased words) of each sentence; text between two sentences belongs to the first."""
-    borders = [0, *[m.end() for m in _END.finditer(text)], len(text)]
-    out = []
-    for a, b in zip(borders, borders[1:]):
+    out, begin, last, held = [], 0, 0, []
+    for border in [*[m.end() for m in _END.finditer(text)], len(text)]:
+        said = text[last:border].split()
+        last = border
+        held += said
+        if border < len(text) and len(said) < SHORT and not _closes(said):
+            continue
+        a, b, words = begin, border, held
+        begin, held = border, []
         part = text[a:b]
-        words = part.split()
         if not words:
             if out:
                 out[-1] = (out[-1][0], b, out[-1][2])
@@ -55,9 +69,8 @@ def sentences(text: str) -> list[tuple[int, int, list[str]]]:
         if len(words) <= MAX_WORDS:
             out.append((a, b, words))
             continue
-        starts = [m.start() for m in _WORD.finditer(part)][::MAX_WORDS]
-        cuts = [a, *[a + s for s in starts[1:]], b]
-        out += [(x, y, words[k * MAX_WORDS:(k + 1) * MAX_WORDS]) for k, (x, y) in enumerate(zip(cuts, cuts[1:]))]
+        cuts = [a, *[a + m.start() for m in list(_WORD.finditer(part))[MAX_WORDS::MAX_WORDS]], b]
+        out += [(x, y, text[x:y].split()) for x, y in zip(cuts, cuts[1:])]
     return [(a, b, [w.lower() for w in words]) for a, b, words in out]
 
 
@@ -79,35 +92,44 @@ def span_hashes(parts: list[tuple[int, int, list[str]]]) -> Iterator[tuple[int,
 
 
 def spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every span: its hash (two longs), document (id, text_key) and sentence range; written once."""
+    """Every span: its hash (two longs), document (id, text_key), sentence range, and whether the text has had it before; written once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         low = (1 << 64) - 1
         for batch in text_batches(batches, "t"):
             ids, keys = batch.column("d").to_pylist(), batch.column("k").to_pylist()
-            out: list[list] = [[] for _ in range(6)]
+            out: list[list] = [[] for _ in range(7)]
             for doc, key, value in zip(ids, keys, batch.column("t").to_pylist()):
+                seen: set[int] = set()
                 for h, first, end in span_hashes(sentences(value)) if value else ():
-                    for column, x in zip(out, (h & low, h >> 64, doc, key, first, end)):
+                    for column, x in zip(out, (h & low, h >> 64, doc, key, first, end, h in seen)):
                         column.append(x)
+                    seen.add(h)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[0], pa.uint64()).view(pa.int64()), pa.array(out[1], pa.uint64()).view(pa.int64()),
                  pa.array(out[2], pa.int64()), pa.array(out[3], pa.int64()), pa.array(out[4], pa.int32()),
-                 pa.array(out[5], pa.int32())], names=["h1", "h2", "doc", "text_key", "first", "end"])
+                 pa.array(out[5], pa.int32()), pa.array(out[6], pa.bool_())],
+                names=["h1", "h2", "doc", "text_key", "first", "end", "again"])
 
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("d"), F.col(text).cast("string").alias("t"))
     return stage(rows.withColumn("k", F.xxhash64("t")).mapInArrow(
-        run, "h1 long, h2 long, doc long, text_key long, first int, end int"), "sentence-spans")
+        run, "h1 long, h2 long, doc long, text_key long, first int, end int, again boolean"), "sentence-spans")
 
 
 def removals(found: DataFrame) -> DataFrame:
     """Per document (doc, text_key): the sentence ranges of its repeated, non-first spans."""
-    place = F.struct(F.col("doc").isNull().alias("no_id"), F.col("doc"), F.col("text_key"), F.col("first"))
-    firsts = (found.groupBy("h1", "h2").agg(F.min(place).alias("keeper"), F.max(place).alias("_last"))
-              .filter(F.col("keeper") != F.col("_last")).drop("_last"))
-    later = found.join(firsts, ["h1", "h2"]).filter(place != F.col("keeper"))
-    return (later.select("doc", "text_key", "first", "end").distinct().groupBy("doc", "text_key")
-            .agg(F.array_sort(F.collect_list(F.struct("first", "end"))).alias("ranges")))
+    # (id, text) as one number, so that the least is found by a hash aggregate of two plain columns
+    number = "decimal(38,0)"
+    place = (F.when(F.col("doc").isNull(), F.lit("1" + "0" * 37).cast(number))
+             .otherwise(F.col("doc").cast(number) * F.lit(2**32).cast(number)).cast(number)
+             + F.shiftrightunsigned("text_key", 32).cast(number)).cast(number)
+    once = found.filter(~F.col("again")).drop("again").withColumn("place", place)
+    firsts = (once.groupBy("h1", "h2").agg(F.min("place").alias("keeper"), F.count(F.lit(1)).alias("n"))
+              .filter("n > 1").drop("n"))
+    later = once.join(firsts, ["h1", "h2"]).filter(F.col("place") != F.col("keeper"))
+    columns = ["doc", "text_key", "first", "end"]
+    return (later.select(*columns).unionByName(found.filter("again").select(*columns)).groupBy("doc", "text_key")
+            .agg(F.collect_set(F.struct("first", "end")).alias("ranges")))
 
 
 def dedup_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

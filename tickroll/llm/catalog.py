@@ -31,7 +31,7 @@ def op2_decontamination(spark, sf_dir):
     """Benchmark windows found in the documents through the positional index."""
     documents, matches = decontamination.find_contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return decontamination.contamination_digest(documents, matches)
+    return decontamination.contamination_digest(documents, matches).drop("text_key")
 
 
 @_query

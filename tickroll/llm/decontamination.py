@@ -48,7 +48,7 @@ BLOOM_HASHES = 4
 WORD_TABLE = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
-SEGMENT_SCHEMA = ("segment long, doc_ids array<long>, starts array<long>, n_words array<long>, "
+SEGMENT_SCHEMA = ("segment long, doc_ids array<long>, text_keys array<long>, starts array<long>, n_words array<long>, "
                   "terms array<binary>, counts array<int>, positions binary")
 MATCH_SCHEMA = "segment long, doc int, item_id long, begin long, stop long"
 
@@ -98,13 +98,14 @@ def build_index(docs: DataFrame, terms: bytes | None = None, doc_id: str = "doc_
     small_batches(docs.sparkSession)
     keep = None if terms is None else np.unpackbits(np.frombuffer(terms, np.uint8)).view(bool)
 
-    def close(number: int, ids: list, starts: list, counts: list, postings: dict) -> pa.RecordBatch:
+    def close(number: int, ids: list, keys: list, starts: list, counts: list, postings: dict) -> pa.RecordBatch:
         stored = sorted(t for t in postings if keep is None or all(keep[b] for b in _bits(t)))
         lists = [np.array(postings[t], np.uint32) for t in stored]
         # deltas within each list: small numbers, which Parquet packs well
         deltas = [np.diff(x, prepend=np.uint32(0)) for x in lists]
         return pa.RecordBatch.from_pydict({
             "segment": pa.array([number], pa.int64()), "doc_ids": pa.array([ids], pa.list_(pa.int64())),
+            "text_keys": pa.array([keys], pa.list_(pa.int64())),
             "starts": pa.array([starts], pa.list_(pa.int64())), "n_words": pa.array([counts], pa.list_(pa.int64())),
             "terms": pa.array([stored], pa.list_(pa.binary())),
             "counts": pa.array([[len(x) for x in lists]], pa.list_(pa.int32())),
@@ -112,25 +113,26 @@ def build_index(docs: DataFrame, terms: bytes | None = None, doc_id: str = "doc_
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
-        ids, starts, counts, postings, at = [], [], [], defaultdict(list), 0
+        ids, keys, starts, counts, postings, at = [], [], [], [], defaultdict(list), 0
         for batch in text_batches(batches, "t"):
-            for doc, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc, value, key in zip(*(batch.column(c).to_pylist() for c in ("d", "t", "k"))):
                 found = words_of(value)
                 for place, word in enumerate(found, at):
                     postings[word].append(place)
                 ids.append(doc)
+                keys.append(key)
                 starts.append(at)
                 counts.append(len(found))
                 at += len(found) + 1
                 if at >= segment_words:
-                    yield close(number, ids, starts, counts, postings)
-                    ids, starts, counts, postings, at = [], [], [], defaultdict(list), 0
+                    yield close(number, ids, keys, starts, counts, postings)
+                    ids, keys, starts, counts, postings, at = [], [], [], [], defaultdict(list), 0
                     number += 1
         if ids:
-            yield close(number, ids, starts, counts, postings)
+            yield close(number, ids, keys, starts, counts, postings)
 
     rows = docs.select(F.col(doc_id).cast("long").alias("d"), F.col(text).cast("string").alias("t"))
-    return stage(rows.mapInArrow(index, SEGMENT_SCHEMA), "positional-index")
+    return stage(rows.withColumn("k", F.xxhash64("t")).mapInArrow(index, SEGMENT_SCHEMA), "positional-index")
 
 
 class SegmentReader:
@@ -239,7 +241,7 @@ def find_contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id"
                        window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
     """(documents, matches): every document row of the index, and the ranges that items cover in it.
 
-    ``documents`` has segment, doc, doc_id, n_words; ``matches`` as from
+    ``documents`` has segment, doc, doc_id, text_key (a 64-bit hash of the text), n_words; ``matches`` as from
     ``phrase_matches``. Both are keyed by (segment, doc), a document's row.
     """
     index = build_index(docs, term_filter(items, item_text), doc_id, text)
@@ -250,8 +252,8 @@ def find_contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id"
     for part in parts[1:]:
         matches = matches.unionByName(part)
     small_batches(spark)
-    listed = index.select("segment", F.posexplode(F.arrays_zip("doc_ids", "n_words")).alias("doc", "_d"))
-    return listed.select("segment", "doc", F.col("_d.doc_ids").alias("doc_id"),
+    listed = index.select("segment", F.posexplode(F.arrays_zip("doc_ids", "text_keys", "n_words")).alias("doc", "_d"))
+    return listed.select("segment", "doc", F.col("_d.doc_ids").alias("doc_id"), F.col("_d.text_keys").alias("text_key"),
                          F.col("_d.n_words").alias("n_words")), matches
 
 
@@ -271,7 +273,7 @@ def contamination_digest(documents: DataFrame, matches: DataFrame) -> DataFrame:
                   F.concat_ws(",", F.array_sort(F.collect_list(F.col("item_id").cast("string")))).alias("_items")))
     none = F.lit(0).cast("long")
     return (documents.join(hits, ["segment", "doc"], "left").join(found, ["segment", "doc"], "left")
-            .select("doc_id", "n_words", F.coalesce("n_hit", none).alias("n_hit"),
+            .select("doc_id", "text_key", "n_words", F.coalesce("n_hit", none).alias("n_hit"),
                     F.coalesce("n_items", none).alias("n_items"),
                     F.sha2(F.coalesce("_items", F.lit("")), 256).alias("items_sha256"))
             .withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))))

@@ -3,9 +3,9 @@
 1. Each text becomes its set of distinct word shingles (as 64-bit hashes), a
    fingerprint of the set, and the minima of ``BANDS * ROWS`` universal hash
    functions. Texts with equal sets are one *class*.
-2. Minima are banded; classes that agree in a whole band share a bucket. At
-   the linking similarity of 0.85 a pair misses every one of 24 bands of 5
-   with a chance below 1e-6.
+2. Minima are banded; classes that agree in a whole band share a bucket.
+   There are as many bands as it takes for a pair at the linking similarity
+   to miss all of them with a chance below 1e-6 (24 at 0.85, 35 at 0.8).
 3. Buckets are cut into blocks of bounded size; a bucket of several blocks is
    dealt as pairs of blocks, so every pair of its members still meets, in a
    task of bounded memory. A pair is looked at only in the first band that it
@@ -18,13 +18,15 @@
 Defined cases: NULL or wordless texts have an empty set and are linked with
 nothing; a text of fewer words than a shingle has its whole sequence as one
 shingle; repeated rows are members of one class (all get the class's
-component); a row with a NULL id is compared like any other but never names a
-component unless no member has an id; ties are broken by the smallest id; an
-empty table gives no rows; extra columns are ignored.
+component); a row with a NULL id is compared like any other but names no
+component, and is kept only if no member has an id and its text has the least
+hash; ties are broken by the smallest id; an empty table gives no rows; extra
+columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +40,8 @@ from tickroll.llm.components import components
 
 SHINGLE = 5
 THRESHOLD = 80            # percent
-BANDS, ROWS = 24, 5
+ROWS = 5                  # minima of a band
+MISSED = 1e-6             # chance that a pair at the threshold shares no band
 BLOCK = 256               # classes of a bucket compared in one block
 CACHE_WORDS = 1_000_000   # word hashes kept per task before the cache is dropped
 SLACK = 6.0               # standard deviations of the signature estimate below the threshold
@@ -46,9 +49,20 @@ SLACK = 6.0               # standard deviations of the signature estimate below
 # A-Z to lower case, white space [\x20\x09-\x0D] to one separator.
 WORD_TABLE = bytes(32 if c == 32 or 9 <= c <= 13 else c + 32 if 65 <= c <= 90 else c for c in range(256))
 
-_RNG = np.random.default_rng(20240229)
-MULTIPLIERS = _RNG.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-ADDENDS = _RNG.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
+
+
+def band_count(threshold: int) -> int:
+    """Bands needed for a pair of ``threshold`` percent similarity."""
+    shared = (min(threshold, 99) / 100) ** ROWS
+    return max(1, math.ceil(math.log(MISSED) / math.log1p(-shared)))
+
+
+def hash_family(threshold: int) -> tuple[np.ndarray, np.ndarray]:
+    """Multipliers (odd) and addends of the universal hash functions, the same in every task."""
+    rng, n = np.random.default_rng(20240229), band_count(threshold) * ROWS
+    return (rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1),
+            rng.integers(0, 1 << 63, n, dtype=np.uint64))
+
 
 FEATURES = "doc_id long, text_key long, n_shingles long, fp binary, bands array<long>, sketch binary"
 
@@ -79,19 +93,20 @@ def shingle_set(text: str | None, size: int, hashes: _WordHashes) -> np.ndarray:
     return np.unique(mixed ^ (mixed >> np.uint64(32)))
 
 
-def minima(shingles: np.ndarray, chunk: int = 4096) -> np.ndarray:
+def minima(shingles: np.ndarray, family: tuple[np.ndarray, np.ndarray], chunk: int = 4096) -> np.ndarray:
     """The least value of each universal hash function over the set (multiply-add on 64 bits)."""
-    least = np.full(BANDS * ROWS, np.uint64(2**64 - 1))
+    multipliers, addends = family
+    least = np.full(len(multipliers), np.uint64(2**64 - 1))
     for at in range(0, len(shingles), chunk):
-        values = shingles[at:at + chunk, None] * MULTIPLIERS + ADDENDS
+        values = shingles[at:at + chunk, None] * multipliers + addends
         least = np.minimum(least, values.min(axis=0))
     return least
 
 
-def features(docs: DataFrame, shingle: int = SHINGLE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def features(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: set size, set fingerprint, band keys and an 8-bit signature."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _WordHashes()
+        hashes, family = _WordHashes(), hash_family(threshold)
         for batch in text_batches(batches, "t"):
             sizes, prints, bands, sketches = [], [], [], []
             for value in batch.column("t").to_pylist():
@@ -102,10 +117,10 @@ def features(docs: DataFrame, shingle: int = SHINGLE, doc_id: str = "doc_id", te
                     bands.append(None)
                     sketches.append(None)
                     continue
-                least = minima(found)
+                least = minima(found, family)
                 prints.append(xxhash.xxh3_128_digest(found.tobytes()))
                 bands.append(np.array([xxhash.xxh3_64_intdigest(least[b * ROWS:(b + 1) * ROWS].tobytes(), seed=b)
-                                       for b in range(BANDS)], np.uint64).view(np.int64))
+                                       for b in range(len(least) // ROWS)], np.uint64).view(np.int64))
                 sketches.append((least >> np.uint64(24)).astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("d"), batch.column("k"), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()),
@@ -179,7 +194,7 @@ def _possible(group: pa.Table, limit: int) -> np.ndarray | None:
 
 def _signature_limit(threshold: int) -> int:
     """Signature agreements that a linked pair falls short of with a chance of about 1e-8."""
-    n, p = BANDS * ROWS, threshold / 100
+    n, p = band_count(threshold) * ROWS, threshold / 100
     return int(n * p - SLACK * (n * p * (1 - p)) ** 0.5)
 
 
@@ -270,7 +285,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = TH
     itself included; ``kept`` marks the document of that id. ``text_key`` is a
     64-bit hash of the text (it tells apart rows that share an id).
     """
-    rows = features(docs, shingle, doc_id, text)
+    rows = features(docs, shingle, threshold, doc_id, text)
     classes = stage(rows.filter("fp is not null").groupBy("fp").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("who"),
         F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "minhash-classes")
@@ -294,13 +309,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = TH
     members = components(links, "a", "b")
 
     # the smallest id of each component, then back to every document
-    least = members.join(classes.select(F.col("fp").alias("node"), F.col("who.doc_id").alias("_own")), "node")
-    roots = least.groupBy("root").agg(F.min("_own").alias("_least"))
-    named = least.join(roots, "root").select(F.col("node").alias("fp"), "_least")
-    named = (classes.select("fp", F.col("who.doc_id").alias("_first")).join(named, "fp", "left")
-             .select("fp", F.coalesce("_least", "_first").alias("_component")))
+    who = classes.select("fp", "who")
+    named = members.join(who.withColumnRenamed("fp", "node"), "node")
+    roots = named.groupBy("root").agg(F.min("who").alias("first"))
+    named = named.join(roots, "root").select(F.col("node").alias("fp"), "first")
+    named = who.join(named, "fp", "left").select("fp", F.coalesce("first", "who").alias("first"))
+    own = F.col("doc_id") == F.col("component_id")
+    unnamed = F.col("component_id").isNull() & F.coalesce(F.col("text_key") == F.col("first.text_key"), F.lit(True))
     return (rows.select("doc_id", "text_key", "n_shingles", "fp").join(named, "fp", "left")
-            .select("doc_id", "text_key", "n_shingles",
-                    F.coalesce("_component", "doc_id").alias("component_id"))
-            .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
-                        | F.col("component_id").isNull()))
+            .withColumn("component_id", F.when(F.col("first").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id")))
+            .select("doc_id", "text_key", "n_shingles", "component_id", F.coalesce(own, unnamed).alias("kept")))

@@ -140,11 +140,13 @@ def redact(docs: DataFrame, mask: str = "[SECRET]", doc_id: str = "doc_id", text
            .agg(F.array_sort(F.collect_list(F.struct(F.col("_from").alias("a"), F.col("end").alias("b")))).alias("_cuts")))
     where = (scanned.select("row", F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).join(cut, "row")
              .groupBy("_id", "_key").agg(F.first("_cuts").alias("_cuts")))
-    source = docs.withColumn("_t", whole_text(text))
-    joined = source.join(where, F.col(doc_id).cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64("_t") == F.col("_key")), "left")
+    # rows travel in a struct, so their columns cannot clash with the ones made here
+    source = docs.select(F.struct(*docs.columns).alias("_doc"), F.col(doc_id).cast("long").alias("_d"), whole_text(text).alias("_t"))
+    joined = source.join(where, F.col("_d").eqNullSafe(F.col("_id")) & (F.xxhash64("_t") == F.col("_key")), "left")
     previous = lambda k: F.coalesce(F.get("_cuts", k - 1)["b"], F.lit(0)).cast("int")
     kept = F.transform("_cuts", lambda c, k: F.concat(
         F.substr("_t", previous(k) + 1, c["a"].cast("int") - previous(k)), F.lit(mask)))
     tail = F.substr("_t", F.element_at("_cuts", -1)["b"].cast("int") + 1)
-    masked = F.when(F.col("_cuts").isNull(), F.col(text)).otherwise(F.concat(F.array_join(kept, ""), tail))
-    return joined.withColumn(text, masked).select(*docs.columns)
+    old = F.col("_doc").getField(text)
+    masked = F.when(F.col("_cuts").isNull(), old).otherwise(F.concat(F.array_join(kept, ""), tail))
+    return joined.select(*[masked.alias(c) if c == text else F.col("_doc").getField(c).alias(c) for c in docs.columns])

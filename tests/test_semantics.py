@@ -231,6 +231,12 @@ def test_unwrap_modes(spark):
                                             (6, 0, 9), (7, 0, None), (12, 2, 12)]
     # arrays only: an object without "data" (D19) and error objects give nothing
     assert _unwrapped(spark, "array") == [(1, 0, 1), (1, 3, 3), (1, 4, None), (2, 0, 5), (12, 2, 12)]
+    # message and code beside data are no error unless the load says so
+    named = parse_payloads(spark.createDataFrame(
+        [(1, '{"code":200,"message":"success","data":[{"a":1}]}')], "seq long, payload string"))
+    assert P.unwrap(named, "array", keep=["seq"]).count() == 1
+    assert P.unwrap(named, "array", keep=["seq"], skip_errors="message_code").count() == 0
+    assert P.object_counts(named, keep=["seq"]).first()["objects"] == 1
     assert _unwrapped(spark, "first") == [(1, 0, 1), (2, 0, 5), (3, 0, 7), (6, 0, 9), (7, 0, None)]
     assert _unwrapped(spark, "list") == [(1, 0, 1), (1, 3, 3), (1, 4, None)]
     assert _unwrapped(spark, "records", skip_errors="message_code")[-2:] == [(6, 0, 9), (12, 2, 12)]
@@ -289,54 +295,6 @@ def test_rollup_plan_one_exchange_hash_aggregate_pushed_filter(spark, tmp_path):
     assert "GreaterThanOrEqual(timestamp," in plan and "LessThan(timestamp," in plan
 
 
-def test_keyed_table_versions_and_replay(spark):
-    from tickroll.session import shared_dir
-    from tickroll.sources.keyed_table import KeyedTable
-    t = KeyedTable(spark, shared_dir(spark, "kt-test"), ["k"])
-    assert t.read() is None
-    b1 = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "k string, v double")
-    b2 = spark.createDataFrame([("b", 3.0), ("c", 4.0)], "k string, v double")
-    t.merge(b1, version=1)
-    t.merge(b2, version=2)
-    t.merge(b2, version=2)          # replayed batch: same result
-    assert t.versions() == [1, 2]
-    assert rows(t.read(), "k") == [("a", 1.0), ("b", 3.0), ("c", 4.0)]
-
-
-def test_day_partitioned_merge_rewrites_only_touched_days(spark):
-    import glob
-    from tickroll.session import local_path, shared_dir
-    from tickroll.sources.keyed_table import DayPartitionedTable
-    base = shared_dir(spark, "dpt-test")
-    t = DayPartitionedTable(spark, base, ["k", "timestamp"])
-    day = 86_400_000
-    b1 = spark.createDataFrame([("a", 19000 * day + 5, 1.0), ("a", 19001 * day + 5, 2.0)],
-                               "k string, timestamp long, v double")
-    t.merge(b1)
-    files_day0 = sorted(glob.glob(local_path(base) + "/day=19000/*.parquet"))
-    b2 = spark.createDataFrame([("a", 19001 * day + 5, 9.0), ("b", 19002 * day, 3.0)],
-                               "k string, timestamp long, v double")
-    t.merge(b2)
-    t.merge(b2)                     # replay: idempotent
-    assert rows(t.read().select("k", "timestamp", "v"), "timestamp", "k") == [
-        ("a", 19000 * day + 5, 1.0), ("a", 19001 * day + 5, 9.0), ("b", 19002 * day, 3.0)]
-    assert sorted(glob.glob(local_path(base) + "/day=19000/*.parquet")) == files_day0
-
-
-def test_day_partitioned_recovers_half_done_copy(spark):
-    from tickroll.session import shared_dir
-    from tickroll.sources.keyed_table import DayPartitionedTable
-    t = DayPartitionedTable(spark, shared_dir(spark, "dpt-recover"), ["k", "timestamp"])
-    day = 86_400_000
-    t.merge(spark.createDataFrame([("a", 5 * day, 1.0)], "k string, timestamp long, v double"))
-    # simulate a merge that staged its days but died before the copy
-    staged = spark.createDataFrame([("a", 5 * day, 7.0)], "k string, timestamp long, v double")
-    t._with_day(staged).write.mode("overwrite").partitionBy("day").parquet(f"{t.path}/_staging")
-    t._marker("staged")
-    t.merge(spark.createDataFrame([("b", 6 * day, 2.0)], "k string, timestamp long, v double"))
-    assert rows(t.read().select("k", "v"), "k") == [("a", 7.0), ("b", 2.0)]
-
-
 def test_run_range_from_conf():
     b = interval_ms("1h")
     rr = RunRange.from_conf(b, "2024-01-10T00:00:00Z", 7, {"since": "2024-01-01T00:00:00Z",
@@ -346,21 +304,6 @@ def test_run_range_from_conf():
     assert (rr.start_ms, rr.end_ms) == (ms("2024-01-03 00:00:00"), ms("2024-01-10 00:00:00"))
 
 
-def test_rollup_prunes_day_partitions(spark):
-    from tickroll.session import shared_dir
-    from tickroll.sources.keyed_table import DayPartitionedTable
-    from tickroll.sources import testdata as T
-    from tests.conftest import SF
-    t = DayPartitionedTable(spark, shared_dir(spark, "dpt-prune"), C.CANDLE_KEYS)
-    t.merge(T.candles_3m(spark, SF))
-    rr = RunRange(ms("2024-01-05 00:00:00"), ms("2024-01-12 00:00:00"))
-    q = C.rollup(t.read(), interval_ms("1h"), rr)
-    plan = q._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(day" in plan and "day#" in plan
-    direct = C.rollup(T.candles_3m(spark, SF), interval_ms("1h"), rr)
-    assert q.exceptAll(direct).count() == 0 and direct.exceptAll(q).count() == 0
-
-
 def test_run_time_guards(spark):
     from tickroll.plans import loads as LD
     meta = spark.createDataFrame([(None, "a"), ("x", "")], "symbol string, available_exchange string")
@@ -368,30 +311,16 @@ def test_run_time_guards(spark):
         I.explode_pairs(meta, on_empty="error")
     bad = spark.createDataFrame([("k", 1, "not json")], "request_key string, seq long, payload string")
     with pytest.raises(RuntimeError):
-        LD.global_metrics_records(bad, on_error="fail")
+        LD.global_metrics_records(bad)
     err = spark.createDataFrame([("k", 1, '{"status":{"error_message":"quota"}}')],
                                 "request_key string, seq long, payload string")
     with pytest.raises(RuntimeError):
-        LD.global_metrics_records(err, on_error="fail")
+        LD.global_metrics_records(err)
     assert LD.global_metrics_records(err, on_error="skip").count() == 0
     with pytest.raises(M.EmptyInputError):
         LD.load_stock_list(spark.createDataFrame([("HOSE", 1, "[]")], "listing string, seq long, payload string"))
 
 
-def test_cli_rollup_run(spark, capsys):
-    import json
-    from tickroll.__main__ import main
-    from tickroll.session import shared_dir
-    from tickroll.sources import testdata as T
-    from tests.conftest import SF
-    base = shared_dir(spark, "cli")
-    T.candles_3m(spark, SF).write.parquet(f"{base}/ohlcv_3m")
-    assert main(["rollup", "--interval", "1d", "--source", f"{base}/ohlcv_3m", "--target", f"{base}/ohlcv_1d",
-                 "--run-time", "2024-01-31T00:00:00Z"]) == 0
-    lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
-    assert len(lines) == 3 and sum(x["candles"] for x in lines) == spark.read.parquet(f"{base}/ohlcv_1d").count()
-
-
 def test_hot_key_reduced_before_shuffle(spark):
     """A key holding a third of the batch is combined map-side (partial aggregate
     below the exchange), for both de-duplication and the rollup."""

@@ -76,11 +76,6 @@ def get(v, path, dtype: str = "variant") -> Column:
     return F.try_variant_get(_col(v), json_path(path), dtype)
 
 
-def has_key(v, key: str) -> Column:
-    """True when ``v`` is an object holding ``key`` (even with a null value)."""
-    return get(v, key).isNotNull()
-
-
 def _scalar_truthy(v: Column) -> Column:
     k = kind(v)
     return (F.when(k == "BOOLEAN", F.try_variant_get(v, "$", "boolean"))

@@ -7,7 +7,6 @@ Thursday, 7-day buckets start on Thursday 00:00 UTC.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
@@ -80,14 +79,19 @@ def normalize_ts_day(text) -> Column:
 
 # ---------------------------------------------------------------- run range
 
-def _parse_conf_dt(value: str) -> datetime:
-    v = value.strip()
-    if v.endswith("Z"):
-        v = v[:-1] + "+00:00"
-    dt = datetime.fromisoformat(v)
-    if dt.tzinfo is None:
-        dt = dt.replace(tzinfo=timezone.utc)
-    return dt.astimezone(timezone.utc)
+def instant(text: str | datetime, name: str) -> datetime:
+    """A run argument as an aware UTC time: ISO-8601 text ('Z' or an offset; none means UTC) or a datetime.
+
+    Raises ``ValueError`` naming the argument for anything else.
+    """
+    if isinstance(text, datetime):
+        when = text
+    else:
+        try:
+            when = datetime.fromisoformat(text.strip())
+        except (AttributeError, ValueError):
+            raise ValueError(f"{name}: {text!r} is not an ISO-8601 time") from None
+    return when.replace(tzinfo=timezone.utc) if when.tzinfo is None else when.astimezone(timezone.utc)
 
 
 def _to_ms(dt: datetime) -> int:
@@ -110,11 +114,9 @@ class RunRange:
     @classmethod
     def resolve(cls, bucket_ms: int, run_time: str | datetime, lookback_days: int,
                 since: str | None = None, until: str | None = None) -> "RunRange":
-        run_dt = run_time if isinstance(run_time, datetime) else _parse_conf_dt(run_time)
-        if run_dt.tzinfo is None:
-            run_dt = run_dt.replace(tzinfo=timezone.utc)
-        start_dt = _parse_conf_dt(since) if since else run_dt - timedelta(days=lookback_days)
-        end_dt = _parse_conf_dt(until) if until else run_dt
+        run_dt = instant(run_time, "run_time")
+        start_dt = instant(since, "since") if since else run_dt - timedelta(days=lookback_days)
+        end_dt = instant(until, "until") if until else run_dt
         if end_dt <= start_dt:
             raise ValueError("end of the run range must be after its start")
         start = (_to_ms(start_dt) // bucket_ms) * bucket_ms
@@ -141,6 +143,3 @@ class RunRange:
             s += width
         return out
 
-
-def valid_iso(text: str) -> bool:
-    return bool(re.match(_ISO_PREFIX, text or ""))

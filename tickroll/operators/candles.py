@@ -4,7 +4,9 @@ The rollup groups by (symbol, exchange, bucket) with
 
 * open  = value of the first row by time, kept even when NULL (``min_by``)
 * close = value of the last row by time (``max_by``)
-* high / low = max / min, volume = exact decimal sum cast back to double.
+* high / low = max / min, volume = exact decimal sum cast back to double
+  (12 decimals and 26 digits before the point unless the caller asks
+  otherwise; a volume beyond that range fails the run, it is never cut).
 
 ``min_by``/``max_by`` with a primitive value and a long (or decimal) order
 key plan as partial + final ``HashAggregate`` around a single exchange,
@@ -23,15 +25,23 @@ from tickroll.functions.timefn import (BATCH_DAYS, DAY_MS,
 
 CANDLE_KEYS = ("symbol", "exchange", "timestamp")
 CANDLE_COLUMNS = ("symbol", "exchange", "timestamp", "open", "high", "low", "close", "volume")
+# What candle tables store: the candle and its time as a timestamp.
+STORED_COLUMNS = (*CANDLE_COLUMNS, "datetime")
 
-# Scale of the exact volume sum; sums are order-independent and identical
-# on every engine.
-VOLUME_DECIMAL = "decimal(18,2)"
+# Decimals of the exact volume sum; sums are order-independent and identical
+# on every engine. The whole part keeps the other digits of a decimal(38).
+VOLUME_SCALE = 12
 
 
-def exact_sum(c) -> Column:
+def exact_sum(c, scale: int = VOLUME_SCALE) -> Column:
+    """Sum of doubles as decimals of ``scale`` digits after the point, cast back to double."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.sum(c.cast(VOLUME_DECIMAL)).cast("double")
+    return F.sum(c.cast(f"decimal(38,{scale})")).cast("double")
+
+
+def stored(candles: DataFrame, *more: str) -> DataFrame:
+    """Candles with the columns that candle tables store, and ``more``."""
+    return candles.withColumn("datetime", ms_to_timestamp("timestamp")).select(*STORED_COLUMNS, *more)
 
 
 def tie_order(ts_us, tie) -> Column:
@@ -49,7 +59,8 @@ def tie_order(ts_us, tie) -> Column:
 
 def ticks_to_candles(ticks: DataFrame, bucket_ms: int, *, ts_us: str = "ts_us",
                      tie: str | None = "tick_id", price: str = "price",
-                     volume: str = "volume", keys=("symbol", "exchange")) -> DataFrame:
+                     volume: str = "volume", keys=("symbol", "exchange"),
+                     volume_scale: int = VOLUME_SCALE) -> DataFrame:
     """Raw ticks -> candles. Ties in time are broken by ``tie`` (ascending)."""
     ticks = ticks.where(F.col(ts_us).isNotNull())
     order = tie_order(ts_us, tie) if tie else F.col(ts_us)
@@ -61,12 +72,12 @@ def ticks_to_candles(ticks: DataFrame, bucket_ms: int, *, ts_us: str = "ts_us",
                   F.max("_p").alias("high"),
                   F.min("_p").alias("low"),
                   F.max_by("_p", "_ord").alias("close"),
-                  exact_sum("_v").alias("volume")))
+                  exact_sum("_v", volume_scale).alias("volume")))
 
 
 def rollup(candles: DataFrame, bucket_ms: int, run_range: RunRange | None = None,
            keys=("symbol", "exchange"), with_datetime: bool = False,
-           drop_null_ts: bool = True) -> DataFrame:
+           drop_null_ts: bool = True, volume_scale: int = VOLUME_SCALE) -> DataFrame:
     """Roll candles up to ``bucket_ms`` buckets over ``[start, end)``.
 
     The range filter is applied to the stored ``timestamp`` column before
@@ -96,7 +107,7 @@ def rollup(candles: DataFrame, bucket_ms: int, run_range: RunRange | None = None
                   F.max("high").alias("high"),
                   F.min("low").alias("low"),
                   F.max_by("close", F.col("timestamp")).alias("close"),
-                  exact_sum("volume").alias("volume")))
+                  exact_sum("volume", volume_scale).alias("volume")))
     if with_datetime:
         out = out.withColumn("datetime", ms_to_timestamp("timestamp"))
     return out
@@ -144,35 +155,47 @@ def rollup_by_rank(candles: DataFrame, bucket_ms: int, keys=("symbol", "exchange
                   exact_sum("volume").alias("volume")))
 
 
-def slice_counts(spark, rolled: DataFrame, interval: str, run_range: RunRange,
+def slice_counts(spark, written: DataFrame, interval: str, run_range: RunRange,
                  batch_days: int | None = None) -> DataFrame:
     """Candles per report slice of a run, zero slices included.
 
-    ``rolled`` holds the run's candles (its ``timestamp`` column). Slices
+    ``written`` holds the run's candles (its ``timestamp`` column). Slices
     are only a reporting unit; their width is rounded up to whole buckets.
     """
-    bms = interval_ms(interval)
-    bd = BATCH_DAYS.get(interval, 1) if batch_days is None else batch_days
-    slices = run_range.slices(bd, bms)
-    width = slices[0][1] - slices[0][0] if slices else bms
-    counted = (rolled.groupBy(F.expr(f"(timestamp - {run_range.start_ms}) div {width}").alias("slice"))
-                     .agg(F.count(F.lit(1)).alias("candles")))
-    # one row per slice on both sides (a few rows): safe to broadcast
-    grid = spark.range(len(slices)).select(F.col("id").alias("slice"))
-    return (grid.join(F.broadcast(counted), "slice", "left")
-                .select(F.lit(interval).alias("interval"),
-                        (F.lit(run_range.start_ms) + F.col("slice") * F.lit(width)).alias("slice_start"),
-                        F.least(F.lit(run_range.start_ms) + (F.col("slice") + 1) * F.lit(width),
-                                F.lit(run_range.end_ms)).alias("slice_end"),
-                        F.coalesce("candles", F.lit(0)).cast("long").alias("candles")))
-
-
-def rollup_counts(spark, candles: DataFrame, interval: str, run_range: RunRange,
-                  batch_days: int | None = None) -> DataFrame:
-    """Candles written per report slice of one run, zero slices included.
-
-    The rollup itself runs over the whole range at once (a 7d candle is
-    never cut at a slice edge).
+    counted = written.select(F.lit(interval).alias("interval"), "timestamp")
+    return _report(spark, counted, {interval: run_range}, {interval: batch_days})
+
+
+def rollup_counts(spark, candles: DataFrame, ranges: dict[str, RunRange],
+                  batch_days: dict[str, int] | None = None) -> DataFrame:
+    """Candles that each interval's run writes per report slice, zero slices included.
+
+    One pass over the source: every candle is put into its bucket of every
+    interval whose range holds it, and (interval, pair, bucket) is counted
+    once; a 7d candle is never cut at a slice edge.
     """
-    rolled = rollup(candles, interval_ms(interval), run_range).select("timestamp")
-    return slice_counts(spark, rolled, interval, run_range, batch_days)
+    ts = F.col("timestamp")
+    buckets = [F.when((ts >= r.start_ms) & (ts < r.end_ms),
+                      F.struct(F.lit(name).alias("interval"), bucket_floor(ts, interval_ms(name)).alias("timestamp")))
+               for name, r in ranges.items()]
+    lowest, highest = min(r.start_ms for r in ranges.values()), max(r.end_ms for r in ranges.values())
+    rolled = (candles.where((ts >= lowest) & (ts < highest))
+              .select("symbol", "exchange", F.explode(F.array_compact(F.array(*buckets))).alias("b"))
+              .select("symbol", "exchange", "b.interval", "b.timestamp").distinct())
+    return _report(spark, rolled, ranges, batch_days or {})
+
+
+def _report(spark, rolled: DataFrame, ranges: dict[str, RunRange], batch_days: dict) -> DataFrame:
+    grid, slice_of = [], None
+    for name, run in ranges.items():
+        days = batch_days.get(name)
+        slices = run.slices(BATCH_DAYS.get(name, 1) if days is None else days, interval_ms(name))
+        grid += [(name, k, a, b) for k, (a, b) in enumerate(slices)]
+        width = slices[0][1] - slices[0][0] if slices else interval_ms(name)
+        index = F.expr(f"(timestamp - {run.start_ms}) div {width}")
+        hit = (F.col("interval") == name) & (F.col("timestamp") >= run.start_ms) & (F.col("timestamp") < run.end_ms)
+        slice_of = F.when(hit, index) if slice_of is None else slice_of.when(hit, index)
+    counted = rolled.groupBy("interval", slice_of.alias("slice")).agg(F.count(F.lit(1)).alias("candles"))
+    slices = spark.createDataFrame(grid, "interval string, slice long, slice_start long, slice_end long")
+    return (slices.join(counted, ["interval", "slice"], "left")
+            .select("interval", "slice_start", "slice_end", F.coalesce("candles", F.lit(0)).cast("long").alias("candles")))

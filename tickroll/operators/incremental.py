@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 
 from tickroll.functions.textfn import split_list
 from tickroll.functions.timefn import DAY_MS
-from tickroll.operators.joins import broadcast_if_small
-from tickroll.operators.merge import check_empty, upsert_update
+from tickroll.operators.merge import check_empty
 
 PAIR_KEYS = ("symbol", "exchange")
 CHECKPOINT_KEYS = ("symbol", "exchange", "timeframe")
@@ -60,8 +59,7 @@ def since_per_pair(pairs: DataFrame, checkpoint: DataFrame, timeframe: str = "3m
     """Resume point per pair: last_ts + 1, else now - since_days, else NULL.
 
     NULL means "everything". ``refetch_last`` resumes at last_ts itself
-    (harmless, the keyed merge absorbs the repeated candle). The checkpoint
-    side holds one row per pair and is broadcast after a size check.
+    (harmless, the keyed merge absorbs the repeated candle).
     """
     ck = (checkpoint.where(F.col("timeframe") == F.lit(timeframe))
                     .select(*PAIR_KEYS, "last_ts_ms"))
@@ -69,18 +67,18 @@ def since_per_pair(pairs: DataFrame, checkpoint: DataFrame, timeframe: str = "3m
               if (now_ms is not None and since_days and since_days > 0)
               else F.lit(None).cast("long"))
     step = 0 if refetch_last else 1
-    return (pairs.join(broadcast_if_small(ck), list(PAIR_KEYS), "left")
+    return (pairs.join(ck, list(PAIR_KEYS), "left")
                  .select(*PAIR_KEYS, F.coalesce(F.col("last_ts_ms") + F.lit(step), cutoff).alias("since_ms")))
 
 
 def incremental_new_rows(rows: DataFrame, since: DataFrame, ts_col: str = "timestamp") -> DataFrame:
     """Rows of known pairs at or after their pair's resume point.
 
-    The resume points (one row per pair) are broadcast after a size check,
-    so the candle rows are never shuffled by pair (a hot pair would
-    otherwise land in one task).
+    There is one resume point per pair. Spark broadcasts them while they are
+    under its byte threshold (statistics, or the measured size at run time);
+    beyond it a sort-merge join splits the partitions of hot pairs.
     """
-    return (rows.join(broadcast_if_small(since), list(PAIR_KEYS), "inner")
+    return (rows.join(since, list(PAIR_KEYS), "inner")
                 .where(F.col("since_ms").isNull() | (F.col(ts_col) >= F.col("since_ms")))
                 .drop("since_ms"))
 
@@ -92,12 +90,11 @@ def checkpoint_next(checkpoint: DataFrame, new_rows: DataFrame, timeframe: str,
     Uses ``max(ts)`` (not the last row's ts) and ``greatest(old, new)``.
     ``updated_at`` is a literal value or column for the update time.
     """
-    newest = new_rows.groupBy(*PAIR_KEYS).agg(F.max(ts_col).alias("_new"))
-    old = (checkpoint.where(F.col("timeframe") == F.lit(timeframe))
-                     .select(*PAIR_KEYS, F.col("last_ts_ms").alias("_old")))
-    upd = F.lit(updated_at) if not isinstance(updated_at, Column) else updated_at
-    batch = (newest.join(old, list(PAIR_KEYS), "left")
-                   .select(*PAIR_KEYS, F.lit(timeframe).alias("timeframe"),
-                           F.greatest(F.col("_new"), F.coalesce("_old", "_new")).alias("last_ts_ms"),
-                           upd.cast(checkpoint.schema["updated_at"].dataType).alias("updated_at")))
-    return upsert_update(checkpoint, batch, CHECKPOINT_KEYS, order=None)
+    newest = (new_rows.groupBy(*PAIR_KEYS).agg(F.max(ts_col).alias("_new"))
+              .withColumn("timeframe", F.lit(timeframe)))
+    upd = updated_at if isinstance(updated_at, Column) else F.lit(updated_at)
+    upd = upd.cast(checkpoint.schema["updated_at"].dataType)
+    # one row per pair on both sides: one full outer join, each side read once
+    return checkpoint.join(newest, list(CHECKPOINT_KEYS), "full_outer").select(
+        *CHECKPOINT_KEYS, F.greatest("last_ts_ms", "_new").alias("last_ts_ms"),
+        F.when(F.col("_new").isNotNull(), upd).otherwise(F.col("updated_at")).alias("updated_at"))

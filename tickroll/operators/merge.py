@@ -9,14 +9,11 @@ Semantics kept from the row-by-row original:
 * A NULL in a conflict key never matches (UNIQUE-constraint semantics):
   such rows are always inserted and never de-duplicated.
 
-Physical shape: the target is never shuffled when the batch is
-small: it is anti/semi-joined against the batch keys, which the planner
-broadcasts when their estimated size is under
-``spark.sql.autoBroadcastJoinThreshold`` (and AQE re-checks at run time);
-larger batches fall back to a sort-merge join on the keys. Keys are unique
-after de-duplication, so these joins have no hot keys; NULL keys (which
-never match) all hash to one partition, and AQE's skew-join handling
-splits that partition if they are many.
+Physical shape: target and batch meet in one full outer join on the keys,
+each scanned once; flags tell which side a row has. Keys are unique after
+de-duplication, so the join has no hot keys; rows with a NULL key, which never
+match, are hashed to one partition, so keep them few (readers reject them).
+``KeyedTable.merge`` hands in only the days of the target that the batch has.
 """
 
 from __future__ import annotations
@@ -77,13 +74,27 @@ def assert_unique(batch: DataFrame, keys) -> None:
         raise DuplicateKeyError(f"duplicate conflict keys in batch: {dup.first()}")
 
 
-def _align(df: DataFrame, columns, schema) -> DataFrame:
-    """Select ``columns`` in order with the target's types; missing ones as NULLs."""
+def align(df: DataFrame, schema) -> DataFrame:
+    """The columns of ``schema`` in its order and types; missing ones as NULLs."""
     have = {f.name: f.dataType for f in df.schema.fields}
-    types = {f.name: f.dataType for f in schema.fields}
-    return df.select(*[(F.col(c) if have[c] == types[c] else F.col(c).cast(types[c])).alias(c)
-                       if c in have else F.lit(None).cast(types[c]).alias(c)
-                       for c in columns])
+    return df.select(*[(F.col(f.name) if have[f.name] == f.dataType else F.col(f.name).cast(f.dataType)).alias(f.name)
+                       if f.name in have else F.lit(None).cast(f.dataType).alias(f.name)
+                       for f in schema.fields])
+
+
+def _meet(target: DataFrame, batch: DataFrame, keys) -> DataFrame:
+    """Full outer join: keys, structs ``_t`` and ``_b`` (NULL where the side has no row)."""
+    t = target.select(*keys, F.struct(*target.columns).alias("_t"))
+    b = batch.select(*keys, F.struct(*batch.columns).alias("_b"))
+    return t.join(b, list(keys), "full_outer")
+
+
+def _prepared(target: DataFrame, batch: DataFrame, keys, order, keep, mapped) -> tuple[DataFrame, list]:
+    mapped = list(mapped) if mapped else [c for c in batch.columns if c in target.columns]
+    if order and order in batch.columns:
+        batch = dedupe(batch, keys, order, keep)
+    types = {f.name: f.dataType for f in target.schema.fields}
+    return batch.select(*[F.col(c).cast(types[c]).alias(c) for c in mapped]), mapped
 
 
 def upsert_update(target: DataFrame, batch: DataFrame, keys, order: str | None = "_seq",
@@ -93,51 +104,37 @@ def upsert_update(target: DataFrame, batch: DataFrame, keys, order: str | None =
     ``mapped`` defaults to the batch columns that exist in the target.
     """
     keys = list(keys)
-    tcols = target.columns
-    mapped = list(mapped) if mapped else [c for c in batch.columns if c in tcols]
-    if order and order in batch.columns:
-        batch = dedupe(batch, keys, order, keep)
-    b = batch.select(*mapped)
-    bkeys = b.select(*keys)
-    # An equi-join never matches a NULL key: NULL-key target rows survive
-    # the anti join and NULL-key batch rows find no old row, so no split
-    # (and no second evaluation of either side) is needed.
-    kept = target.join(bkeys, keys, "left_anti")
-    unmapped = [c for c in tcols if c not in mapped]
-    if unmapped:
-        old = target.join(bkeys, keys, "left_semi").select(*keys, *unmapped)
-        new = b.join(old, keys, "left")
-    else:
-        new = b
-    return kept.unionByName(_align(new, tcols, target.schema).select(*tcols))
+    b, mapped = _prepared(target, batch, keys, order, keep, mapped)
+    new = F.col("_b").isNotNull()
+    return _meet(target, b, keys).select(*[
+        (F.when(new, F.col("_b")[c]).otherwise(F.col("_t")[c]) if c in mapped else F.col("_t")[c]).alias(c)
+        for c in target.columns])
 
 
 def upsert_nothing(target: DataFrame, batch: DataFrame, keys, order: str | None = "_seq",
                    keep: str = "first", mapped=None) -> DataFrame:
     """INSERT ... ON CONFLICT (keys) DO NOTHING as a new table.
 
-    Target rows never change; batch rows whose key exists are dropped.
-    The matched keys are found by semi-joining the target against the
-    (broadcastable) batch keys, so a large target is only streamed.
+    Target rows never change; batch rows whose key exists are dropped. To
+    store the result, let ``KeyedTable.merge`` append the new rows instead.
     """
     keys = list(keys)
-    tcols = target.columns
-    mapped = list(mapped) if mapped else [c for c in batch.columns if c in tcols]
-    if order and order in batch.columns:
-        batch = dedupe(batch, keys, order, keep)
-    b = batch.select(*mapped)
-    matched = target.select(*keys).join(b.select(*keys), keys, "left_semi")
-    new = b.join(matched, keys, "left_anti")     # NULL-key batch rows are always new
-    return target.unionByName(_align(new, tcols, target.schema).select(*tcols))
+    b, mapped = _prepared(target, batch, keys, order, keep, mapped)
+    old = F.col("_t").isNotNull()
+    return _meet(target, b, keys).select(*[
+        (F.when(old, F.col("_t")[c]).otherwise(F.col("_b")[c]) if c in mapped else F.col("_t")[c]).alias(c)
+        for c in target.columns])
+
+
+def check_policy(policy: str) -> None:
+    if policy not in ("update", "nothing"):
+        raise ValueError(f"policy must be 'update' or 'nothing', not {policy!r}")
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys, policy: str = "update", **kw) -> DataFrame:
     """Switchable conflict policy: 'update' or 'nothing'."""
-    if policy == "update":
-        return upsert_update(target, batch, keys, **kw)
-    if policy == "nothing":
-        return upsert_nothing(target, batch, keys, **kw)
-    raise ValueError(f"policy must be 'update' or 'nothing', not {policy!r}")
+    check_policy(policy)
+    return (upsert_update if policy == "update" else upsert_nothing)(target, batch, keys, **kw)
 
 
 def merge_counts(target: DataFrame, batch: DataFrame, keys, order: str | None = "_seq",
@@ -146,10 +143,7 @@ def merge_counts(target: DataFrame, batch: DataFrame, keys, order: str | None =
     keys = list(keys)
     if order and order in batch.columns:
         batch = dedupe(batch, keys, order, keep)
-    bk = batch.select(*keys)
-    matched = (target.select(*keys).join(bk, keys, "left_semi")
-                     .withColumn("_m", F.lit(1)))
-    flagged = bk.join(matched, keys, "left")
+    flagged = batch.select(*keys).join(target.select(*keys, F.lit(1).alias("_m")), keys, "left")
     return flagged.agg(F.sum(F.when(F.col("_m").isNull(), 1).otherwise(0)).cast("long").alias("inserted"),
                        F.count("_m").cast("long").alias("updated"),
                        F.count(F.lit(1)).cast("long").alias("total"))

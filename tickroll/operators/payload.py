@@ -11,7 +11,9 @@ Modes (how the original pipelines read their envelopes):
              document; an object is one record, an array gives its object
              elements; falsy values give nothing.
 ``array``    as ``records`` but only arrays are accepted (an object is
-             rejected) and ``{"message", "code"}`` error objects are skipped.
+             rejected). What says ``message`` and ``code`` beside its data is
+             data; a load whose source means an error by them asks for
+             ``skip_errors``.
 ``first``    the first record only: ``data[0]``, the ``data`` object, the
              document itself when it has no ``data``, or the first element
              of an array document.
@@ -94,14 +96,13 @@ def unwrap(docs: DataFrame, mode: str = "records", doc_col: str = "doc", keep=No
     if mode in ("records", "array"):
         # ``data`` if the document is an object holding it (even as null), else the document
         s1 = docs.select(*keep, doc.alias("_doc"), J.get(doc, "data").alias("_data"))
-        extra = [message_code_error("_doc").alias("_err")] if mode == "array" else []
-        s2 = s1.select(*keep, F.coalesce("_data", "_doc").alias("_d"), *extra)
-        s3 = s2.select(*keep, "_d", J.as_array("_d").alias("_arr"), *(["_err"] if extra else []))
+        s2 = s1.select(*keep, F.coalesce("_data", "_doc").alias("_d"))
+        s3 = s2.select(*keep, "_d", J.as_array("_d").alias("_arr"))
         if mode == "records":
             cand = F.coalesce(F.col("_arr"),
                               F.when(J.is_object("_d") & J.nonempty_object("_d"), F.array("_d")))
         else:
-            cand = F.when(~F.col("_err"), F.col("_arr"))
+            cand = F.col("_arr")
     elif mode == "first":
         s1 = docs.select(*keep, doc.alias("_doc"), J.get(doc, "data").alias("_data"),
                          J.is_object(doc).alias("_obj"))
@@ -128,12 +129,11 @@ def unwrap(docs: DataFrame, mode: str = "records", doc_col: str = "doc", keep=No
 
 
 def object_counts(docs: DataFrame, doc_col: str = "doc", keep=None) -> DataFrame:
-    """Per array payload (``data`` array or array document, errors skipped):
-    elements seen, object elements kept and elements dropped."""
+    """Per array payload (``data`` array or array document): elements seen,
+    object elements kept and elements dropped."""
     keep = [c for c in (keep if keep is not None else docs.columns) if c != doc_col]
-    s1 = docs.select(*keep, F.col(doc_col).alias("_doc"), J.get(doc_col, "data").alias("_data"),
-                     message_code_error(doc_col).alias("_err"))
-    with_arr = (s1.select(*keep, F.when(~F.col("_err"), J.as_array(F.coalesce("_data", "_doc"))).alias("_arr"))
+    s1 = docs.select(*keep, F.col(doc_col).alias("_doc"), J.get(doc_col, "data").alias("_data"))
+    with_arr = (s1.select(*keep, J.as_array(F.coalesce("_data", "_doc")).alias("_arr"))
                   .where(F.col("_arr").isNotNull()))
     objects = F.size(F.filter("_arr", lambda e: J.is_object(e)))
     return with_arr.select(*keep, F.size("_arr").alias("elements"),

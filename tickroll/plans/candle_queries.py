@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -104,11 +102,18 @@ s_{n} AS (
 @query("rollup_counts", _counts_sql())
 def q_rollup_counts(spark, sf_dir):
     c3 = T.candles_3m(spark, sf_dir)
-    outs = []
-    for n in ROLLUP_INTERVALS:
-        rr = RunRange.resolve(interval_ms(n), COUNTS_RUN, LOOKBACK_DAYS[n])
-        outs.append(C.rollup_counts(spark, c3, n, rr))
-    return reduce(DataFrame.unionByName, outs)
+    ranges = {n: RunRange.resolve(interval_ms(n), COUNTS_RUN, LOOKBACK_DAYS[n]) for n in ROLLUP_INTERVALS}
+    return C.rollup_counts(spark, c3, ranges)
+
+
+SMALL_SQL = with_(C3) + ", small AS (SELECT * REPLACE (volume / 1000 AS volume) FROM c3)"
+
+
+@query("ohlcv_small_volumes", SMALL_SQL + rollup_cte("r", "small", interval_ms("1h")) + f"\nSELECT {CANDLE_COLS} FROM r")
+def q_ohlcv_small_volumes(spark, sf_dir):
+    """Hourly candles whose volumes have five decimals."""
+    c3 = T.candles_3m(spark, sf_dir)
+    return C.rollup(c3.withColumn("volume", F.col("volume") / 1000), interval_ms("1h")).select(*C.CANDLE_COLUMNS)
 
 
 @query("ohlcv_7d_cascade", with_(C3, rollup_cte("r", "c3", interval_ms("7d"))) + f"\nSELECT {CANDLE_COLS} FROM r")

@@ -99,7 +99,18 @@ def q_checkpoint_next(spark, sf_dir):
 
 @query("ingest_candle_pages", with_(C3) + f"\nSELECT {CANDLE_COLS} FROM c3")
 def q_ingest_candle_pages(spark, sf_dir):
-    return L.candle_pages(T.landed_candle_pages(spark, sf_dir)).select(*C.CANDLE_COLUMNS)
+    """Candles of pages with text numbers, short rows and bad JSON: no good row is lost."""
+    return L.candle_pages(T.dirty_candle_pages(spark, sf_dir)).select(*C.CANDLE_COLUMNS)
+
+
+@query("page_rejects", with_(C3) + """,
+d AS (SELECT DISTINCT symbol, exchange, timestamp // 86400000 AS day FROM c3)
+SELECT symbol, exchange, 'short_row' AS reason, count(*) AS n FROM d WHERE day % 4 = 1 GROUP BY ALL
+UNION ALL SELECT symbol, exchange, 'no_time', count(*) FROM d WHERE day % 4 = 1 GROUP BY ALL
+UNION ALL SELECT symbol, exchange, 'bad_json', count(*) FROM d WHERE day % 4 = 2 GROUP BY ALL""")
+def q_page_rejects(spark, sf_dir):
+    """What can't be used in those pages, by pair and reason."""
+    return L.page_rejects(T.dirty_candle_pages(spark, sf_dir))
 
 
 # Candle upsert: the stored table was written while the 12:00 candle of

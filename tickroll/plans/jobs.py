@@ -1,9 +1,10 @@
 """Scheduled batch jobs: what an external scheduler calls per run.
 
 ``rollup_job``      one rollup run: resolve the range, roll up, merge into
-                    the day-partitioned target, report candles per slice.
+                    the day-partitioned target, report candles written per slice.
 ``candle_sync_job`` one incremental ingest run over landed pages: pairs,
                     resume points, new rows, candles first, checkpoints second.
+``load_job``        one run of a named table load into its stored table.
 """
 
 from __future__ import annotations
@@ -13,46 +14,92 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickroll.functions.timefn import BATCH_DAYS, LOOKBACK_DAYS, RunRange, interval_ms
+from tickroll.functions.timefn import BATCH_DAYS, DAY_MS, LOOKBACK_DAYS, RunRange, interval_ms
 from tickroll.operators import candles as C
 from tickroll.operators import incremental as I
-from tickroll.sources.keyed_table import DayPartitionedTable, KeyedTable
-from tickroll.sources.landed import candle_pages
+from tickroll.operators import merge as M
+from tickroll.plans import loads as LD
+from tickroll.session import stage
+from tickroll.sources.keyed_table import KeyedTable
+from tickroll.sources.landed import decode_pages
+from tickroll.streaming.ingest import CHECKPOINT_SCHEMA, ingest_batch
 
-CHECKPOINT_SCHEMA = "symbol string, exchange string, timeframe string, last_ts_ms long, updated_at string"
 
-
-def rollup_job(spark: SparkSession, source: DataFrame, target: DayPartitionedTable, interval: str,
+def rollup_job(spark: SparkSession, source: DataFrame | KeyedTable, target: KeyedTable, interval: str,
                run_time: str | datetime, conf: dict | None = None) -> DataFrame:
     """Roll ``source`` (3m candles) up to ``interval`` over the run's range.
 
     The whole range is aggregated at once and merged into the target (only
-    the touched days are rewritten). Returns candles written per report
-    slice, read back from the target, so the report does not recompute the
-    rollup.
+    the touched days). A ``KeyedTable`` source opens the range's days only.
+    Returns candles written (inserted and updated) per report slice, counted
+    on the staged batch of the merge.
     """
     bms = interval_ms(interval)
     rr = RunRange.from_conf(bms, run_time, LOOKBACK_DAYS[interval], conf)
-    target.merge(C.rollup(source, bms, rr).select(*C.CANDLE_COLUMNS), "update")
-    written = target.read().where((F.col("timestamp") >= rr.start_ms) & (F.col("timestamp") < rr.end_ms))
+    if isinstance(source, KeyedTable):
+        source = source.read(days=(rr.start_ms // DAY_MS, (rr.end_ms - 1) // DAY_MS))
+    written = target.merge(C.stored(C.rollup(source, bms, rr)), "update", unique=True)
     return C.slice_counts(spark, written, interval, rr, BATCH_DAYS.get(interval))
 
 
 def candle_sync_job(spark: SparkSession, meta: DataFrame, landed_pages: DataFrame,
-                    candles: DayPartitionedTable, checkpoints: KeyedTable, now_ms: int,
-                    since_days: int | None, timeframe: str = "3m",
-                    updated_at: str | None = None) -> None:
+                    candles: KeyedTable, checkpoints: KeyedTable, now_ms: int,
+                    since_days: int | None, timeframe: str = "3m", updated_at: str | None = None,
+                    rejects: KeyedTable | None = None) -> None:
     """One ingest run: every pair at once, data first, checkpoints second.
 
-    A crash between the two steps repeats data on the next run (the merge
-    absorbs it) but never skips any.
+    ``landed_pages`` has the UTC day of each page in ``page_seq``; pages of
+    days before the pair's resume point are left out before they are decoded,
+    and what is left is decoded once. A crash between the two steps repeats
+    data on the next run (the merge absorbs it) but never skips any.
     """
     pairs = I.explode_pairs(meta, on_empty="error")
     old = checkpoints.read()
     if old is None:
         old = spark.createDataFrame([], CHECKPOINT_SCHEMA)
-    since = I.since_per_pair(pairs, old, timeframe, now_ms=now_ms, since_days=since_days)
-    new_rows = I.incremental_new_rows(candle_pages(landed_pages), since).select(*C.CANDLE_COLUMNS)
-    candles.merge(new_rows, "update")
+    since = stage(I.since_per_pair(pairs, old, timeframe, now_ms=now_ms, since_days=since_days), "since")
+    # one bound for all pairs reaches the scan of the pages, the pair's own comes with the join
+    first = since.agg(F.count(F.when(F.col("since_ms").isNull(), 1)).alias("open"), F.min("since_ms").alias("least")).first()
+    if not first["open"] and first["least"] is not None:
+        landed_pages = landed_pages.where(F.col("page_seq") >= F.lit(first["least"] // DAY_MS))
+    pages = landed_pages.join(since, list(I.PAIR_KEYS)).where(
+        F.col("since_ms").isNull() | (F.col("page_seq") >= F.expr(f"since_ms div {DAY_MS}")))
+    decoded = decode_pages(pages, keep=["page_seq", "since_ms"])
+    new = decoded.where(F.col("since_ms").isNull() | F.col("reject").isNotNull()
+                        | (F.col("timestamp") >= F.col("since_ms"))).drop("since_ms")
     stamp = updated_at or datetime.fromtimestamp(now_ms / 1000, tz=timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
-    checkpoints.commit(I.checkpoint_next(old, new_rows, timeframe, stamp))
+    ingest_batch(spark, new, candles, checkpoints, None, timeframe, stamp, rejects)
+
+
+def load_job(spark: SparkSession, name: str, landed: DataFrame, table: KeyedTable, *, codes: DataFrame | None = None,
+             companies: DataFrame | None = None, columns=None, policy: str = "update", listings=None,
+             run_date: str | None = None, lookback_days: int | None = None, truncate: bool = False,
+             on_error: str = "fail") -> DataFrame:
+    """One run of a named load: landed payloads -> records -> keyed write. Returns the rows written.
+
+    ``name`` is one of ``loads.TABLES``. ``truncate`` replaces the stored
+    table by the batch (also an empty one); otherwise the batch is merged
+    under the load's policy (inserts are appended).
+    """
+    if name == "stock_list":
+        batch = LD.stock_list_records(landed, listings)
+        M.check_empty(batch, "error")
+    elif name == "basic_info":
+        batch = LD.basic_info_records(landed, codes)
+    elif name == "vn_eod":
+        batch = LD.vn_eod_records(landed, codes, run_date, lookback_days)
+    elif name == "fin_indicators":
+        batch = LD.fin_records(landed, columns, codes)
+    elif name == "global_eod":
+        batch = LD.global_eod_records(landed, companies, run_date, lookback_days)
+    elif name == "global_metrics":
+        batch = LD.global_metrics_records(landed, on_error)
+    else:
+        raise ValueError(f"unknown load {name!r}: one of {sorted(LD.TABLES)}")
+    keys, own = LD.TABLES[name]
+    policy = own or policy
+    if truncate:
+        rows = stage(M.truncate_load(batch, keys, "_seq"), "load-batch")
+        table.replace(rows)
+        return rows
+    return table.merge(batch, policy, order="_seq")

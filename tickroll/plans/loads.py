@@ -2,18 +2,19 @@
 
 Each load is one lazy plan over all landed payloads of a run (the
 per-key request loop, chunks of 400 and throttling of the original are
-replaced by partitions). A load returns the new table as a DataFrame;
-``tickroll.sources.keyed_table`` persists it as a new version.
+replaced by partitions). ``load_*`` returns the new table as a DataFrame;
+``tickroll.plans.jobs.load_job`` writes a run into the stored table.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickroll.functions.timefn import normalize_ts_day
 from tickroll.operators import merge as M
-from tickroll.operators.joins import broadcast_if_small
 from tickroll.operators import payload as P
 from tickroll.operators.mapping import ColumnSpec, fill_falsy, map_columns, specs_from_config
 from tickroll.sources.landed import parse_payloads
@@ -69,6 +70,13 @@ GLOBAL_METRICS_COUNT = 2
 EOD_LOOKBACK_DAYS = 3
 # ------------------------------------------------------- end fixed values
 
+# Conflict keys and fixed write policy of each load (None: the caller chooses).
+TABLES = {
+    "stock_list": (STOCK_LIST_KEYS, "update"), "basic_info": (BASIC_INFO_KEYS, "update"),
+    "vn_eod": (VN_EOD_KEYS, "nothing"), "fin_indicators": (FIN_KEYS, None),
+    "global_eod": (GLOBAL_EOD_KEYS, "nothing"), "global_metrics": (GLOBAL_METRICS_KEYS, "update"),
+}
+
 # Column types are ours (the original has no DDL).
 BASIC_INFO_TYPES = {c: "double" for c in ("volume_daily", "vol_tb_15ngay", "vonhoa", "dif", "dif_percent",
                                           "tong_tai_san", "soluongluuhanh", "soluongniemyet", "cophieuquy")}
@@ -91,6 +99,15 @@ GLOBAL_METRICS_SPECS = [
 ]
 
 
+def ratio_columns_from(path: str) -> list[str]:
+    """Indicator columns from a JSON file of the caller: a list of names, or an object with ``columns``."""
+    with open(path, encoding="utf-8") as f:
+        said = json.load(f)
+    names = said["columns"] if isinstance(said, dict) else said
+    fixed = ("mack", "quy", "nam")
+    return [n for n in names if n not in fixed]
+
+
 def fin_specs(ratio_columns) -> list[ColumnSpec]:
     """Identity mapping of the three keys plus the given ratio names."""
     return specs_from_config(["mack", "quy", "nam", *ratio_columns],
@@ -112,22 +129,50 @@ def _merge(target: DataFrame | None, batch: DataFrame, keys, policy: str, column
 
 # ------------------------------------------------------------------ loads
 
-def stock_list_records(landed: DataFrame) -> DataFrame:
-    """Landed (listing, seq, payload) -> mapped stock rows with ``_seq``."""
-    recs = P.unwrap(parse_payloads(landed), "list", keep=["listing", "seq"])
-    return map_columns(recs, STOCK_LIST_SPECS, keep=[record_order().alias("_seq")])
+def of_codes(landed: DataFrame, codes: DataFrame | None) -> DataFrame:
+    """Payloads of listed codes only (a semi-join on the code list); all of them without a list."""
+    return landed if codes is None else landed.join(codes.select("code"), "code", "left_semi")
+
+
+def landed_within(landed: DataFrame, run_date: str | None, days: int | None) -> DataFrame:
+    """Payloads landed for dates of the look-back; prunes at the scan if they are partitioned by ``landed_date``."""
+    if run_date is None or "landed_date" not in landed.columns:
+        return landed
+    return within_lookback(landed, "landed_date", run_date, EOD_LOOKBACK_DAYS if days is None else days)
 
 
-def load_stock_list(landed: DataFrame, target: DataFrame | None = None, on_empty: str = "error") -> DataFrame:
+def dated_within(records: DataFrame, date_col: str, run_date: str | None, days: int | None) -> DataFrame:
+    """Records of the look-back; all of them without a run date."""
+    return records if run_date is None else within_lookback(
+        records, date_col, run_date, EOD_LOOKBACK_DAYS if days is None else days)
+
+
+def stock_list_records(landed: DataFrame, listings=None) -> DataFrame:
+    """Landed (listing, seq, payload) -> mapped stock rows with ``_seq``.
+
+    ``listings`` is the configured order of the listings (later ones win);
+    others are left out. Without it the rows' ``seq`` alone decides.
+    """
+    keep, order = ["listing", "seq"], record_order()
+    if listings:
+        landed = landed.where(F.col("listing").isin(list(listings)))
+        place = F.array_position(F.array(*[F.lit(x) for x in listings]), F.col("listing"))
+        order = place.cast("decimal(38,0)") * F.lit(str(10**28)).cast("decimal(38,0)") + order
+    recs = P.unwrap(parse_payloads(landed), "list", keep=keep)
+    return map_columns(recs, STOCK_LIST_SPECS, keep=[order.alias("_seq")])
+
+
+def load_stock_list(landed: DataFrame, target: DataFrame | None = None, on_empty: str = "error",
+                    listings=None) -> DataFrame:
     """Union of all listings in order; upsert by code (last listing wins)."""
-    batch = stock_list_records(landed)
+    batch = stock_list_records(landed, listings)
     if on_empty == "error":
         M.check_empty(batch, "error")
     return _merge(target, batch, STOCK_LIST_KEYS, "update", STOCK_LIST_COLUMNS)
 
 
-def basic_info_records(landed: DataFrame) -> DataFrame:
-    recs = P.unwrap(parse_payloads(landed), "first", keep=["code", "seq"])
+def basic_info_records(landed: DataFrame, codes: DataFrame | None = None) -> DataFrame:
+    recs = P.unwrap(parse_payloads(of_codes(landed, codes)), "first", keep=["code", "seq"])
     return map_columns(recs, BASIC_INFO_SPECS, keep=[record_order().alias("_seq")])
 
 
@@ -135,20 +180,22 @@ def load_basic_info(landed: DataFrame, target: DataFrame | None = None) -> DataF
     return _merge(target, basic_info_records(landed), BASIC_INFO_KEYS, "update", BASIC_INFO_COLUMNS)
 
 
-def vn_eod_records(landed: DataFrame, codes: DataFrame) -> DataFrame:
-    """Payloads of listed codes only (semi-join on the code list)."""
-    listed = landed.join(broadcast_if_small(codes.select("code")), "code", "left_semi")
+def vn_eod_records(landed: DataFrame, codes: DataFrame, run_date: str | None = None,
+                   lookback_days: int | None = None) -> DataFrame:
+    """Prices of listed codes, of the look-back before ``run_date`` if one is given."""
+    listed = of_codes(landed_within(landed, run_date, lookback_days), codes)
     recs = P.unwrap(parse_payloads(listed), "array", keep=["code", "seq"])
-    return map_columns(recs, VN_EOD_SPECS, keep=[record_order().alias("_seq")])
+    rows = map_columns(recs, VN_EOD_SPECS, keep=[record_order().alias("_seq")])
+    return dated_within(rows, "ngay", run_date, lookback_days)
 
 
 def load_vn_eod(landed: DataFrame, codes: DataFrame, target: DataFrame | None = None) -> DataFrame:
     return _merge(target, vn_eod_records(landed, codes), VN_EOD_KEYS, "nothing", VN_EOD_COLUMNS)
 
 
-def fin_records(landed: DataFrame, ratio_columns) -> DataFrame:
+def fin_records(landed: DataFrame, ratio_columns, codes: DataFrame | None = None) -> DataFrame:
     """Records with a falsy ``mack`` get the request code."""
-    recs = P.unwrap(parse_payloads(landed), "records", keep=["code", "seq"])
+    recs = P.unwrap(parse_payloads(of_codes(landed, codes)), "records", keep=["code", "seq"])
     return map_columns(recs, fin_specs(ratio_columns), keep=[record_order().alias("_seq")],
                        overrides={"mack": fill_falsy("rec", "mack", "code")})
 
@@ -166,14 +213,16 @@ def active_companies(companies: DataFrame, only_active: bool = True) -> DataFram
               .where(F.col("ticker").isNotNull() & (F.col("ticker") != "") & F.col("company_id").isNotNull()))
 
 
-def global_eod_records(landed: DataFrame, companies: DataFrame) -> DataFrame:
+def global_eod_records(landed: DataFrame, companies: DataFrame, run_date: str | None = None,
+                       lookback_days: int | None = None) -> DataFrame:
     """Array payloads per ticker joined to their company; the company's id
-    and ticker override the record's fields."""
-    dim = broadcast_if_small(active_companies(companies))
-    joined = landed.join(dim, "ticker", "inner")
-    recs = P.unwrap(parse_payloads(joined), "array", keep=["ticker", "company_id", "seq"])
-    return map_columns(recs, GLOBAL_EOD_SPECS, keep=[record_order().alias("_seq")],
+    and ticker override the record's fields. Error payloads (``message`` and
+    ``code``) give no records."""
+    joined = landed_within(landed, run_date, lookback_days).join(active_companies(companies), "ticker", "inner")
+    recs = P.unwrap(parse_payloads(joined), "array", keep=["ticker", "company_id", "seq"], skip_errors="message_code")
+    rows = map_columns(recs, GLOBAL_EOD_SPECS, keep=[record_order().alias("_seq")],
                        overrides={"company_id": F.col("company_id"), "ticker": F.col("ticker")})
+    return dated_within(rows, "date", run_date, lookback_days)
 
 
 def load_global_eod(landed: DataFrame, companies: DataFrame, target: DataFrame | None = None) -> DataFrame:
@@ -181,9 +230,12 @@ def load_global_eod(landed: DataFrame, companies: DataFrame, target: DataFrame |
                   GLOBAL_EOD_COLUMNS)
 
 
-def global_metrics_records(landed: DataFrame, on_error: str = "skip") -> DataFrame:
+def global_metrics_records(landed: DataFrame, on_error: str = "fail") -> DataFrame:
     """Quotes under data.quotes, mapped, timestamps floored to UTC midnight;
-    quotes without a usable timestamp (NULL or epoch 0) are dropped."""
+    quotes without a usable timestamp (NULL or epoch 0) are dropped.
+
+    An error payload, or one that is no JSON, fails the load; ``on_error``
+    'skip' leaves such payloads out (``payload.split_errors`` reports them)."""
     docs = parse_payloads(landed)
     if on_error == "fail":
         # the original aborts on a missing / unparsable payload and on an API error
@@ -202,7 +254,7 @@ GLOBAL_METRICS_COLUMNS = [f[0] for f in GLOBAL_METRICS_FIELDS]
 
 
 def load_global_metrics(landed: DataFrame, target: DataFrame | None = None,
-                        truncate: bool = False, on_error: str = "skip") -> DataFrame:
+                        truncate: bool = False, on_error: str = "fail") -> DataFrame:
     batch = global_metrics_records(landed, on_error)
     if truncate:
         return M.truncate_load(batch, GLOBAL_METRICS_KEYS, "_seq", GLOBAL_METRICS_COLUMNS)

@@ -23,7 +23,7 @@ def c3_cte(name: str = "c3", where: str = "TRUE") -> str:
   SELECT symbol, exchange, bucket_ts AS timestamp,
          max(price) FILTER (WHERE rn_asc = 1) AS open, max(price) AS high, min(price) AS low,
          max(price) FILTER (WHERE rn_desc = 1) AS close,
-         CAST(sum(CAST(volume AS DECIMAL(18,2))) AS DOUBLE) AS volume
+         CAST(sum(CAST(volume AS DECIMAL(38,12))) AS DOUBLE) AS volume
   FROM {name}_t GROUP BY symbol, exchange, bucket_ts)"""
 
 
@@ -43,7 +43,7 @@ def rollup_cte(name: str, source: str, bucket_ms: int, where: str = "TRUE") -> s
   SELECT symbol, exchange, bucket_ts AS timestamp,
          max(open) FILTER (WHERE rn_asc = 1) AS open, max(high) AS high, min(low) AS low,
          max(close) FILTER (WHERE rn_desc = 1) AS close,
-         CAST(sum(CAST(volume AS DECIMAL(18,2))) AS DOUBLE) AS volume
+         CAST(sum(CAST(volume AS DECIMAL(38,12))) AS DOUBLE) AS volume
   FROM {name}_r GROUP BY symbol, exchange, bucket_ts)"""
 
 
@@ -52,3 +52,4 @@ def with_(*ctes: str) -> str:
 
 
 CANDLE_COLS = "symbol, exchange, timestamp, open, high, low, close, volume"
+STORED_COLS = CANDLE_COLS + ", strftime(make_timestamp(timestamp * 1000), '%Y-%m-%d %H:%M:%S') AS datetime"

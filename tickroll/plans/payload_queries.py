@@ -13,7 +13,6 @@ from tickroll.plans import loads as LD
 from tickroll.plans.registry import query
 from tickroll.sources import testdata as T
 from tickroll.sources.landed import parse_payloads
-from tickroll.sources.tables import scan_codes
 
 
 def _customer_docs(spark, sf_dir):
@@ -192,17 +191,12 @@ FROM l WHERE rn = 1"""
 
 @query("global_metrics", METRICS_SQL)
 def q_global_metrics(spark, sf_dir):
-    return LD.load_global_metrics(T.metrics_payloads(spark, sf_dir))
-
-
-@query("truncate_load", METRICS_SQL)
-def q_truncate_load(spark, sf_dir):
-    return LD.load_global_metrics(T.metrics_payloads(spark, sf_dir), truncate=True)
+    return LD.load_global_metrics(T.metrics_payloads(spark, sf_dir), on_error="skip")
 
 
 @query("latest_n_metrics", f"SELECT * FROM ({METRICS_SQL}) ORDER BY timestamp DESC LIMIT 2")
 def q_latest_n_metrics(spark, sf_dir):
-    return LD.latest_n(LD.load_global_metrics(T.metrics_payloads(spark, sf_dir)), LD.GLOBAL_METRICS_COUNT)
+    return LD.latest_n(LD.load_global_metrics(T.metrics_payloads(spark, sf_dir), on_error="skip"), LD.GLOBAL_METRICS_COUNT)
 
 
 @query("scan_active_dim", "SELECT c_custkey AS company_id, c_name AS ticker FROM customer WHERE c_acctbal > 0")
@@ -229,7 +223,7 @@ def q_enrich_company(spark, sf_dir):
     return _date_str(r.drop("_seq"), "date")
 
 
-@query("global_eod", f"""
+GLOBAL_EOD_SQL = f"""
 WITH t AS (SELECT DISTINCT o_custkey AS company_id, 'Customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS ticker,
                   strftime(o_orderdate, '%Y-%m-%d') AS date, -1.0 AS open, CAST(NULL AS DOUBLE) AS high,
                   CAST(NULL AS DOUBLE) AS low, CAST(NULL AS DOUBLE) AS close,
@@ -241,7 +235,10 @@ b AS (SELECT * EXCLUDE (seq, rn) FROM (
       WHERE rn = 1)
 SELECT * FROM t
 UNION ALL
-SELECT b.* FROM b ANTI JOIN t USING (company_id, ticker, date)""")
+SELECT b.* FROM b ANTI JOIN t USING (company_id, ticker, date)"""
+
+
+@query("global_eod", GLOBAL_EOD_SQL)
 def q_global_eod(spark, sf_dir):
     out = LD.load_global_eod(T.global_eod_payloads(spark, sf_dir), T.companies(spark, sf_dir),
                              target=T.global_eod_target(spark, sf_dir))
@@ -280,8 +277,9 @@ EOD_RUN_DATE = "1998-08-01"
 SELECT mack, ngay, close_root FROM ({VN_SQL})
 WHERE ngay BETWEEN '1998-07-29' AND '1998-08-01'""")
 def q_eod_lookback(spark, sf_dir):
-    r = LD.vn_eod_records(T.vn_eod_payloads(spark, sf_dir), T.listed_codes(spark, sf_dir))
-    r = LD.within_lookback(r, "ngay", EOD_RUN_DATE, LD.EOD_LOOKBACK_DAYS)
+    """Prices of the run's look-back; payloads of other landing dates are not parsed."""
+    r = LD.vn_eod_records(T.vn_eod_payloads(spark, sf_dir), T.listed_codes(spark, sf_dir), EOD_RUN_DATE,
+                          LD.EOD_LOOKBACK_DAYS)
     return _date_str(r.select("mack", "ngay", "close_root"), "ngay")
 
 
@@ -302,6 +300,15 @@ def _basic_cols_sql(src: str, have: set) -> str:
     return ", ".join(out)
 
 
+def basic_info_stored(spark, sf_dir):
+    """The table as an earlier load left it, with all columns."""
+    old = T.basic_info_target(spark, sf_dir)
+    types = LD.BASIC_INFO_TYPES
+    return old.select(*[F.col(c) if c in old.columns else
+                          F.lit(None).cast("double" if types.get(c) == "double" else "string").alias(c)
+                          for c in LD.BASIC_INFO_COLUMNS])
+
+
 @query("basic_info", f"""
 WITH b AS ({BASIC_B_SQL}),
 t AS (SELECT s_name AS mack, 'old' AS ten FROM supplier WHERE s_nationkey < 10)
@@ -309,11 +316,7 @@ SELECT {_basic_cols_sql('b', {'mack', 'ten', 'vonhoa', 'san_niem_yet', 'donvikie
 UNION ALL
 SELECT {_basic_cols_sql('t', {'mack', 'ten'})} FROM t ANTI JOIN b USING (mack)""")
 def q_basic_info(spark, sf_dir):
-    old = T.basic_info_target(spark, sf_dir)
-    types = LD.BASIC_INFO_TYPES
-    target = old.select(*[F.col(c) if c in old.columns else
-                          F.lit(None).cast("double" if types.get(c) == "double" else "string").alias(c)
-                          for c in LD.BASIC_INFO_COLUMNS])
+    target = basic_info_stored(spark, sf_dir)
     return LD.load_basic_info(T.basic_info_payloads(spark, sf_dir), target=target)
 
 
@@ -337,12 +340,7 @@ FROM d WHERE rn = 1"""
 
 @query("stock_list", STOCK_SQL)
 def q_stock_list(spark, sf_dir):
-    return LD.load_stock_list(T.stock_list_payloads(spark, sf_dir))
-
-
-@query("scan_codes", f"SELECT code FROM ({STOCK_SQL})")
-def q_scan_codes(spark, sf_dir):
-    return scan_codes(LD.load_stock_list(T.stock_list_payloads(spark, sf_dir)), "code")
+    return LD.load_stock_list(T.stock_list_payloads(spark, sf_dir), listings=T.LISTING_ORDER)
 
 
 @query("load_counts", f"""

@@ -1,54 +1,69 @@
 """Registered streaming queries.
 
-Each lands its input under a fresh folder of the shared checkpoint
-directory in time-ordered slices and runs the stream once per slice
-(``availableNow``), like consecutive scheduled runs; the result is the
-keyed table the stream maintained, read back as a DataFrame.
+Each writes its input once, partitioned by slice, under a fresh folder of the
+shared checkpoint directory, lands one slice after the other and runs the
+stream once per slice (``availableNow``), like consecutive scheduled runs; the
+result is the keyed table the stream maintained, read back as a DataFrame.
 """
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickroll.functions.timefn import DAY_MS, interval_ms
-from tickroll.operators.candles import CANDLE_COLUMNS, CANDLE_KEYS
-from tickroll.plans.oracle_sql import C3, CANDLE_COLS, rollup_cte, with_
+from tickroll.operators.candles import CANDLE_KEYS, STORED_COLUMNS
+from tickroll.plans.oracle_sql import C3, STORED_COLS, rollup_cte, with_
 from tickroll.plans.registry import query
 from tickroll.session import shared_dir
 from tickroll.sources import testdata as T
-from tickroll.sources.keyed_table import DayPartitionedTable
+from tickroll.sources.keyed_table import KeyedTable
+from tickroll.sources.landed import decode_pages
 from tickroll.streaming import ingest as SI
 from tickroll.streaming import rollup as SR
 
 INGEST_CUTS_MS = [1704931200000, 1705795200000]   # 2024-01-11, 2024-01-21 (UTC)
 
 
+def _slices(df: DataFrame, number, folder: str) -> list[DataFrame]:
+    """``df`` written once by slice number; the slices in order, each a plain read."""
+    spark = df.sparkSession
+    df.withColumn("slice", number.cast("int")).write.partitionBy("slice").parquet(folder)
+    numbers = sorted(r[0] for r in spark.read.parquet(folder).select("slice").distinct().collect())
+    return [spark.read.schema(df.schema).parquet(f"{folder}/slice={n}") for n in numbers]
+
+
+def stored_rows(table: KeyedTable, schema: str = SR.STORED_SCHEMA) -> DataFrame:
+    """The stored candles, their time as text (comparable without a time zone)."""
+    rows = table.read()
+    rows = table.spark.createDataFrame([], schema) if rows is None else rows
+    return rows.withColumn("datetime", F.date_format("datetime", "yyyy-MM-dd HH:mm:ss")).select(*STORED_COLUMNS)
+
+
+def _ingest_slices(spark, sf_dir, base):
+    day = F.col("page_seq") * F.lit(DAY_MS)
+    number = F.when(day < INGEST_CUTS_MS[0], 0).when(day < INGEST_CUTS_MS[1], 1).otherwise(2)
+    return _slices(T.dirty_candle_pages(spark, sf_dir), number, f"{base}/pages")
+
+
 def _run_stream_ingest(spark, sf_dir):
     base = shared_dir(spark, "stream-ingest")
-    pages = T.landed_candle_pages(spark, sf_dir)
     candles, ckpts = SI.candle_table(spark, f"{base}/candles"), SI.checkpoint_table(spark, f"{base}/checkpoints")
-    day = F.col("page_seq") * F.lit(DAY_MS)
-    bounds = [None, *INGEST_CUTS_MS, None]
-    for lo, hi in zip(bounds[:-1], bounds[1:]):
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (day >= F.lit(lo))
-        if hi is not None:
-            cond = cond & (day < F.lit(hi))
-        # land each run as four files (by pair), like several fetchers
-        pages.where(cond).repartition(4, "symbol", "exchange").write.mode("append").parquet(f"{base}/landing")
-        # two files per micro-batch: page files of one run arrive in no
+    rejects = SI.reject_table(spark, f"{base}/rejects")
+    for pages in _ingest_slices(spark, sf_dir, base):
+        pages.write.mode("append").parquet(f"{base}/landing")
+        # a few files per micro-batch: page files of one run arrive in no
         # particular time order, so a later batch may carry older candles
         SI.run_ingest(spark, f"{base}/landing", candles, ckpts, f"{base}/_stream", "3m",
-                      updated_at="2024-01-31 00:00:00", max_files_per_trigger=2)
+                      updated_at="2024-01-31 00:00:00", max_files_per_trigger=4, rejects=rejects)
     return candles, ckpts
 
 
-@query("stream_ingest", with_(C3) + f"\nSELECT {CANDLE_COLS} FROM c3")
+@query("stream_ingest", with_(C3) + f"\nSELECT {STORED_COLS} FROM c3")
 def q_stream_ingest(spark, sf_dir):
-    """Pages land in three runs; each run upserts candles, then checkpoints."""
+    """Pages (some of them dirty) land in three runs; each run upserts candles, then checkpoints."""
     candles, _ = _run_stream_ingest(spark, sf_dir)
-    return candles.read().select(*CANDLE_COLUMNS)
+    return stored_rows(candles)
 
 
 @query("stream_checkpoints", with_(C3) + """
@@ -56,26 +71,37 @@ SELECT symbol, exchange, '3m' AS timeframe, max(timestamp) AS last_ts_ms,
        '2024-01-31 00:00:00' AS updated_at
 FROM c3 GROUP BY symbol, exchange""")
 def q_stream_checkpoints(spark, sf_dir):
-    """The checkpoint table the ingest stream advanced after each batch."""
-    _, ckpts = _run_stream_ingest(spark, sf_dir)
+    """The checkpoint table that ingest batches of clean pages advanced."""
+    base = shared_dir(spark, "stream-checkpoints")
+    candles, ckpts = SI.candle_table(spark, f"{base}/candles"), SI.checkpoint_table(spark, f"{base}/checkpoints")
+    T.landed_candle_pages(spark, sf_dir).write.parquet(f"{base}/landing")
+    SI.run_ingest(spark, f"{base}/landing", candles, ckpts, f"{base}/_stream", "3m", updated_at="2024-01-31 00:00:00")
     return ckpts.read().select("symbol", "exchange", "timeframe", "last_ts_ms", "updated_at")
 
 
-@query("stream_ohlcv_1h", with_(C3, rollup_cte("r", "c3", interval_ms("1h"))) + f"\nSELECT {CANDLE_COLS} FROM r")
+@query("stream_replay", with_(C3) + f"\nSELECT {STORED_COLS} FROM c3")
+def q_stream_replay(spark, sf_dir):
+    """Batches 1, 2, then 2 again (as after a crash), then 3, which also lands the pages of batch 2 once more."""
+    base = shared_dir(spark, "stream-replay")
+    candles, ckpts = SI.candle_table(spark, f"{base}/candles"), SI.checkpoint_table(spark, f"{base}/checkpoints")
+    parts = _ingest_slices(spark, sf_dir, base)
+    if not parts:
+        return stored_rows(candles)
+    second = parts[min(1, len(parts) - 1)]
+    for version, pages in [(1, parts[0]), (2, second), (2, second), (3, parts[-1].unionByName(second))]:
+        SI.ingest_batch(spark, decode_pages(pages, keep=["page_seq"]), candles, ckpts, version, "3m", "2024-01-31 00:00:00")
+    return stored_rows(candles)
+
+
+@query("stream_ohlcv_1h", with_(C3, rollup_cte("r", "c3", interval_ms("1h"))) + f"\nSELECT {STORED_COLS} FROM r")
 def q_stream_ohlcv_1h(spark, sf_dir):
     """3m candles land week by week (epoch weeks); each run rolls them up."""
     base = shared_dir(spark, "stream-1h")
-    c3 = T.candles_3m(spark, sf_dir)
-    week = F.expr(f"timestamp div {7 * DAY_MS}")
-    span = c3.agg(F.min(week).alias("lo"), F.max(week).alias("hi")).first()
-    table = DayPartitionedTable(spark, f"{base}/ohlcv_1h", CANDLE_KEYS)
-    if span["lo"] is None:
-        return spark.createDataFrame([], SR.CANDLE_SCHEMA)
-    for w in range(span["lo"], span["hi"] + 1):
-        c3.where(week == F.lit(w)).write.mode("append").parquet(f"{base}/source")
+    table = KeyedTable(spark, f"{base}/ohlcv_1h", CANDLE_KEYS, "timestamp")
+    for part in _slices(T.candles_3m(spark, sf_dir), F.expr(f"timestamp div {7 * DAY_MS}"), f"{base}/slices"):
+        part.write.mode("append").parquet(f"{base}/source")
         SR.run_rollup(spark, f"{base}/source", "1h", table, f"{base}/_stream", delay="7 days")
-    out = table.read()
-    return out.select(*CANDLE_COLUMNS) if out is not None else spark.createDataFrame([], SR.CANDLE_SCHEMA)
+    return stored_rows(table)
 
 
 # late-data run: x2 candles of Jan 1-5 and of Jan 28 12:00 - Jan 30 arrive
@@ -87,16 +113,16 @@ LATE_SPLIT = 1705708800000        # 2024-01-20T00:00:00Z
 
 @query("stream_late_data", with_(C3, rollup_cte(
     "r", "c3", interval_ms("15m"), f"NOT (exchange = 'x2' AND timestamp < {LATE_FAR_END})"))
-    + f"\nSELECT {CANDLE_COLS} FROM r")
+    + f"\nSELECT {STORED_COLS} FROM r")
 def q_stream_late_data(spark, sf_dir):
+    """Candles later than the watermark are dropped, those within it are not."""
     base = shared_dir(spark, "stream-late")
-    c3 = T.candles_3m(spark, sf_dir)
     ts = F.col("timestamp")
     late = (F.col("exchange") == "x2") & ((ts < F.lit(LATE_FAR_END))
                                           | ((ts >= F.lit(LATE_NEAR[0])) & (ts < F.lit(LATE_NEAR[1]))))
-    runs = [c3.where(~late & (ts < F.lit(LATE_SPLIT))), c3.where(~late & (ts >= F.lit(LATE_SPLIT))), c3.where(late)]
-    table = DayPartitionedTable(spark, f"{base}/ohlcv_15m", CANDLE_KEYS)
-    for part in runs:
+    number = F.when(late, 2).when(ts < F.lit(LATE_SPLIT), 0).otherwise(1)
+    table = KeyedTable(spark, f"{base}/ohlcv_15m", CANDLE_KEYS, "timestamp")
+    for part in _slices(T.candles_3m(spark, sf_dir), number, f"{base}/slices"):
         part.write.mode("append").parquet(f"{base}/source")
         SR.run_rollup(spark, f"{base}/source", "15m", table, f"{base}/_stream")
-    return table.read().select(*CANDLE_COLUMNS)
+    return stored_rows(table)

@@ -9,7 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # SQL settings applied to any session handed to the library.
 SQL_DEFAULTS = {
@@ -52,9 +52,9 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared checkpoint directory.
 
     On a cluster ``spark.checkpoint.dir`` names shared storage that every
-    executor and a restarted driver can reach; streaming checkpoints and
-    versioned tables live there. Only when it is unset (local tests) do we
-    create a local folder and register it as the checkpoint directory.
+    executor and a restarted driver can reach; streaming checkpoints, staged
+    batches and test tables live there. Where it is unset, a ``local`` master
+    (one machine, as in tests) gets a folder of its own; any other raises.
     """
     try:
         sc = spark.sparkContext
@@ -70,6 +70,9 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         except Exception:
             base = None
     if not base:
+        master = sc.master if sc is not None else "remote"
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="tickroll-ckpt-")
         if sc is not None:
             sc.setCheckpointDir(base)
@@ -78,6 +81,13 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: computed once, safe from lost executors."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for code that must touch local paths."""
     return path[5:] if path.startswith("file:") else path

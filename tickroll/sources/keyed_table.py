@@ -1,169 +1,169 @@
-"""A keyed Parquet table written as immutable versions.
+"""A keyed Parquet table: immutable unique folders and one pointer.
 
 Plain Parquet has no MERGE, and a plan must never read and overwrite the
-same path. Each merge therefore writes the merged table to a new version
-folder ``<path>/v=<n>``; after the write job has committed, a one-row
-marker ``<path>/commits/c<n>`` is written, and readers take the highest
-version that has a marker (a version whose write failed is never seen). Writing version ``n`` again (a replayed streaming batch) simply
-overwrites it, so replays are idempotent. Old versions can be removed by
-the caller's retention job.
+same path. Every write of this table goes to new folders
+``data/day=<day>/attempt=<unique>``; a *version* then lists the (day,
+attempt) folders that make up the table. Readers take the highest version
+whose listing is complete, so a write that fails, is repeated or races with a
+reader leaves the table as it was. Nothing is ever overwritten: a streaming
+batch that is replayed with its version number merges into the version before
+it and lists new folders.
+
+A merge reads and writes the days of its batch only. Tables without a time
+column have one day, 0. Listings older than the last ``KEEP`` versions, and
+the folders that only they name, are deleted after a write. One writer at a
+time is assumed (the scheduler's or the stream's).
 
 Where a table format with MERGE (Delta, Iceberg) is available, use its
-``MERGE INTO`` instead; the merge semantics in ``tickroll.operators.merge``
-are the same.
+``MERGE INTO`` instead; the semantics in ``tickroll.operators.merge`` are the
+same.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+import json
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql import types as T
 
 from tickroll.operators import merge as M
+from tickroll.session import stage
+
+KEEP = 20
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"     # Spark's folder name for a NULL partition value
+LISTING = "day string, attempt string, schema string"
+
 
 class KeyedTable:
-    def __init__(self, spark: SparkSession, path: str, keys, partition_by=None):
+    def __init__(self, spark: SparkSession, path: str, keys, ts_col: str | None = None, keep: int = KEEP):
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = list(keys)
-        self.partition_by = list(partition_by or [])
+        self.ts_col = ts_col
+        self.keep = keep
 
-    def _commits(self) -> DataFrame | None:
-        try:
-            return (self.spark.read.schema("version long").option("recursiveFileLookup", "true")
-                        .parquet(f"{self.path}/commits"))
-        except AnalysisException:
-            return None
+    # ------------------------------------------------------------ listings
+    def _files(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+
+    def _names(self) -> list[str]:
+        """Complete listings, oldest first (a folder name each; at most a few more than ``keep``)."""
+        fs, root = self._files(f"{self.path}/versions")
+        if not fs.exists(root):
+            return []
+        names = [s.getPath().getName() for s in fs.listStatus(root)]
+        return sorted(n for n in names if fs.exists(self._files(f"{self.path}/versions/{n}/_SUCCESS")[1]))
 
     def versions(self) -> list[int]:
-        """All committed versions (for inspection; readers use ``current``)."""
-        c = self._commits()
-        return [] if c is None else sorted({r["version"] for r in c.select("version").collect()})
+        """Version numbers that can be read."""
+        return sorted({int(n.split("-")[0]) for n in self._names()})
 
     def current(self, before: int | None = None) -> int | None:
-        """Highest committed version (below ``before`` when given): one row."""
-        c = self._commits()
-        if c is None:
-            return None
-        if before is not None:
-            c = c.where(F.col("version") < F.lit(before))
-        return c.agg(F.max("version").alias("v")).first()["v"]
-
-    def version_path(self, version: int) -> str:
-        return f"{self.path}/v={version:012d}"
+        """Highest version (below ``before`` when given)."""
+        return max((v for v in self.versions() if before is None or v < before), default=None)
 
-    def read(self, version: int | None = None) -> DataFrame | None:
-        v = self.current() if version is None else version
-        if v is None:
-            return None
-        return self.spark.read.parquet(self.version_path(v))
-
-    def commit(self, df: DataFrame, version: int | None = None) -> int:
+    def _listing(self, version: int | None) -> tuple[list[tuple[str, str]], T.StructType | None]:
+        """((day, attempt) pairs, schema) of a version; of several attempts at one, the last name's."""
         if version is None:
-            cur = self.current()
-            version = 1 if cur is None else cur + 1
-        w = df.write.mode("overwrite")
-        if self.partition_by:
-            w = w.partitionBy(*self.partition_by)
-        w.parquet(self.version_path(version))
-        (self.spark.range(1).select(F.lit(version).cast("long").alias("version"))
-             .write.mode("overwrite").parquet(f"{self.path}/commits/c{version:012d}"))
+            return [], None
+        name = [n for n in self._names() if int(n.split("-")[0]) == version][-1]
+        rows = self.spark.read.schema(LISTING).parquet(f"{self.path}/versions/{name}").collect()
+        schema = T.StructType.fromJson(json.loads(next(r["schema"] for r in rows if r["schema"])))
+        return sorted((r["day"], r["attempt"]) for r in rows if r["attempt"]), schema
+
+    def _publish(self, entries: list[tuple[str, str]], schema: T.StructType, version: int) -> None:
+        rows = [(d, a, None) for d, a in entries] + [(None, None, schema.json())]
+        self.spark.createDataFrame(rows, LISTING).coalesce(1).write.parquet(
+            f"{self.path}/versions/{version:012d}-{uuid.uuid4().hex[:8]}")
+        self._expire()
+
+    def _expire(self) -> None:
+        """Delete old listings and the folders that no kept listing names."""
+        names = self._names()
+        keep = sorted({int(n.split("-")[0]) for n in names})[-self.keep:]
+        old = [n for n in names if int(n.split("-")[0]) not in keep]
+        if not old:
+            return
+        read = lambda some: {(r["day"], r["attempt"]) for r in self.spark.read.schema(LISTING).parquet(
+            *[f"{self.path}/versions/{n}" for n in some]).where("attempt is not null").distinct().collect()}
+        gone = read(old) - read([n for n in names if n not in old])
+        for path in [*(f"data/day={d}/attempt={a}" for d, a in gone), *(f"versions/{n}" for n in old)]:
+            fs, p = self._files(f"{self.path}/{path}")
+            fs.delete(p, True)
+
+    # --------------------------------------------------------------- reads
+    def _day(self) -> Column:
+        return F.expr(f"`{self.ts_col}` div 86400000").cast("int") if self.ts_col else F.lit(0)
+
+    def _frame(self, entries: list[tuple[str, str]], schema: T.StructType) -> DataFrame:
+        if not entries:
+            empty = self.spark.createDataFrame([], schema)
+            return empty.withColumn("day", F.lit(None).cast("int")) if self.ts_col else empty
+        df = (self.spark.read.schema(schema).option("basePath", f"{self.path}/data")
+              .parquet(*[f"{self.path}/data/day={d}/attempt={a}" for d, a in entries]).drop("attempt"))
+        return df if self.ts_col else df.drop("day")
+
+    def read(self, version: int | None = None, days: tuple[int, int] | None = None) -> DataFrame | None:
+        """The table (with its ``day`` if it has a time column); ``days`` opens those folders only. None before the first write."""
+        entries, schema = self._listing(self.current() if version is None else version)
+        if schema is None:
+            return None
+        if days is not None:
+            entries = [(d, a) for d, a in entries if d != NO_DAY and days[0] <= int(d) <= days[1]]
+        return self._frame(entries, schema)
+
+    # -------------------------------------------------------------- writes
+    def _write(self, df: DataFrame) -> list[tuple[str, str]]:
+        """Write rows as a new attempt; returns its folders."""
+        attempt = "a" + uuid.uuid4().hex
+        (df.withColumn("day", self._day()).withColumn("attempt", F.lit(attempt))
+         .write.mode("append").partitionBy("day", "attempt").parquet(f"{self.path}/data"))
+        fs, pattern = self._files(f"{self.path}/data/day=*/attempt={attempt}")
+        found = fs.globStatus(pattern) or []
+        return [(s.getPath().getParent().getName()[len("day="):], attempt) for s in found]
+
+    def _next(self, version: int | None) -> int:
+        return (self.current() or 0) + 1 if version is None else version
+
+    def replace(self, df: DataFrame, version: int | None = None) -> int:
+        """The whole table anew (truncate, then load); an empty frame empties it."""
+        version = self._next(version)
+        df = df.drop("day") if self.ts_col else df
+        self._publish(self._write(df), df.schema, version)
         return version
 
-    def merge(self, batch: DataFrame, policy: str = "update", order: str | None = None,
-              keep: str | None = None, version: int | None = None, mapped=None) -> int:
-        """Merge ``batch`` into the current version and commit the result."""
-        if version is not None:
-            # a replayed version merges into the version before it
-            prior = self.current(before=version)
-            base = self.read(prior) if prior is not None else None
-        else:
-            base = self.read()
-        if base is None:
-            new = M.dedupe(batch, self.keys, order, keep or ("last" if policy == "update" else "first")) \
-                if order else batch
-            new = new.select(*[c for c in (mapped or batch.columns) if c != order])
+    def merge(self, batch: DataFrame, policy: str = "update", order: str | None = None, keep: str | None = None,
+              unique: bool = False, version: int | None = None, mapped=None) -> DataFrame:
+        """Merge ``batch`` into the version before ``version`` (the current one by default).
+
+        Rows that share a key are reduced by ``order`` first; without one the
+        caller says that keys are ``unique``. Returns the rows that the merge
+        wrote for the batch (inserted and updated), read from the staged batch.
+        """
+        M.check_policy(policy)
+        if order is None and not unique:
+            raise ValueError("merge needs an order for rows that share a key (or unique=True)")
+        version = self._next(version)
+        entries, schema = self._listing(self.current(before=version))
+        if order is not None:
+            batch = M.dedupe(batch, self.keys, order, keep or ("last" if policy == "update" else "first"))
+        columns = list(mapped) if mapped else [c for c in batch.columns if c not in (order, "day")]
+        rows = stage(batch.select(*columns), "merge-batch")
+        if schema is None:
+            self._publish(self._write(rows), rows.schema, version)
+            return rows
+        days = {NO_DAY if r[0] is None else str(r[0]) for r in rows.select(self._day().alias("d")).distinct().collect()}
+        touched = [(d, a) for d, a in entries if d in days]
+        target = self._frame(touched, schema).select(*schema.fieldNames())
+        if policy == "update":
+            merged = M.upsert_update(target, rows, self.keys, order=None)
+            entries = [e for e in entries if e not in touched] + self._write(merged)
         else:
-            new = M.upsert(base, batch, self.keys, policy, order=order,
-                           keep=keep or ("last" if policy == "update" else "first"), mapped=mapped)
-        return self.commit(new, version)
-
-
-class DayPartitionedTable:
-    """A keyed Parquet table partitioned by UTC day; merges touch only their days.
-
-    ``merge`` reads just the days present in the batch (a semi-join on the
-    partition column, so dynamic partition pruning skips every other
-    file), merges, stages the merged days under ``<path>/_staging`` and
-    then overwrites exactly those day partitions of the table with
-    ``partitionOverwriteMode=dynamic``. The table path is never read and
-    overwritten by the same plan, and the work of a merge grows with the
-    days it touches, not with the table.
-
-    A merge that fails part-way is repaired by running it again: the
-    upsert is idempotent (applying a batch twice equals applying it once).
-    The copy from staging into the table is guarded by a marker: it says
-    'staged' until the copy has committed and 'done' after, and a merge
-    that finds 'staged' first repeats the copy (the dynamic overwrite of a
-    partition deletes the old files before moving the new ones in).
-    """
-
-    def __init__(self, spark: SparkSession, path: str, keys, ts_col: str = "timestamp",
-                 day_col: str = "day"):
-        self.spark = spark
-        self.path = path.rstrip("/")
-        self.keys = list(keys)
-        self.ts_col = ts_col
-        self.day_col = day_col
-
-    def _with_day(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(self.day_col, F.expr(f"`{self.ts_col}` div 86400000").cast("int"))
-
-    def read(self) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(self.path)
-        except AnalysisException:
-            return None
-
-    def _marker(self, state: str) -> None:
-        (self.spark.range(1).select(F.lit(state).alias("state"))
-             .write.mode("overwrite").parquet(f"{self.path}/_merge_state"))
-
-    def _copy_staged(self) -> None:
-        (self.spark.read.parquet(f"{self.path}/_staging").write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic")
-             .partitionBy(self.day_col).parquet(self.path))
-        self._marker("done")
-
-    def recover(self) -> None:
-        """Finish a copy that a failed merge left half done."""
-        try:
-            state = self.spark.read.parquet(f"{self.path}/_merge_state").first()
-        except AnalysisException:
-            return
-        if state is not None and state["state"] == "staged":
-            self._copy_staged()
-
-    def merge(self, batch: DataFrame, policy: str = "update", order: str | None = None,
-              keep: str | None = None) -> None:
-        from tickroll.operators.joins import broadcast_if_small
-        keep = keep or ("last" if policy == "update" else "first")
-        self.recover()
-        # the batch feeds the day list, the joins and the write: keep it for
-        # the duration of this (eager) merge; lost blocks are recomputed
-        b = self._with_day(batch).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            current = self.read()
-            if current is None:
-                new = M.dedupe(b, self.keys, order, keep).drop(order) if order else b
-                new.write.mode("overwrite").partitionBy(self.day_col).parquet(self.path)
-                return
-            days = broadcast_if_small(b.select(self.day_col).distinct())
-            touched = current.join(days, self.day_col, "left_semi")
-            merged = M.upsert(touched, b, self.keys, policy, order=order, keep=keep)
-            merged.write.mode("overwrite").partitionBy(self.day_col).parquet(f"{self.path}/_staging")
-            self._marker("staged")
-            self._copy_staged()
-        finally:
-            b.unpersist()
+            # an insert adds folders and leaves the stored ones as they are
+            rows = stage(M.align(rows.join(target.select(*self.keys), self.keys, "left_anti"), schema), "merge-inserts")
+            entries = entries + self._write(rows)
+        self._publish(entries, schema, version)
+        return rows

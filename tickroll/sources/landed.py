@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tickroll.functions import jsonfn as J
 
 LANDED_SCHEMA = "request_key string, seq long, payload string"
-PAGE_TYPE = "array<array<double>>"
+CANDLE_FIELDS = ("open", "high", "low", "close", "volume")
 
 
 def read_landed(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -35,16 +35,41 @@ def payload_kinds(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
     return docs.withColumn("doc_kind", kind)
 
 
-def candle_pages(pages: DataFrame, payload_col: str = "payload",
-                 keys=("symbol", "exchange")) -> DataFrame:
-    """Pages of ``[[ts, o, h, l, c, v], ...]`` -> typed candle rows.
+def decode_pages(pages: DataFrame, payload_col: str = "payload", keys=("symbol", "exchange"),
+                 keep=()) -> DataFrame:
+    """Pages of ``[[ts, o, h, l, c, v], ...]`` -> one row per candle, with ``position`` and ``reject``.
 
-    Each landed page carries its pair; pages are simply concatenated, so
-    one read covers every page of every pair.
+    Fields are read one by one (numbers, or text that says a number; null
+    stays NULL), so what is wrong with one costs no other. ``reject`` names
+    why a row can't be used: ``bad_json`` (a page that is no JSON array: one
+    row for the page), ``short_row`` (no array of six values), ``no_time`` or
+    ``bad_number``; it is NULL for usable rows. An empty array gives no rows.
     """
-    rows = pages.select(*keys, F.explode(F.from_json(payload_col, PAGE_TYPE)).alias("r"))
-    return rows.select(*keys,
-                       F.col("r")[0].cast("long").alias("timestamp"),
-                       F.col("r")[1].alias("open"), F.col("r")[2].alias("high"),
-                       F.col("r")[3].alias("low"), F.col("r")[4].alias("close"),
-                       F.col("r")[5].alias("volume"))
+    rows = J.as_array(J.parse(payload_col))
+    each = pages.select(*keys, *keep, F.posexplode_outer(
+        F.coalesce(rows, F.array(F.lit(None).cast("variant")))).alias("position", "_row"), rows.isNull().alias("_bad"))
+    each = each.where(F.col("position").isNotNull()).select(
+        *keys, *keep, "position", "_bad", J.as_array("_row").alias("_f"))
+    field = lambda i: F.get("_f", F.lit(i))
+    text = lambda i: F.try_variant_get(field(i), "$", "string")
+    values = [F.try_variant_get(field(i + 1), "$", "string").try_cast("double").alias(c) for i, c in enumerate(CANDLE_FIELDS)]
+    each = each.select(*keys, *keep, "position", "_bad", F.coalesce(F.size("_f"), F.lit(0)).alias("_n"),
+                       text(0).try_cast("decimal(20,0)").try_cast("long").alias("timestamp"), *values,
+                       F.array(*[text(i + 1) for i in range(len(CANDLE_FIELDS))]).alias("_texts"))
+    unread = [F.col(c).isNull() & F.get("_texts", F.lit(i)).isNotNull() for i, c in enumerate(CANDLE_FIELDS)]
+    unread = unread[0] | unread[1] | unread[2] | unread[3] | unread[4]
+    reject = (F.when(F.col("_bad"), F.lit("bad_json")).when(F.col("_n") < 6, F.lit("short_row"))
+              .when(F.col("timestamp").isNull(), F.lit("no_time")).when(unread, F.lit("bad_number")))
+    return each.withColumn("reject", reject).drop("_bad", "_n", "_texts")
+
+
+def candle_pages(pages: DataFrame, payload_col: str = "payload",
+                 keys=("symbol", "exchange"), keep=()) -> DataFrame:
+    """The usable candles of all pages of all pairs (see ``decode_pages``)."""
+    return decode_pages(pages, payload_col, keys, keep).where("reject is null").drop("reject", "position")
+
+
+def page_rejects(pages: DataFrame, payload_col: str = "payload", keys=("symbol", "exchange")) -> DataFrame:
+    """Unusable rows per pair and reason."""
+    return (decode_pages(pages, payload_col, keys).where("reject is not null")
+            .groupBy(*keys, F.col("reject").alias("reason")).agg(F.count(F.lit(1)).alias("n")))

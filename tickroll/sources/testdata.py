@@ -127,6 +127,21 @@ def landed_candle_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
               .agg(F.to_json(F.array_sort(F.collect_list(row))).alias("payload")))
 
 
+def dirty_candle_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The candle pages as fetchers may land them, by day number modulo 4.
+
+    0: the volumes are text; 1: a row of three values and one without a time
+    are added; 2: the page is landed twice, first cut off; 3: clean.
+    """
+    pages = landed_candle_pages(spark, sf_dir)
+    kind = F.pmod("page_seq", F.lit(4))
+    text = F.regexp_replace("payload", r",([0-9.E+-]+)\]", r',"$1"]')
+    extra = F.concat(F.regexp_replace("payload", r"\]$", ""), F.lit(",[1,2,3],[null,1,2,3,4,5]]"))
+    good = pages.withColumn("payload", F.when(kind == 0, text).when(kind == 1, extra).otherwise(F.col("payload")))
+    cut = pages.where(kind == 2).withColumn("payload", F.expr("left(payload, length(payload) - 2)"))
+    return good.unionByName(cut)
+
+
 # --------------------------------------------------------- payload inputs
 def _wrap(shape_col, rec, shapes: dict) -> "F.Column":
     """Envelope text per shape number; ``{r}`` stands for the record JSON."""
@@ -270,7 +285,8 @@ def global_eod_target(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # VN EOD prices: one payload per line item, shape by l_linenumber % 3
-VN_EOD_SHAPES = {0: '{"data":[{r}]}', 1: '[{r},"x"]', 2: '{"data":{r}}'}
+# (shape 0 says message and code beside good data)
+VN_EOD_SHAPES = {0: '{"code":200,"message":"success","data":[{r}]}', 1: '[{r},"x"]', 2: '{"data":{r}}'}
 
 
 def vn_eod_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -284,6 +300,7 @@ def vn_eod_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                              F.col("l_discount").alias("changedratio"),
                              F.lit("2024-01-01").alias("created_at")))
     return li.select(code.alias("code"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"),
+                     F.to_date("l_shipdate").alias("landed_date"),
                      _wrap(F.pmod("l_linenumber", F.lit(3)), rec, VN_EOD_SHAPES).alias("payload"))
 
 
@@ -316,6 +333,12 @@ def basic_info_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.where(F.col("s_nationkey") < 10).select(F.col("s_name").alias("mack"), F.lit("old").alias("ten"))
 
 
+def supplier_codes(spark: SparkSession, sf_dir: str, prefix: str | None = None) -> DataFrame:
+    """Codes of the suppliers with a balance above zero: their names, or ``prefix`` and their keys."""
+    s = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_name", "s_acctbal"]).where("s_acctbal > 0")
+    return s.select((F.concat(F.lit(prefix), F.col("s_suppkey").cast("string")) if prefix else F.col("s_name")).alias("code"))
+
+
 # financial indicators: one payload per line item
 FIN_SHAPES = {0: '{"data":[{r},"junk"]}', 1: '{"data":{r}}', 2: '{r}', 3: '[{r}]'}
 FIN_RATIOS = [f"ratio_{i:02d}" for i in range(1, 21)]
@@ -342,9 +365,9 @@ def fin_payloads(spark: SparkSession, sf_dir: str, wide_names=None) -> DataFrame
                      _wrap(F.pmod("l_linenumber", F.lit(4)), rec, FIN_SHAPES).alias("payload"))
 
 
-# stock listings: HOSE, HNX, UPCOM in configured order
-LISTINGS = [("HOSE", 1, ["AUTOMOBILE", "BUILDING"]), ("HNX", 2, ["FURNITURE", "HOUSEHOLD"]),
-            ("UPCOM", 3, ["MACHINERY"])]
+# stock listings: HOSE, HNX, UPCOM; the configured order is an argument of the load
+LISTINGS = [("UPCOM", ["MACHINERY"]), ("HOSE", ["AUTOMOBILE", "BUILDING"]), ("HNX", ["FURNITURE", "HOUSEHOLD"])]
+LISTING_ORDER = ["HOSE", "HNX", "UPCOM"]
 LIST_SHAPES = {0: '[{r}]', 1: '{"data":null}', 2: '{"data":[{r}]}', 3: '{"data":[{r}]}', 4: '{"data":[{r}]}'}
 
 
@@ -353,7 +376,7 @@ def stock_list_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     with a negative balance, so those codes repeat across listings."""
     c = read_table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_acctbal", "c_mktsegment"])
     parts = []
-    for name, order, segs in LISTINGS:
+    for name, segs in LISTINGS:
         cond = F.col("c_mktsegment").isin(segs)
         if name == "UPCOM":
             cond = cond | (F.col("c_acctbal") < 0)
@@ -361,7 +384,7 @@ def stock_list_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  F.concat("c_name", F.lit(" JSC")).alias("fullname_vi"),
                                  F.col("c_mktsegment").alias("loaidn"), F.lit(name).alias("san")))
         parts.append(c.where(cond).select(
-            F.lit(name).alias("listing"), (F.lit(order * 10**12) + F.col("c_custkey")).alias("seq"),
+            F.lit(name).alias("listing"), F.col("c_custkey").alias("seq"),
             _wrap(F.pmod("c_custkey", F.lit(5)), rec, LIST_SHAPES).alias("payload")))
     out = parts[0]
     for p in parts[1:]:

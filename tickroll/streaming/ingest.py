@@ -1,48 +1,63 @@
 """Incremental candle ingest as a Structured Streaming job.
 
-Landed candle pages arrive as files; each micro-batch is upserted into the
-day-partitioned candle table (data first, only the days it touches are
-rewritten) and then advances the per-pair checkpoint table (checkpoint
-second, a small versioned table keyed by the batch id). A batch replayed
-after a failure re-applies an idempotent upsert and rewrites the same
-checkpoint version from the same prior state, so the result is
-exactly-once. The stream's own progress
-lives in ``checkpoint_location`` on shared storage.
+Landed candle pages arrive as files; each micro-batch is decoded once,
+upserted into the day-partitioned candle table (data first, only the days it
+touches) and then advances the per-pair checkpoint table (checkpoint second).
+Both tables are versioned by the batch id: a batch replayed after a failure
+merges into the versions before it and lists new folders, so the result is
+the same however often it runs. The stream's own progress lives in
+``checkpoint_location`` on shared storage.
+
+Rows that can't be used are counted in a reject table, and the checkpoint of
+a pair with such rows does not advance in that batch, so a page that is landed
+again in good form is not taken for an old one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickroll.operators.candles import CANDLE_COLUMNS, CANDLE_KEYS
-from tickroll.operators.incremental import CHECKPOINT_KEYS, checkpoint_next
-from tickroll.sources.keyed_table import DayPartitionedTable, KeyedTable
-from tickroll.sources.landed import candle_pages
+from tickroll.operators.candles import CANDLE_KEYS, stored
+from tickroll.operators.incremental import CHECKPOINT_KEYS, PAIR_KEYS, checkpoint_next
+from tickroll.session import stage
+from tickroll.sources.keyed_table import KeyedTable
+from tickroll.sources.landed import decode_pages
 
 PAGE_SCHEMA = "symbol string, exchange string, page_seq long, payload string"
 CHECKPOINT_SCHEMA = "symbol string, exchange string, timeframe string, last_ts_ms long, updated_at string"
+REJECT_KEYS = ("symbol", "exchange", "page_seq", "position")
 
 
-def ingest_batch(spark: SparkSession, rows: DataFrame, candles: DayPartitionedTable, checkpoints: KeyedTable,
-                 version: int, timeframe: str = "3m", updated_at: str | None = None) -> None:
-    """Upsert one batch of candle rows, then advance the checkpoints."""
-    rows = rows.select(*CANDLE_COLUMNS).persist()
-    try:
-        candles.merge(rows, "update")
-        old = checkpoints.read()
-        if old is None:
-            old = spark.createDataFrame([], CHECKPOINT_SCHEMA)
-        stamp = F.lit(updated_at) if updated_at else F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")
-        nxt = checkpoint_next(old, rows, timeframe, stamp)
-        checkpoints.commit(nxt, version)
-    finally:
-        rows.unpersist()
+def row_order() -> Column:
+    """Order of rows that share a key: later pages win, then later rows of a page."""
+    return F.col("page_seq").cast("decimal(20,0)") * F.lit(10**9).cast("decimal(10,0)") + F.col("position")
 
 
-def run_ingest(spark: SparkSession, landing_dir: str, candles: DayPartitionedTable, checkpoints: KeyedTable,
+def ingest_batch(spark: SparkSession, decoded: DataFrame, candles: KeyedTable, checkpoints: KeyedTable,
+                 version: int | None, timeframe: str = "3m", updated_at: str | None = None,
+                 rejects: KeyedTable | None = None) -> None:
+    """Upsert one batch of decoded rows (with ``page_seq``), then advance the checkpoints.
+
+    ``version`` numbers the batch in both tables; None takes the next number.
+    """
+    decoded = stage(decoded, "ingest-batch")
+    usable = decoded.where("reject is null").withColumn("_seq", row_order())
+    candles.merge(stored(usable, "_seq"), "update", order="_seq", version=version)
+    bad = decoded.where("reject is not null")
+    if rejects is not None:
+        rejects.merge(bad.select(*REJECT_KEYS, "reject"), "update", unique=True, version=version)
+    prior = checkpoints.current() if version is None else checkpoints.current(before=version)
+    old = spark.createDataFrame([], CHECKPOINT_SCHEMA) if prior is None else checkpoints.read(prior)
+    stamp = F.lit(updated_at) if updated_at else F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")
+    clean = usable.join(bad.select(*PAIR_KEYS).distinct(), list(PAIR_KEYS), "left_anti")
+    checkpoints.replace(checkpoint_next(old, clean, timeframe, stamp), version)
+
+
+def run_ingest(spark: SparkSession, landing_dir: str, candles: KeyedTable, checkpoints: KeyedTable,
                checkpoint_location: str, timeframe: str = "3m", updated_at: str | None = None,
-               max_files_per_trigger: int | None = None, fmt: str = "parquet") -> None:
+               max_files_per_trigger: int | None = None, fmt: str = "parquet",
+               rejects: KeyedTable | None = None) -> None:
     """Process every landed page file not yet seen, then stop (availableNow).
 
     ``fmt`` is the landing format: 'parquet' or 'json' (JSON lines).
@@ -50,12 +65,10 @@ def run_ingest(spark: SparkSession, landing_dir: str, candles: DayPartitionedTab
     reader = spark.readStream.schema(PAGE_SCHEMA).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    rows = candle_pages(reader.load(landing_dir))
+    rows = decode_pages(reader.load(landing_dir), keep=["page_seq"])
 
     def on_batch(df: DataFrame, batch_id: int) -> None:
-        if df.isEmpty():
-            return
-        ingest_batch(spark, df, candles, checkpoints, batch_id + 1, timeframe, updated_at)
+        ingest_batch(spark, df, candles, checkpoints, batch_id + 1, timeframe, updated_at, rejects)
 
     q = (rows.writeStream.foreachBatch(on_batch)
              .option("checkpointLocation", checkpoint_location)
@@ -63,9 +76,13 @@ def run_ingest(spark: SparkSession, landing_dir: str, candles: DayPartitionedTab
     q.awaitTermination()
 
 
-def candle_table(spark: SparkSession, path: str) -> DayPartitionedTable:
-    return DayPartitionedTable(spark, path, CANDLE_KEYS)
+def candle_table(spark: SparkSession, path: str) -> KeyedTable:
+    return KeyedTable(spark, path, CANDLE_KEYS, "timestamp")
 
 
 def checkpoint_table(spark: SparkSession, path: str) -> KeyedTable:
     return KeyedTable(spark, path, CHECKPOINT_KEYS)
+
+
+def reject_table(spark: SparkSession, path: str) -> KeyedTable:
+    return KeyedTable(spark, path, REJECT_KEYS)

@@ -5,9 +5,9 @@ look-back) bounds the state, and ``window(event_time, interval)`` gives
 epoch-aligned buckets (7-day windows start on Thursday, like the batch
 rollup). Update mode emits every changed candle with its full aggregate,
 and ``foreachBatch`` upserts it into the day-partitioned candle table
-(rewriting only the touched days), so the table converges to the batch
-rollup of everything not dropped as late. Replays are harmless: the
-upsert is idempotent.
+(only the touched days), so the table converges to the batch rollup of
+everything not dropped as late. A replayed batch merges into the version
+before it.
 
 Late data: a candle whose window ended before the watermark (max event
 time seen minus the delay) is dropped, like the scheduled original that
@@ -20,11 +20,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickroll.functions.timefn import INTERVAL_MINUTES, LOOKBACK_DAYS
-from tickroll.operators.candles import CANDLE_COLUMNS, exact_sum
-from tickroll.sources.keyed_table import DayPartitionedTable
+from tickroll.operators.candles import exact_sum, stored
+from tickroll.sources.keyed_table import KeyedTable
 
 CANDLE_SCHEMA = ("symbol string, exchange string, timestamp long, open double, high double, "
                  "low double, close double, volume double")
+STORED_SCHEMA = CANDLE_SCHEMA + ", datetime timestamp"
 
 
 def windowed_rollup(stream: DataFrame, interval: str, delay: str | None = None) -> DataFrame:
@@ -43,19 +44,14 @@ def windowed_rollup(stream: DataFrame, interval: str, delay: str | None = None)
                       "open", "high", "low", "close", "volume")
 
 
-def run_rollup(spark: SparkSession, source_dir: str, interval: str, table: DayPartitionedTable,
+def run_rollup(spark: SparkSession, source_dir: str, interval: str, table: KeyedTable,
                checkpoint_location: str, delay: str | None = None) -> None:
     """Roll up all candle files not yet seen (one availableNow run)."""
     stream = spark.readStream.schema(CANDLE_SCHEMA).parquet(source_dir)
     out = windowed_rollup(stream, interval, delay)
 
     def on_batch(df: DataFrame, batch_id: int) -> None:
-        df = df.persist()       # used by the emptiness test and the merge
-        try:
-            if not df.isEmpty():    # empty: a no-data batch (watermark advance only)
-                table.merge(df.select(*CANDLE_COLUMNS), "update")
-        finally:
-            df.unpersist()
+        table.merge(stored(df), "update", unique=True, version=batch_id + 1)
 
     q = (out.writeStream.outputMode("update").foreachBatch(on_batch)
             .option("checkpointLocation", checkpoint_location)

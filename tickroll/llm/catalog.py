@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from tickroll.llm import bpe, chat, decontamination, minhash, quality, secrets, spans, token_files, toxicity, url_filter
 from tickroll.llm.common import table
+from tickroll.llm.oracles import ORACLES  # noqa: F401
 
 QUERIES: dict[str, Callable] = {}
-ORACLES: dict[str, str] = {}
 
 
 def _query(fn):

@@ -7,12 +7,14 @@ were fitted without its fold, so a later model learns from the errors that
 earlier ones make on unseen texts. For use, each category has one model
 fitted on the whole sample.
 
-Features are counts over the distinct tokens of the whole text: the token
-itself and its character n-grams (so inflected and compounded words share
-weights), hashed to a fixed number of indices. A model keeps the indices
-whose rates in the two classes differ significantly, at most
-``MAX_FEATURES``, and fits a logistic regression on them. As the score is a
-sum over tokens, a task scores each distinct token once.
+Features are counts over the distinct tokens of the whole text: the word and
+its beginnings and end (so inflected and compounded words share weights),
+hashed to a fixed number of indices. A model keeps the indices whose rates in
+the two classes differ significantly, at most ``MAX_FEATURES``, and fits a
+logistic regression on them. The rates are counted by Spark over the sample,
+fold by fold, and the sample is cut down to the indices that some model can
+keep before it is dealt to the models. As the score is a sum over tokens, a
+task scores each distinct token once.
 
 The models are fitted on at most ``SAMPLE_DOCS`` labelled documents (those of
 the least id hashes), a documented bound; every document is scored. The folds
@@ -47,7 +49,8 @@ HASH_BITS = 20
 MAX_FEATURES = 4_096
 LEAST_DOCS = 5       # documents of the sample that have a feature
 LEAST_Z = 4.5        # of the difference between the two classes' rates
-GRAMS = (4, 5)
+BEGINNINGS = (4, 5, 6)
+ENDING = 5
 STEPS = 150
 RIDGE = 2e-4
 CACHE_TOKENS = 400_000
@@ -66,13 +69,14 @@ class Linear(NamedTuple):
 
 
 def token_features(token: str) -> list[int]:
-    """Feature indices of a raw token: the word and its character n-grams."""
+    """Feature indices of a raw token: the word, its beginnings and its end."""
     word = token.lower().strip(PUNCTUATION)
     if not word:
         return []
-    framed = f"^{word}$"
-    grams = {framed[k:k + n] for n in GRAMS for k in range(len(framed) - n + 1)} | {"=" + word}
-    return [xxhash.xxh32_intdigest(g) & ((1 << HASH_BITS) - 1) for g in grams]
+    shapes = ["=" + word, *["^" + word[:n] for n in BEGINNINGS if len(word) >= n]]
+    if len(word) > ENDING:
+        shapes.append(word[-ENDING:] + "$")
+    return [xxhash.xxh32_intdigest(shape) & ((1 << HASH_BITS) - 1) for shape in shapes]
 
 
 class _TokenCache(dict):
@@ -166,6 +170,26 @@ def fit_linear(row, index, count, earlier: np.ndarray, y: np.ndarray, train: np.
     return model, score
 
 
+def _selected(sample: DataFrame, category: str, folds: int) -> list[int]:
+    """Indices whose rates differ between the classes in the sample without some fold, or in all of it; bounded."""
+    hit = F.coalesce(F.col(category), F.lit(False))
+    parts = [F.col("fold") != f for f in range(folds)] + [F.lit(True)]
+    totals = sample.agg(*[F.count(F.when(p & h, 1)).alias(f"{name}{i}") for i, p in enumerate(parts)
+                          for name, h in (("n", hit), ("c", ~hit))]).first()
+    rates = (sample.select("fold", hit.alias("_hit"), F.explode("index").alias("index")).groupBy("index", "fold", "_hit")
+             .agg(F.count(F.lit(1)).alias("docs")).groupBy("index")
+             .agg(*[F.coalesce(F.sum(F.when(p & h, F.col("docs"))), F.lit(0)).alias(f"{name}{i}") for i, p in enumerate(parts)
+                    for name, h in (("n", F.col("_hit")), ("c", ~F.col("_hit")))]))
+    z = []
+    for i in range(len(parts)):
+        n1, n0 = max(1, totals[f"n{i}"]), max(1, totals[f"c{i}"])
+        p = (F.col(f"n{i}") + F.col(f"c{i}")) / (n1 + n0)
+        z.append(F.abs(F.col(f"n{i}") / n1 - F.col(f"c{i}") / n0) / F.sqrt(F.greatest(p * (1 - p), F.lit(1e-12)) * (1 / n1 + 1 / n0)))
+    best = F.greatest(*z) if len(z) > 1 else z[0]
+    kept = rates.filter(F.col(f"n{folds}") + F.col(f"c{folds}") >= LEAST_DOCS).select("index", best.alias("z"))
+    return [r["index"] for r in kept.filter(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "index").limit(2 * MAX_FEATURES).collect()]
+
+
 def _trainer(category: str, before: list[str], folds: int):
     """Fit one model of a category: fold ``model`` left out and scored, or (the last) the whole sample."""
     def train(rows: pd.DataFrame) -> pd.DataFrame:
@@ -191,8 +215,11 @@ def fit_chain(sample: DataFrame, categories: list[str], folds: int = FOLDS) -> t
     for k, category in enumerate(categories):
         before = [f"score_{c}" for c in categories[:k]]
 
+        chosen = _selected(sample, category, folds)
+        pairs = F.filter(F.arrays_zip("index", "count"), lambda x: x["index"].isin(chosen) if chosen else F.lit(False))
         rows = sample.join(scored, "doc_id").select(
-            "doc_id", "fold", category, "index", "count", *before,
+            "doc_id", "fold", category, F.transform(pairs, lambda x: x["index"]).alias("index"),
+            F.transform(pairs, lambda x: x["count"]).alias("count"), *before,
             F.explode(F.sequence(F.lit(0), F.lit(folds))).alias("model"))
         out = stage(rows.groupBy("model").applyInPandas(
             _trainer(category, before, folds), "doc_id long, score double, model struct<index: array<int>, weight: array<double>, earlier: array<double>>"),

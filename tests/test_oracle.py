@@ -6,8 +6,11 @@ from tests.compare import compare
 
 import __spark_entry__ as entry_mod
 
-QUERIES = entry_mod.queries()
-ORACLES = entry_mod.oracle_sql()
+from tickroll.plans.catalog import QUERIES as OWN
+
+# the training-data queries have tests of their own
+QUERIES = {k: q for k, q in entry_mod.queries().items() if k in OWN}
+ORACLES = {k: q for k, q in entry_mod.oracle_sql().items() if k in OWN}
 
 
 SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
@@ -27,11 +30,8 @@ def test_query_matches_oracle(spark, duck, name):
     compare(got, want)
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
-def test_query_without_oracle_runs(spark, name):
-    from tests.conftest import SF
-    df = QUERIES[name](spark, SF)
-    assert df.count() >= 0
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLES) and len(QUERIES) >= 70
 
 
 def test_entry_smoke(spark):

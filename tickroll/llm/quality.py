@@ -69,7 +69,8 @@ def _occurrences(text: Column, characters: str) -> Column:
 
 def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with the counts and ratios of each whole text."""
-    df = docs.withColumn("_t", whole_text(text))
+    # the row travels in a struct, so its columns cannot clash with the ones made here
+    df = docs.select(F.struct(*docs.columns).alias("_row"), whole_text(text).alias("_t"))
     blank = f"[{SPACE_CHARS}]+"
     df = df.withColumn("_words", F.filter(F.split("_t", blank), lambda w: w != ""))
     df = df.withColumn("_lines", F.filter(F.split("_t", "\n"), lambda x: F.trim(x, F.lit(SPACE_CHARS)) != ""))
@@ -79,15 +80,15 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     df = df.withColumn("n_symbols", _occurrences(F.col("_t"), SYMBOLS))
     df = df.withColumn("n_dup_lines", F.col("n_lines") - F.size(F.array_distinct("_lines")))
     df = df.withColumn("n_repeat_words", _repeated_words())
-    stop = F.array(*[F.lit(w) for w in sorted({w for words in STOP_WORDS.values() for w in words})])
+    stop = sorted({w for words in STOP_WORDS.values() for w in words})
     per_word = lambda n: F.when(F.col("n_words") > 0, n / F.col("n_words")).otherwise(F.lit(0.0))
     per_line = lambda n: F.when(F.col("n_lines") > 0, n / F.col("n_lines")).otherwise(F.lit(0.0))
     return df.select(
-        *[c for c in docs.columns if c not in MEASURES], "n_words", "n_lines", "word_chars", "n_symbols", "n_dup_lines",
+        *[F.col("_row").getField(c).alias(c) for c in docs.columns if c not in MEASURES], "n_words", "n_lines", "word_chars", "n_symbols", "n_dup_lines",
         "n_repeat_words",
         per_word(F.col("word_chars")).alias("mean_word_chars"),
         per_word(F.col("n_symbols")).alias("symbol_ratio"),
-        per_word(F.size(F.filter("_words", lambda w: F.array_contains(stop, F.lower(w))))).alias("stop_ratio"),
+        per_word(F.size(F.filter("_words", lambda w: F.lower(w).isin(stop)))).alias("stop_ratio"),
         per_word(F.size(F.filter("_words", lambda w: (F.length(w) > 1) & (w == F.upper(w)) & (w != F.lower(w))))
                  ).alias("shout_ratio"),
         per_line(F.size(F.filter("_lines", lambda x: F.rtrim(x).endswith("...") | F.rtrim(x).endswith("…")))

@@ -20,7 +20,10 @@ from tickroll.llm.common import stage
 
 def _star(pairs: DataFrame, large: bool) -> DataFrame:
     """One star step over directed pairs (u, v): v is linked to the least node around u."""
-    least = pairs.groupBy("u").agg(F.min("v").alias("_least")).withColumn("_least", F.least("u", "_least"))
+    # written before the join: both of its sides are then plain scans, whose
+    # skewed partitions (a node of very many neighbours) Spark splits
+    least = stage(pairs.groupBy("u").agg(F.min("v").alias("_least")).withColumn("_least", F.least("u", "_least")),
+                  "component-least")
     joined = pairs.join(least, "u")
     if large:
         linked = joined.filter(F.col("v") > F.col("u")).select(F.col("v").alias("a"), F.col("_least").alias("b"))

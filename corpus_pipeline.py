@@ -31,8 +31,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rule and the threshold table."""
-    rows = docs.select(F.struct(*docs.columns).alias("_doc"), "text")
-    return quality.judge(rows).filter("kept").select("_doc.*")
+    return quality.passing(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

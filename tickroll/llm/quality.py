@@ -158,3 +158,15 @@ def judge(docs: DataFrame, rules: list[Rule] = RULES, text: str = "text") -> Dat
     return (measures(docs.drop("base_failed", "failed_rules", "kept"), text)
             .withColumn("base_failed", base_failed()).withColumn("failed_rules", failed_rules(rules))
             .withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)))
+
+
+def passing(docs: DataFrame, rules: list[Rule] = RULES, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are kept, as they are.
+
+    Spark moves a filter on computed columns below the projections that make
+    them, and would run those once more for every use. The row number in the
+    condition keeps the filter above.
+    """
+    rows = docs.select(F.struct(*docs.columns).alias("_doc"), F.col(text).alias("_text"))
+    judged = judge(rows, rules, "_text").select("_doc", "kept", F.monotonically_increasing_id().alias("_number"))
+    return judged.filter(F.col("kept") & (F.col("_number") >= 0)).select("_doc.*")

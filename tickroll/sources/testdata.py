@@ -143,6 +143,16 @@ def dirty_candle_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --------------------------------------------------------- payload inputs
+def dealt(rows: DataFrame, key: str) -> DataFrame:
+    """Rows of a driver table dealt out by their key.
+
+    Each driver table is one row group, which one task reads; fetchers land
+    payloads in many files. The payload inputs are spread accordingly, also
+    where that costs a shuffle of the (narrow) source rows.
+    """
+    return rows.repartition(F.col(key))
+
+
 def _wrap(shape_col, rec, shapes: dict) -> "F.Column":
     """Envelope text per shape number; ``{r}`` stands for the record JSON."""
     out = None
@@ -170,7 +180,7 @@ CUSTOMER_SHAPES = {
 def customer_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_acctbal", "c_mktsegment"])
     rec = F.to_json(F.struct("c_custkey", "c_name", "c_acctbal", "c_mktsegment"))
-    return c.select(F.col("c_name").alias("request_key"), F.col("c_custkey").alias("seq"),
+    return dealt(c, "c_custkey").select(F.col("c_name").alias("request_key"), F.col("c_custkey").alias("seq"),
                     _wrap(F.pmod("c_custkey", F.lit(6)), rec, CUSTOMER_SHAPES).alias("payload"))
 
 
@@ -241,7 +251,7 @@ def metrics_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
            .otherwise(F.lit("null"))
     payload = F.concat(F.lit('{"status":{"error_message":'), err, F.lit('},"data":{"quotes":['),
                        F.to_json(quote), F.lit(",17]}}"))
-    return e.select(F.lit("global_metrics").alias("request_key"), F.col("event_id").alias("seq"),
+    return dealt(e, "event_id").select(F.lit("global_metrics").alias("request_key"), F.col("event_id").alias("seq"),
                     payload.alias("payload"))
 
 
@@ -270,7 +280,7 @@ def global_eod_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                              F.col("o_orderkey").alias("volume"),
                              F.lit("IGNORED").alias("ticker"),
                              F.lit(-1).alias("company_id")))
-    return o.select(ticker_of(F.col("o_custkey")).alias("ticker"), F.col("o_orderkey").alias("seq"),
+    return dealt(o, "o_orderkey").select(ticker_of(F.col("o_custkey")).alias("ticker"), F.col("o_orderkey").alias("seq"),
                     _wrap(F.pmod("o_orderkey", F.lit(4)), rec, EOD_SHAPES).alias("payload"))
 
 
@@ -299,7 +309,7 @@ def vn_eod_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                              F.col("l_quantity").alias("volume_root"),
                              F.col("l_discount").alias("changedratio"),
                              F.lit("2024-01-01").alias("created_at")))
-    return li.select(code.alias("code"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"),
+    return dealt(li, "l_orderkey").select(code.alias("code"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"),
                      F.to_date("l_shipdate").alias("landed_date"),
                      _wrap(F.pmod("l_linenumber", F.lit(3)), rec, VN_EOD_SHAPES).alias("payload"))
 
@@ -361,7 +371,7 @@ def fin_payloads(spark: SparkSession, sf_dir: str, wide_names=None) -> DataFrame
                               vals[0].alias(names[0]), vals[1].alias(names[1]),
                               vals[2].alias(names[2]), vals[3].alias(names[-1])))
     rec = F.concat(F.lit("{"), mack, F.regexp_replace(body, "^\\{", ""))
-    return li.select(code.alias("code"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"),
+    return dealt(li, "l_orderkey").select(code.alias("code"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"),
                      _wrap(F.pmod("l_linenumber", F.lit(4)), rec, FIN_SHAPES).alias("payload"))
 
 

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickroll.llm.chunks import ChunkCache
-from tickroll.llm.common import small_batches, text_batches, whole_text
+from tickroll.llm.common import large_batches, small_batches, whole_text
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -228,7 +228,7 @@ def _task_cache(ranks: dict[bytes, int], pattern: str) -> ChunkCache:
         encoder = TextBpe(ranks, pattern)
         _WORKER.clear()
         _WORKER[key] = ChunkCache(lambda parts, spaced: [
-            array("i", encoder.encode(" " + part if spaced else part)).tobytes() for part in parts])
+            array("i", encoder.encode(" " + part if spaced else part)).tobytes() for part in parts], np.int32)
     return _WORKER[key]
 
 
@@ -240,8 +240,8 @@ def encode_texts(docs: DataFrame, ranks: dict[bytes, int], pattern: str, doc_id:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _task_cache(shared.value, pattern)
-        for batch in text_batches(batches, "t"):
-            found = cache.encoded(batch.column("t").to_pylist())
+        for batch in large_batches(batches, "t"):
+            found = cache.encoded(batch.column("t"))
             ends = np.cumsum([0, *[len(f) // 4 for f in found]], dtype=np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(found), np.int32)))
             yield pa.RecordBatch.from_arrays([batch.column("d"), ids], names=["doc_id", "ids"])

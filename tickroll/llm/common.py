@@ -47,6 +47,20 @@ def whole_text(column: str = "text"):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def large_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = 8 * BATCH_CHARS) -> Iterator[pa.RecordBatch]:
+    """Join small Arrow batches to ones of about ``limit`` bytes of ``column`` (larger ones are cut first)."""
+    held, total = [], 0
+    for batch in text_batches(batches, column, limit):
+        size = batch.column(column).nbytes
+        if held and total + size > limit:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, total = [], 0
+        held.append(batch)
+        total += size
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def text_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = BATCH_CHARS) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each holds about ``limit`` bytes of ``column``.
 

@@ -42,7 +42,8 @@ SHINGLE = 5
 THRESHOLD = 80            # percent
 ROWS = 5                  # minima of a band
 MISSED = 1e-6             # chance that a pair at the threshold shares no band
-BLOCK = 256               # classes of a bucket compared in one block
+BLOCK = 256               # classes of a bucket compared in one block, and
+BLOCK_SHINGLES = 4_000_000  # their shingles on average (long texts make smaller blocks)
 CACHE_WORDS = 1_000_000   # word hashes kept per task before the cache is dropped
 SLACK = 6.0               # standard deviations of the signature estimate below the threshold
 
@@ -135,14 +136,14 @@ def features(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD
 def _blocks(members: DataFrame, key: str) -> DataFrame:
     """Deal each bucket's members into blocks, or pairs of blocks, of bounded size.
 
-    ``members`` has the bucket's size ``n``. Adds ``lo``, ``hi`` (the pair of
-    blocks a row is dealt to) and ``own`` (the row's own block).
+    ``members`` has the bucket's size ``n`` and its ``shingles``. Adds ``lo``,
+    ``hi`` (the pair of blocks a row is dealt to) and ``own`` (its own block).
     """
-    parts = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
+    parts = F.greatest(F.ceil(F.col("n") / F.lit(BLOCK)), F.ceil(F.col("shingles") / F.lit(BLOCK_SHINGLES)), F.lit(1)).cast("int")
     return (members.withColumn("own", F.pmod(F.xxhash64("fp", key), parts).cast("int"))
             .withColumn("_other", F.explode(F.sequence(F.lit(0), parts - 1)))
             .withColumn("lo", F.least("own", "_other")).withColumn("hi", F.greatest("own", "_other"))
-            .drop("_other", "n"))
+            .drop("_other", "n", "shingles"))
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -200,9 +201,9 @@ def _signature_limit(threshold: int) -> int:
 
 def _meetings(classes: DataFrame, threshold: int) -> DataFrame:
     """(key, lo, hi, own, fp): members of each block that have a possible partner there."""
-    keyed = classes.select("fp", F.explode("bands").alias("key"))
-    crowded = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = keyed.join(crowded, "key").join(classes.select("fp", "bands", "sketch"), "fp")
+    keyed = classes.select("fp", "size", F.explode("bands").alias("key"))
+    crowded = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("shingles")).filter("n > 1")
+    members = keyed.drop("size").join(crowded, "key").join(classes.select("fp", "bands", "sketch"), "fp")
     limit = _signature_limit(threshold)
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,7 +289,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = TH
     rows = features(docs, shingle, threshold, doc_id, text)
     classes = stage(rows.filter("fp is not null").groupBy("fp").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("who"),
-        F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "minhash-classes")
+        F.max("n_shingles").alias("size"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "minhash-classes")
     meetings = _meetings(classes, threshold)
 
     # full sets of the classes that meet another one, from one document of each
@@ -313,7 +314,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = TH
     named = members.join(who.withColumnRenamed("fp", "node"), "node")
     roots = named.groupBy("root").agg(F.min("who").alias("first"))
     named = named.join(roots, "root").select(F.col("node").alias("fp"), "first")
-    named = who.join(named, "fp", "left").select("fp", F.coalesce("first", "who").alias("first"))
+    # written before the join: a class of very many copies is then split by Spark
+    named = stage(who.join(named, "fp", "left").select("fp", F.coalesce("first", "who").alias("first")), "minhash-names")
     own = F.col("doc_id") == F.col("component_id")
     unnamed = F.col("component_id").isNull() & F.coalesce(F.col("text_key") == F.col("first.text_key"), F.lit(True))
     return (rows.select("doc_id", "text_key", "n_shingles", "fp").join(named, "fp", "left")

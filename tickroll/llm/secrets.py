@@ -96,7 +96,8 @@ def judged_spans(scanned: DataFrame) -> DataFrame:
     kind only where it is live and not inside a base span.
     """
     found = stage(candidates(scanned), "secret-candidates")
-    judged = found.join(ownership(found), "value").withColumn(
+    # written before the join: a value of very many rows is then split by Spark
+    judged = found.join(stage(ownership(found), "secret-owners"), "value").withColumn(
         "verdict", F.when(F.col("n_owners") >= COPIED_OWNERS, F.lit("copied"))
         .when((F.col("n_owners") <= MAX_OWNERS) & F.col("random_looking"), F.lit("live")).otherwise(F.lit("unclear")))
     # a generic token that meets a base span says nothing new: the base spans

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickroll.llm.chunks import ChunkCache
-from tickroll.llm.common import small_batches, text_batches, whole_text
+from tickroll.llm.common import large_batches, small_batches, whole_text
 from tickroll.session import shared_dir
 
 SAMPLE_DOCS = 2_000
@@ -47,6 +47,7 @@ SAMPLE_BYTES = 8 << 20
 DICTIONARY_BYTES = 64 << 10
 BLOCK_BYTES = 1 << 20
 LEVEL = 3
+SPACE = "\u0120"    # how byte-level vocabularies write a space
 
 BLOCKS = ("shard int, block int, before long, first_doc long, last_doc long, doc_ids array<long>, ends array<long>, "
           "n_tokens array<long>, payload binary, dictionary_sha256 string")
@@ -61,25 +62,26 @@ class CachedTokenizer:
 
         self._tokenizer = Tokenizer.from_str(definition)
         self._type = np.dtype(f"<u{width}")
-        self._cache = ChunkCache(self._chunks)
+        vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
+        self._begins = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._begins[[i for token, i in vocabulary.items() if token.startswith(SPACE)]] = True
+        self._cache = ChunkCache(self._chunks, self._type)
 
     def _chunks(self, parts: list[str], spaced: bool) -> list[bytes]:
-        """Ids of chunks. Those after a space are encoded as one text, and told apart by their places in it."""
+        """Ids of chunks. Those after a space are encoded as one text, and told apart by their spaces."""
         if not spaced:
             return [np.array(e.ids, self._type).tobytes() for e in self._tokenizer.encode_batch(parts, add_special_tokens=False)]
         out: list[bytes] = []
         for first in range(0, len(parts), 2000):
-            some = parts[first:first + 2000]
-            encoded = self._tokenizer.encode(" " + " ".join(some), add_special_tokens=False)
-            begins = np.cumsum([1 + len(p) for p in some])
-            # a token's place may leave out its space, but never leaves its chunk
-            starts = np.fromiter((a for a, _ in encoded.offsets), np.int64, len(encoded.ids))
-            cuts = (np.searchsorted(starts, begins, "left") * self._type.itemsize).tolist()
-            ids = np.array(encoded.ids, self._type).tobytes()
-            out += [ids[a:b] for a, b in zip([0, *cuts], cuts)]
+            text = " " + " ".join(parts[first:first + 2000])
+            ids = np.array(self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
+            # a chunk holds one space, its first character: the tokens that begin with one begin the chunks
+            cuts = (np.flatnonzero(self._begins[ids]) * self._type.itemsize).tolist()
+            data = ids.astype(self._type).tobytes()
+            out += [data[a:b] for a, b in zip(cuts, [*cuts[1:], len(data)])]
         return out
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: pa.Array) -> list[bytes]:
         """Serialized ids of each text."""
         return self._cache.encoded(texts)
 
@@ -128,8 +130,8 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, end_id: int, width: int =
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _task_tokenizer(definition.value, width)
-        for batch in text_batches(batches, "t"):
-            yield pa.RecordBatch.from_arrays([pa.array(tokenizer.encode(batch.column("t").to_pylist()), pa.binary())], names=["ids"])
+        for batch in large_batches(batches, "t"):
+            yield pa.RecordBatch.from_arrays([pa.array(tokenizer.encode(batch.column("t")), pa.binary())], names=["ids"])
 
     chosen = [r[0] for r in rows.select("d").distinct().orderBy(F.xxhash64("d"), "d").limit(SAMPLE_DOCS).collect()]
     sampled = rows.filter(F.col("d").isin([c for c in chosen if c is not None])) if any(
@@ -156,8 +158,8 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, end_id: int, width: int =
         tokenizer, end = _task_tokenizer(definition.value, width), np.array([end_id], f"<u{width}").tobytes()
         shared = {"dict_data": zstandard.ZstdCompressionDict(raw, dict_type=kind)} if raw else {}
         packer = zstandard.ZstdCompressor(level=LEVEL, **shared)
-        for batch in text_batches(batches, "t"):
-            ids = [x + end for x in tokenizer.encode(batch.column("t").to_pylist())]
+        for batch in large_batches(batches, "t"):
+            ids = [x + end for x in tokenizer.encode(batch.column("t"))]
             keys = batch.column("d").fill_null(-2**63).to_numpy()
             ties = batch.column("k").to_numpy()
             # an id that fills several ranges is spread over them by its rows' text hashes

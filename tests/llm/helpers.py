@@ -13,7 +13,7 @@ def rows(name, *columns, sf=SF):
 
 
 def collected(df, *columns):
-    return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
+    return sorted((tuple(r) for r in df.select(*(columns or df.columns)).collect()), key=repr)
 
 
 def same(df, columns, want):

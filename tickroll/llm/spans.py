@@ -124,8 +124,9 @@ def removals(found: DataFrame) -> DataFrame:
              .otherwise(F.col("doc").cast(number) * F.lit(2**32).cast(number)).cast(number)
              + F.shiftrightunsigned("text_key", 32).cast(number)).cast(number)
     once = found.filter(~F.col("again")).drop("again").withColumn("place", place)
-    firsts = (once.groupBy("h1", "h2").agg(F.min("place").alias("keeper"), F.count(F.lit(1)).alias("n"))
-              .filter("n > 1").drop("n"))
+    # written before the join: a span of very many documents is then split by Spark
+    firsts = stage(once.groupBy("h1", "h2").agg(F.min("place").alias("keeper"), F.count(F.lit(1)).alias("n"))
+                   .filter("n > 1").drop("n"), "span-firsts")
     later = once.join(firsts, ["h1", "h2"]).filter(F.col("place") != F.col("keeper"))
     columns = ["doc", "text_key", "first", "end"]
     return (later.select(*columns).unionByName(found.filter("again").select(*columns)).groupBy("doc", "text_key")

@@ -91,6 +91,27 @@ class _TokenCache(dict):
         return value
 
 
+class _TokenScores:
+    """Per model, what each token adds to the score; a new token's features are made once for all models."""
+
+    def __init__(self, models: list[Linear]):
+        self._weights = [m.weights for m in models]
+        self._known: list[dict[str, float]] = [{} for _ in models]
+
+    def sums(self, tokens: set[str]) -> list[float]:
+        known = self._known
+        if not known:
+            return []
+        if len(known[0]) > CACHE_TOKENS:
+            for scores in known:
+                scores.clear()
+        for token in tokens.difference(known[0]):
+            features = token_features(token)
+            for scores, weights in zip(known, self._weights):
+                scores[token] = sum([weights[i] for i in features if i in weights])
+        return [math.fsum(map(scores.__getitem__, tokens)) for scores in known]
+
+
 def sample_features(labelled: DataFrame, categories: list[str], folds: int = FOLDS) -> DataFrame:
     """doc_id, fold, categories, and the feature indices and counts of each sampled text; written once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,15 +269,13 @@ def score_chain(docs: DataFrame, models: list[Linear], categories: list[str], do
                 text: str = "text") -> DataFrame:
     """doc_id and the score (log odds) of each category for every document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = [_TokenCache(lambda token, w=m.weights: sum(w.get(i, 0.0) for i in token_features(token))) for m in models]
+        scores = _TokenScores(models)
         for batch in text_batches(batches, "t"):
             out: list[list[float]] = [[] for _ in models]
             for value in batch.column("t").to_pylist():
-                tokens = set(value.split())
                 seen: list[float] = []
-                for model, cache, column in zip(models, sums, out):
-                    seen.append(model.intercept + math.fsum(map(cache.__getitem__, tokens))
-                                + sum(a * b for a, b in zip(model.earlier, seen)))
+                for model, own, column in zip(models, scores.sums(set(value.split())), out):
+                    seen.append(model.intercept + own + sum(a * b for a, b in zip(model.earlier, seen)))
                     column.append(seen[-1])
             yield pa.RecordBatch.from_arrays([batch.column("d"), *[pa.array(c, pa.float64()) for c in out]],
                                              names=["doc_id", *[f"score_{c}" for c in categories]])

@@ -84,5 +84,68 @@ def test_sentences_cover_the_text():
         assert all(len(ws) <= spans.MAX_WORDS for *_, ws in parts)
 
 
+def shared(a, b):
+    """Whether two texts have a span in common."""
+    return bool({h for h, *_ in spans.span_hashes(spans.sentences(a))} & {h for h, *_ in spans.span_hashes(spans.sentences(b))})
+
+
+def unique(rnd, n):
+    return [f"u{rnd.getrandbits(60)}" for _ in range(n)]
+
+
+def passage_of(rnd, kind, n):
+    """n words: without full stops, in sentences of any length, in sentences of 26 words, or in lines of one to three words."""
+    out = unique(rnd, n)
+    if kind == "lines":
+        return " ".join(w + ("\n" if rnd.random() < 0.5 else "") for w in out)
+    if kind == "no closer":     # short lines of which none ends a unit by its own words
+        return "\n".join([w for w in unique(rnd, 4 * n) if not spans._closes([w])][:n])
+    return " ".join(w + ("." if kind == "mixed" and rnd.random() < 0.15 or kind == "26" and k % 26 == 25 else "") for k, w in enumerate(out))
+
+
+def test_passages_share_a_span_behind_prefixes_of_every_length():
+    rnd = random.Random(8)
+    for kind in ("no stops", "mixed", "26", "lines"):
+        for n in [51, 52, 53, 60, 75, 100, 200, 400]:
+            for prefix in range(32):
+                passage = passage_of(rnd, kind, n)
+                a = " ".join([*unique(rnd, rnd.randrange(32)), passage, *unique(rnd, rnd.randrange(20))])
+                b = " ".join([*unique(rnd, prefix), passage, *unique(rnd, rnd.randrange(20))])
+                assert shared(a, b), (kind, n, prefix)
+    # lines of which none is a border of its own, and a word that is repeated
+    for prefix in range(32):
+        lines = passage_of(rnd, "no closer", 80)
+        assert shared("Some words here.\n" + lines, " ".join(unique(rnd, prefix)) + "\n" + lines)
+        assert shared("x " + "same " * 60, " ".join(unique(rnd, prefix)) + " same" * 60)
+
+
+def test_embedded_passages_against_runs_of_words(spark):
+    """Brute force over words: what goes lies in runs of MIN_WORDS words said before, and of every passage the inner part goes."""
+    rnd = random.Random(9)
+    docs, planted = [], {}
+    for k, (kind, n) in enumerate([("no stops", 51), ("no stops", 130), ("26", 52), ("mixed", 70), ("lines", 90), ("no stops", 400)]):
+        passage = passage_of(rnd, kind, n)
+        for prefix in range(32):
+            docs.append((100 * k + prefix, " ".join([*unique(rnd, prefix), passage, *unique(rnd, rnd.randrange(1, 20))])))
+            planted[docs[-1][0]] = (prefix, n)
+    said: set[tuple] = set()
+    got = {r["doc_id"]: r for r in run(spark, docs).collect()}
+    for doc, text in docs:
+        found = text.split()
+        windows = [tuple(found[i:i + spans.MIN_WORDS]) for i in range(len(found) - spans.MIN_WORDS + 1)]
+        before = {p for i, w in enumerate(windows) if w in said for p in range(i, i + spans.MIN_WORDS)}
+        said.update(windows)
+        left = set(got[doc]["text"].split())
+        gone = {p for p, w in enumerate(found) if w not in left}
+        assert gone <= before, doc
+        prefix, n = planted[doc]
+        if prefix:
+            assert len(gone) >= spans.MIN_WORDS
+            # at either end at most a stretch without a common border, and at the end a span that is not whole
+            assert set(range(prefix + 17, prefix + n - 27)) <= gone
+        else:
+            assert not gone
+
+
 def test_empty_table(spark):
     assert collected(run(spark, [])) == []

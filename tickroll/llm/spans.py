@@ -1,13 +1,21 @@
 """Substring dedup (operator 8): sliding spans of sentences.
 
 Texts are cut into sentences. A sentence of fewer than ``SHORT`` words joins
-the next one, and a very long one is cut further, so a passage without full
-stops is seen too. From every sentence on, the shortest run of at least
-``MIN_SENTENCES`` sentences with at least ``MIN_WORDS`` words is one span,
-hashed over its words. Borders and spans depend on the words around them
-only, so a passage repeated elsewhere yields the same spans. All spans are
-joined globally by hash; the first occurrence (least document, then place)
-stays, and the sentences under every later one are removed.
+the next one, and a long one is cut further, so a passage without full stops
+is seen too: of every ``REACH`` gaps between words in a row, the one with the
+least hash of the words on both sides is a cut. From every sentence on, the
+shortest run of at least ``MIN_SENTENCES`` sentences with at least
+``MIN_WORDS`` words is one span, hashed over its words.
+
+Whether a gap is a border depends on fewer than ``REACH`` gaps on either side,
+so within a repeated passage the borders are the same from ``REACH`` words
+after its begin (``SHORT`` - 1 more if the rest of a sentence there is
+shorter) to ``REACH`` words before its end, whatever stands around it. A
+passage of 2 * ``REACH`` + ``MIN_WORDS`` + ``SHORT`` - 1 = 51 words or more
+therefore always shares a span. All spans are joined globally by hash; the
+first occurrence (least document, then place) stays, and the sentences under
+every later one are removed; words of the passage outside its common borders
+stay.
 
 Texts travel twice only: once to be cut, where only hashes and places leave
 the task, and once to meet their own removal list.
@@ -35,8 +43,9 @@ from tickroll.llm.common import small_batches, stage, text_batches
 
 MIN_SENTENCES = 2
 MIN_WORDS = 20
-MAX_WORDS = 16    # words after which a sentence is cut
+MAX_WORDS = 16    # words that no sentence exceeds once it is cut
 SHORT = 4         # words below which a sentence joins the next
+REACH = MAX_WORDS - 2   # gaps between words in a row of which one is a cut
 
 # Sentences end after . ! ? (and their wide forms) in front of white space, or at a line's end.
 _END = re.compile(r"(?<=[.!?])(?:[\"')\]]*)\s+|\n\s*|(?<=[。！？])\s*")
@@ -48,30 +57,48 @@ def _closes(words: list[str]) -> bool:
     return bool(words) and zlib.crc32(" ".join(words).lower().encode()) % 4 == 0
 
 
+def _cuts(words: list[str]) -> list[int]:
+    """Words before which a long sentence is cut: of every ``REACH`` gaps in a row the last one with the least hash."""
+    marks = [zlib.crc32(f"{a} {b}".encode()) for a, b in zip(words, words[1:])]
+    out, least = [], -1
+    for last in range(REACH - 1, len(marks)):
+        first = last - REACH + 1
+        if least < first:
+            least = min(range(last, first - 1, -1), key=marks.__getitem__)
+        elif marks[last] <= marks[least]:
+            least = last
+        else:
+            continue
+        out.append(least + 1)
+    return out
+
+
 def sentences(text: str) -> list[tuple[int, int, list[str]]]:
     """(start, end, lower-cased words) of each sentence; text between two sentences belongs to the first."""
-    out, begin, last, held = [], 0, 0, []
+    out, begin, last, held, pieces = [], 0, 0, [], []
     for border in [*[m.end() for m in _END.finditer(text)], len(text)]:
         said = text[last:border].split()
+        pieces.append((last, border))
         last = border
         held += said
         if border < len(text) and len(said) < SHORT and not _closes(said):
             continue
-        a, b, words = begin, border, held
-        begin, held = border, []
-        part = text[a:b]
+        a, b, words, joined = begin, border, [w.lower() for w in held], pieces
+        begin, held, pieces = border, [], []
         if not words:
             if out:
                 out[-1] = (out[-1][0], b, out[-1][2])
             elif b > a:
                 out.append((a, b, []))
             continue
-        if len(words) <= MAX_WORDS:
+        if len(words) <= REACH:
             out.append((a, b, words))
             continue
-        cuts = [a, *[a + m.start() for m in list(_WORD.finditer(part))[MAX_WORDS::MAX_WORDS]], b]
-        out += [(x, y, text[x:y].split()) for x, y in zip(cuts, cuts[1:])]
-    return [(a, b, [w.lower() for w in words]) for a, b, words in out]
+        places = [m.start() for x, y in joined for m in _WORD.finditer(text, x, y)]
+        cuts = _cuts(words)
+        edges = [a, *[places[k] for k in cuts], b]
+        out += [(x, y, words[i:j]) for x, y, i, j in zip(edges, edges[1:], [0, *cuts], [*cuts, len(words)])]
+    return out
 
 
 def span_hashes(parts: list[tuple[int, int, list[str]]]) -> Iterator[tuple[int, int, int]]:

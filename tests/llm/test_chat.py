@@ -1,9 +1,11 @@
 """Chat packing: round trips, sharing, depth-first layout, attention, edge cases."""
 
 import hashlib
+import random
 
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import SF, collected, rows
 from tickroll.llm import chat
@@ -81,6 +83,33 @@ def test_edge_cases(spark):
     assert len(long["attention"]) == 1, "an unbranched path is one interval"
 
 
+def test_no_row_holds_a_long_conversation(spark, monkeypatch):
+    turns = [(None, i, "user", f"t{i}") for i in range(3000)]
+    turns += [(1, i, "user", f"t{i}") for i in range(1500)] + [(2, i, "user", f"t{i}" if i < 700 else "other") for i in range(900)]
+    turns += [(3, i, "user", f"t{i}") for i in range(1500)] + [(4, 0, "user", "else")]
+    written, stage = [], chat.stage
+    monkeypatch.setattr(chat, "stage", lambda df, name: written.append(stage(df, name)) or written[-1])
+    nodes, paths, leaves = packed(spark, turns)
+    arrays = [df.select(F.max(F.size(c))).first()[0] for df in written for c, t in df.dtypes if t.startswith("array")]
+    assert arrays and max(arrays) <= 4, "forks and intervals only"
+    assert collected(chat.read_back(nodes, paths, leaves)) == expected(turns)
+    assert leaves.select("leaf").distinct().count() == 4 and paths.count() == 3000 + 1500 + 900 + 1
+
+
+def test_order_is_that_of_whole_paths(spark):
+    rnd = random.Random(5)
+    turns = [(None if c == 7 else c, i, "user", rnd.choice("ab")) for c in range(60) for i in range(rnd.randrange(1, 9))]
+    nodes, paths, _ = packed(spark, turns)
+    found = nodes.collect()
+    check_layout(found)
+    ways = {}
+    for r in sorted(paths.collect(), key=lambda r: r["depth"]):
+        ways.setdefault(r["rank"], []).append(bytes(r["node"]))
+    assert [ways[k] for k in range(len(ways))] == sorted(ways.values())
+    first = list(dict.fromkeys(n for k in range(len(ways)) for n in ways[k]))
+    assert [bytes(n["node"]) for n in sorted(found, key=lambda n: n["start"])] == first
+
+
 def test_empty_table(spark):
     assert collected(chat.read_back(*packed(spark, []))) == []
 

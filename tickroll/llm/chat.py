@@ -16,8 +16,13 @@ tokenizer gets the same layout by passing its token counts as ``size``.
 
 Depth-first order is found without walking the tree: distinct paths are
 sorted; a node belongs to the first path through it, and (rank of that path,
-depth) is its place. Ranks and offsets are running sums in two steps, within
-the partitions of a range sort and over the partitions' totals.
+depth) is its place. Paths are compared by their forks alone, the nodes with
+fewer paths through them than through their parent: two paths part at such
+nodes, and before that they have the same ones. Every further fork of a path
+takes another path that is longer by a turn, so a path among T turn rows has
+at most about sqrt(2 T) forks, and these are the only nodes of a path that
+meet in one row. Ranks and offsets are running sums in two steps, within the
+partitions of a range sort and over the partitions' totals.
 
 Template: ``<|turn|>role<|text|>text<|end|>`` per turn. Backslashes in a role
 or text are doubled and each control string gets one after its first
@@ -27,9 +32,9 @@ be read back.
 Defined cases: NULL role or text is read as empty; turns with NULL number
 come first, equal numbers are ordered by role and text, and repeated rows are
 turns of their own; a NULL conv_id names one conversation; turn rows are
-streamed in order, so a conversation of any length needs little memory (its
-path takes 16 bytes a turn); an empty table gives no rows; extra columns are
-ignored.
+streamed in order, so a conversation of any length needs little memory, but
+its chained hashes and its digests are one task's work; an empty table gives
+no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -145,16 +150,18 @@ def pack(conversations: DataFrame, conv_id: str = "conv_id", turn: str = "turn",
     small_batches(conversations.sparkSession)
     steps = _steps(conversations, conv_id, turn, role, text)
     # conversations of the same turns are one path, named by its last node
-    # a conversation's nodes in order, 16 bytes each
-    whole = steps.groupBy("conv").agg(
-        F.max(F.struct("depth", "node")).alias("last"),
-        F.array_sort(F.collect_list(F.struct("depth", "node"))).alias("way"))
-    leaves = stage(whole.select(
-        "conv", F.col("last.node").alias("leaf"), (F.col("last.depth") + 1).alias("n_turns"),
-        F.transform("way", lambda s: s["node"]).alias("way")), "chat-leaves")
-    distinct = leaves.groupBy("leaf").agg(F.first("way").alias("way"))
-    ranked = _numbered(distinct, ["way"], None, "rank")
-    paths = stage(ranked.select("leaf", "rank", F.posexplode("way").alias("depth", "node")), "chat-paths")
+    leaves = stage(steps.groupBy("conv").agg(F.max(F.struct("depth", "node")).alias("last")).select(
+        "conv", F.col("last.node").alias("leaf"), (F.col("last.depth") + 1).alias("n_turns")), "chat-leaves")
+    # the turns of one conversation stand for each path; small sides are written
+    # before a join, so that Spark splits the rows of a long one
+    one = stage(leaves.groupBy("leaf").agg(F.min("conv").alias("_conv")), "chat-distinct")
+    ways = stage(steps.join(one, F.col("conv").eqNullSafe(F.col("_conv"))).select("leaf", "depth", "node", "parent"), "chat-ways")
+    through = stage(ways.groupBy("node", "parent").agg(F.count(F.lit(1)).alias("n")), "chat-through")
+    above = through.select(F.col("node").alias("parent"), F.col("n").alias("n_above"))
+    forks = stage(through.join(above, "parent", "left").filter("n_above IS NULL OR n < n_above").select("node"), "chat-forks")
+    distinct = ways.join(forks, "node").groupBy("leaf").agg(F.array_sort(F.collect_list(F.struct("depth", "node"))).alias("way"))
+    ranked = _numbered(distinct.select("leaf", F.transform("way", lambda s: s["node"]).alias("way")), ["way"], None, "rank")
+    paths = stage(ways.select("leaf", "depth", "node").join(ranked.select("leaf", "rank"), "leaf"), "chat-paths")
 
     placed = paths.groupBy("node").agg(F.min("rank").alias("rank"), F.max("rank").alias("last"))
     texts = steps.groupBy("node").agg(*[F.first(c).alias(c) for c in ("parent", "depth", "position", "size", "formatted")])
@@ -185,7 +192,7 @@ def pack(conversations: DataFrame, conv_id: str = "conv_id", turn: str = "turn",
                  .mapInArrow(merge, "node binary, attention array<array<long>>"))
     packed = stage(nodes.join(attention, "node").select(
         "node", "parent", "depth", "start", "size", "position", "subtree_end", "attention", "formatted"), "chat-packed")
-    return packed, paths, leaves.select("conv", "leaf", "n_turns")
+    return packed, paths, leaves
 
 
 def read_back(packed: DataFrame, paths: DataFrame, leaves: DataFrame) -> DataFrame:

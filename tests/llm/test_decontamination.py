@@ -1,5 +1,8 @@
 """Benchmark decontamination against a plain version, and its edge cases."""
 
+import itertools
+import random
+
 from tests.llm import brute
 from tests.llm.helpers import SF, collected, rows, same
 from tickroll.llm import decontamination as d
@@ -52,6 +55,29 @@ def test_proximity(spark):
         assert {r[0] for r in hit} == want
 
 
+def near_brute(text, phrase, slop):
+    """Whether some choice of places has offsets that differ by slop at most."""
+    found = text.split()
+    choices = itertools.product(*[[i - k for i, w in enumerate(found) if w == term] for k, term in enumerate(phrase.split())])
+    return any(max(c) - min(c) <= slop for c in choices)
+
+
+def test_proximity_does_not_depend_on_the_other_documents_of_a_segment(spark):
+    texts = ["a x b c y d", "a b", "c d", "b a d c", "d c b a", "a b x c d", "x a", "b c d", "a b c d"]
+    rnd = random.Random(3)
+    texts += [" ".join(rnd.choice("abcdxyz") for _ in range(rnd.randrange(1, 9))) for _ in range(40)]
+    items = [(9, "a b c d"), (8, "b d")]
+    for more in ([], ["a a a a a"], ["b b b b b", "c c c"], ["d d d d", "c c c c c", "a a"]):
+        docs = [(i, t, 0, "") for i, t in enumerate([*texts, *[" ".join(m.split() * 30) for m in more]])]
+        df = spark.createDataFrame(docs, "doc_id long, text string, segment int, n_words string").coalesce(1)
+        for slop in (1, 2, 3):
+            documents, matches = d.find_contamination(df, spark.createDataFrame(items, "item_id long, text string"), slop=slop)
+            got = {(r["doc_id"], r["item_id"]) for r in matches.join(documents, ["segment", "doc"])
+                   .filter("0 <= begin AND begin < stop AND stop <= n_words").collect()}
+            assert {x for x in got if x[0] < len(texts)} == {
+                (i, item) for i, t in enumerate(texts) for item, phrase in items if near_brute(t, phrase, slop)}
+
+
 def test_empty_tables(spark):
     documents, matches = run(spark, [], [(1, "a b")])
     assert collected(d.contamination_digest(documents, matches), *COLUMNS) == []

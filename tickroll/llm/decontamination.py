@@ -11,8 +11,9 @@ at a time.
 Test items are read in bounded blocks. Within a segment each window of an
 item is looked up from its rarest term: that term's positions, shifted to the
 window's start, are intersected with the shifted positions of the next rarest
-term, and so on. ``slop`` 0 gives exact phrases; a larger one accepts a term
-up to ``slop`` positions from its place (proximity).
+term, and so on. ``slop`` 0 gives exact phrases; a larger one (proximity)
+accepts terms of one document of which no two lie more than ``slop`` positions
+nearer or farther than in the phrase, whichever of them is the rarest.
 
 Only the terms that test items use are stored. They are recognised by a Bloom
 filter of fixed size, so that what is sent to executors is bounded however
@@ -154,24 +155,53 @@ class SegmentReader:
             self._read[term] = np.cumsum(self._data[first:last], dtype=np.int64)
         return self._read[term]
 
-    def starts(self, phrase: list[bytes], slop: int = 0) -> np.ndarray:
-        """Positions at which ``phrase`` begins, every term within ``slop`` of its place.
+    def _rarest_first(self, phrase: list[bytes]) -> list[int]:
+        order = sorted(range(len(phrase)), key=lambda k: (self.count(phrase[k]), k))
+        return order if order and self.count(phrase[order[0]]) else []
+
+    def starts(self, phrase: list[bytes]) -> np.ndarray:
+        """Positions at which ``phrase`` begins.
 
         The rarest term fixes the alignment; the others are intersected in
         order of rising frequency.
         """
-        order = sorted(range(len(phrase)), key=lambda k: (self.count(phrase[k]), k))
-        if not order or not self.count(phrase[order[0]]):
+        order = self._rarest_first(phrase)
+        if not order:
             return np.empty(0, np.int64)
         at = self.postings(phrase[order[0]]) - order[0]
         for k in order[1:]:
             listed = self.postings(phrase[k])
-            near = np.searchsorted(listed, at + (k - slop))
-            at = at[(near < len(listed)) & (listed[np.minimum(near, len(listed) - 1)] <= at + (k + slop))]
+            near = np.searchsorted(listed, at + k)
+            at = at[(near < len(listed)) & (listed[np.minimum(near, len(listed) - 1)] == at + k)]
             if not len(at):
                 break
         return at
 
+    def near(self, phrase: list[bytes], slop: int, starts: np.ndarray) -> np.ndarray:
+        """Rows (document, begin, stop) of the places where the terms of ``phrase`` lie within ``slop`` of each other's places.
+
+        ``starts`` are the documents' first positions. For a begin b, term k
+        is looked for from b + k to b + k + slop; every b that the rarest
+        term allows is tried, so which term that is makes no difference.
+        """
+        order = self._rarest_first(phrase)
+        if not order:
+            return np.empty((0, 3), np.int64)
+        rarest = self.postings(phrase[order[0]])
+        tried = np.arange(-slop, 1)
+        doc = np.repeat(np.searchsorted(starts, rarest, "right") - 1, len(tried))
+        at, doc = np.unique(np.stack([(rarest[:, None] - order[0] + tried).ravel(), doc]), axis=1)
+        first, beyond = starts[doc], np.append(starts[1:], np.iinfo(np.int64).max)[doc]
+        begin, stop = beyond, np.zeros(len(at), np.int64)
+        for k in order:
+            listed = self.postings(phrase[k])
+            place = np.searchsorted(listed, np.maximum(at + k, first))
+            found = listed[np.minimum(place, len(listed) - 1)]
+            good = (place < len(listed)) & (found <= at + k + slop) & (found < beyond)
+            begin, stop = np.minimum(begin, found)[good], np.maximum(stop, found + 1)[good]
+            at, doc, first, beyond = at[good], doc[good], first[good], beyond[good]
+        return np.stack([doc, begin, stop], axis=1)
+
 
 def phrase_matches(index: DataFrame, items: list[tuple[int | None, list[bytes]]], window: int = WINDOW,
                    slop: int = 0) -> DataFrame:
@@ -193,14 +223,24 @@ def phrase_matches(index: DataFrame, items: list[tuple[int | None, list[bytes]]]
                     for k in range(len(words) - size + 1 if size else 0):
                         phrase = tuple(words[k:k + size])
                         if phrase not in known:
-                            known[phrase] = reader.starts(list(phrase), slop)
+                            known[phrase] = reader.near(list(phrase), slop, starts) if slop else reader.starts(list(phrase))
                         if len(known[phrase]):
                             hits.append(known[phrase])
                     if not hits:
                         continue
-                    # a proximity alignment may begin before its document; it counts from word 0
+                    if slop:
+                        doc, begin, stop = np.unique(np.concatenate(hits), axis=0).T
+                        reached = np.maximum.accumulate(stop)
+                        # a document ends before the next begins, so ranges of two documents never touch
+                        cut = np.flatnonzero(begin[1:] > reached[:-1]) + 1
+                        for first, last in zip([0, *cut], [*cut, len(doc)]):
+                            out["segment"].append(row["segment"])
+                            out["doc"].append(int(doc[first]))
+                            out["item_id"].append(item_id)
+                            out["begin"].append(int(begin[first] - starts[doc[first]]))
+                            out["stop"].append(int(reached[last - 1] - starts[doc[first]]))
+                        continue
                     at = np.unique(np.concatenate(hits))
-                    at = at[at >= 0]
                     doc = np.searchsorted(starts, at, "right") - 1
                     # occurrences of the item that touch or overlap in one document are one range
                     cut = np.flatnonzero((np.diff(at) > size) | (np.diff(doc) > 0)) + 1

@@ -110,6 +110,27 @@ def test_order_is_that_of_whole_paths(spark):
     assert [bytes(n["node"]) for n in sorted(found, key=lambda n: n["start"])] == first
 
 
+def test_token_counts_and_loss_mask(spark):
+    turns = [(c, i, ("user", "assistant", "system")[i % 3], t) for c, texts in enumerate([["é", "[INST]ü\\", "x"], ["é", "other", "", "b", "日本"], ["q", ""]])
+             for i, t in enumerate(texts)]
+    nodes, paths, leaves = chat.pack(spark.createDataFrame([(*t, "x", 1) for t in turns], SCHEMA), count=lambda s: len(s.encode()))
+    found = nodes.collect()
+    by, at = {bytes(n["node"]): n for n in found}, 0
+    for n in sorted(found, key=lambda n: n["start"]):
+        data, (role, text) = n["formatted"].encode(), chat.parse_turn(n["formatted"])
+        assert n["start"] == at and n["size"] == len(data)
+        at += n["size"]
+        above, parent = 0, bytes(n["parent"])
+        while parent:
+            above, parent = above + by[parent]["size"], bytes(by[parent]["parent"])
+        assert n["position"] == above
+        masked = "".join(chat.unescape(data[a:b].decode()) for a, b in n["loss"])
+        assert masked == "".join(chat.unescape(n["formatted"][a:b]) for a, b in n["loss_text"]) == (text if role == "assistant" else "")
+    assert collected(chat.read_back(nodes, paths, leaves)) == expected(turns)
+    bare = nodes.withColumn("loss_text", F.expr("filter(loss_text, x -> false)"))
+    assert {r["loss_chars"] for r in chat.read_back(bare, paths, leaves).collect()} == {0}, "the text under the mask comes from the mask"
+
+
 def test_empty_table(spark):
     assert collected(chat.read_back(*packed(spark, []))) == []
 

@@ -9,10 +9,15 @@ out in depth-first order, so the text of every node is emitted once:
   and nobody else;
 * ``position``: position id of its first token, counted along the path;
 * ``attention``: the merged packed intervals of its ancestors, what its
-  tokens attend to besides the node itself.
+  tokens attend to besides the node itself;
+* ``loss``: the intervals of its tokens, counted from its own first one, that
+  the loss is taken over (the text of an assistant's turn), and ``loss_text``:
+  the same in code points of ``formatted``.
 
-Tokens are code points of the formatted text; a caller with a subword
-tokenizer gets the same layout by passing its token counts as ``size``.
+Tokens are code points of the formatted text unless ``pack`` is given
+``count``, the number of tokens of a string by the caller's tokenizer. It is
+asked for a turn's head, its text and its end mark apart, so that no token
+reaches across the loss mask's borders.
 
 Depth-first order is found without walking the tree: distinct paths are
 sorted; a node belongs to the first path through it, and (rank of that path,
@@ -41,7 +46,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -81,33 +86,42 @@ def parse_turn(formatted: str) -> tuple[str, str]:
     return unescape(match[1]), unescape(match[2])
 
 
-def _steps(conversations: DataFrame, conv_id: str, turn: str, role: str, text: str) -> DataFrame:
-    """Turn rows along their paths: conv, depth, node, parent, position, size, formatted."""
+def _steps(conversations: DataFrame, conv_id: str, turn: str, role: str, text: str, count: Callable[[str], int]) -> DataFrame:
+    """Turn rows along their paths: conv, depth, node, parent, position, size, loss, loss_text, formatted."""
     rows = conversations.select(
         F.col(conv_id).cast("long").alias("conv"), F.col(turn).cast("long").alias("turn"),
         F.coalesce(F.col(role).cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
 
+    intervals = pa.list_(pa.list_(pa.int64()))
+
     def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         conv, node, depth, position, begun = None, b"", 0, 0, False
         for batch in batches:
-            out = {k: [] for k in ("conv", "depth", "node", "parent", "position", "size", "formatted")}
+            out = {k: [] for k in ("conv", "depth", "node", "parent", "position", "size", "loss", "loss_text", "formatted")}
             for c, role_, text_ in zip(*(batch.column(k).to_pylist() for k in ("conv", "role", "text"))):
                 if not begun or c != conv:
                     conv, node, depth, position, begun = c, b"", 0, 0, True
-                formatted = format_turn(role_, text_)
+                head, body = f"{TURN}{escape(role_)}{TEXT}", escape(text_)
+                formatted = head + body + END
+                before, within = count(head), count(body)
+                size, masked = before + within + count(END), role_ == LOSS_ROLE and bool(body)
+                loss = [[before, before + within]] if masked else []
+                loss_text = [[len(head), len(head) + len(body)]] if masked else []
                 parent, node = node, hashlib.blake2b(node + formatted.encode(), digest_size=16).digest()
-                for k, v in zip(out, (c, depth, node, parent, position, len(formatted), formatted)):
+                for k, v in zip(out, (c, depth, node, parent, position, size, loss, loss_text, formatted)):
                     out[k].append(v)
-                depth, position = depth + 1, position + len(formatted)
+                depth, position = depth + 1, position + size
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out["conv"], pa.int64()), pa.array(out["depth"], pa.int32()), pa.array(out["node"], pa.binary()),
                  pa.array(out["parent"], pa.binary()), pa.array(out["position"], pa.int64()),
-                 pa.array(out["size"], pa.int64()), pa.array(out["formatted"], pa.string())], names=list(out))
+                 pa.array(out["size"], pa.int64()), pa.array(out["loss"], intervals), pa.array(out["loss_text"], intervals),
+                 pa.array(out["formatted"], pa.string())], names=list(out))
 
     ordered = rows.repartition("conv").sortWithinPartitions("conv", "turn", "role", "text")
     return stage(ordered.mapInArrow(
-        chain, "conv long, depth int, node binary, parent binary, position long, size long, formatted string"), "chat-steps")
+        chain, "conv long, depth int, node binary, parent binary, position long, size long, "
+               "loss array<array<long>>, loss_text array<array<long>>, formatted string"), "chat-steps")
 
 
 def _numbered(df: DataFrame, order: list[str], size: str | None, name: str) -> DataFrame:
@@ -140,15 +154,15 @@ def _numbered(df: DataFrame, order: list[str], size: str | None, name: str) -> D
 
 
 def pack(conversations: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role",
-         text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
+         text: str = "text", count: Callable[[str], int] = len) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(nodes, paths, leaves): the packed tree, the nodes of each distinct path, and each conversation's path.
 
     ``nodes``: node, parent, depth, start, size, position, subtree_end,
-    attention (array of [begin, end) pairs), formatted. Ordered by ``start``
-    they are the packed stream.
+    attention, loss, loss_text (arrays of [begin, end) pairs), formatted.
+    Ordered by ``start`` they are the packed stream.
     """
     small_batches(conversations.sparkSession)
-    steps = _steps(conversations, conv_id, turn, role, text)
+    steps = _steps(conversations, conv_id, turn, role, text, count)
     # conversations of the same turns are one path, named by its last node
     leaves = stage(steps.groupBy("conv").agg(F.max(F.struct("depth", "node")).alias("last")).select(
         "conv", F.col("last.node").alias("leaf"), (F.col("last.depth") + 1).alias("n_turns")), "chat-leaves")
@@ -164,7 +178,7 @@ def pack(conversations: DataFrame, conv_id: str = "conv_id", turn: str = "turn",
     paths = stage(ways.select("leaf", "depth", "node").join(ranked.select("leaf", "rank"), "leaf"), "chat-paths")
 
     placed = paths.groupBy("node").agg(F.min("rank").alias("rank"), F.max("rank").alias("last"))
-    texts = steps.groupBy("node").agg(*[F.first(c).alias(c) for c in ("parent", "depth", "position", "size", "formatted")])
+    texts = steps.groupBy("node").agg(*[F.first(c).alias(c) for c in ("parent", "depth", "position", "size", "loss", "loss_text", "formatted")])
     nodes = _numbered(texts.join(placed, "node"), ["rank", "depth"], "size", "start")
     ends = nodes.groupBy("rank").agg(F.max(F.col("start") + F.col("size")).alias("subtree_end"))
     nodes = stage(nodes.join(ends.withColumnRenamed("rank", "last"), "last"), "chat-nodes")
@@ -191,13 +205,14 @@ def pack(conversations: DataFrame, conv_id: str = "conv_id", turn: str = "turn",
     attention = (along.select("rank", "depth", "own", "node", "start", "size").repartition("rank").sortWithinPartitions("rank", "depth")
                  .mapInArrow(merge, "node binary, attention array<array<long>>"))
     packed = stage(nodes.join(attention, "node").select(
-        "node", "parent", "depth", "start", "size", "position", "subtree_end", "attention", "formatted"), "chat-packed")
+        "node", "parent", "depth", "start", "size", "position", "subtree_end", "attention", "loss", "loss_text",
+        "formatted"), "chat-packed")
     return packed, paths, leaves
 
 
 def read_back(packed: DataFrame, paths: DataFrame, leaves: DataFrame) -> DataFrame:
     """One row per conversation, from the packed stream alone: counts and digests of its turns and of the text under the loss mask."""
-    rows = leaves.join(paths.select("leaf", "depth", "node"), "leaf").join(packed.select("node", "formatted"), "node")
+    rows = leaves.join(paths.select("leaf", "depth", "node"), "leaf").join(packed.select("node", "loss_text", "formatted"), "node")
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         conv, begun, state, loss, n, chars, loss_chars = None, False, None, None, 0, 0, 0
@@ -215,7 +230,7 @@ def read_back(packed: DataFrame, paths: DataFrame, leaves: DataFrame) -> DataFra
             return batch
 
         for batch in batches:
-            for c, formatted in zip(batch.column("conv").to_pylist(), batch.column("formatted").to_pylist()):
+            for c, mask, formatted in zip(*(batch.column(k).to_pylist() for k in ("conv", "loss_text", "formatted"))):
                 if not begun or c != conv:
                     if begun:
                         close()
@@ -224,15 +239,16 @@ def read_back(packed: DataFrame, paths: DataFrame, leaves: DataFrame) -> DataFra
                 role_, text_ = parse_turn(formatted)
                 state.update(f"{role_}\n{text_}\n".encode())
                 n, chars = n + 1, chars + len(formatted)
-                if role_ == LOSS_ROLE:
-                    loss.update(text_.encode())
-                    loss_chars += len(text_)
+                for a, b in mask:
+                    said = unescape(formatted[a:b])
+                    loss.update(said.encode())
+                    loss_chars += len(said)
             if len(done) > 1000:
                 yield flush()
         if begun:
             close()
         yield flush()
 
-    return (rows.select("conv", "depth", "formatted").repartition("conv").sortWithinPartitions("conv", "depth")
+    return (rows.select("conv", "depth", "loss_text", "formatted").repartition("conv").sortWithinPartitions("conv", "depth")
             .mapInArrow(digest, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
                                 "formatted_chars long"))

@@ -66,9 +66,9 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and the token ids of every document left."""
+    """doc_id, n_tokens and the token ids of every document left; ids that do not decode to its text fail the run."""
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    return bpe.encode_texts(docs, ranks, public_tokenizers.PATTERN).select(
+    return bpe.decoded_alike(bpe.encode_texts(docs, ranks, public_tokenizers.PATTERN, keep_text=True), ranks).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 

@@ -3,11 +3,12 @@
 from collections import defaultdict
 
 import corpus_pipeline
+import pytest
 from pyspark.sql import functions as F
 
 from tests.llm import brute
 from tests.llm.helpers import SF, rows
-from tickroll.llm import quality
+from tickroll.llm import bpe, quality
 from tickroll.llm.common import table
 from tickroll.llm.secrets import COPIED_OWNERS
 
@@ -100,3 +101,16 @@ def test_run_returns_the_last_stage(spark):
     assert out.columns == ["doc_id", "n_tokens", "ids"]
     assert 0 < out.count() < table(spark, SF, "documents").count()
     assert out.filter(F.size("ids") != F.col("n_tokens")).count() == 0
+
+
+def test_a_wrong_id_sequence_fails_the_last_stage(spark, monkeypatch):
+    df = frame(spark, [(1, "the cat sat on the mat"), (2, "é日本🎉"), (None, None)])
+    assert corpus_pipeline.encode(spark, df, SF).count() == 3
+    right = bpe.encode_texts
+
+    def wrong(*args, **options):
+        return right(*args, **options).withColumn("ids", F.reverse("ids"))
+
+    monkeypatch.setattr(bpe, "encode_texts", wrong)
+    with pytest.raises(Exception, match="do not decode"):
+        corpus_pipeline.encode(spark, df, SF).collect()

@@ -233,8 +233,8 @@ def _task_cache(ranks: dict[bytes, int], pattern: str) -> ChunkCache:
 
 
 def encode_texts(docs: DataFrame, ranks: dict[bytes, int], pattern: str, doc_id: str = "doc_id",
-                 text: str = "text") -> DataFrame:
-    """``(doc_id, ids)`` for every row: the ids of its whole text."""
+                 text: str = "text", keep_text: bool = False) -> DataFrame:
+    """``(doc_id, ids)`` for every row: the ids of its whole text; with ``keep_text`` also ``text`` (NULL read as empty)."""
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(ranks)  # a vocabulary: its size is fixed
 
@@ -244,10 +244,29 @@ def encode_texts(docs: DataFrame, ranks: dict[bytes, int], pattern: str, doc_id:
             found = cache.encoded(batch.column("t"))
             ends = np.cumsum([0, *[len(f) // 4 for f in found]], dtype=np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(found), np.int32)))
-            yield pa.RecordBatch.from_arrays([batch.column("d"), ids], names=["doc_id", "ids"])
+            columns = [batch.column("d"), ids, *[batch.column("t")] * keep_text]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", *["text"] * keep_text])
 
     return docs.select(F.col(doc_id).cast("long").alias("d"), whole_text(text).alias("t")).mapInArrow(
-        run, "doc_id long, ids array<int>")
+        run, "doc_id long, ids array<int>" + (", text string" if keep_text else ""))
+
+
+def decoded_alike(rows: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
+    """``(doc_id, ids)`` of rows with ``text``, each decoded on the way; ids that do not say the text raise an error."""
+    shared = rows.sparkSession.sparkContext.broadcast({r: t for t, r in ranks.items()})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = [shared.value.get(i) for i in range(max(shared.value, default=-1) + 1)]
+        for batch in batches:
+            offsets = batch.column("ids").offsets.to_numpy()
+            flat = batch.column("ids").values.to_numpy(zero_copy_only=False)
+            for doc, text, first, last in zip(batch.column("doc_id"), batch.column("text"), offsets, offsets[1:]):
+                found = [tokens[i] if 0 <= i < len(tokens) else None for i in flat[first:last].tolist()]
+                if None in found or b"".join(found) != text.as_py().encode():
+                    raise ValueError(f"token ids of document {doc.as_py()} do not decode to its text")
+            yield batch.select(["doc_id", "ids"])
+
+    return rows.select("doc_id", "ids", "text").mapInArrow(run, "doc_id long, ids array<int>")
 
 
 def decode_ids(rows: DataFrame, ranks: dict[bytes, int]) -> DataFrame:

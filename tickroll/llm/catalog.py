@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tickroll.llm import bpe, chat, decontamination, minhash, quality, secrets, spans, token_files, toxicity, url_filter
+from tickroll.llm import (bpe, chat, decontamination, embedding_dedup, minhash, prefix_trie, quality, secrets, spans, token_files, toxicity,
+                          url_filter, whitening)
 from tickroll.llm.common import table
 from tickroll.llm.oracles import ORACLES  # noqa: F401
 
@@ -92,3 +93,21 @@ def op9_chat(spark, sf_dir):
 def op10_url_filter(spark, sf_dir):
     """Verdict of every page url: list rules, else rules mined from the labels."""
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
+@_query
+def op11_embedding_dedup(spark, sf_dir):
+    """Links of the embeddings at a cosine of 0.95, and their components."""
+    return embedding_dedup.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op12_whitening(spark, sf_dir):
+    """The first eight whitened components of the embeddings."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
+
+
+@_query
+def op13_prefix_trie(spark, sf_dir):
+    """Nodes of the prefix trie of the rebuilt conversations."""
+    return prefix_trie.build(table(spark, sf_dir, "conversations"))

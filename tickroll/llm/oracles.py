@@ -138,7 +138,53 @@ SELECT conv_id, count(*) AS n_turns,
 FROM a GROUP BY conv_id"""
 
 
+def embedding_links_sql(threshold: float = 0.95) -> str:
+    """All pairs in double precision."""
+    return rf"""
+WITH RECURSIVE e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+u AS (SELECT vec_id, v FROM e WHERE len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                                AND len(list_filter(v, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
+      WHERE list_cosine_similarity(a.v, b.v) >= {threshold}),
+c AS (SELECT a AS node, a AS root FROM l UNION SELECT l.b, c.root FROM c JOIN l ON l.a = c.node),
+r AS (SELECT node, min(root) AS root FROM c GROUP BY node),
+n AS (SELECT a AS node, count(*) AS links FROM l GROUP BY a)
+SELECT e.vec_id, coalesce(links, 0) AS n_links, coalesce(root, e.vec_id) AS component_id, coalesce(root, e.vec_id) = e.vec_id AS kept
+FROM e LEFT JOIN n ON n.node = e.vec_id LEFT JOIN r ON r.node = e.vec_id"""
+
+
+def prefix_trie_sql() -> str:
+    """Prefixes as strings of turn hashes; CRC-32 bit by bit, for DuckDB has none."""
+    crc = ("xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(c AS VARCHAR), ''), "
+           "lambda d: CAST(ascii(d) AS BIGINT))), lambda a, b: list_reduce(list_prepend(xor(a, b), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])), "
+           "lambda y, z: xor(y >> 1, (y & 1) * 3988292384))), 4294967295)")
+    return rf"""
+WITH a AS (SELECT conv_id AS c, turn, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k,
+                  strlen(coalesce(text, '')) AS size FROM conversations WHERE conv_id IS NOT NULL),
+t AS (SELECT c, k, size, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, k) - 1 AS pos FROM a),
+n AS (SELECT c, own, c - c % 5 AS base, {crc} % 9 AS h FROM (SELECT c, count(*) AS own FROM t GROUP BY c)),
+w AS (SELECT n.c, CASE WHEN n.c = n.base THEN pos ELSE pos - n.h + least(n.h, coalesce(m.own, 0)) END AS pos, k, size
+      FROM t JOIN n ON n.c = t.c LEFT JOIN n m ON m.c = n.base WHERE n.c = n.base OR pos >= n.h
+      UNION ALL SELECT n.c, pos, k, size FROM n JOIN t ON t.c = n.base WHERE n.c <> n.base AND pos < n.h),
+p AS (SELECT c, pos + 1 AS depth, size, string_agg(k, '') OVER (PARTITION BY c ORDER BY pos) AS path FROM w
+      UNION ALL SELECT c, 0, 0, '' FROM n),
+q AS (SELECT *, lag(path) OVER (PARTITION BY c ORDER BY depth) AS over, depth = max(depth) OVER (PARTITION BY c) AS last FROM p),
+g AS (SELECT path, min(c) AS least, any_value(over) AS over FROM q GROUP BY path),
+k AS (SELECT over AS path, count(*) AS children FROM g WHERE over IS NOT NULL GROUP BY over),
+f AS (SELECT least AS c FROM g WHERE path NOT IN (SELECT path FROM k)),
+s AS (SELECT q.*, q.c IN (SELECT c FROM f) AS leaf,
+             sum(CASE WHEN q.c <> g.least THEN size ELSE 0 END) OVER (PARTITION BY q.c ORDER BY depth DESC) AS saved
+      FROM q JOIN g ON g.path = q.path),
+r AS (SELECT path, min(c) AS conv_id, min(depth) AS depth, any_value(over) AS over, count(*) AS n_convs, count(*) FILTER (WHERE leaf) AS n_leaves,
+             CAST(sum(saved) AS BIGINT) AS saved_tokens,
+             sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE last), '')) AS ends_sha256
+      FROM s GROUP BY path)
+SELECT conv_id, CAST(depth AS BIGINT) AS depth, g.least AS parent_conv_id, n_convs, coalesce(children, 0) AS n_children, n_leaves, saved_tokens, ends_sha256
+FROM r LEFT JOIN g ON g.path = r.over LEFT JOIN k ON k.path = r.path"""
+
+
 ORACLES = {
     "op1_secrets": secrets_sql(), "op2_decontamination": decontamination_sql(), "op3_minhash": near_duplicates_sql(),
-    "op7_quality": quality_sql(), "op9_chat": chat_sql(),
+    "op7_quality": quality_sql(), "op9_chat": chat_sql(), "op11_embedding_dedup": embedding_links_sql(),
+    "op13_prefix_trie": prefix_trie_sql(),
 }

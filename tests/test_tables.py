@@ -17,7 +17,7 @@ from tickroll.plans import jobs, loads
 from tickroll.session import local_path, shared_dir, stage
 from tickroll.sources import testdata as T
 from tickroll.sources.keyed_table import KeyedTable
-from tickroll.sources.landed import candle_pages, decode_pages, page_rejects
+from tickroll.sources.landed import candle_pages, decode_pages, page_rejects, read_pages, write_pages
 from tickroll.streaming import ingest as SI
 
 DAY = 86_400_000
@@ -205,6 +205,110 @@ def test_a_pair_with_rejects_does_not_advance(spark):
     assert candles.read().count() == 4
 
 
+# ------------------------------------------- writers, arrival order and gaps
+def test_commits_are_named_by_their_writer(spark):
+    t = table(spark)
+    for i in range(3):                                      # batch runs: versions 1 to 3
+        t.merge(spark.createDataFrame([("a", float(i))], KV), unique=True)
+    for batch, key in ((0, "b"), (1, "c")):                 # a stream, from its batch 0
+        t.merge(spark.createDataFrame([(key, 1.0)], KV), unique=True, commit=("s1", batch))
+    t.merge(spark.createDataFrame([("b", 9.0)], KV), unique=True)
+    replayed = t.merge(spark.createDataFrame([("b", 1.0)], KV), unique=True, commit=("s1", 0))
+    t.merge(spark.createDataFrame([("d", 1.0)], KV), unique=True, commit=("s2", 0))
+    assert replayed.count() == 0 and replayed.columns == ["k", "v"]
+    assert rows(t.read(), "k") == [("a", 2.0), ("b", 9.0), ("c", 1.0), ("d", 1.0)]
+    assert t.committed("s1") == 1 and t.committed("s2") == 0 and t.committed("s3") is None
+    t.replace(spark.createDataFrame([("z", 0.0)], KV), commit=("s2", 0))
+    assert t.read().count() == 4
+
+
+def test_versions_in_use_are_not_deleted_by_number(spark):
+    t = table(spark, keep=1, retain_hours=1)
+    for i in range(3):
+        t.merge(spark.createDataFrame([("a", float(i))], KV), unique=True)
+    assert t.versions() == [1, 2, 3] and rows(t.read(1)) == [("a", 0.0)]
+
+
+def three(spark):
+    base = shared_dir(spark, "ingest3")
+    return SI.candle_table(spark, f"{base}/c"), SI.checkpoint_table(spark, f"{base}/k"), SI.reject_table(spark, f"{base}/r"), base
+
+
+def test_streams_share_a_table_with_batch_runs(spark):
+    candles, checkpoints, rejects, base = three(spark)
+    page = lambda d: [("A", "x", d, f"[[{d * DAY},1,1,1,1,{d + 1}]]")]
+    for d in range(3):
+        ingest(spark, page(d), candles, checkpoints, None, rejects)
+    for d, folder in ((3, "one"), (4, "one"), (5, "two")):   # the second folder's stream reads days 3 and 4 again
+        spark.createDataFrame(page(d), PAGES).write.mode("append").parquet(f"{base}/landing")
+        SI.run_ingest(spark, f"{base}/landing", candles, checkpoints, f"{base}/{folder}", rejects=rejects)
+    assert rows(candles.read().select("timestamp", "volume"), "timestamp") == [(d * DAY, d + 1.0) for d in range(6)]
+    assert rows(checkpoints.read().select("last_ts_ms", "high_ts_ms")) == [(5 * DAY, 5 * DAY)]
+
+
+LANDED = PAGES + ", landed_seq long"
+
+
+def test_the_last_landed_copy_wins_in_both_orders(spark):
+    old, new = ("A", "x", 0, "[[180000,1,1,1,111,1]]", 1), ("A", "x", 0, "[[180000,1,1,1,222,1]]", 2)
+    for pages in ([old, new], [new, old]):
+        candles, checkpoints, rejects, _ = three(spark)
+        SI.ingest_batch(spark, decode_pages(spark.createDataFrame(pages, LANDED), keep=["page_seq", "landed_seq"]),
+                        candles, checkpoints, None, "3m", "t", rejects)
+        assert rows(candles.read().select("close")) == [(222.0,)]
+
+
+def sync(spark, pages, candles, checkpoints, rejects, schema=LANDED):
+    meta = spark.createDataFrame([("a", "x")], "symbol string, available_exchange string")
+    jobs.candle_sync_job(spark, meta, spark.createDataFrame(pages, schema), candles, checkpoints, 20 * DAY, 30, rejects=rejects)
+
+
+@pytest.mark.parametrize("with_arrival", [True, False])
+def test_a_good_copy_closes_the_gap(spark, with_arrival):
+    """Bad copy, good copy, next day; then runs over the same pages: one set of rejects, and the checkpoint at the last candle."""
+    candles, checkpoints, rejects, _ = three(spark)
+    cut = lambda p: p if with_arrival else p[:4]
+    schema = LANDED if with_arrival else PAGES
+    bad = [cut(("A", "x", 2, "[[172800000,1,1,1,1", 1)), cut(("A", "x", 2, "[[172800000", 1))]
+    good, then = cut(("A", "x", 2, "[[172800000,1,1,1,1,7]]", 2)), cut(("A", "x", 3, "[[259200000,1,1,1,1,8]]", 3))
+    before = cut(("A", "x", 1, "[[86400000,1,1,1,1,6]]", 1))
+    said = lambda: rows(checkpoints.read().select("last_ts_ms", "high_ts_ms"))
+    for _ in range(4):
+        sync(spark, [before, *bad], candles, checkpoints, rejects, schema)
+        assert rejects.read().count() == 1 and said() == [(DAY, DAY)]
+    sync(spark, [before, *bad, then], candles, checkpoints, rejects, schema)
+    assert said() == [(DAY, 3 * DAY)]                      # the next day is stored, the gap is still open
+    for _ in range(2):
+        sync(spark, [before, *bad, good, then], candles, checkpoints, rejects, schema)
+        assert rejects.read().count() == 0 and said() == [(3 * DAY, 3 * DAY)]
+    assert rows(candles.read().select("volume"), "timestamp") == [(6.0,), (7.0,), (8.0,)]
+
+
+def test_one_bad_row_holds_back_that_row_only(spark):
+    candles, checkpoints, rejects, _ = three(spark)
+    half = ("A", "x", 1, "[[86400000,1,1,1,1,6],[86580000,1],[86760000,1,1,1,1,6]]", 1)
+    sync(spark, [half, ("A", "x", 4, "[[345600000,1,1,1,1,6],[345780000,1]]", 1)], candles, checkpoints, rejects)
+    assert rows(rejects.read().select("page_seq", "position", "reject", "after_ts"), "page_seq") == [
+        (1, 1, "short_row", DAY), (4, 1, "short_row", 4 * DAY)]
+    assert rows(checkpoints.read().select("last_ts_ms", "high_ts_ms")) == [(DAY, 4 * DAY)] and candles.read().count() == 3
+    sync(spark, [("A", "x", 1, "[[86400000,1,1,1,1,6],[86580000,1,1,1,1,6],[86760000,1,1,1,1,6]]", 2)], candles, checkpoints, rejects)
+    assert rows(checkpoints.read().select("last_ts_ms", "high_ts_ms")) == [(4 * DAY, 4 * DAY)] and candles.read().count() == 4
+    assert rejects.read().count() == 1
+
+
+def test_landed_days_are_pruned_per_pair(spark):
+    """Pages partitioned by day: the join with the wanted pages prunes their partitions."""
+    base = shared_dir(spark, "pruned")
+    pages = [(s, "x", d, f"[[{d * DAY},1,1,1,1,1]]") for s in "AB" for d in range(40)]
+    write_pages(spark.createDataFrame(pages, PAGES), f"{base}/pages")
+    landed = read_pages(spark, f"{base}/pages")
+    since = stage(spark.createDataFrame([("A", "x", 38 * DAY + 1), ("B", "x", 39 * DAY)], "symbol string, exchange string, since_ms long"), "s")
+    wanted = stage(I.pages_wanted(landed.select("page_seq").distinct(), since), "w").where(F.col("page_seq") > jobs.NO_DAY)
+    found = landed.join(wanted, list(I.PAGE_KEYS))
+    assert sorted((r["symbol"], r["page_seq"]) for r in found.collect()) == [("A", 38), ("A", 39), ("B", 39)]
+    assert re.search(r"PartitionFilters: \[[^\]]*dynamicpruning", found._jdf.queryExecution().executedPlan().toString())
+
+
 # --------------------------------------------------------------------- jobs
 def test_command_line_runs(spark, capsys):
     from tickroll.__main__ import main

@@ -24,6 +24,10 @@ from tickroll.sources.keyed_table import KeyedTable
 from tickroll.sources.landed import decode_pages
 from tickroll.streaming.ingest import CHECKPOINT_SCHEMA, ingest_batch
 
+# Below every day: a comparison that drops nothing, by which Spark takes the wanted pages for a
+# selective side and prunes the landed partitions by them.
+NO_DAY = -10**9
+
 
 def rollup_job(spark: SparkSession, source: DataFrame | KeyedTable, target: KeyedTable, interval: str,
                run_time: str | datetime, conf: dict | None = None) -> DataFrame:
@@ -48,23 +52,28 @@ def candle_sync_job(spark: SparkSession, meta: DataFrame, landed_pages: DataFram
                     rejects: KeyedTable | None = None) -> None:
     """One ingest run: every pair at once, data first, checkpoints second.
 
-    ``landed_pages`` has the UTC day of each page in ``page_seq``; pages of
-    days before the pair's resume point are left out before they are decoded,
-    and what is left is decoded once. A crash between the two steps repeats
-    data on the next run (the merge absorbs it) but never skips any.
+    ``landed_pages`` has the UTC day of each page in ``page_seq`` and, if pages
+    may land more than once, their order of arrival in ``landed_seq``
+    (``sources.landed.read_pages`` adds it). A pair's pages from its highest
+    candle on are wanted, and those with outstanding rows; both are days, so
+    with pages partitioned by ``page_seq`` (``landed.write_pages``) Spark prunes
+    the partitions by the join itself, one stale pair opening its own days
+    only. What is wanted is decoded once. A crash between the two steps
+    repeats data on the next run (the merge absorbs it) but never skips any.
     """
     pairs = I.explode_pairs(meta, on_empty="error")
     old = checkpoints.read()
     if old is None:
         old = spark.createDataFrame([], CHECKPOINT_SCHEMA)
+    gaps = rejects.read() if rejects is not None else None
+    if gaps is not None and "high_ts_ms" in old.columns:
+        # outstanding rows are read again on their own, so new pages start at the highest candle
+        old = old.withColumn("last_ts_ms", F.greatest("last_ts_ms", "high_ts_ms"))
     since = stage(I.since_per_pair(pairs, old, timeframe, now_ms=now_ms, since_days=since_days), "since")
-    # one bound for all pairs reaches the scan of the pages, the pair's own comes with the join
-    first = since.agg(F.count(F.when(F.col("since_ms").isNull(), 1)).alias("open"), F.min("since_ms").alias("least")).first()
-    if not first["open"] and first["least"] is not None:
-        landed_pages = landed_pages.where(F.col("page_seq") >= F.lit(first["least"] // DAY_MS))
-    pages = landed_pages.join(since, list(I.PAIR_KEYS)).where(
-        F.col("since_ms").isNull() | (F.col("page_seq") >= F.expr(f"since_ms div {DAY_MS}")))
-    decoded = decode_pages(pages, keep=["page_seq", "since_ms"])
+    days = landed_pages.select("page_seq").distinct()
+    wanted = stage(I.pages_wanted(days, since, gaps), "pages-wanted").where(F.col("page_seq") > NO_DAY)
+    arrival = [I.LANDED] if I.LANDED in landed_pages.columns else []
+    decoded = decode_pages(landed_pages.join(wanted, list(I.PAGE_KEYS)), keep=["page_seq", "since_ms", *arrival])
     new = decoded.where(F.col("since_ms").isNull() | F.col("reject").isNotNull()
                         | (F.col("timestamp") >= F.col("since_ms"))).drop("since_ms")
     stamp = updated_at or datetime.fromtimestamp(now_ms / 1000, tz=timezone.utc).strftime("%Y-%m-%d %H:%M:%S")

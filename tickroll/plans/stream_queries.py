@@ -93,6 +93,22 @@ def q_stream_replay(spark, sf_dir):
     return stored_rows(candles)
 
 
+@query("stream_after_batch", with_(C3) + f"\nSELECT {STORED_COLS} FROM c3")
+def q_stream_after_batch(spark, sf_dir):
+    """Two batch runs write a table, a stream goes on with it, then one with a fresh checkpoint folder, which reads all pages."""
+    base = shared_dir(spark, "stream-after-batch")
+    candles, ckpts = SI.candle_table(spark, f"{base}/candles"), SI.checkpoint_table(spark, f"{base}/checkpoints")
+    rejects = SI.reject_table(spark, f"{base}/rejects")
+    parts = _ingest_slices(spark, sf_dir, base)
+    for pages in parts[:1] * 2:
+        SI.ingest_batch(spark, decode_pages(pages, keep=["page_seq"]), candles, ckpts, None, "3m", "2024-01-31 00:00:00", rejects)
+    for number, pages in enumerate(parts[1:]):
+        pages.write.mode("append").parquet(f"{base}/landing")
+        SI.run_ingest(spark, f"{base}/landing", candles, ckpts, f"{base}/_stream-{number}", "3m",
+                      updated_at="2024-01-31 00:00:00", rejects=rejects)
+    return stored_rows(candles)
+
+
 @query("stream_ohlcv_1h", with_(C3, rollup_cte("r", "c3", interval_ms("1h"))) + f"\nSELECT {STORED_COLS} FROM r")
 def q_stream_ohlcv_1h(spark, sf_dir):
     """3m candles land week by week (epoch weeks); each run rolls them up."""

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from tickroll.functions import jsonfn as J
 
 LANDED_SCHEMA = "request_key string, seq long, payload string"
+PAGE_SCHEMA = "symbol string, exchange string, page_seq long, payload string"
+LANDED = "landed_seq"
 CANDLE_FIELDS = ("open", "high", "low", "close", "volume")
 
 
@@ -22,6 +24,21 @@ def read_landed(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
     return reader.format(fmt).load(path)
 
 
+def with_arrival(pages: DataFrame) -> DataFrame:
+    """Adds ``landed_seq``, the order of arrival: the file's modification time, then its name."""
+    return pages.withColumn(LANDED, F.struct(F.col("_metadata.file_modification_time").alias("at"), F.col("_metadata.file_path").alias("file")))
+
+
+def write_pages(pages: DataFrame, path: str) -> None:
+    """Land candle pages by UTC day (``page_seq``), so that a run opens the days that it wants only."""
+    pages.write.mode("append").partitionBy("page_seq").parquet(path)
+
+
+def read_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Landed candle pages with ``landed_seq``."""
+    return with_arrival(spark.read.schema(PAGE_SCHEMA).parquet(path))
+
+
 def parse_payloads(landed: DataFrame, payload_col: str = "payload") -> DataFrame:
     """Adds ``doc``: the payload as VARIANT (NULL for text that is not JSON)."""
     return landed.withColumn("doc", J.parse(payload_col))

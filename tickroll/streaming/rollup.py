@@ -6,8 +6,8 @@ epoch-aligned buckets (7-day windows start on Thursday, like the batch
 rollup). Update mode emits every changed candle with its full aggregate,
 and ``foreachBatch`` upserts it into the day-partitioned candle table
 (only the touched days), so the table converges to the batch rollup of
-everything not dropped as late. A replayed batch merges into the version
-before it.
+everything not dropped as late. A batch commits as (stream id, batch id) and
+is applied once, whoever else writes the table.
 
 Late data: a candle whose window ended before the watermark (max event
 time seen minus the delay) is dropped, like the scheduled original that
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from tickroll.functions.timefn import INTERVAL_MINUTES, LOOKBACK_DAYS
 from tickroll.operators.candles import exact_sum, stored
 from tickroll.sources.keyed_table import KeyedTable
+from tickroll.streaming.ingest import stream_id
 
 CANDLE_SCHEMA = ("symbol string, exchange string, timestamp long, open double, high double, "
                  "low double, close double, volume double")
@@ -51,7 +52,7 @@ def run_rollup(spark: SparkSession, source_dir: str, interval: str, table: Keyed
     out = windowed_rollup(stream, interval, delay)
 
     def on_batch(df: DataFrame, batch_id: int) -> None:
-        table.merge(stored(df), "update", unique=True, version=batch_id + 1)
+        table.merge(stored(df), "update", unique=True, commit=(stream_id(spark, checkpoint_location), batch_id))
 
     q = (out.writeStream.outputMode("update").foreachBatch(on_batch)
             .option("checkpointLocation", checkpoint_location)

@@ -14,6 +14,7 @@ from tickroll.operators import candles as C
 from tickroll.operators import incremental as I
 from tickroll.operators import merge as M
 from tickroll.plans import jobs, loads
+from tickroll.plans.catalog import QUERIES
 from tickroll.session import local_path, shared_dir, stage
 from tickroll.sources import testdata as T
 from tickroll.sources.keyed_table import KeyedTable
@@ -128,6 +129,14 @@ def test_merge_plans_read_each_side_once(spark):
     assert scans(I.checkpoint_next(old, new, "3m", "now")) == 2
 
 
+@pytest.mark.parametrize("name", ["ingest_candle_pages", "vn_eod_rows", "global_metrics", "global_eod", "basic_info", "fin_indicators"])
+def test_no_filter_parses_json(spark, name):
+    """What Spark infers or moves down must not read the documents once more."""
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if re.match(r"[ :+-]*Filter ", line)]
+    assert filters and not [f for f in filters if "parseJson" in f]
+
+
 def test_counts_of_all_intervals_take_one_scan(spark):
     c3 = stage(T.candles_3m(spark, SF), "plan-c3")
     ranges = {n: RunRange.resolve(interval_ms(n), "2024-01-31T00:00:00Z", 30) for n in ("1h", "1d", "7d")}

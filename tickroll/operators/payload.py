@@ -121,7 +121,9 @@ def unwrap(docs: DataFrame, mode: str = "records", doc_col: str = "doc", keep=No
         cand = J.as_array(J.get("_doc", path))
     if skip_errors:
         cand = F.when(~F.col("_skip"), cand)
-    rows = s3.select(*out_keep, F.posexplode(cand).alias("_pos", "rec"))
+    # the outer form: from the inner one Spark infers that the array is not empty, and tests it at the scan,
+    # where every use of the document parses it once more
+    rows = s3.select(*out_keep, F.posexplode_outer(cand).alias("_pos", "rec"))
     ok = J.is_object("rec")
     if mode == "first":
         ok = ok & J.nonempty_object("rec")

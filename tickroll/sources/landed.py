@@ -62,14 +62,14 @@ def decode_pages(pages: DataFrame, payload_col: str = "payload", keys=("symbol",
     row for the page), ``short_row`` (no array of six values), ``no_time`` or
     ``bad_number``; it is NULL for usable rows. An empty array gives no rows.
     """
-    rows = J.as_array(J.parse(payload_col))
-    each = pages.select(*keys, *keep, F.posexplode_outer(
-        F.coalesce(rows, F.array(F.lit(None).cast("variant")))).alias("position", "_row"), rows.isNull().alias("_bad"))
-    each = each.where(F.col("position").isNotNull()).select(
-        *keys, *keep, "position", "_bad", J.as_array("_row").alias("_f"))
-    field = lambda i: F.get("_f", F.lit(i))
-    text = lambda i: F.try_variant_get(field(i), "$", "string")
-    values = [F.try_variant_get(field(i + 1), "$", "string").try_cast("double").alias(c) for i, c in enumerate(CANDLE_FIELDS)]
+    # A page is parsed once, and each of its rows read once, as an array of texts inside the generator: what a
+    # filter above refers to are the generator's columns, so Spark can't move it down to where it would parse again.
+    parsed = pages.select(*keys, *keep, J.as_array(J.parse(payload_col)).alias("_rows"))
+    texts = F.transform("_rows", lambda row: F.try_variant_get(row, "$", "array<string>"))
+    each = parsed.select(*keys, *keep, F.col("_rows").isNull().alias("_bad"), F.posexplode_outer(
+        F.coalesce(texts, F.array(F.lit(None).cast("array<string>")))).alias("position", "_f")).where(F.col("position").isNotNull())
+    text = lambda i: F.get("_f", F.lit(i))
+    values = [text(i + 1).try_cast("double").alias(c) for i, c in enumerate(CANDLE_FIELDS)]
     each = each.select(*keys, *keep, "position", "_bad", F.coalesce(F.size("_f"), F.lit(0)).alias("_n"),
                        text(0).try_cast("decimal(20,0)").try_cast("long").alias("timestamp"), *values,
                        F.array(*[text(i + 1) for i in range(len(CANDLE_FIELDS))]).alias("_texts"))

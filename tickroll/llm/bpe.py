@@ -27,6 +27,7 @@ token strings are ordinary text.
 from __future__ import annotations
 
 import base64
+import zlib
 from array import array
 from collections.abc import Iterator
 
@@ -34,12 +35,14 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickroll.llm.chunks import ChunkCache
 from tickroll.llm.common import large_batches, small_batches, whole_text
 
+PAIRS = 400_000     # token pairs that a worker remembers (about 70 MB)
+
 
 def load_ranks(path: str) -> dict[bytes, int]:
     """Read a rank file: a base64 token and its rank per line."""
@@ -80,7 +83,7 @@ class PrefixBpe:
             a, b = self.tokens.get(left, b""), self.tokens[right]
             known = bool(left == -1 or a + b not in self.ranks) and (
                 self.merged(a + b) == ([right] if left == -1 else [left, right]))
-            if len(self._valid) > 2_000_000:
+            if len(self._valid) > PAIRS:
                 self._valid.clear()
             self._valid[key] = known
         return known
@@ -233,40 +236,52 @@ def _task_cache(ranks: dict[bytes, int], pattern: str) -> ChunkCache:
 
 
 def encode_texts(docs: DataFrame, ranks: dict[bytes, int], pattern: str, doc_id: str = "doc_id",
-                 text: str = "text", keep_text: bool = False) -> DataFrame:
-    """``(doc_id, ids)`` for every row: the ids of its whole text; with ``keep_text`` also ``text`` (NULL read as empty)."""
+                 text: str = "text", decode: bool = False, verify: bool = False) -> DataFrame:
+    """``(doc_id, ids)`` for every row: the ids of its whole text (NULL read as empty).
+
+    ``decode`` adds ``decoded``, the bytes that the ids stand for; ``verify``
+    decodes too, raises an error where they do not say the text, and adds
+    ``verified``, the CRC-32 of the (decimal, comma-joined) ids that did. Both
+    ways in one step, so that a task needs one Python worker and texts and ids
+    pass between the JVM and Python once.
+    """
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(ranks)  # a vocabulary: its size is fixed
+    names = ["doc_id", "ids", *["decoded"] * decode, *["verified"] * verify]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _task_cache(shared.value, pattern)
+        token = {rank: token for token, rank in shared.value.items()} if decode or verify else {}
+        tokens = [token.get(i) for i in range(max(token, default=-1) + 1)]
         for batch in large_batches(batches, "t"):
             found = cache.encoded(batch.column("t"))
             ends = np.cumsum([0, *[len(f) // 4 for f in found]], dtype=np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(found), np.int32)))
-            columns = [batch.column("d"), ids, *[batch.column("t")] * keep_text]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", *["text"] * keep_text])
+            columns = [batch.column("d"), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(found), np.int32)))]
+            if decode or verify:
+                each = [np.frombuffer(f, np.int32).tolist() for f in found]
+                said = [b"".join([tokens[i] for i in ids]) for ids in each]
+            if decode:
+                columns.append(pa.array(said, pa.binary()))
+            if verify:
+                for doc, one, own in zip(batch.column("d"), said, batch.column("t")):
+                    if one != own.as_py().encode():
+                        raise ValueError(f"token ids of document {doc.as_py()} do not decode to its text")
+                columns.append(pa.array([zlib.crc32(",".join(map(str, ids)).encode()) for ids in each], pa.int64()))
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return docs.select(F.col(doc_id).cast("long").alias("d"), whole_text(text).alias("t")).mapInArrow(
-        run, "doc_id long, ids array<int>" + (", text string" if keep_text else ""))
+        run, "doc_id long, ids array<int>" + ", decoded binary" * decode + ", verified long" * verify)
 
 
-def decoded_alike(rows: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """``(doc_id, ids)`` of rows with ``text``, each decoded on the way; ids that do not say the text raise an error."""
-    shared = rows.sparkSession.sparkContext.broadcast({r: t for t, r in ranks.items()})
+def ids_in_decimal(ids: str = "ids") -> Column:
+    return F.array_join(F.col(ids).cast("array<string>"), ",")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = [shared.value.get(i) for i in range(max(shared.value, default=-1) + 1)]
-        for batch in batches:
-            offsets = batch.column("ids").offsets.to_numpy()
-            flat = batch.column("ids").values.to_numpy(zero_copy_only=False)
-            for doc, text, first, last in zip(batch.column("doc_id"), batch.column("text"), offsets, offsets[1:]):
-                found = [tokens[i] if 0 <= i < len(tokens) else None for i in flat[first:last].tolist()]
-                if None in found or b"".join(found) != text.as_py().encode():
-                    raise ValueError(f"token ids of document {doc.as_py()} do not decode to its text")
-            yield batch.select(["doc_id", "ids"])
 
-    return rows.select("doc_id", "ids", "text").mapInArrow(run, "doc_id long, ids array<int>")
+def verified_ids() -> Column:
+    """The ids of a verified row, if they still are the ones that were decoded; an error else."""
+    return F.when(F.crc32(ids_in_decimal()) == F.col("verified"), F.col("ids")).otherwise(
+        F.raise_error(F.concat(F.lit("token ids of document "), F.coalesce(F.col("doc_id").cast("string"), F.lit("NULL")),
+                               F.lit(" do not decode to its text"))))
 
 
 def decode_ids(rows: DataFrame, ranks: dict[bytes, int]) -> DataFrame:

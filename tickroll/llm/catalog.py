@@ -59,11 +59,10 @@ def op5_token_files(spark, sf_dir):
 def op6_bpe(spark, sf_dir):
     """Byte-level BPE ids of the documents, and their decoding."""
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    coded = bpe.encode_texts(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    return bpe.decode_ids(coded, ranks).select(
-        "doc_id", F.when(F.col("ids_text") == "", F.lit(0)).otherwise(
-            F.length("ids_text") - F.length(F.replace("ids_text", F.lit(","))) + 1).cast("long").alias("n_tokens"),
-        F.sha2("ids_text", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    coded = bpe.encode_texts(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, decode=True)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(bpe.ids_in_decimal(), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 @_query

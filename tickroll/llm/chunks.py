@@ -50,11 +50,13 @@ class ChunkCache:
     has a space before it) and returns their values: the bytes of ids of type
     ``kind``. The parts of a batch of texts are made distinct and looked up by
     Arrow; only new ones are handled one by one. When the cache has ``limit``
-    parts, those met in several batches stay (the most met half of the limit).
+    parts, those met in several batches stay (the most met half of the limit);
+    chunks after no space are Python objects and fewer (``bare``).
     """
 
-    def __init__(self, encode: Callable[[list[str], bool], list[bytes]], kind: np.dtype, limit: int = 800_000):
-        self._encode, self._type, self._limit = encode, np.dtype(kind), limit
+    def __init__(self, encode: Callable[[list[str], bool], list[bytes]], kind: np.dtype, limit: int = 800_000,
+                 bare: int = 200_000):
+        self._encode, self._type, self._limit, self._most_bare = encode, np.dtype(kind), limit, bare
         self._parts = pa.array([], pa.string())     # what follows a space
         self._ids = np.empty(0, self._type)         # their ids, end to end
         self._sizes = np.empty(0, np.int64)         # ids of each; -1 where a text may not be cut
@@ -62,7 +64,7 @@ class ChunkCache:
         self._bare: dict[str, bytes] = {}           # chunks that follow no space
 
     def _shrink(self) -> None:
-        if len(self._bare) > self._limit:
+        if len(self._bare) > self._most_bare:
             self._bare.clear()
         if len(self._parts) <= self._limit:
             return

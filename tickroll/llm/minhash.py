@@ -44,7 +44,7 @@ ROWS = 5                  # minima of a band
 MISSED = 1e-6             # chance that a pair at the threshold shares no band
 BLOCK = 256               # classes of a bucket compared in one block, and
 BLOCK_SHINGLES = 4_000_000  # their shingles on average (long texts make smaller blocks)
-CACHE_WORDS = 1_000_000   # word hashes kept per task before the cache is dropped
+CACHE_WORDS = 300_000   # word hashes kept per task before the cache is dropped
 SLACK = 6.0               # standard deviations of the signature estimate below the threshold
 
 # A-Z to lower case, white space [\x20\x09-\x0D] to one separator.

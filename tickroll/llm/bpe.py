@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from tickroll.llm.chunks import ChunkCache
 from tickroll.llm.common import large_batches, small_batches, whole_text
 
-PAIRS = 400_000     # token pairs that a worker remembers (about 70 MB)
+PAIRS = 1_000_000   # token pairs that a worker remembers (about 120 MB)
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -57,7 +57,7 @@ class PrefixBpe:
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks), default=1)
-        self._valid: dict[tuple[int, int], bool] = {}
+        self._valid: dict[int, bool] = {}       # left << 32 | right
         # finds all tokens that end at a byte, the longest first
         self._ends = ahocorasick.Automaton()
         for token, rank in ranks.items():
@@ -77,7 +77,7 @@ class PrefixBpe:
 
     def _pair(self, left: int, right: int) -> bool:
         """Whether two tokens side by side are the encoding of their bytes; left -1 is the start."""
-        key = (left, right)
+        key = left << 32 | right
         known = self._valid.get(key)
         if known is None:
             a, b = self.tokens.get(left, b""), self.tokens[right]
@@ -104,7 +104,7 @@ class PrefixBpe:
             if end > done:
                 raise ValueError("the vocabulary lacks a byte")
             left = last[end - size]
-            fits = valid.get((left, token))
+            fits = valid.get(left << 32 | token)
             if self._pair(left, token) if fits is None else fits:
                 last.append(token)
                 done += 1

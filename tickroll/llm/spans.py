@@ -17,9 +17,11 @@ first occurrence (least document, then place) stays, and the sentences under
 every later one are removed; words of the passage outside its common borders
 stay.
 
-Texts are cut once: hashes and places leave the task, the places as sentence
-numbers and as code points. When a text meets its removal list it is sliced,
-not cut again.
+Texts travel twice only: once to be cut, where only hashes, sentence numbers
+and each document's number of sentences leave the task, and once to meet their
+own removal list. A text that has one is cut again there (places in code
+points for all spans would take more disk than cutting the few takes time);
+one that has none is passed on.
 
 Defined cases: NULL text is read as empty and stays NULL; texts shorter than
 a span keep all sentences; within one text the later repetition is removed
@@ -120,7 +122,7 @@ def span_hashes(parts: list[tuple[int, int, list[str]]]) -> Iterator[tuple[int,
 
 
 def spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every span: its hash (two longs), document (id, text_key), sentences, code points, and whether the text has had it before.
+    """Every span: its hash (two longs), document (id, text_key), sentences, and whether the text has had it before.
 
     A row without a hash says the number of sentences of a document (``n``).
     Written once.
@@ -133,26 +135,25 @@ def spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
             for doc, key, value in zip(ids, keys, batch.column("t").to_pylist()):
                 seen: set[int] = set()
                 parts = sentences(value) if value else []
-                rows.append((None, None, doc, key, 0, len(parts), 0, 0, False))
+                rows.append((None, None, doc, key, 0, len(parts), False))
                 for h, first, end in span_hashes(parts):
-                    a = parts[first][0]
-                    rows.append((h & low, h >> 64, doc, key, first, end - first, a, parts[end - 1][1] - a, h in seen))
+                    rows.append((h & low, h >> 64, doc, key, first, end - first, h in seen))
                     seen.add(h)
-            out = list(zip(*rows)) or [()] * 9
+            out = list(zip(*rows)) or [()] * 7
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[0], pa.uint64()).view(pa.int64()), pa.array(out[1], pa.uint64()).view(pa.int64()),
-                 pa.array(out[2], pa.int64()), pa.array(out[3], pa.int64()), *[pa.array(c, pa.int32()) for c in out[4:8]],
-                 pa.array(out[8], pa.bool_())],
-                names=["h1", "h2", "doc", "text_key", "first", "n", "start", "size", "again"])
+                 pa.array(out[2], pa.int64()), pa.array(out[3], pa.int64()), pa.array(out[4], pa.int32()),
+                 pa.array(out[5], pa.int32()), pa.array(out[6], pa.bool_())],
+                names=["h1", "h2", "doc", "text_key", "first", "n", "again"])
 
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("d"), F.col(text).cast("string").alias("t"))
     return stage(rows.withColumn("k", F.xxhash64("t")).mapInArrow(
-        run, "h1 long, h2 long, doc long, text_key long, first int, n int, start int, size int, again boolean"), "sentence-spans")
+        run, "h1 long, h2 long, doc long, text_key long, first int, n int, again boolean"), "sentence-spans")
 
 
 def removals(found: DataFrame) -> DataFrame:
-    """Per document (doc, text_key): number of sentences, and the places of its repeated, non-first spans (first, n, start, size)."""
+    """Per document (doc, text_key): number of sentences, and the sentence ranges of its repeated, non-first spans."""
     # (id, text) as one number, so that the least is found by a hash aggregate of two plain columns
     number = "decimal(38,0)"
     place = (F.when(F.col("doc").isNull(), F.lit("1" + "0" * 37).cast(number))
@@ -163,12 +164,12 @@ def removals(found: DataFrame) -> DataFrame:
     firsts = stage(once.withColumn("place", place).groupBy("h1", "h2").agg(F.min("place").alias("keeper"), F.count(F.lit(1)).alias("n"))
                    .filter("n > 1").drop("n"), "span-firsts")
     later = once.join(firsts, ["h1", "h2"]).filter(place != F.col("keeper"))
-    columns = ["doc", "text_key", "first", "n", "start", "size"]
-    rows = later.select(*columns).unionByName(found.filter("again").select(*columns)).withColumn("sentences", F.lit(0))
+    columns = ["doc", "text_key", "first", "n"]
+    rows = later.select(*columns).unionByName(found.filter("again").select(*columns)).withColumn("sentences", F.lit(None).cast("int"))
     count = found.filter("h1 is null").select(*columns, F.col("n").alias("sentences"))
     return rows.unionByName(count).groupBy("doc", "text_key").agg(
         F.max("sentences").cast("long").alias("n_sentences"),
-        F.sort_array(F.collect_set(F.when(F.col("size") > 0, F.struct("first", "n", "start", "size")))).alias("ranges"))
+        F.collect_set(F.when(F.col("sentences").isNull(), F.struct("first", "n"))).alias("ranges"))
 
 
 def dedup_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -176,27 +177,27 @@ def dedup_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     gone = removals(spans(docs, doc_id, text))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("t"))
     joined = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("doc")) & (F.xxhash64("t") == F.col("text_key")), "left").select(
-        "doc_id", "t", F.transform("ranges", lambda r: F.array(r["first"], r["n"], r["start"], r["size"])).alias("ranges"),
+        "doc_id", "t", F.transform("ranges", lambda r: F.array(r["first"], r["n"])).alias("ranges"),
         F.coalesce("n_sentences", F.lit(0)).cast("long").alias("n_sentences"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches, "t"):
             texts, n_removed, removed = [], [], []
             for value, ranges in zip(batch.column("t").to_pylist(), batch.column("ranges").to_pylist()):
+                drop = sorted({i for first, n in ranges or () for i in range(first, first + n)})
+                parts = sentences(value) if drop else []
                 merged: list[list[int]] = []
-                kept, at, dropped, last = [], 0, 0, 0
-                for first, n, a, size in ranges or ():          # in the order of their first sentence
-                    dropped += max(0, first + n - max(first, last))
-                    last = max(last, first + n)
-                    if merged and a <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], a + size)
+                for a, b, _ in map(parts.__getitem__, drop):
+                    if merged and merged[-1][1] == a:
+                        merged[-1][1] = b
                     else:
-                        merged.append([a, a + size])
+                        merged.append([a, b])
+                kept, at = [], 0
                 for a, b in merged:
                     kept.append(value[at:a])
                     at = b
                 texts.append("".join(kept) + value[at:] if merged else value)
-                n_removed.append(dropped)
+                n_removed.append(len(drop))
                 removed.append(",".join(f"{a}:{b}" for a, b in merged))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(texts, pa.string()), batch.column("n_sentences"),

@@ -384,3 +384,32 @@ def test_shared_folder_needs_a_setting_off_local_masters(monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_dir(Session(), "x")
+
+
+# ------------------------------------------------- counts and dead letters
+def test_a_load_counts_and_keeps_what_gave_no_records(spark):
+    landed = spark.createDataFrame([
+        ("S1", 1, '{"data":[{"mack":"S1","quy":1,"nam":2020,"a":"1.5"},7]}'), ("S1", 2, "not json {"), ("S1", 3, None),
+        ("S1", 4, '[{"mack":"","quy":2,"nam":2020,"a":2}]'), ("S1", 5, "[]"), ("S1", 6, '"text"'), ("S2", 7, "{}"),
+        ("S1", 8, '[{"mack":"S1","quy":1,"nam":2020,"a":"3"}]')], "code string, seq long, payload string")
+    codes = spark.createDataFrame([("S1",)], "code string")
+    t = KeyedTable(spark, shared_dir(spark, "load-run"), loads.FIN_KEYS)
+    for _ in range(2):
+        run = jobs.load_run(spark, "fin_indicators", landed, t, columns=["a"], codes=codes)
+        assert run.counts == {"landed": 7, "records": 3, "unreadable": 2, "message_code": 0, "status": 0, "wrong_shape": 1, "written": 2}
+        assert rows(run.dead, "seq") == [("unreadable", "not json {", 2), ("unreadable", None, 3), ("wrong_shape", '"text"', 6)]
+    assert rows(t.read().select("mack", "quy", "a"), "quy") == [("S1", 1, 3.0), ("S1", 2, 2.0)]
+
+
+def test_dead_letters_survive_the_filters_of_a_load(spark):
+    landed = spark.createDataFrame([(1, '{"status":{"error_message":"no"},"data":{"quotes":[]}}'), (2, "x"), (3, '{"data":{"quotes":[]}}'),
+                                    (4, '{"data":{"quotes":[{"timestamp":"2024-01-02T03:00:00Z"},{"timestamp":"garbage"}]}}')],
+                                   "seq long, payload string")
+    t = KeyedTable(spark, shared_dir(spark, "load-run"), loads.GLOBAL_METRICS_KEYS)
+    run = jobs.load_run(spark, "global_metrics", landed, t, on_error="skip")
+    assert run.counts == {"landed": 4, "records": 1, "unreadable": 1, "message_code": 0, "status": 1, "wrong_shape": 0, "written": 1}
+    dated = spark.createDataFrame([("P1", 1, '[{"mack":"P1","ngay":"2024-01-05"}]'), ("P1", 2, '[{"mack":"P1","ngay":"2020-01-05"}]'),
+                                   ("P1", 3, "{")], "code string, seq long, payload string")
+    t = KeyedTable(spark, shared_dir(spark, "load-run"), loads.TABLES["vn_eod"][0])
+    run = jobs.load_run(spark, "vn_eod", dated, t, codes=spark.createDataFrame([("P1",)], "code string"), run_date="2024-01-06")
+    assert (run.counts["landed"], run.counts["records"], run.counts["unreadable"]) == (3, 1, 1)

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import sys
 from datetime import datetime, timezone
 
 from tickroll.operators.candles import CANDLE_KEYS
@@ -25,6 +26,7 @@ from tickroll.operators.incremental import CHECKPOINT_KEYS
 from tickroll.plans import jobs, loads
 from tickroll.session import build_session
 from tickroll.sources.keyed_table import KeyedTable
+from tickroll.sources.landed import read_pages
 from tickroll.streaming.ingest import reject_table
 
 
@@ -62,6 +64,7 @@ def main(argv=None) -> int:
     t.add_argument("--lookback-days", type=int, default=None)
     t.add_argument("--policy", default="update", choices=["update", "nothing"])
     t.add_argument("--truncate", action="store_true")
+    t.add_argument("--dead-letters", default=None, help="folder that payloads without records are added to")
     t.add_argument("--on-error", default="fail", choices=["fail", "skip"])
     args = ap.parse_args(argv)
 
@@ -75,17 +78,20 @@ def main(argv=None) -> int:
             print(json.dumps(row.asDict()))
     elif args.cmd == "sync":
         now_ms = int(datetime.now(timezone.utc).timestamp() * 1000)
-        jobs.candle_sync_job(spark, frame(args.meta), frame(args.pages), candle_table(args.candles),
+        jobs.candle_sync_job(spark, frame(args.meta), read_pages(spark, args.pages), candle_table(args.candles),
                              KeyedTable(spark, args.checkpoints, CHECKPOINT_KEYS), now_ms, args.since_days, args.timeframe,
                              rejects=reject_table(spark, args.rejects) if args.rejects else None)
     else:
-        written = jobs.load_job(
+        run = jobs.load_run(
             spark, args.table, frame(args.landed), KeyedTable(spark, args.target, loads.TABLES[args.table][0]),
             codes=frame(args.codes), companies=frame(args.companies),
             columns=loads.ratio_columns_from(args.columns) if args.columns else None, policy=args.policy,
             listings=args.listings.split(",") if args.listings else None, run_date=args.run_date,
             lookback_days=args.lookback_days, truncate=args.truncate, on_error=args.on_error)
-        print(json.dumps({"table": args.table, "rows_written": written.count()}))
+        print(json.dumps({"table": args.table, **run.counts}), file=sys.stderr)
+        if args.dead_letters:
+            run.dead.write.mode("append").parquet(args.dead_letters)
+        print(json.dumps({"table": args.table, "rows_written": run.counts["written"]}))
     return 0
 
 

@@ -70,7 +70,7 @@ def raise_on_errors(errors: DataFrame) -> None:
 
 
 def unwrap(docs: DataFrame, mode: str = "records", doc_col: str = "doc", keep=None,
-           path=("data", "quotes"), skip_errors: str | None = None) -> DataFrame:
+           path=("data", "quotes"), skip_errors: str | None = None, dead: str | None = None) -> DataFrame:
     """One row per record object: ``keep`` columns, ``_pos`` and ``rec``.
 
     Array elements that are not objects (numbers, strings, nulls) are
@@ -82,6 +82,11 @@ def unwrap(docs: DataFrame, mode: str = "records", doc_col: str = "doc", keep=No
     error payloads. It masks the record array inside the projection rather
     than filtering on the document: a filter would be pushed below the
     projections and re-evaluate the JSON parse once per reference.
+
+    ``dead`` names the payload column: payloads that give no records because
+    they are 'unreadable' (no JSON), errors (under the name of their test) or
+    of the 'wrong_shape' then come out as rows of their own, with ``_kind`` and
+    ``_payload`` (both NULL on records), in the same pass.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
@@ -90,8 +95,13 @@ def unwrap(docs: DataFrame, mode: str = "records", doc_col: str = "doc", keep=No
     if skip_errors:
         test = {"message_code": message_code_error, "status": status_error,
                 "any": lambda d: error_kind(d).isNotNull()}[skip_errors]
-        docs = docs.select(*keep, doc_col, test(doc_col).alias("_skip"))
+        docs = docs.select(*keep, *[dead] * (dead is not None and dead not in keep), doc_col, test(doc_col).alias("_skip"))
         keep = [*keep, "_skip"]
+    if dead:
+        kind = F.when(F.col(doc_col).isNull(), F.lit("unreadable"))
+        kind = kind.when(F.col("_skip"), F.lit(skip_errors)) if skip_errors else kind
+        docs = docs.select(*keep, doc_col, kind.alias("_why"), F.col(dead).alias("_text"))
+        keep = [*keep, "_why", "_text"]
     doc = F.col(doc_col)
     if mode in ("records", "array"):
         # ``data`` if the document is an object holding it (even as null), else the document
@@ -121,13 +131,17 @@ def unwrap(docs: DataFrame, mode: str = "records", doc_col: str = "doc", keep=No
         cand = J.as_array(J.get("_doc", path))
     if skip_errors:
         cand = F.when(~F.col("_skip"), cand)
-    # the outer form: from the inner one Spark infers that the array is not empty, and tests it at the scan,
-    # where every use of the document parses it once more
-    rows = s3.select(*out_keep, F.posexplode_outer(cand).alias("_pos", "rec"))
     ok = J.is_object("rec")
     if mode == "first":
         ok = ok & J.nonempty_object("rec")
-    return rows.where(ok)
+    if dead:
+        s4 = s3.select(*out_keep, "_why", "_text", cand.alias("_records"))
+        s5 = s4.withColumn("_kind", F.coalesce("_why", F.when(F.col("_records").isNull(), F.lit("wrong_shape"))))
+        return s5.select(*out_keep, "_kind", F.when(F.col("_kind").isNotNull(), F.col("_text")).alias("_payload"),
+                         F.posexplode_outer("_records").alias("_pos", "rec")).where(F.col("_kind").isNotNull() | ok)
+    # the outer form: from the inner one Spark infers that the array is not empty, and tests it at the scan,
+    # where every use of the document parses it once more
+    return s3.select(*out_keep, F.posexplode_outer(cand).alias("_pos", "rec")).where(ok)
 
 
 def object_counts(docs: DataFrame, doc_col: str = "doc", keep=None) -> DataFrame:

@@ -161,6 +161,34 @@ def q_load_global_eod(spark, sf_dir):
     return PQ._date_str(out, "date")
 
 
+_EOD_LANDED = """
+WITH p AS (SELECT o_orderkey, o_custkey, o_orderdate, o_orderkey % 4 AS shape
+           FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_acctbal > 0)"""
+
+
+def _eod_run(spark, sf_dir):
+    return JB.load_run(spark, "global_eod", T.global_eod_payloads(spark, sf_dir), _load_table(spark, "global_eod"),
+                       companies=T.companies(spark, sf_dir))
+
+
+@query("load_report", _EOD_LANDED + """
+SELECT count(*) AS landed, count(*) FILTER (WHERE shape < 2) AS records, CAST(0 AS BIGINT) AS unreadable,
+       count(*) FILTER (WHERE shape = 2) AS message_code, CAST(0 AS BIGINT) AS status,
+       count(*) FILTER (WHERE shape = 3) AS wrong_shape,
+       count(DISTINCT (o_custkey, o_orderdate)) FILTER (WHERE shape < 2) AS written FROM p""")
+def q_load_report(spark, sf_dir):
+    """What one global EOD run counted while it wrote: payloads, those without records by reason, records, rows."""
+    counts = _eod_run(spark, sf_dir).counts
+    return spark.range(1).select(*[F.lit(counts[c]).cast("long").alias(c) for c in ("landed", "records", *JB.LOAD_KINDS, "written")])
+
+
+@query("load_dead_letters", _EOD_LANDED + """
+SELECT o_orderkey AS seq, CASE shape WHEN 2 THEN 'message_code' ELSE 'wrong_shape' END AS kind FROM p WHERE shape >= 2""")
+def q_load_dead_letters(spark, sf_dir):
+    """The payloads that gave no records in that run, and why."""
+    return _eod_run(spark, sf_dir).dead.select("seq", F.col("_kind").alias("kind"))
+
+
 def _stale_metrics(spark, sf_dir):
     """What an earlier run stored: the same quotes, each dated a year earlier."""
     rows = LD.load_global_metrics(T.metrics_payloads(spark, sf_dir), on_error="skip")

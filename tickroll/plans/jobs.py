@@ -9,9 +9,10 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tickroll.functions.timefn import BATCH_DAYS, DAY_MS, LOOKBACK_DAYS, RunRange, interval_ms
@@ -27,6 +28,8 @@ from tickroll.streaming.ingest import CHECKPOINT_SCHEMA, ingest_batch
 # Below every day: a comparison that drops nothing, by which Spark takes the wanted pages for a
 # selective side and prunes the landed partitions by them.
 NO_DAY = -10**9
+# Why a payload gave no records.
+LOAD_KINDS = ("unreadable", "message_code", "status", "wrong_shape")
 
 
 def rollup_job(spark: SparkSession, source: DataFrame | KeyedTable, target: KeyedTable, interval: str,
@@ -84,31 +87,64 @@ def load_job(spark: SparkSession, name: str, landed: DataFrame, table: KeyedTabl
              companies: DataFrame | None = None, columns=None, policy: str = "update", listings=None,
              run_date: str | None = None, lookback_days: int | None = None, truncate: bool = False,
              on_error: str = "fail") -> DataFrame:
-    """One run of a named load: landed payloads -> records -> keyed write. Returns the rows written.
+    """``load_run``; returns the rows written."""
+    return load_run(spark, name, landed, table, codes=codes, companies=companies, columns=columns, policy=policy, listings=listings,
+                    run_date=run_date, lookback_days=lookback_days, truncate=truncate, on_error=on_error).written
+
+
+@dataclass
+class LoadRun:
+    """What a load did: the rows it wrote, the payloads that gave no records (_kind, _payload, seq), and counts."""
+
+    written: DataFrame
+    dead: DataFrame
+    counts: dict[str, int]
+
+
+def load_run(spark: SparkSession, name: str, landed: DataFrame, table: KeyedTable, *, codes: DataFrame | None = None,
+             companies: DataFrame | None = None, columns=None, policy: str = "update", listings=None,
+             run_date: str | None = None, lookback_days: int | None = None, truncate: bool = False,
+             on_error: str = "fail") -> LoadRun:
+    """One run of a named load: landed payloads -> records -> keyed write.
 
     ``name`` is one of ``loads.TABLES``. ``truncate`` replaces the stored
     table by the batch (also an empty one); otherwise the batch is merged
     under the load's policy (inserts are appended).
+
+    Payloads are parsed in one pass, which writes records and dead letters
+    side by side to the shared folder and counts as it writes: payloads landed
+    (of the listed codes, companies and days), 'unreadable' ones, errors (by
+    the name of their test), ones of the 'wrong_shape', and records. The merge
+    adds the rows ``written``.
     """
+    watch = Observation(f"{name}-landed")
     if name == "stock_list":
-        batch = LD.stock_list_records(landed, listings)
-        M.check_empty(batch, "error")
+        batch = LD.stock_list_records(landed, listings, watch)
     elif name == "basic_info":
-        batch = LD.basic_info_records(landed, codes)
+        batch = LD.basic_info_records(landed, codes, watch)
     elif name == "vn_eod":
-        batch = LD.vn_eod_records(landed, codes, run_date, lookback_days)
+        batch = LD.vn_eod_records(landed, codes, run_date, lookback_days, watch)
     elif name == "fin_indicators":
-        batch = LD.fin_records(landed, columns, codes)
+        batch = LD.fin_records(landed, columns, codes, watch)
     elif name == "global_eod":
-        batch = LD.global_eod_records(landed, companies, run_date, lookback_days)
+        batch = LD.global_eod_records(landed, companies, run_date, lookback_days, watch)
     elif name == "global_metrics":
-        batch = LD.global_metrics_records(landed, on_error)
+        batch = LD.global_metrics_records(landed, on_error, watch)
     else:
         raise ValueError(f"unknown load {name!r}: one of {sorted(LD.TABLES)}")
     keys, own = LD.TABLES[name]
     policy = own or policy
+    kinds = Observation(f"{name}-records")
+    kind, *_ = LD.DEAD
+    batch = stage(batch.observe(kinds, F.count(F.when(F.col(kind).isNull(), 1)).alias("records"), *[
+        F.count(F.when(F.col(kind) == k, 1)).alias(k) for k in LOAD_KINDS]), "load-rows")
+    dead = batch.where(F.col(kind).isNotNull()).select(*LD.DEAD, "seq")
+    batch = batch.where(F.col(kind).isNull()).drop(*LD.DEAD, "seq")
+    if name == "stock_list":
+        M.check_empty(batch, "error")
     if truncate:
         rows = stage(M.truncate_load(batch, keys, "_seq"), "load-batch")
         table.replace(rows)
-        return rows
-    return table.merge(batch, policy, order="_seq")
+    else:
+        rows = table.merge(batch, policy, order="_seq")
+    return LoadRun(rows, dead, {**watch.get, **kinds.get, "written": rows.count()})

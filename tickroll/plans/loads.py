@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tickroll.functions.timefn import normalize_ts_day
@@ -129,6 +129,9 @@ def _merge(target: DataFrame | None, batch: DataFrame, keys, policy: str, column
 
 # ------------------------------------------------------------------ loads
 
+DEAD = ("_kind", "_payload")     # what a payload without records says (see ``payload.unwrap``)
+
+
 def of_codes(landed: DataFrame, codes: DataFrame | None) -> DataFrame:
     """Payloads of listed codes only (a semi-join on the code list); all of them without a list."""
     return landed if codes is None else landed.join(codes.select("code"), "code", "left_semi")
@@ -142,12 +145,27 @@ def landed_within(landed: DataFrame, run_date: str | None, days: int | None) ->
 
 
 def dated_within(records: DataFrame, date_col: str, run_date: str | None, days: int | None) -> DataFrame:
-    """Records of the look-back; all of them without a run date."""
-    return records if run_date is None else within_lookback(
-        records, date_col, run_date, EOD_LOOKBACK_DAYS if days is None else days)
+    """Records of the look-back; all of them without a run date (and dead letters, which have no date)."""
+    if run_date is None:
+        return records
+    inside = _in_lookback(date_col, run_date, EOD_LOOKBACK_DAYS if days is None else days)
+    return records.where(inside | F.col(DEAD[0]).isNotNull() if DEAD[0] in records.columns else inside)
+
+
+def _records(landed: DataFrame, mode: str, keep, watch: Observation | None, **options) -> DataFrame:
+    """The records of landed payloads; watched, the payloads are counted and those without records kept as dead letters."""
+    if watch is None:
+        return P.unwrap(parse_payloads(landed), mode, keep=keep, **options)
+    counted = landed.observe(watch, F.count(F.lit(1)).alias("landed"))
+    return P.unwrap(parse_payloads(counted), mode, keep=keep, dead="payload", **options)
 
 
-def stock_list_records(landed: DataFrame, listings=None) -> DataFrame:
+def _kept(recs: DataFrame) -> list:
+    """What travels beside the mapped columns: the order of the record and, watched, what a dead letter says."""
+    return [record_order().alias("_seq"), *[c for c in (*DEAD, "seq") if DEAD[0] in recs.columns]]
+
+
+def stock_list_records(landed: DataFrame, listings=None, watch: Observation | None = None) -> DataFrame:
     """Landed (listing, seq, payload) -> mapped stock rows with ``_seq``.
 
     ``listings`` is the configured order of the listings (later ones win);
@@ -158,8 +176,8 @@ def stock_list_records(landed: DataFrame, listings=None) -> DataFrame:
         landed = landed.where(F.col("listing").isin(list(listings)))
         place = F.array_position(F.array(*[F.lit(x) for x in listings]), F.col("listing"))
         order = place.cast("decimal(38,0)") * F.lit(str(10**28)).cast("decimal(38,0)") + order
-    recs = P.unwrap(parse_payloads(landed), "list", keep=keep)
-    return map_columns(recs, STOCK_LIST_SPECS, keep=[order.alias("_seq")])
+    recs = _records(landed, "list", keep, watch)
+    return map_columns(recs, STOCK_LIST_SPECS, keep=[order.alias("_seq"), *_kept(recs)[1:]])
 
 
 def load_stock_list(landed: DataFrame, target: DataFrame | None = None, on_empty: str = "error",
@@ -171,9 +189,9 @@ def load_stock_list(landed: DataFrame, target: DataFrame | None = None, on_empty
     return _merge(target, batch, STOCK_LIST_KEYS, "update", STOCK_LIST_COLUMNS)
 
 
-def basic_info_records(landed: DataFrame, codes: DataFrame | None = None) -> DataFrame:
-    recs = P.unwrap(parse_payloads(of_codes(landed, codes)), "first", keep=["code", "seq"])
-    return map_columns(recs, BASIC_INFO_SPECS, keep=[record_order().alias("_seq")])
+def basic_info_records(landed: DataFrame, codes: DataFrame | None = None, watch: Observation | None = None) -> DataFrame:
+    recs = _records(of_codes(landed, codes), "first", ["code", "seq"], watch)
+    return map_columns(recs, BASIC_INFO_SPECS, keep=_kept(recs))
 
 
 def load_basic_info(landed: DataFrame, target: DataFrame | None = None) -> DataFrame:
@@ -181,11 +199,11 @@ def load_basic_info(landed: DataFrame, target: DataFrame | None = None) -> DataF
 
 
 def vn_eod_records(landed: DataFrame, codes: DataFrame, run_date: str | None = None,
-                   lookback_days: int | None = None) -> DataFrame:
+                   lookback_days: int | None = None, watch: Observation | None = None) -> DataFrame:
     """Prices of listed codes, of the look-back before ``run_date`` if one is given."""
     listed = of_codes(landed_within(landed, run_date, lookback_days), codes)
-    recs = P.unwrap(parse_payloads(listed), "array", keep=["code", "seq"])
-    rows = map_columns(recs, VN_EOD_SPECS, keep=[record_order().alias("_seq")])
+    recs = _records(listed, "array", ["code", "seq"], watch)
+    rows = map_columns(recs, VN_EOD_SPECS, keep=_kept(recs))
     return dated_within(rows, "ngay", run_date, lookback_days)
 
 
@@ -193,10 +211,10 @@ def load_vn_eod(landed: DataFrame, codes: DataFrame, target: DataFrame | None =
     return _merge(target, vn_eod_records(landed, codes), VN_EOD_KEYS, "nothing", VN_EOD_COLUMNS)
 
 
-def fin_records(landed: DataFrame, ratio_columns, codes: DataFrame | None = None) -> DataFrame:
+def fin_records(landed: DataFrame, ratio_columns, codes: DataFrame | None = None, watch: Observation | None = None) -> DataFrame:
     """Records with a falsy ``mack`` get the request code."""
-    recs = P.unwrap(parse_payloads(of_codes(landed, codes)), "records", keep=["code", "seq"])
-    return map_columns(recs, fin_specs(ratio_columns), keep=[record_order().alias("_seq")],
+    recs = _records(of_codes(landed, codes), "records", ["code", "seq"], watch)
+    return map_columns(recs, fin_specs(ratio_columns), keep=_kept(recs),
                        overrides={"mack": fill_falsy("rec", "mack", "code")})
 
 
@@ -214,13 +232,13 @@ def active_companies(companies: DataFrame, only_active: bool = True) -> DataFram
 
 
 def global_eod_records(landed: DataFrame, companies: DataFrame, run_date: str | None = None,
-                       lookback_days: int | None = None) -> DataFrame:
+                       lookback_days: int | None = None, watch: Observation | None = None) -> DataFrame:
     """Array payloads per ticker joined to their company; the company's id
     and ticker override the record's fields. Error payloads (``message`` and
     ``code``) give no records."""
     joined = landed_within(landed, run_date, lookback_days).join(active_companies(companies), "ticker", "inner")
-    recs = P.unwrap(parse_payloads(joined), "array", keep=["ticker", "company_id", "seq"], skip_errors="message_code")
-    rows = map_columns(recs, GLOBAL_EOD_SPECS, keep=[record_order().alias("_seq")],
+    recs = _records(joined, "array", ["ticker", "company_id", "seq"], watch, skip_errors="message_code")
+    rows = map_columns(recs, GLOBAL_EOD_SPECS, keep=_kept(recs),
                        overrides={"company_id": F.col("company_id"), "ticker": F.col("ticker")})
     return dated_within(rows, "date", run_date, lookback_days)
 
@@ -230,24 +248,24 @@ def load_global_eod(landed: DataFrame, companies: DataFrame, target: DataFrame |
                   GLOBAL_EOD_COLUMNS)
 
 
-def global_metrics_records(landed: DataFrame, on_error: str = "fail") -> DataFrame:
+def global_metrics_records(landed: DataFrame, on_error: str = "fail", watch: Observation | None = None) -> DataFrame:
     """Quotes under data.quotes, mapped, timestamps floored to UTC midnight;
     quotes without a usable timestamp (NULL or epoch 0) are dropped.
 
     An error payload, or one that is no JSON, fails the load; ``on_error``
     'skip' leaves such payloads out (``payload.split_errors`` reports them)."""
-    docs = parse_payloads(landed)
     if on_error == "fail":
+        docs = parse_payloads(landed)
         # the original aborts on a missing / unparsable payload and on an API error
         if not docs.where(F.col("doc").isNull()).limit(1).isEmpty():
             raise RuntimeError("payload is missing or not JSON")
         P.raise_on_errors(P.split_errors(docs)[1])
-    recs = P.unwrap(docs, "path", keep=["seq"], path=("data", "quotes"), skip_errors="status")
-    mapped = map_columns(recs, GLOBAL_METRICS_SPECS, keep=[record_order().alias("_seq")],
-                         overrides={})
+    recs = _records(landed, "path", ["seq"], watch, path=("data", "quotes"), skip_errors="status")
+    mapped = map_columns(recs, GLOBAL_METRICS_SPECS, keep=_kept(recs), overrides={})
     out = (mapped.withColumn("timestamp", normalize_ts_day("timestamp"))
                  .withColumn("quote_timestamp", normalize_ts_day("quote_timestamp")))
-    return out.where(F.col("timestamp").isNotNull() & (F.col("timestamp") != 0))
+    usable = F.col("timestamp").isNotNull() & (F.col("timestamp") != 0)
+    return out.where(usable if watch is None else usable | F.col(DEAD[0]).isNotNull())
 
 
 GLOBAL_METRICS_COLUMNS = [f[0] for f in GLOBAL_METRICS_FIELDS]
@@ -268,8 +286,12 @@ def latest_n(table: DataFrame, n: int = GLOBAL_METRICS_COUNT, ts_col: str = "tim
 
 def within_lookback(df: DataFrame, date_col: str, run_date: str, days: int = EOD_LOOKBACK_DAYS) -> DataFrame:
     """Rows dated in [run_date - days, run_date], both ends included."""
+    return df.where(_in_lookback(date_col, run_date, days))
+
+
+def _in_lookback(date_col: str, run_date: str, days: int):
     d = F.col(date_col)
-    return df.where((d >= F.date_sub(F.lit(run_date).cast("date"), days)) & (d <= F.lit(run_date).cast("date")))
+    return (d >= F.date_sub(F.lit(run_date).cast("date"), days)) & (d <= F.lit(run_date).cast("date"))
 
 
 def load_counts(landed: DataFrame, records: DataFrame, key: str) -> DataFrame:

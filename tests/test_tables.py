@@ -68,6 +68,22 @@ def test_merge_touches_only_the_days_of_the_batch(spark):
     assert t.read(days=(19001, 19001)).count() == 1
 
 
+def test_dated_loads_touch_only_the_folders_of_the_batch(spark):
+    """An insert of two dates opens their folders, not the history."""
+    t = loads.stored_table(spark, "global_eod", shared_dir(spark, "dated"))
+    t.replace(T.global_eod_target(spark, SF))
+    before, price = set(t._listing(t.current())[0]), lambda k, d: (k, f"T{k}", d, 5.0)
+    batch = spark.createDataFrame([price(1, "1995-03-05"), price(1, "1999-01-01"), price(2, "1999-01-01")],
+                                  "company_id long, ticker string, d string, open double")
+    batch = batch.select("company_id", "ticker", F.to_date("d").alias("date"), "open")
+    for inserted in (3, 0):
+        wrote = t.merge(batch, "nothing", unique=True)
+        assert wrote.count() == inserted
+    after = set(t._listing(t.current())[0])
+    assert before < after and {d for d, _ in after - before} == {str(9194 // 28), str(10592 // 28)}
+    assert t.read(days=(10592, 10592)).count() == 2 and t.read(days=(9200, 9300)).count() > 0
+
+
 def test_null_times_are_kept(spark):
     t = table(spark, ["k", "timestamp"], "timestamp")
     t.merge(spark.createDataFrame([("a", None, 1.0), ("a", DAY, 2.0)], KTV), unique=True)

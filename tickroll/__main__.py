@@ -83,7 +83,7 @@ def main(argv=None) -> int:
                              rejects=reject_table(spark, args.rejects) if args.rejects else None)
     else:
         run = jobs.load_run(
-            spark, args.table, frame(args.landed), KeyedTable(spark, args.target, loads.TABLES[args.table][0]),
+            spark, args.table, frame(args.landed), loads.stored_table(spark, args.table, args.target),
             codes=frame(args.codes), companies=frame(args.companies),
             columns=loads.ratio_columns_from(args.columns) if args.columns else None, policy=args.policy,
             listings=args.listings.split(",") if args.listings else None, run_date=args.run_date,

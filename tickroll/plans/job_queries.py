@@ -83,13 +83,13 @@ def q_candle_sync_job(spark, sf_dir):
 # the stored table back.
 
 def _load_table(spark, name: str) -> KeyedTable:
-    return KeyedTable(spark, f"{shared_dir(spark, name)}/table", LD.TABLES[name][0])
+    return LD.stored_table(spark, name, f"{shared_dir(spark, name)}/table")
 
 
 def _run_twice(spark, name, landed, table, **options):
     for _ in range(2):
         JB.load_job(spark, name, landed, table, **options)
-    return table.read()
+    return table.read().drop("day")
 
 
 @query("load_stock_list", PQ.STOCK_SQL)

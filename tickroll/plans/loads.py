@@ -17,6 +17,7 @@ from tickroll.functions.timefn import normalize_ts_day
 from tickroll.operators import merge as M
 from tickroll.operators import payload as P
 from tickroll.operators.mapping import ColumnSpec, fill_falsy, map_columns, specs_from_config
+from tickroll.sources.keyed_table import KeyedTable
 from tickroll.sources.landed import parse_payloads
 
 # ----------------------------------------------------------- fixed values
@@ -129,6 +130,16 @@ def _merge(target: DataFrame | None, batch: DataFrame, keys, policy: str, column
 
 # ------------------------------------------------------------------ loads
 
+# Tables whose keys hold a date or a time are stored by it, four weeks to a folder: a run reads and writes the
+# folders of its batch, two at most for a look-back of days, and years of history stay few folders.
+DAY_COLUMNS = {"vn_eod": "ngay", "global_eod": "date", "global_metrics": "timestamp"}
+
+
+def stored_table(spark, name: str, path: str) -> KeyedTable:
+    """The keyed table of a load."""
+    return KeyedTable(spark, path, TABLES[name][0], DAY_COLUMNS.get(name), retain_hours=24, unit_days=28)
+
+
 DEAD = ("_kind", "_payload")     # what a payload without records says (see ``payload.unwrap``)
 
 

@@ -14,7 +14,8 @@ batch runs, several streams and a stream that starts anew (another writer) can
 share a table. (A caller may still name the ``version`` itself: the write then
 merges into the version before it.)
 
-A merge reads and writes the days of its batch only. Tables without a time
+A merge reads and writes the days of its batch only (of epoch milliseconds, or
+of a date column; a folder may hold ``unit_days`` of them). Tables without a time
 column have one day, 0. Listings beyond the last ``keep`` versions that are
 also older than ``retain_hours``, and the folders that only they name, are
 deleted after a write. One write at a time is assumed.
@@ -52,13 +53,14 @@ def _with(commits: dict[str, int], commit: tuple[str, int] | None) -> dict[str,
 
 class KeyedTable:
     def __init__(self, spark: SparkSession, path: str, keys, ts_col: str | None = None, keep: int = KEEP,
-                 retain_hours: float = 0):
+                 retain_hours: float = 0, unit_days: int = 1):
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = list(keys)
         self.ts_col = ts_col
         self.keep = keep
         self.retain_hours = retain_hours
+        self.unit_days = unit_days
 
     # ------------------------------------------------------------ listings
     def _files(self, path: str):
@@ -125,8 +127,12 @@ class KeyedTable:
         return fs.getFileStatus(p).getModificationTime()
 
     # --------------------------------------------------------------- reads
-    def _day(self) -> Column:
-        return F.expr(f"`{self.ts_col}` div 86400000").cast("int") if self.ts_col else F.lit(0)
+    def _day(self, schema: T.StructType) -> Column:
+        if not self.ts_col:
+            return F.lit(0)
+        if isinstance(schema[self.ts_col].dataType, T.DateType):
+            return F.expr(f"unix_date(`{self.ts_col}`) div {self.unit_days}").cast("int")
+        return F.expr(f"`{self.ts_col}` div {86_400_000 * self.unit_days}").cast("int")
 
     def _frame(self, entries: list[tuple[str, str]], schema: T.StructType) -> DataFrame:
         if not entries:
@@ -142,14 +148,15 @@ class KeyedTable:
         if schema is None:
             return None
         if days is not None:
-            entries = [(d, a) for d, a in entries if d != NO_DAY and days[0] <= int(d) <= days[1]]
+            first, last = (d // self.unit_days for d in days)
+            entries = [(d, a) for d, a in entries if d != NO_DAY and first <= int(d) <= last]
         return self._frame(entries, schema)
 
     # -------------------------------------------------------------- writes
     def _write(self, df: DataFrame) -> list[tuple[str, str]]:
         """Write rows as a new attempt; returns its folders."""
         attempt = "a" + uuid.uuid4().hex
-        (df.withColumn("day", self._day()).withColumn("attempt", F.lit(attempt))
+        (df.withColumn("day", self._day(df.schema)).withColumn("attempt", F.lit(attempt))
          .write.mode("append").partitionBy("day", "attempt").parquet(f"{self.path}/data"))
         fs, pattern = self._files(f"{self.path}/data/day=*/attempt={attempt}")
         found = fs.globStatus(pattern) or []
@@ -194,7 +201,7 @@ class KeyedTable:
         if schema is None:
             self._publish(self._write(rows), rows.schema, version, commits)
             return rows
-        days = {NO_DAY if r[0] is None else str(r[0]) for r in rows.select(self._day().alias("d")).distinct().collect()}
+        days = {NO_DAY if r[0] is None else str(r[0]) for r in rows.select(self._day(rows.schema).alias("d")).distinct().collect()}
         touched = [(d, a) for d, a in entries if d in days]
         target = self._frame(touched, schema).select(*schema.fieldNames())
         if policy == "update":

@@ -104,7 +104,7 @@ class LoadRun:
 def load_run(spark: SparkSession, name: str, landed: DataFrame, table: KeyedTable, *, codes: DataFrame | None = None,
              companies: DataFrame | None = None, columns=None, policy: str = "update", listings=None,
              run_date: str | None = None, lookback_days: int | None = None, truncate: bool = False,
-             on_error: str = "fail") -> LoadRun:
+             on_error: str = "fail", commit: tuple[str, int] | None = None) -> LoadRun:
     """One run of a named load: landed payloads -> records -> keyed write.
 
     ``name`` is one of ``loads.TABLES``. ``truncate`` replaces the stored
@@ -115,7 +115,8 @@ def load_run(spark: SparkSession, name: str, landed: DataFrame, table: KeyedTabl
     side by side to the shared folder and counts as it writes: payloads landed
     (of the listed codes, companies and days), 'unreadable' ones, errors (by
     the name of their test), ones of the 'wrong_shape', and records. The merge
-    adds the rows ``written``.
+    adds the rows ``written``. ``commit`` names the run by its writer (see
+    ``KeyedTable``): one that the table has already writes nothing.
     """
     watch = Observation(f"{name}-landed")
     if name == "stock_list":
@@ -144,7 +145,7 @@ def load_run(spark: SparkSession, name: str, landed: DataFrame, table: KeyedTabl
         M.check_empty(batch, "error")
     if truncate:
         rows = stage(M.truncate_load(batch, keys, "_seq"), "load-batch")
-        table.replace(rows)
+        table.replace(rows, commit=commit)
     else:
-        rows = table.merge(batch, policy, order="_seq")
+        rows = table.merge(batch, policy, order="_seq", commit=commit)
     return LoadRun(rows, dead, {**watch.get, **kinds.get, "written": rows.count()})

@@ -8,18 +8,24 @@ result is the keyed table the stream maintained, read back as a DataFrame.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickroll.functions.timefn import DAY_MS, interval_ms
+from tickroll.functions.timefn import DAY_MS, LOOKBACK_DAYS, interval_ms
 from tickroll.operators.candles import CANDLE_KEYS, STORED_COLUMNS
+from tickroll.plans import loads as LD
 from tickroll.plans.oracle_sql import C3, STORED_COLS, rollup_cte, with_
+from tickroll.plans.payload_queries import GLOBAL_EOD_SQL
 from tickroll.plans.registry import query
 from tickroll.session import shared_dir
 from tickroll.sources import testdata as T
 from tickroll.sources.keyed_table import KeyedTable
 from tickroll.sources.landed import decode_pages
 from tickroll.streaming import ingest as SI
+from tickroll.streaming import late as SL
+from tickroll.streaming import loads as SD
 from tickroll.streaming import rollup as SR
 
 INGEST_CUTS_MS = [1704931200000, 1705795200000]   # 2024-01-11, 2024-01-21 (UTC)
@@ -127,18 +133,77 @@ LATE_NEAR = (1706443200000, 1706572800000)   # 2024-01-28T12:00Z .. 2024-01-30T0
 LATE_SPLIT = 1705708800000        # 2024-01-20T00:00:00Z
 
 
-@query("stream_late_data", with_(C3, rollup_cte(
-    "r", "c3", interval_ms("15m"), f"NOT (exchange = 'x2' AND timestamp < {LATE_FAR_END})"))
-    + f"\nSELECT {STORED_COLS} FROM r")
-def q_stream_late_data(spark, sf_dir):
-    """Candles later than the watermark are dropped, those within it are not."""
-    base = shared_dir(spark, "stream-late")
+_NOT_LATE = f"NOT (exchange = 'x2' AND timestamp < {LATE_FAR_END})"
+
+
+def _late_run(spark, sf_dir, base, keep_late):
+    """The three runs; returns the 15m table and, if kept, the late candles."""
     ts = F.col("timestamp")
     late = (F.col("exchange") == "x2") & ((ts < F.lit(LATE_FAR_END))
                                           | ((ts >= F.lit(LATE_NEAR[0])) & (ts < F.lit(LATE_NEAR[1]))))
     number = F.when(late, 2).when(ts < F.lit(LATE_SPLIT), 0).otherwise(1)
     table = KeyedTable(spark, f"{base}/ohlcv_15m", CANDLE_KEYS, "timestamp")
+    kept, marks = SL.late_table(spark, f"{base}/late"), SL.mark_table(spark, f"{base}/marks")
     for part in _slices(T.candles_3m(spark, sf_dir), number, f"{base}/slices"):
         part.write.mode("append").parquet(f"{base}/source")
         SR.run_rollup(spark, f"{base}/source", "15m", table, f"{base}/_stream")
+        if keep_late:
+            SL.run_late(spark, f"{base}/source", "15m", kept, marks, f"{base}/_late")
+    return table, kept
+
+
+@query("stream_late_data", with_(C3, rollup_cte("r", "c3", interval_ms("15m"), _NOT_LATE))
+       + f"\nSELECT {STORED_COLS} FROM r")
+def q_stream_late_data(spark, sf_dir):
+    """Candles later than the watermark are dropped, those within it are not."""
+    table, _ = _late_run(spark, sf_dir, shared_dir(spark, "stream-late"), False)
+    return stored_rows(table)
+
+
+@query("stream_late_rows", with_(C3) + f"""
+SELECT symbol, exchange, count(*) AS late FROM c3 WHERE NOT ({_NOT_LATE}) GROUP BY symbol, exchange""")
+def q_stream_late_rows(spark, sf_dir):
+    """The candles that came too late, counted per pair."""
+    _, late = _late_run(spark, sf_dir, shared_dir(spark, "stream-late-rows"), True)
+    return SL.late_counts(late)
+
+
+@query("stream_late_backfill", with_(C3, rollup_cte("r", "c3", interval_ms("15m"))) + f"\nSELECT {STORED_COLS} FROM r")
+def q_stream_late_backfill(spark, sf_dir):
+    """After the backfill of what came too late the table is that of the batch rollup."""
+    base = shared_dir(spark, "stream-late-backfill")
+    table, late = _late_run(spark, sf_dir, base, True)
+    SL.backfill_late(spark.read.schema(SR.CANDLE_SCHEMA).parquet(f"{base}/source"), late, table, "15m")
     return stored_rows(table)
+
+
+# a cut within a bucket of every interval: the second run changes candles of the first
+ALL_CUT_MS = 1705381620000        # 2024-01-16T05:07:00Z
+ALL_INTERVALS = tuple(LOOKBACK_DAYS)
+
+
+@query("stream_ohlcv_all", with_(C3, *[rollup_cte(f"r{i}", "c3", interval_ms(i)) for i in ALL_INTERVALS])
+       + "\nUNION ALL ".join(f"\nSELECT '{i}' AS interval, {STORED_COLS} FROM r{i}" for i in ALL_INTERVALS))
+def q_stream_ohlcv_all(spark, sf_dir):
+    """Candles land in two runs; one stream keeps the tables of all six intervals."""
+    base = shared_dir(spark, "stream-all")
+    tables = {i: KeyedTable(spark, f"{base}/ohlcv_{i}", CANDLE_KEYS, "timestamp") for i in ALL_INTERVALS}
+    number = F.when(F.col("timestamp") < F.lit(ALL_CUT_MS), 0).otherwise(1)
+    for part in _slices(T.candles_3m(spark, sf_dir), number, f"{base}/slices"):
+        part.write.mode("append").parquet(f"{base}/source")
+        SR.run_rollups(spark, f"{base}/source", tables, f"{base}/_stream")
+    return reduce(DataFrame.unionByName, [stored_rows(t).withColumn("interval", F.lit(i)) for i, t in tables.items()])
+
+
+@query("stream_global_eod", GLOBAL_EOD_SQL)
+def q_stream_global_eod(spark, sf_dir):
+    """Price payloads land in two runs over a stored table; the stream joins them with the company table."""
+    base = shared_dir(spark, "stream-global-eod")
+    table = LD.stored_table(spark, "global_eod", f"{base}/table")
+    table.replace(T.global_eod_target(spark, sf_dir))
+    landed = T.global_eod_payloads(spark, sf_dir)
+    for part in _slices(landed, F.pmod(F.crc32("ticker"), F.lit(2)), f"{base}/slices"):
+        part.write.mode("append").parquet(f"{base}/landing")
+        SD.run_load(spark, "global_eod", f"{base}/landing", landed.schema, table,
+                    f"{base}/_stream", companies=lambda: T.companies(spark, sf_dir))
+    return table.read().drop("day").withColumn("date", F.date_format("date", "yyyy-MM-dd"))

@@ -8,6 +8,7 @@ from tests.llm import brute
 from tests.llm.helpers import SF, collected, rows
 from tickroll.llm import url_filter as u
 from tickroll.llm.catalog import QUERIES
+from tickroll.session import shared_dir
 
 SCHEMA = "page_id long, url string, row int, tokens string, html string"
 
@@ -66,6 +67,33 @@ def test_mined_rules_equal_a_plain_search(spark):
     assert blocked == {i for i in range(120) if i % 3 == 0}
 
 
+def test_mined_rules_decide_the_query(spark):
+    """Bad urls share 14 tokens that always come together; any of them blocks, list rules still go first."""
+    keys = [f"k{chr(97 + i)}" for i in range(14)]
+    bad = [f"https://a.net/x/{i}?" + "&".join(f"{k}={i}" for k in keys) for i in range(30)]
+    good = [f"https://a.net/x/{i}?page={i}&ref={i}" for i in range(60)]
+    unseen = [("https://b.net/other?kc=1", "block"), ("https://b.net/other?kz=1", "allow"), ("http://m.com/fr/?kb=2", "allow"),
+              ("http://a.org/de/?page=1", "allow"), (None, "allow")]
+    folder = shared_dir(spark, "url-rules-test")
+    urls = bad + good + [u_ for u_, _ in unseen]
+    spark.createDataFrame([(i, x, 1, "t", "h") for i, x in enumerate(urls)], SCHEMA).write.parquet(f"{folder}/pages.parquet")
+    spark.createDataFrame([(i, 0 if i < 30 else 1, 0, "x") for i in range(90)], "doc_id long, quality int, toxic int, host string").write.parquet(
+        f"{folder}/labels.parquet")
+    got = {r["page_id"]: r for r in QUERIES["op10_url_filter"](spark, folder).collect()}
+    assert [got[i]["verdict"] for i in range(90)] == ["block"] * 30 + ["allow"] * 60
+    assert [(got[90 + i]["verdict"]) for i in range(len(unseen))] == [v for _, v in unseen]
+    assert {(got[i]["n_rules"], got[i]["confidence"]) for i in (*range(30), 90, 92)} == {(1, 1.0)}
+    rules = u.mine_rules(u.parsed(spark.read.parquet(f"{folder}/pages.parquet")).filter("page_id < 90").select("tokens", (F.col("page_id") < 30).alias("bad")))
+    assert collected(rules, "confidence") == [(1.0,)] * 14 and {tuple(r["tokens"]) for r in rules.collect()} == {(f"query:{k}",) for k in keys}
+
+
+def test_a_token_of_every_page_is_a_rule_only_by_the_base_rate(spark):
+    rows_ = [(["all", "a"] if i % 2 else ["all"], i > 1) for i in range(20)]
+    found = lambda data: sorted(tuple(r["tokens"]) for r in u.mine_rules(spark.createDataFrame(data, "tokens array<string>, bad boolean")).collect())
+    assert found(rows_) == [("a",), ("all",)]
+    assert found([(t, i < 5) for i, (t, _) in enumerate(rows_)]) == []
+
+
 def test_rules_match_only_whole_token_sets(spark):
     df = spark.createDataFrame([(1, ["a", "b", "c"]), (2, ["a", "c"]), (3, []), (4, ["b"])], "row long, tokens array<string>")
     rules = spark.createDataFrame([(["a", "b"], 0.9, 0.1), (["c"], 0.8, 0.1), (["zz"], 0.8, 0.1)], "tokens array<string>, confidence double, support double")

@@ -78,3 +78,27 @@ def test_edge_cases(spark):
         assert got.columns == ["doc_id", "p_insult", "p_toxic", "toxic"] and got.count() == len(docs)
         assert got.filter("p_toxic is null or toxic is null").count() == 0
         assert t.detect_toxicity(table(spark, []), marks, t.label_categories()).count() == 0
+
+
+def test_each_model_keeps_its_own_best_features(spark, monkeypatch):
+    """The union over the folds holds every feature that some model chooses, also where a cut applies."""
+    monkeypatch.setattr(t, "MAX_FEATURES", 6)
+    docs, labels = made(random.Random(5), 400)
+    sample = t.sample_features(t.labelled_sample(
+        table(spark, docs), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), {"toxic": F.col("toxic") == 1}), ["toxic"])
+    pdf = sample.toPandas().sort_values("doc_id", kind="stable")
+    row = np.repeat(np.arange(len(pdf)), pdf["index"].map(len))
+    index, y = np.concatenate(pdf["index"].to_list()), pdf["toxic"].to_numpy(bool)
+    want = set()
+    for fold in range(t.FOLDS + 1):
+        want |= set(t._chosen(row, index, y, pdf["fold"].to_numpy() != fold).tolist())
+    got = t._selected(sample, "toxic", t.FOLDS)
+    assert want and want <= set(got) and len(got) <= 6 * (t.FOLDS + 1)
+
+
+def test_the_sample_takes_one_text_of_an_id_whatever_the_order(spark):
+    docs = [(1, "b text"), (1, "a text"), (1, None), (2, None), (2, None)]
+    labels = spark.createDataFrame([(1, 1, 1), (2, 1, 0)], "doc_id long, quality int, toxic int")
+    found = [sorted(map(tuple, t.labelled_sample(table(spark, d).repartition(n), labels, {"toxic": F.col("toxic") == 1}).collect()))
+             for d, n in ((docs, 1), (docs[::-1], 3))]
+    assert found[0] == found[1] and len(found[0]) == 2 and found[0][0][1] in ("a text", "b text") and found[0][1][1:] == (None, False)

@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -192,7 +193,7 @@ def fit_linear(row, index, count, earlier: np.ndarray, y: np.ndarray, train: np.
 
 
 def _selected(sample: DataFrame, category: str, folds: int) -> list[int]:
-    """Indices whose rates differ between the classes in the sample without some fold, or in all of it; bounded."""
+    """The union of the best ``MAX_FEATURES`` indices of each model: of the sample without one fold, and of all of it."""
     hit = F.coalesce(F.col(category), F.lit(False))
     parts = [F.col("fold") != f for f in range(folds)] + [F.lit(True)]
     totals = sample.agg(*[F.count(F.when(p & h, 1)).alias(f"{name}{i}") for i, p in enumerate(parts)
@@ -206,9 +207,13 @@ def _selected(sample: DataFrame, category: str, folds: int) -> list[int]:
         n1, n0 = max(1, totals[f"n{i}"]), max(1, totals[f"c{i}"])
         p = (F.col(f"n{i}") + F.col(f"c{i}")) / (n1 + n0)
         z.append(F.abs(F.col(f"n{i}") / n1 - F.col(f"c{i}") / n0) / F.sqrt(F.greatest(p * (1 - p), F.lit(1e-12)) * (1 / n1 + 1 / n0)))
-    best = F.greatest(*z) if len(z) > 1 else z[0]
-    kept = rates.filter(F.col(f"n{folds}") + F.col(f"c{folds}") >= LEAST_DOCS).select("index", best.alias("z"))
-    return [r["index"] for r in kept.filter(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "index").limit(2 * MAX_FEATURES).collect()]
+    enough = [(F.col(f"n{i}") + F.col(f"c{i}") >= LEAST_DOCS) & (z[i] >= LEAST_Z * (1 - 1e-9)) for i in range(len(parts))]
+    scored = stage(rates.filter(reduce(lambda a, b: a | b, enough)).select(
+        "index", *[F.when(e, x).alias(f"z{i}") for i, (e, x) in enumerate(zip(enough, z))]), "toxicity-features")
+    # what each model may choose from: its own best, so that no model's choice depends on the others
+    own = [scored.filter(F.col(f"z{i}").isNotNull()).orderBy(F.desc(f"z{i}"), "index").limit(MAX_FEATURES).select("index")
+           for i in range(len(parts))]
+    return sorted(r["index"] for r in reduce(DataFrame.union, own).distinct().collect())
 
 
 def _trainer(category: str, before: list[str], folds: int):
@@ -289,13 +294,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, categories: dict[str, Co
                     doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """At most ``size`` labelled documents (of the least id hashes): doc_id, text, the categories.
 
+    Of several texts of one id the one of the least hash is taken, so the sample is the same at every run.
     A category is a condition over ``text`` and the label columns.
     """
     chosen = (labels.filter(F.col("doc_id").isNotNull()).select("doc_id").distinct()
               .orderBy(F.xxhash64(F.lit("sample"), "doc_id"), "doc_id").limit(size))
     marks = labels.join(F.broadcast(chosen), "doc_id").withColumnRenamed("doc_id", "_id")
     texts = (docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-             .join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]))
+             .join(F.broadcast(chosen), "doc_id")
+             .groupBy("doc_id").agg(F.min_by("text", F.struct(F.col("text").isNull(), F.xxhash64("text"))).alias("text")))
     joined = texts.join(marks.drop("text"), F.col("doc_id") == F.col("_id"))
     return joined.groupBy("doc_id", "text").agg(
         *[F.max(F.coalesce(condition, F.lit(False))).alias(c) for c, condition in categories.items()])

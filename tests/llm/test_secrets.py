@@ -56,6 +56,9 @@ def test_ownership_separates_copied_from_live(spark):
     docs += [(10, f"é secret: {live}", "o1", "en"), (11, f"secret: {live}", "o1", "de"), (12, f"see {bare} here", "o2", "en"),
              (13, "see Shared0123456789xyzABC here", "o1", "en"), (14, "see Shared0123456789xyzABC here", "o2", "en"),
              (15, "password=your_password_123", "o3", "en")]
+    spread, placeholder = "qW1eR2tY3uI4oP5a", "my_sample_password_1"
+    docs += [(20 + i, f"token={spread}", "o9", lang) for i, lang in enumerate(("en", "de", "fr", None))]
+    docs += [(30 + i, f"password={placeholder}", f"o{i}", "en") for i in range(3)]
     scanned = secrets.scan(frame(spark, docs))
     got = {r["doc_id"]: r for r in secrets.report(scanned, secrets.judged_spans(scanned)).collect()}
     assert all(got[i]["n_copied"] == 1 and got[i]["n_live"] == 0 for i in range(5))
@@ -65,8 +68,14 @@ def test_ownership_separates_copied_from_live(spark):
     owners = {r["n_owners"]: r["n_repositories"] for r in
               secrets.judged_spans(scanned).filter(F.col("verdict") == "live").filter("kind = 'assign'").collect()}
     assert owners == {1: 2}
+    # one owner, but many of its repositories: copied, though no less a secret
+    assert all(got[i]["n_copied"] == 1 and got[i]["n_live"] == 0 for i in (*range(20, 24), *range(30, 33)))
+    assert {(got[i]["most_owners"], got[i]["most_repositories"]) for i in range(20, 24)} == {(1, 4)}
+    assert (got[30]["most_owners"], got[30]["most_repositories"]) == (3, 3) and got[13]["most_owners"] == 0
     clean = {r["doc_id"]: r["text"] for r in secrets.redact(frame(spark, docs)).collect()}
-    assert clean[0] == docs[0][1] and clean[10] == "é [SECRET]" and clean[12] == "see [SECRET] here"
+    # copied values stay in clear only where they don't look random
+    assert clean[0] == "[SECRET]" and clean[20] == "[SECRET]" and clean[30] == f"password={placeholder}"
+    assert clean[10] == "é [SECRET]" and clean[12] == "see [SECRET] here"
     assert clean[13] == docs[8][1]
 
 

@@ -28,8 +28,9 @@ c AS (SELECT *, stop - length(m) AS start,
              regexp_matches(secret, '[0-9]') AND regexp_matches(secret, '[A-Za-z]') AND NOT regexp_matches(secret, {_text(secrets.PLACEHOLDERS)})
              AND len(list_distinct(string_split(secret, ''))) >= {secrets.LEAST_DISTINCT} AS looks
       FROM p WHERE length(secret) >= CASE kind {least} END),
-o AS (SELECT secret, count(DISTINCT source) AS owners FROM c GROUP BY secret),
-j AS (SELECT c.*, CASE WHEN owners >= {secrets.COPIED_OWNERS} THEN 'copied'
+o AS (SELECT secret, count(DISTINCT source) AS owners, count(DISTINCT row(source, lang)) AS repositories FROM c GROUP BY secret),
+j AS (SELECT c.*, owners, repositories,
+             CASE WHEN owners >= {secrets.COPIED_OWNERS} OR repositories >= {secrets.COPIED_REPOSITORIES} THEN 'copied'
                        WHEN owners <= {secrets.MAX_OWNERS} AND looks THEN 'live' ELSE 'unclear' END AS verdict
       FROM c JOIN o USING (secret)),
 s AS (SELECT *, CASE kind {names} END || ':' || start || ':' || stop AS said FROM j
@@ -39,7 +40,8 @@ SELECT d.doc_id, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (
        count(*) FILTER (WHERE kind = 2) AS n_hex,
        sha256(coalesce(string_agg(said, ',' ORDER BY start, kind) FILTER (WHERE kind < {len(secrets.BASE)}), '')) AS base_sha256,
        coalesce(string_agg(said, ',' ORDER BY start, kind), '') AS spans,
-       count(*) FILTER (WHERE verdict = 'live') AS n_live, count(*) FILTER (WHERE verdict = 'copied') AS n_copied
+       count(*) FILTER (WHERE verdict = 'live') AS n_live, count(*) FILTER (WHERE verdict = 'copied') AS n_copied,
+       coalesce(max(owners), 0) AS most_owners, coalesce(max(repositories), 0) AS most_repositories
 FROM d LEFT JOIN s ON s.doc_id = d.doc_id GROUP BY d.doc_id"""
 
 

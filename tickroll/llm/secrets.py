@@ -2,8 +2,11 @@
 
 Candidates are found in every whole text by four patterns. The value of each
 is hashed, and hashes are aggregated over the whole corpus by distinct owner
-and distinct repository: a value of many owners is a widely copied example, a
-value that one owner alone has, and that looks random, is a live credential.
+and distinct repository: a value of many owners, or of many repositories of
+few owners, is a widely copied example; a value that one owner alone has in few
+repositories, and that looks random, is a live credential. Both are only
+judgements of who has a value: ``redact`` leaves in clear no value that looks
+random, however widely it is copied.
 The base kinds (assign, access, hex) are always reported; the generic kind
 (token) only where the ownership count says owner-specific and live-looking.
 
@@ -37,7 +40,8 @@ SCANNED = {"access": "AKIA[A-Z0-9]{14,}", "hex": "[0-9a-f]{16,}", "token": "[A-Z
 BASE = ["assign", "access", "hex"]
 
 MAX_OWNERS = 1          # owners of an owner-specific value
-COPIED_OWNERS = 3       # owners from which a value is a widely copied example
+COPIED_OWNERS = 3       # owners, or
+COPIED_REPOSITORIES = 4  # (owner, repository) pairs, from which a value is a widely copied example
 LEAST_DISTINCT = 8      # different characters of a value that looks random
 PLACEHOLDERS = "(?i)example|sample|dummy|changeme|placeholder|xxxx|your_"
 
@@ -89,16 +93,16 @@ def ownership(found: DataFrame) -> DataFrame:
 
 
 def judged_spans(scanned: DataFrame) -> DataFrame:
-    """Every reported span with its ownership: row, order, kind, start, end, value, n_owners, n_repositories, verdict.
+    """Every reported span: row, order, kind, start, end, value, random_looking, n_owners, n_repositories, verdict.
 
-    ``verdict`` is ``live`` (owner-specific and random-looking), ``copied``
-    (of many owners) or ``unclear``. Base kinds are all there; the generic
+    ``verdict`` is ``copied`` (of many owners or many repositories), ``live``
+    (else owner-specific and random-looking) or ``unclear``. Base kinds are all there; the generic
     kind only where it is live and not inside a base span.
     """
     found = stage(candidates(scanned), "secret-candidates")
     # written before the join: a value of very many rows is then split by Spark
     judged = found.join(stage(ownership(found), "secret-owners"), "value").withColumn(
-        "verdict", F.when(F.col("n_owners") >= COPIED_OWNERS, F.lit("copied"))
+        "verdict", F.when((F.col("n_owners") >= COPIED_OWNERS) | (F.col("n_repositories") >= COPIED_REPOSITORIES), F.lit("copied"))
         .when((F.col("n_owners") <= MAX_OWNERS) & F.col("random_looking"), F.lit("live")).otherwise(F.lit("unclear")))
     # a generic token that meets a base span says nothing new: the base spans
     # that start before its end are known from the running ends in both directions
@@ -110,16 +114,17 @@ def judged_spans(scanned: DataFrame) -> DataFrame:
     clear = (F.coalesce("_reached", F.lit(0)) <= F.col("start")) & F.coalesce(F.col("_next") >= F.col("end"), F.lit(True))
     kind = F.element_at(F.array(*[F.lit(k) for k, _, _ in KINDS]), F.col("order") + 1)
     return (judged.filter((F.col("order") < len(BASE)) | ((F.col("verdict") == "live") & clear))
-            .select("row", "order", kind.alias("kind"), "start", "end", "value", "n_owners", "n_repositories", "verdict"))
+            .select("row", "order", kind.alias("kind"), "start", "end", "value", "random_looking", "n_owners", "n_repositories", "verdict"))
 
 
 def report(scanned: DataFrame, spans: DataFrame) -> DataFrame:
-    """One row per document: counts per base kind, digests of its spans, and counts per verdict."""
+    """One row per document: counts per base kind, digests of its spans, counts per verdict, and how widely its values are shared."""
     item = F.struct("start", "order", "end", F.concat_ws(":", "kind", "start", "end").alias("said"))
     counts = [F.count(F.when(F.col("order") == i, 1)).alias(f"n_{kind}") for i, kind in enumerate(BASE)]
     each = spans.groupBy("row").agg(*counts, F.array_sort(F.collect_list(item)).alias("_spans"),
                                     F.count(F.when(F.col("verdict") == "live", 1)).alias("n_live"),
-                                    F.count(F.when(F.col("verdict") == "copied", 1)).alias("n_copied"))
+                                    F.count(F.when(F.col("verdict") == "copied", 1)).alias("n_copied"),
+                                    F.max("n_owners").alias("most_owners"), F.max("n_repositories").alias("most_repositories"))
     joined = scanned.select("row", "doc_id").join(each, "row", "left")
     said = lambda spans: F.concat_ws(",", F.transform(spans, lambda s: s["said"]))
     none = F.array().cast("array<struct<start:long,order:int,end:long,said:string>>")
@@ -127,14 +132,14 @@ def report(scanned: DataFrame, spans: DataFrame) -> DataFrame:
     return joined.select("doc_id", *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in ("n_assign", "n_access", "n_hex")],
                          F.sha2(said(F.filter(whole, lambda s: s["order"] < len(BASE))), 256).alias("base_sha256"),
                          said(whole).alias("spans"),
-                         *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in ("n_live", "n_copied")])
+                         *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in ("n_live", "n_copied", "most_owners", "most_repositories")])
 
 
 def redact(docs: DataFrame, mask: str = "[SECRET]", doc_id: str = "doc_id", text: str = "text", owner: str = "source",
            repository: str | None = "lang") -> DataFrame:
-    """``docs`` with every span masked that is not a widely copied example; other columns stay."""
+    """``docs`` with every span masked but widely copied values that don't look random (placeholders); other columns stay."""
     scanned = scan(docs, doc_id, text, owner, repository)
-    spans = judged_spans(scanned).filter("verdict != 'copied'")
+    spans = judged_spans(scanned).filter("verdict != 'copied' or random_looking")
     w = Window.partitionBy("row").orderBy("start", "order").rowsBetween(Window.unboundedPreceding, -1)
     cut = (spans.withColumn("_from", F.greatest("start", F.coalesce(F.max("end").over(w), F.lit(0))))
            .filter(F.col("end") > F.col("_from")).groupBy("row")

@@ -69,7 +69,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with every secret masked that is not a widely copied example; ``n_chars`` follows the text.
+    """All documents, with every secret masked but widely copied placeholders; ``n_chars`` follows the text.
 
     A NULL text stays NULL, a NULL source counts as one owner; repeated rows
     are masked alike; a text without secrets is passed on unchanged.

@@ -27,7 +27,6 @@ document longer than a segment makes a segment of its own.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,6 +43,7 @@ SEGMENT_WORDS = 400_000  # words after which a segment is closed
 ITEM_BLOCK = 2_000       # test items looked up per pass over the index
 BLOOM_BITS = 1 << 23     # fixed size of the term filter: 1 MB
 BLOOM_HASHES = 4
+CACHE_TERMS = 300_000    # words whose numbers a task keeps from one segment to the next
 
 # A-Z to lower case; every byte outside [0-9A-Za-z\x80-\xFF] to a space.
 WORD_TABLE = bytes(
@@ -90,6 +90,23 @@ def term_filter(items: DataFrame, text: str = "text") -> bytes:
     return words.tobytes()
 
 
+class _TermCodes(dict):
+    """A number per term that is stored, 0 for any other; the filter is asked once per distinct word while the cache lasts."""
+
+    def __init__(self, keep: np.ndarray | None):
+        super().__init__()
+        self._keep = keep
+        self.terms: list[bytes] = [b""]
+
+    def __missing__(self, term: bytes) -> int:
+        code = 0
+        if self._keep is None or all(self._keep[b] for b in _bits(term)):
+            code = len(self.terms)
+            self.terms.append(term)
+        self[term] = code
+        return code
+
+
 def build_index(docs: DataFrame, terms: bytes | None = None, doc_id: str = "doc_id", text: str = "text",
                 segment_words: int = SEGMENT_WORDS) -> DataFrame:
     """The positional inverted index of ``docs``, written to the shared folder.
@@ -99,38 +116,51 @@ def build_index(docs: DataFrame, terms: bytes | None = None, doc_id: str = "doc_
     small_batches(docs.sparkSession)
     keep = None if terms is None else np.unpackbits(np.frombuffer(terms, np.uint8)).view(bool)
 
-    def close(number: int, ids: list, keys: list, starts: list, counts: list, postings: dict) -> pa.RecordBatch:
-        stored = sorted(t for t in postings if keep is None or all(keep[b] for b in _bits(t)))
-        lists = [np.array(postings[t], np.uint32) for t in stored]
+    def close(number: int, ids: list, keys: list, starts: list, counts: list, codes: list, known: _TermCodes) -> pa.RecordBatch:
+        code = np.concatenate(codes)
+        place = np.flatnonzero(code).astype(np.uint32)
+        used, which = np.unique(code[place], return_inverse=True)
+        terms = [known.terms[c] for c in used.tolist()]
+        by_term = sorted(range(len(terms)), key=terms.__getitem__)
+        rank = np.empty(len(terms), np.int64)
+        rank[by_term] = np.arange(len(terms))
+        order = np.argsort(rank[which], kind="stable")
+        lengths = np.bincount(rank[which], minlength=len(terms))
         # deltas within each list: small numbers, which Parquet packs well
-        deltas = [np.diff(x, prepend=np.uint32(0)) for x in lists]
+        listed = place[order]
+        deltas = np.diff(listed, prepend=np.uint32(0))
+        first = (np.cumsum(lengths) - lengths).astype(np.int64)
+        deltas[first] = listed[first]
         return pa.RecordBatch.from_pydict({
             "segment": pa.array([number], pa.int64()), "doc_ids": pa.array([ids], pa.list_(pa.int64())),
             "text_keys": pa.array([keys], pa.list_(pa.int64())),
             "starts": pa.array([starts], pa.list_(pa.int64())), "n_words": pa.array([counts], pa.list_(pa.int64())),
-            "terms": pa.array([stored], pa.list_(pa.binary())),
-            "counts": pa.array([[len(x) for x in lists]], pa.list_(pa.int32())),
-            "positions": pa.array([np.concatenate(deltas).tobytes() if deltas else b""], pa.binary())})
+            "terms": pa.array([[terms[k] for k in by_term]], pa.list_(pa.binary())),
+            "counts": pa.array([lengths], pa.list_(pa.int32())),
+            "positions": pa.array([deltas.tobytes()], pa.binary())})
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
-        ids, keys, starts, counts, postings, at = [], [], [], [], defaultdict(list), 0
+        known = _TermCodes(keep)
+        gap = np.zeros(1, np.uint32)
+        ids, keys, starts, counts, codes, at = [], [], [], [], [], 0
         for batch in text_batches(batches, "t"):
             for doc, value, key in zip(*(batch.column(c).to_pylist() for c in ("d", "t", "k"))):
                 found = words_of(value)
-                for place, word in enumerate(found, at):
-                    postings[word].append(place)
+                codes += [np.fromiter(map(known.__getitem__, found), np.uint32, len(found)), gap]
                 ids.append(doc)
                 keys.append(key)
                 starts.append(at)
                 counts.append(len(found))
                 at += len(found) + 1
                 if at >= segment_words:
-                    yield close(number, ids, keys, starts, counts, postings)
-                    ids, keys, starts, counts, postings, at = [], [], [], [], defaultdict(list), 0
+                    yield close(number, ids, keys, starts, counts, codes, known)
+                    ids, keys, starts, counts, codes, at = [], [], [], [], [], 0
                     number += 1
+                    if len(known) > CACHE_TERMS:
+                        known = _TermCodes(keep)
         if ids:
-            yield close(number, ids, keys, starts, counts, postings)
+            yield close(number, ids, keys, starts, counts, codes, known)
 
     rows = docs.select(F.col(doc_id).cast("long").alias("d"), F.col(text).cast("string").alias("t"))
     return stage(rows.withColumn("k", F.xxhash64("t")).mapInArrow(index, SEGMENT_SCHEMA), "positional-index")

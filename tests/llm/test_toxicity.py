@@ -102,3 +102,52 @@ def test_the_sample_takes_one_text_of_an_id_whatever_the_order(spark):
     found = [sorted(map(tuple, t.labelled_sample(table(spark, d).repartition(n), labels, {"toxic": F.col("toxic") == 1}).collect()))
              for d, n in ((docs, 1), (docs[::-1], 3))]
     assert found[0] == found[1] and len(found[0]) == 2 and found[0][0][1] in ("a text", "b text") and found[0][1][1:] == (None, False)
+
+
+def dense_model(x, past, y, train):
+    """One model of the chain on dense counts: chosen columns, full-batch Adam; returns the scores of all rows."""
+    has, n1, n0 = x > 0, (y & train).sum(), (~y & train).sum()
+    a, b = has[y & train].sum(0), has[~y & train].sum(0)
+    p = (a + b) / (n1 + n0)
+    z = np.abs(a / n1 - b / n0) / np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / n1 + 1 / n0))
+    scale = np.array([max(1.0, np.abs(c[train]).max()) for c in past.T])
+    chosen = (a + b >= t.LEAST_DOCS) & (z >= t.LEAST_Z)
+    base = (n1 + 0.5) / (n1 + n0 + 1.0)
+    rows_ = np.hstack([x[:, chosen], past / scale if len(scale) else past, np.ones((len(x), 1))])
+    w, m, v = np.zeros(rows_.shape[1]), 0.0, 0.0
+    w[-1] = np.log(base / (1 - base))
+    decay = np.append(np.full(len(w) - 1, t.RIDGE), 0.0)
+    for step in range(1, t.STEPS + 1):
+        error = (1 / (1 + np.exp(-np.clip(rows_ @ w, -30, 30))) - y)[train]
+        g = rows_[train].T @ error / train.sum() + decay * w
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        w = w - 0.1 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
+    return rows_ @ w
+
+
+def test_the_chain_equals_a_dense_plain_version(spark):
+    """Out-of-fold scores of both categories, and the scores of the first final model, from texts and labels alone."""
+    docs, labels = made(random.Random(11), 240)
+    toxic = np.array([y for _, _, y in labels], bool)
+    insult = toxic & np.array([any(w in text.lower() for w in t.INSULTS) for _, text in docs])
+    found = [[f for token in set(text.split()) for f in t.token_features(token)] for _, text in docs]
+    names = sorted({f for fs in found for f in fs})
+    x = np.array([[fs.count(f) for f in names] for fs in found], float)
+
+    sample = t.sample_features(t.labelled_sample(
+        table(spark, docs), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), t.label_categories()), ["insult", "toxic"])
+    models, scored = t.fit_chain(sample, ["insult", "toxic"])
+    fold = sample.select("doc_id", "fold").toPandas().sort_values("doc_id")["fold"].to_numpy()
+    oof = scored.toPandas().sort_values("doc_id")
+    last = t.score_chain(table(spark, docs), models, ["insult", "toxic"]).toPandas().sort_values("doc_id")
+
+    past, first, everything = np.empty((len(docs), 0)), None, np.ones(len(docs), bool)
+    for name, y in (("insult", insult), ("toxic", toxic)):
+        want = np.empty(len(docs))
+        for f in range(t.FOLDS):
+            want[fold == f] = dense_model(x, past, y, fold != f)[fold == f]
+        np.testing.assert_allclose(oof[f"score_{name}"], want, atol=1e-6)
+        if name == "insult":     # fitted on all, and applied to the same texts
+            first = dense_model(x, past, y, everything)
+            np.testing.assert_allclose(last["score_insult"], first, atol=1e-6)
+        past = np.hstack([past, want[:, None]])

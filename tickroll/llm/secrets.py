@@ -5,8 +5,8 @@ is hashed, and hashes are aggregated over the whole corpus by distinct owner
 and distinct repository: a value of many owners, or of many repositories of
 few owners, is a widely copied example; a value that one owner alone has in few
 repositories, and that looks random, is a live credential. Both are only
-judgements of who has a value: ``redact`` leaves in clear no value that looks
-random, however widely it is copied.
+judgements of who has a value: ``redact`` leaves no value of a base kind that
+looks random in clear, however widely it is copied.
 The base kinds (assign, access, hex) are always reported; the generic kind
 (token) only where the ownership count says owner-specific and live-looking.
 

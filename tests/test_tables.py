@@ -5,6 +5,7 @@ import json
 import re
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tests.conftest import SF
@@ -153,6 +154,40 @@ def test_no_filter_parses_json(spark, name):
     assert filters and not [f for f in filters if "parseJson" in f]
 
 
+@pytest.mark.parametrize("watched", [False, True])
+def test_metrics_records_are_read_once(spark, watched):
+    """The filter on the time reads the time only, not the whole record anew, and the records come as structs, with no
+    probe of each element."""
+    watch = Observation("metrics-plan") if watched else None
+    plan = loads.global_metrics_records(T.metrics_payloads(spark, SF), "skip", watch)._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    filters = [line for line in lines if re.match(r"[ :+-]*Filter ", line)]
+    assert filters and not [f for f in filters if "total_market_cap" in f or "object_probe" in f]
+    assert sum("StructField(total_market_cap,VariantType" in line for line in lines) == 1
+
+
+def test_odd_metrics_quotes(spark):
+    usd = lambda v: '{"USD":{"total_market_cap":%s,"timestamp":"2024-01-02T05:00:00Z"}}' % v
+    quote = lambda when, v: '{"timestamp":%s,"btc_dominance":%s,"quote":%s}' % (when, v, usd(v))
+    quotes = [quote('"2024-01-0%dT03:00:00Z"' % (i + 1), v) for i, v in enumerate(
+        ["true", '"true"', '" 2 "', '"1.5d"', "1e3", "null", "[1]", '{"a":1}'])]
+    quotes += ["null", "17", '"x"', "[]", "{}", quote('"1969-12-31T23:00:00Z"', 1), quote('"1970-01-01T10:00:00Z"', 2), quote('""', 3),
+               quote("null", 4), quote("17", 5), quote('{"a":1}', 6), '{"timestamp":"2024-01-09T00:00:00+05:00","quote":[5]}',
+               '{"timestamp":"2024-01-10T00:00:00Z","active_exchanges":"x","quote":{"USD":7}}']
+    landed = spark.createDataFrame([(1, '{"data":{"quotes":[%s]}}' % ",".join(quotes)), (2, '{"data":{"quotes":{"timestamp":1}}}'),
+                                    (3, '{"data":[]}'), (4, None), (5, "[]"), (6, '{"data":{"quotes":null}}')], "seq long, payload string")
+    day = lambda d: ms(f"2024-01-{d:02d} 00:00:00")
+    numbers = [1.0, None, 2.0, None, 1000.0, None, None, None]
+    want = [(-DAY, 1.0, 1.0, day(2)), *[(day(i + 1), v, v, day(2)) for i, v in enumerate(numbers)], (day(10), None, None, None)]
+    want[8] = (day(8), None, None, None)     # the last of that day: 2024-01-09T00:00+05:00
+    columns = ["timestamp", "btc_dominance", "total_market_cap", "quote_timestamp"]
+    assert rows(loads.load_global_metrics(landed, on_error="skip").select(*columns), "timestamp") == want
+    t = KeyedTable(spark, shared_dir(spark, "load-run"), loads.GLOBAL_METRICS_KEYS)
+    run = jobs.load_run(spark, "global_metrics", landed, t, on_error="skip")
+    assert run.counts == {"landed": 6, "records": 11, "unreadable": 1, "message_code": 0, "status": 0, "wrong_shape": 4, "written": 10}
+    assert rows(t.read().select(*columns), "timestamp") == want
+
+
 def test_counts_of_all_intervals_take_one_scan(spark):
     c3 = stage(T.candles_3m(spark, SF), "plan-c3")
     ranges = {n: RunRange.resolve(interval_ms(n), "2024-01-31T00:00:00Z", 30) for n in ("1h", "1d", "7d")}

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tickroll.functions import jsonfn as J
 from tickroll.functions.textfn import safe_float_text
@@ -114,18 +115,19 @@ def map_columns(records: DataFrame, specs: Sequence[ColumnSpec], rec_col: str =
 
     ``overrides`` replaces the value of named output columns, e.g. a
     dimension column that must win over a record field. The record is
-    read once as a struct; each column is then a field access.
+    read once as a struct; each column is then a field access. ``rec_col``
+    may hold records that were read as ``record_struct_type`` already.
     """
     overrides = dict(overrides or {})
     todo = [s for s in specs if s.column not in overrides]
+    read = isinstance(records.schema[rec_col].dataType, StructType)
     stype = record_struct_type(todo)
-    if stype is None:            # clashing paths: read each column on its own
+    if stype is None and not read:            # clashing paths: read each column on its own
         rec = F.col(rec_col)
         return records.select(*keep, *[
             (overrides[s.column] if s.column in overrides else extract(rec, s)).alias(s.column)
             for s in specs])
-    staged = records.select(*records.columns,
-                            F.try_variant_get(F.col(rec_col), "$", stype).alias("_rs"))
+    staged = records.select(*records.columns, (F.col(rec_col) if read else F.try_variant_get(F.col(rec_col), "$", stype)).alias("_rs"))
     # Leaves needing the tolerant float cast are split into kind, text and
     # number columns first and combined in the next projection: one CASE
     # over freshly computed VARIANT reads is several times slower.

@@ -70,7 +70,8 @@ def raise_on_errors(errors: DataFrame) -> None:
 
 
 def unwrap(docs: DataFrame, mode: str = "records", doc_col: str = "doc", keep=None,
-           path=("data", "quotes"), skip_errors: str | None = None, dead: str | None = None) -> DataFrame:
+           path=("data", "quotes"), skip_errors: str | None = None, dead: str | None = None,
+           rec_type: str | None = None) -> DataFrame:
     """One row per record object: ``keep`` columns, ``_pos`` and ``rec``.
 
     Array elements that are not objects (numbers, strings, nulls) are
@@ -87,9 +88,16 @@ def unwrap(docs: DataFrame, mode: str = "records", doc_col: str = "doc", keep=No
     they are 'unreadable' (no JSON), errors (under the name of their test) or
     of the 'wrong_shape' then come out as rows of their own, with ``_kind`` and
     ``_payload`` (both NULL on records), in the same pass.
+
+    ``rec_type`` (mode 'path') names the struct type that records are read as:
+    the whole array is read in one go, in place of a VARIANT copy of each
+    element that is probed for an object and then read. What is no object is
+    NULL as such a struct, so the same elements are dropped.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
+    if rec_type and mode != "path":
+        raise ValueError("rec_type goes with mode 'path'")
     keep = [c for c in (keep if keep is not None else docs.columns) if c != doc_col]
     out_keep = list(keep)
     if skip_errors:
@@ -128,10 +136,10 @@ def unwrap(docs: DataFrame, mode: str = "records", doc_col: str = "doc", keep=No
         cand = F.when(J.is_object("_doc"), J.as_array(J.get("_doc", "data")))
     else:  # path
         s3 = docs.select(*keep, doc.alias("_doc"))
-        cand = J.as_array(J.get("_doc", path))
+        cand = J.get("_doc", path, f"array<{rec_type}>") if rec_type else J.as_array(J.get("_doc", path))
     if skip_errors:
         cand = F.when(~F.col("_skip"), cand)
-    ok = J.is_object("rec")
+    ok = F.col("rec").isNotNull() if rec_type else J.is_object("rec")
     if mode == "first":
         ok = ok & J.nonempty_object("rec")
     if dead:

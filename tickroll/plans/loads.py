@@ -13,10 +13,10 @@ import json
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tickroll.functions.timefn import normalize_ts_day
+from tickroll.functions.timefn import DAY_MS, day_floor_ms, normalize_ts_day, parse_iso_ms
 from tickroll.operators import merge as M
 from tickroll.operators import payload as P
-from tickroll.operators.mapping import ColumnSpec, fill_falsy, map_columns, specs_from_config
+from tickroll.operators.mapping import ColumnSpec, fill_falsy, map_columns, record_struct_type, specs_from_config
 from tickroll.sources.keyed_table import KeyedTable
 from tickroll.sources.landed import parse_payloads
 
@@ -271,12 +271,15 @@ def global_metrics_records(landed: DataFrame, on_error: str = "fail", watch: Obs
         if not docs.where(F.col("doc").isNull()).limit(1).isEmpty():
             raise RuntimeError("payload is missing or not JSON")
         P.raise_on_errors(P.split_errors(docs)[1])
-    recs = _records(landed, "path", ["seq"], watch, path=("data", "quotes"), skip_errors="status")
-    mapped = map_columns(recs, GLOBAL_METRICS_SPECS, keep=_kept(recs), overrides={})
-    out = (mapped.withColumn("timestamp", normalize_ts_day("timestamp"))
-                 .withColumn("quote_timestamp", normalize_ts_day("quote_timestamp")))
-    usable = F.col("timestamp").isNotNull() & (F.col("timestamp") != 0)
-    return out.where(usable if watch is None else usable | F.col(DEAD[0]).isNotNull())
+    recs = _records(landed, "path", ["seq"], watch, path=("data", "quotes"), skip_errors="status",
+                    rec_type=record_struct_type(GLOBAL_METRICS_SPECS))
+    timed = recs.select("*", parse_iso_ms(F.col("rec").getField("timestamp")).alias("_ms"))
+    # any time outside the day 0; Spark moves the test down to where each use of ``_ms`` parses the text once more,
+    # so it is made before the mapping and uses it twice
+    usable = (F.col("_ms") < 0) | (F.col("_ms") >= DAY_MS)
+    timed = timed.where(usable if watch is None else usable | F.col(DEAD[0]).isNotNull())
+    mapped = map_columns(timed, GLOBAL_METRICS_SPECS, keep=_kept(recs), overrides={"timestamp": day_floor_ms("_ms")})
+    return mapped.withColumn("quote_timestamp", normalize_ts_day("quote_timestamp"))
 
 
 GLOBAL_METRICS_COLUMNS = [f[0] for f in GLOBAL_METRICS_FIELDS]
